@@ -1,0 +1,233 @@
+"""``splits``: a partitioned scan of parquet files as a Spark Python data source.
+
+Planning lists files and cuts them into byte ranges; it opens no file but the
+one the schema comes from, so it stays cheap for any number of files. Each byte
+range is self-contained: whichever executor reads it opens the footer and takes
+the row groups whose middle lies in its range, so every row group is read once.
+
+Options
+  path            file or folder, on any file system pyarrow can open
+  splits          read everything as this many partitions
+  splitBytes      target bytes per split when ``splits`` is not given (128 MiB)
+  maxConcurrency  at most this many partitions, each reading several splits
+  columns         comma-separated columns to read
+  sampleSplit     read one split only, chosen by a hash of this seed
+"""
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    IsNotNull,
+    IsNull,
+    LessThan,
+    LessThanOrEqual,
+)
+from pyspark.sql.types import StructType
+
+DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
+
+_COMPARE = {
+    EqualTo: "==",
+    GreaterThan: ">",
+    GreaterThanOrEqual: ">=",
+    LessThan: "<",
+    LessThanOrEqual: "<=",
+}
+
+
+@dataclass(frozen=True)
+class Split:
+    """Bytes [start, end) of one file."""
+
+    path: str
+    start: int
+    end: int
+
+
+@dataclass
+class SplitGroup(InputPartition):
+    """Splits read one after the other by one task."""
+
+    splits: list[Split] = field(default_factory=list)
+
+
+def _open_fs(path: str):
+    from pyarrow import fs
+
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def _list_files(path: str) -> list[tuple[str, int]]:
+    from pyarrow import fs
+
+    filesystem, root = _open_fs(path)
+    info = filesystem.get_file_info(root)
+    if info.type == fs.FileType.File:
+        return [(root, info.size)]
+    if info.type == fs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    found = filesystem.get_file_info(fs.FileSelector(root, recursive=True))
+    return sorted(
+        (f.path, f.size) for f in found if f.type == fs.FileType.File and f.base_name.endswith(".parquet")
+    )
+
+
+def plan_splits(files: list[tuple[str, int]], split_bytes: int) -> list[Split]:
+    """Cut each file into byte ranges of about ``split_bytes``."""
+    out = []
+    for path, size in files:
+        n = max(1, -(-size // split_bytes))
+        edges = [size * i // n for i in range(n + 1)]
+        out.extend(Split(path, a, b) for a, b in zip(edges, edges[1:]))
+    return out
+
+
+def group_splits(splits: list[Split], groups: int | None) -> list[SplitGroup]:
+    """At most ``groups`` partitions, balanced by bytes; one split each when unbounded."""
+    if groups is None or groups >= len(splits):
+        return [SplitGroup(splits=[s]) for s in splits]
+    bins: list[list[Split]] = [[] for _ in range(groups)]
+    load = [0] * groups
+    for split in sorted(splits, key=lambda s: (s.start - s.end, s.path, s.start)):
+        at = load.index(min(load))
+        bins[at].append(split)
+        load[at] += split.end - split.start
+    return [SplitGroup(splits=b) for b in bins if b]
+
+
+class SplitsReader(DataSourceReader):
+    def __init__(self, options: dict, schema: StructType):
+        self.path = options["path"]
+        self.names = [f.name for f in schema.fields]
+        self.split_bytes = int(options.get("splitbytes", DEFAULT_SPLIT_BYTES))
+        self.n_splits = options.get("splits")
+        self.max_concurrency = options.get("maxconcurrency")
+        self.sample_seed = options.get("samplesplit")
+        self.pushed: list[tuple[str, str, object]] = []
+
+    def pushFilters(self, filters: list[Filter]):
+        """Keep the filters pyarrow can evaluate; hand the others back to Spark."""
+        for f in filters:
+            name = f.attribute[0] if len(f.attribute) == 1 else None
+            if name not in self.names:
+                yield f
+            elif type(f) in _COMPARE and f.value is not None:
+                self.pushed.append((name, _COMPARE[type(f)], f.value))
+            elif isinstance(f, In):
+                self.pushed.append((name, "in", list(f.value)))
+            elif isinstance(f, IsNotNull):
+                self.pushed.append((name, "not null", None))
+            elif isinstance(f, IsNull):
+                self.pushed.append((name, "null", None))
+            else:
+                yield f
+
+    def partitions(self):
+        files = _list_files(self.path)
+        if self.n_splits:
+            total = sum(size for _, size in files)
+            split_bytes = max(1, -(-total // int(self.n_splits)))
+        else:
+            split_bytes = self.split_bytes
+        splits = plan_splits(files, split_bytes)
+        if self.sample_seed is not None and splits:
+            import zlib
+
+            splits = [splits[zlib.crc32(str(self.sample_seed).encode()) % len(splits)]]
+        cap = self.max_concurrency or self.n_splits
+        return group_splits(splits, int(cap) if cap else None) or [SplitGroup()]
+
+    def _predicate(self, schema):
+        import functools
+        import operator
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        terms = []
+        for name, op, value in self.pushed:
+            column, kind = pc.field(name), schema.field(name).type
+            if op == "not null":
+                terms.append(column.is_valid())
+            elif op == "null":
+                terms.append(column.is_null())
+            elif op == "in":
+                terms.append(column.isin(pa.array(value, type=kind)))
+            else:
+                apply = {
+                    "==": operator.eq,
+                    ">": operator.gt,
+                    ">=": operator.ge,
+                    "<": operator.lt,
+                    "<=": operator.le,
+                }[op]
+                terms.append(apply(column, pa.scalar(value, type=kind)))
+        return functools.reduce(operator.and_, terms) if terms else None
+
+    def read(self, partition: SplitGroup) -> Iterator:
+        import pyarrow.dataset as ds
+        import pyarrow.parquet as pq
+
+        for split in partition.splits:
+            filesystem, path = _open_fs(self.path)[0], split.path
+            meta = pq.read_metadata(path, filesystem=filesystem)
+            mine = []
+            for i in range(meta.num_row_groups):
+                group = meta.row_group(i)
+                first = group.column(0)
+                begin = first.dictionary_page_offset or first.data_page_offset
+                packed = sum(group.column(c).total_compressed_size for c in range(group.num_columns))
+                if split.start <= begin + packed // 2 < split.end:
+                    mine.append(i)
+            if not mine:
+                continue
+            fragment = ds.ParquetFileFormat().make_fragment(path, filesystem, row_groups=mine)
+            predicate = self._predicate(fragment.physical_schema)
+            yield from fragment.to_batches(columns=self.names, filter=predicate, batch_size=32_768)
+
+
+class SplitsSource(DataSource):
+    """Registered under the name ``splits``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "splits"
+
+    def schema(self) -> StructType:
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        files = _list_files(self.options["path"])
+        if not files:
+            raise FileNotFoundError(f"no parquet files under {self.options['path']}")
+        arrow = pq.read_schema(files[0][0], filesystem=_open_fs(self.options["path"])[0])
+        whole = from_arrow_schema(arrow, prefer_timestamp_ntz=True)
+        wanted = self.options.get("columns")
+        if not wanted:
+            return whole
+        names = [c.strip() for c in wanted.split(",")]
+        return StructType([whole[name] for name in names])
+
+    def reader(self, schema: StructType) -> SplitsReader:
+        return SplitsReader({k.lower(): v for k, v in self.options.items()}, schema)
+
+
+def read_splits(spark, path: str, **options):
+    """``spark.read.format("splits")`` with the source registered."""
+    spark.dataSource.register(SplitsSource)
+    reader = spark.read.format("splits").option("path", path)
+    for name, value in options.items():
+        reader = reader.option(name, str(value))
+    return reader.load()
