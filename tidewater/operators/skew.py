@@ -69,6 +69,7 @@ def running_sums(
         done, hot, hot_rows = None, df, df.count()
 
     slices = hot_rows // max_rows + 1
+    types = {n: df.select(F.sum(c).alias("x")).schema["x"].dataType for n, c in sums.items()}
     ranged = hot.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
     sliced = materialise(
         ranged.select(
@@ -97,7 +98,7 @@ def running_sums(
     )
     wanted = joined.select(
         *[F.col(f"d.{c}") for c in df.columns],
-        *[(F.col(f"_l_{n}") + F.col(f"_b_{n}")).alias(n) for n in sums],
+        *[(F.col(f"_l_{n}") + F.col(f"_b_{n}")).cast(types[n]).alias(n) for n in sums],
     )
     return wanted if done is None else done.unionByName(wanted)
 
