@@ -89,7 +89,7 @@ def convert(c: Column, source: DataType, declared: DataType, cast: str = "cast",
         strict = cast == "cast"
         if want == "date":
             return F.to_date(c, fmt) if strict else F.try_to_date(c, fmt)
-        parsed = F.to_timestamp(c, F.lit(fmt)) if strict else F.try_to_timestamp(c, F.lit(fmt))
+        parsed = F.to_timestamp(c, fmt) if strict else F.try_to_timestamp(c, F.lit(fmt))
         return parsed.cast(declared)
     if want == "string" and have == "timestamp_ntz":
         return iso_text(c)
@@ -98,8 +98,13 @@ def convert(c: Column, source: DataType, declared: DataType, cast: str = "cast",
     return getattr(c, cast)(declared)
 
 
+def declared_schema(declared: StructType | str) -> StructType:
+    """A schema, or its DDL text."""
+    return StructType.fromDDL(declared) if isinstance(declared, str) else declared
+
+
 def conform(
-    df: DataFrame, declared: StructType, fill: bool = False, formats: Mapping[str, str] | None = None
+    df: DataFrame, declared: StructType | str, fill: bool = False, formats: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Rows in the declared schema and order; a bad value fails the job.
 
@@ -107,6 +112,7 @@ def conform(
     declared field that is missing becomes NULL. ``formats`` gives the pattern
     of date or timestamp columns that arrive as text.
     """
+    declared = declared_schema(declared)
     formats = formats or {}
     plain = StructType([f for f in df.schema.fields if f.name not in formats])
     check_struct("", plain, declared)
@@ -123,8 +129,9 @@ def conform(
     )
 
 
-def conform_checked(df: DataFrame, declared: StructType, formats: Mapping[str, str] | None = None) -> DataFrame:
+def conform_checked(df: DataFrame, declared: StructType | str, formats: Mapping[str, str] | None = None) -> DataFrame:
     """Declared columns (NULL where a value is bad) and ``_errors``, the bad (column, raw) pairs of the row."""
+    declared = declared_schema(declared)
     formats = formats or {}
     check_struct("", StructType([f for f in df.schema.fields if f.name not in formats]), declared)
     typed, errors = [], []

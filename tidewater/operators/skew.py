@@ -66,7 +66,11 @@ def running_sums(
         if hot is None:
             return done
     else:
-        done, hot, hot_rows = None, df, df.count()
+        done, hot = None, materialise(df, "ungrouped")
+        hot_rows = hot.count()  # from file footers
+        if hot_rows <= max_rows:
+            whole = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+            return hot.select("*", *[F.sum(c).over(whole).alias(n) for n, c in sums.items()])
 
     slices = hot_rows // max_rows + 1
     types = {n: df.select(F.sum(c).alias("x")).schema["x"].dataType for n, c in sums.items()}
