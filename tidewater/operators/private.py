@@ -70,38 +70,34 @@ def private_aggregate(
     groups = list(groups)
     units = user_contributions(df, user, groups, value, bounds)
     mean = F.col("user_mean").cast("decimal(28,12)")
-    n = F.count(F.lit(1))
-    avg = F.sum(mean).cast("double") / n
-    square = F.sum((mean * mean).cast("decimal(34,16)")).cast("double") / n
-    sums = units.groupBy(*groups).agg(
-        n.alias("n_users"),
-        F.sum("user_count").cast("double").alias("anon_count"),
-        F.sum("user_sum").cast("double").alias("anon_sum"),
-        avg.alias("anon_avg"),
-        F.greatest(square - avg * avg, F.lit(0.0)).alias("anon_var_pop"),
-    )
+    # name -> (figure, how far one user can move it)
+    top = max(abs(bounds.low), abs(bounds.high))
+    figures = {
+        "n_users": (F.count(F.lit(1)).cast("double"), 1.0),
+        "anon_count": (F.sum("user_count").cast("double"), float(bounds.max_count)),
+        "anon_sum": (F.sum("user_sum").cast("double"), top),
+        "_means": (F.sum(mean).cast("double"), top),
+        "_squares": (F.sum((mean * mean).cast("decimal(34,16)")).cast("double"), top * top),
+    }
+    sums = units.groupBy(*groups).agg(*[c.alias(n) for n, (c, _) in figures.items()])
+    reach = {n: r for n, (_, r) in figures.items()}
     if quantiles:
         spread = exact_percentiles(units, groups, "user_mean", quantiles)
         sums = sums.join(spread.select(*groups, *quantiles), groups)
+        reach |= {q: bounds.high - bounds.low for q in quantiles}
     if bounds.epsilon is not None:
-        # The budget is split evenly over the released figures and the user's groups.
-        figures = 5 + len(quantiles or {})
-        share = bounds.epsilon / (figures * bounds.max_groups)
-        width = max(abs(bounds.low), abs(bounds.high))
-        span = bounds.high - bounds.low
+        # The budget is split evenly over the figures and over the groups a user may be in.
+        share = bounds.epsilon / (len(reach) * bounds.max_groups)
         keys = [F.col(g) for g in groups]
-        noisy = lambda name, scale: F.col(name) + laplace(scale, f"{bounds.seed}|{name}", *keys)
-        per_user = lambda scale: F.lit(scale) / F.greatest(F.col("n_users"), F.lit(1))
         sums = sums.withColumns(
-            {
-                "n_users": F.round(noisy("n_users", 1 / share)).cast("bigint"),
-                "anon_count": noisy("anon_count", bounds.max_count / share),
-                "anon_sum": noisy("anon_sum", width / share),
-                "anon_avg": noisy("anon_avg", per_user(span / share)),
-                "anon_var_pop": F.greatest(noisy("anon_var_pop", per_user(span * span / share)), F.lit(0.0)),
-            }
-            | {q: noisy(q, span / share) for q in quantiles or {}}
+            {n: F.col(n) + laplace(r / share, f"{bounds.seed}|{n}", *keys) for n, r in reach.items()}
         )
+    # Everything below uses released figures only.
+    users = F.greatest(F.col("n_users"), F.lit(1.0))
+    avg = F.col("_means") / users
+    sums = sums.withColumns(
+        {"anon_avg": avg, "anon_var_pop": F.greatest(F.col("_squares") / users - avg * avg, F.lit(0.0))}
+    ).withColumn("n_users", F.round("n_users").cast("bigint")).drop("_means", "_squares")
     released = sums.filter(F.col("n_users") >= bounds.min_users).withColumn("anon_stddev_pop", F.sqrt("anon_var_pop"))
     report = F.to_json(
         F.struct(
