@@ -88,3 +88,24 @@ def uint64_to_int64(x: Column) -> Column:
 def int64_to_uint64(x: Column) -> Column:
     x = x.cast("decimal(20,0)")
     return F.when(x < 0, x + F.lit(TWO_64).cast("decimal(20,0)")).otherwise(x).cast("decimal(20,0)")
+
+
+def fixed(amount: Column, digits: int = 2) -> Column:
+    """A double that holds ``digits`` decimals, as a whole number of its smallest unit.
+
+    Far cheaper per row than a cast to decimal, and exact for amounts below 2^53 units.
+    """
+    return F.rint(amount * F.lit(float(10**digits))).cast("bigint")
+
+
+def sum_fixed(units: Column, digits: int = 2, out: str = "decimal(28,2)") -> Column:
+    """Exact sum of ``fixed`` values as a decimal with ``digits`` decimals.
+
+    Adds the upper and the lower bits apart as plain integers, so neither sum
+    can overflow, and puts them together once per group.
+    """
+    low_bits = 20
+    high = F.sum(F.shiftright(units, low_bits)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << low_bits) - 1))).cast("decimal(20,0)")
+    total = high * F.lit(1 << low_bits).cast("decimal(7,0)") + low
+    return (total * F.lit(f"{10**-digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")).cast(out)

@@ -33,9 +33,9 @@ def merge_rollup(rollup: DataFrame, keys: Sequence, parts: dict[str, tuple[str,
     return rollup.groupBy(*keys).agg(*[MERGEABLE[a][1](F.col(n)).alias(n) for n, (a, _) in parts.items()])
 
 
-def top_sum(df: DataFrame, value: str, weight: Column, k: int) -> DataFrame:
-    """The ``k`` values with the largest total weight. Exact: one row per value after the shuffle."""
-    totals = df.groupBy(value).agg(F.sum(weight).alias("total"))
+def top_sum(df: DataFrame, value: str, total: Column, k: int) -> DataFrame:
+    """The ``k`` values with the largest ``total`` (a sum of weights). Exact: one row per value after the shuffle."""
+    totals = df.groupBy(value).agg(total.alias("total"))
     return totals.orderBy(F.desc("total"), F.asc(value)).limit(k)
 
 

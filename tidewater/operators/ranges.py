@@ -33,20 +33,29 @@ def count_below(
     return run.filter(F.col("_side") == point_side).select(F.col("_t").alias(point), name)
 
 
+def _closed(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Bounds with the ends of time in place of NULL."""
+    kind = df.schema[start].dataType
+    never = lambda c, text: F.coalesce(F.col(c), F.lit(text).cast(kind))
+    return df.withColumns({"_lo": never(start, "0001-01-01"), "_hi": never(end, "9999-12-31")})
+
+
 def overlap_counts(
     left: DataFrame, right: DataFrame, start: str, end: str, name: str = "n_overlaps", max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Add to each left range [start, end) the number of right ranges it overlaps.
 
     Overlapping = started before my end, minus ended at or before my start. No
-    pair is ever built, so dense stretches cost no more than sparse ones.
+    pair is ever built, so dense stretches cost no more than sparse ones. A NULL
+    bound of a time range is unbounded.
     """
-    started = count_below(left, end, right, start, False, "_started", max_rows)
-    ended = count_below(left, start, right, end, True, "_ended", max_rows)
+    left, right = _closed(left, start, end), _closed(right, start, end)
+    started = count_below(left, "_hi", right, "_lo", False, "_started", max_rows)
+    ended = count_below(left, "_lo", right, "_hi", True, "_ended", max_rows)
     return (
-        left.join(started, end)
-        .join(ended, start)
-        .select(*left.columns, (F.col("_started") - F.col("_ended")).alias(name))
+        left.join(started, "_hi")
+        .join(ended, "_lo")
+        .select(*[c for c in left.columns if c not in ("_lo", "_hi")], (F.col("_started") - F.col("_ended")).alias(name))
     )
 
 

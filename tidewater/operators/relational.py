@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.skew import running_sums, salted_join
+from tidewater.operators.skew import null_safe_join, running_sums, salted_join
 
 
 def group_implicit(df: DataFrame, plain: Mapping[str, Column], aggregates: Mapping[str, Column]) -> DataFrame:
@@ -88,7 +88,7 @@ def exact_percentiles(
     extra = {} if max_rows is None else {"max_rows": max_rows}
     upto = running_sums(counted, keys, [F.col(value)], {"_upto": F.col("_n")}, **extra)
     totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = upto.join(totals, keys)
+    ranked = null_safe_join(upto, totals, keys)
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1  # 0-based positions of this value
     picks = []
     for name, p in fractions.items():

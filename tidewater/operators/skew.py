@@ -26,6 +26,15 @@ def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     )
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join on group keys in which NULL is a key like any other, as in GROUP BY and windows."""
+    renamed = right.select(
+        *[F.col(k).alias(f"_j_{k}") for k in keys], *[c for c in right.columns if c not in keys]
+    )
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_j_{k}" for k in keys])
+
+
 def split_hot(
     df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS
 ) -> tuple[DataFrame, DataFrame | None, int]:

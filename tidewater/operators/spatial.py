@@ -142,7 +142,7 @@ def geohash(lon: Column, lat: Column, length: int) -> Column:
 # each point only the cells that can still matter.
 # ---------------------------------------------------------------------------
 
-LEAF_LOCATIONS = 16
+LEAF_LOCATIONS = 64
 MAX_LEVEL = 50  # doubles cannot tell points apart beyond this
 
 

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.skew import MAX_GROUP_ROWS, numbered, running_sums, split_hot
+from tidewater.operators.skew import MAX_GROUP_ROWS, null_safe_join, numbered, running_sums, split_hot
 from tidewater.session import materialise
 
 
@@ -51,10 +51,10 @@ def ranks(
         values, keys, [F.col(value)], {"_upto": F.col("_n"), "dense_rank": F.lit(1).cast("bigint")}, max_rows
     )
     totals = values.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    per_value = upto.join(totals, keys)
+    per_value = null_safe_join(upto, totals, keys)
     rows = numbered(hot, keys, [F.col(value), F.col(tie)], "row_number", max_rows)
     rank = F.col("_upto") - F.col("_n") + 1
-    joined = rows.join(per_value, [*keys, value])
+    joined = null_safe_join(rows, per_value, [*keys, value])
     return done.unionByName(
         joined.select(
             *df.columns,
@@ -106,12 +106,10 @@ def navigate(
         F.max(F.when(F.col("_rn") == nth, F.col(value))).alias("nth_value"),
     )
     filled = rows.filter(F.col(value).isNotNull()).select(*keys, "_known", F.col(value).alias("last_known"))
-    joined = (
-        rows.join(at(1, "lag_value"), [*keys, "_rn"], "left")
-        .join(at(-1, "lead_value"), [*keys, "_rn"], "left")
-        .join(ends, keys)
-        .join(filled, [*keys, "_known"], "left")
-    )
+    joined = null_safe_join(rows, at(1, "lag_value"), [*keys, "_rn"], "left")
+    joined = null_safe_join(joined, at(-1, "lead_value"), [*keys, "_rn"], "left")
+    joined = null_safe_join(joined, ends, keys)
+    joined = null_safe_join(joined, filled, [*keys, "_known"], "left")
     return done.unionByName(joined.select(*done.columns))
 
 
@@ -131,7 +129,7 @@ def moving_sum(
         "running",
     )
     before = running.select(*keys, (F.col("_rn") + rows).alias("_rn"), F.col("_run").alias("_old"))
-    joined = running.join(before, [*keys, "_rn"], "left")
+    joined = null_safe_join(running, before, [*keys, "_rn"], "left")
     total = F.col("_run") - F.coalesce(F.col("_old"), F.lit(0))
     return done.unionByName(joined.withColumn(name, total.cast(done.schema[name].dataType)).select(*done.columns))
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.numeric import fixed, sum_fixed
 from tidewater.operators.aggregates import merge_rollup, partial_rollup, signed_distinct, top_sum
 from tidewater.operators.relational import exact_percentiles, group_implicit
 from tidewater.plans.registry import query
@@ -24,7 +25,7 @@ def agg_global(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     totals = lambda df: df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(_money("l_extendedprice")).cast("decimal(28,2)").alias("total"),
+        sum_fixed(fixed(F.col("l_extendedprice"))).alias("total"),
         F.max("l_quantity").alias("max_qty"),
     )
     return totals(lines.filter("l_quantity < 0")).unionByName(totals(lines))
@@ -42,16 +43,16 @@ def agg_global(spark, sf_dir):
     """.replace("year(l_shipdate)", "CAST(year(l_shipdate) AS INTEGER)"),
 )
 def agg_group(spark, sf_dir):
-    net = _money("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    price, discount = fixed(F.col("l_extendedprice")), fixed(F.col("l_discount"))
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_returnflag", "l_linestatus", F.year("l_shipdate").alias("ship_year"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(_money("l_quantity")).cast("decimal(28,2)").alias("sum_qty"),
-            F.sum(_money("l_extendedprice")).cast("decimal(28,2)").alias("sum_price"),
-            F.sum(net).cast("decimal(32,4)").alias("sum_net"),
-            F.round(F.sum(_money("l_discount")).cast("double") / F.count(F.lit(1)), 6).alias("avg_discount"),
+            sum_fixed(fixed(F.col("l_quantity"))).alias("sum_qty"),
+            sum_fixed(price).alias("sum_price"),
+            sum_fixed(price * (F.lit(100) - discount), 4, "decimal(32,4)").alias("sum_net"),
+            F.round(sum_fixed(discount).cast("double") / F.count(F.lit(1)), 6).alias("avg_discount"),
         )
     )
 
@@ -336,7 +337,7 @@ def agg_non_additive(spark, sf_dir):
     """A ratio is kept as numerator and denominator and derived only when read."""
     orders = table(spark, sf_dir, "orders")
     monthly = orders.groupBy("o_orderstatus", F.date_trunc("month", "o_orderdate").alias("month")).agg(
-        F.sum(_money("o_totalprice")).alias("num"), F.count(F.lit(1)).alias("den")
+        sum_fixed(fixed(F.col("o_totalprice"))).alias("num"), F.count(F.lit(1)).alias("den")
     )
     return monthly.groupBy("o_orderstatus", F.year("month").alias("order_year")).agg(
         F.round(F.sum("num").cast("double") / F.sum("den"), 4).alias("avg_price")
@@ -421,7 +422,7 @@ def approx_top_count(spark, sf_dir):
     "GROUP BY l_partkey ORDER BY total DESC, l_partkey LIMIT 10",
 )
 def approx_top_sum(spark, sf_dir):
-    return top_sum(table(spark, sf_dir, "lineitem"), "l_partkey", _money("l_extendedprice"), 10)
+    return top_sum(table(spark, sf_dir, "lineitem"), "l_partkey", sum_fixed(fixed(F.col("l_extendedprice"))), 10)
 
 
 @query(

@@ -12,12 +12,12 @@ from tidewater.functions.conform import (
     reject_rows,
 )
 from tidewater.plans.registry import query
-from tidewater.session import table
+from tidewater.session import table, widen
 
 
 def as_text(df):
     """Every column as text, the way a file without types would deliver it."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    return widen(df).select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
 LINE_TYPES = (

@@ -4,13 +4,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions.conform import conform_checked, good_rows, reject_rows
-from tidewater.functions.numeric import ieee_divide, is_inf, range_bucket, trunc_digits
+from tidewater.functions.numeric import fixed, ieee_divide, is_inf, range_bucket, sum_fixed, trunc_digits
 from tidewater.functions.temporal import boundary_diff, trunc_to
 from tidewater.functions.text import initcap, split_literal
 from tidewater.operators.windows import moving_sum
 from tidewater.plans.conforming import EVENT_FORMATS, EVENT_TYPES, damaged_events
 from tidewater.plans.registry import query
-from tidewater.session import materialise, table
+from tidewater.session import materialise, table, widen
 
 
 def _money(name):
@@ -31,19 +31,20 @@ def _money(name):
 )
 def job_line_pricing(spark, sf_dir):
     """Net revenue, tax and safe ratios per order; lines are summed before the join."""
-    d, tax = F.col("l_discount").cast("decimal(4,2)"), F.col("l_tax").cast("decimal(4,2)")
-    net = _money("l_extendedprice") * (F.lit(1) - d)
+    price, d, tax = fixed(F.col("l_extendedprice")), fixed(F.col("l_discount")), fixed(F.col("l_tax"))
+    net = price * (F.lit(100) - d)
+    net_sum = sum_fixed(net, 4, "decimal(28,4)")
     returned = F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0))
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.sum(net).cast("decimal(28,4)").alias("net"),
-            F.sum(net * tax).cast("decimal(38,6)").alias("tax"),
+            net_sum.alias("net"),
+            sum_fixed(net * tax, 6, "decimal(38,6)").alias("tax"),
             F.count_if(is_inf(ieee_divide(F.lit(1), F.col("l_discount")))).alias("n_no_discount"),
-            F.max(F.greatest(d, tax)).alias("top_rate"),
-            F.try_divide(F.sum(net).cast("double"), returned).alias("net_per_returned"),
-            F.sum(trunc_digits(_money("l_extendedprice") / 1000).cast("bigint")).alias("thousands"),
+            (F.max(F.greatest("l_discount", "l_tax"))).cast("decimal(4,2)").alias("top_rate"),
+            F.try_divide(net_sum.cast("double"), returned).alias("net_per_returned"),
+            F.sum(trunc_digits(price / 100_000).cast("bigint")).alias("thousands"),
         )
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
@@ -270,7 +271,7 @@ def job_text_mine(spark, sf_dir):
         found = [
             F.sum(F.size(F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)))).alias(f"n_{n}") for n, p in PATTERNS.items()
         ]
-        rows = table(spark, sf_dir, name).groupBy(F.lit(name).alias("origin"), group.alias("grp"))
+        rows = widen(table(spark, sf_dir, name)).groupBy(F.lit(name).alias("origin"), group.alias("grp"))
         return rows.agg(F.count(F.lit(1)).alias("n_rows"), *found)
 
     documents = hits("documents", "text", F.concat_ws("/", "lang", "source"))

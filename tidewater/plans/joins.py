@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.numeric import fixed, sum_fixed
 from tidewater.operators.relational import band_join
 from tidewater.plans.registry import query
 from tidewater.session import table, table_path
@@ -14,10 +15,6 @@ def _ntz(text):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def _money(name):
-    return F.col(name).cast("decimal(18,2)")
-
-
 @query(
     "join_inner",
     """
@@ -30,7 +27,7 @@ def join_inner(spark, sf_dir):
     spent = (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
-        .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(_money("o_totalprice")).cast("decimal(28,2)").alias("spent"))
+        .agg(F.count(F.lit(1)).alias("n_orders"), sum_fixed(fixed(F.col("o_totalprice"))).alias("spent"))
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return customer.join(spent, F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
@@ -105,7 +102,7 @@ def join_theta(spark, sf_dir):
 def join_tree(spark, sf_dir):
     """Six tables; the left-most inputs of the tree are queries themselves."""
     t = lambda name: table(spark, sf_dir, name)
-    net = _money("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    net = fixed(F.col("l_extendedprice")) * (F.lit(100) - fixed(F.col("l_discount")))
     lines = t("lineitem").select("l_orderkey", "l_suppkey", net.alias("net"))
     bought = lines.join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     placed = bought.join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
@@ -114,7 +111,7 @@ def join_tree(spark, sf_dir):
         (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("c_nationkey") == F.col("s_nationkey")),
     )
     per_nation = local.groupBy("c_nationkey").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum("net").cast("decimal(32,4)").alias("revenue")
+        F.count(F.lit(1)).alias("n_lines"), sum_fixed(F.col("net"), 4, "decimal(32,4)").alias("revenue")
     )
     return (
         per_nation.join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -191,13 +188,13 @@ def join_filtered_agg(spark, sf_dir):
         .filter(F.col("o_orderdate") < _ntz("1997-01-01"))
         .select("o_orderkey", "o_custkey", "o_orderdate")
     )
-    net = _money("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    net = fixed(F.col("l_extendedprice")) * (F.lit(100) - fixed(F.col("l_discount")))
     lines = (
         table(spark, sf_dir, "lineitem")
         .filter(F.col("l_shipdate") > _ntz("1995-01-01"))
         .groupBy("l_orderkey")
         .agg(
-            F.sum(net).cast("decimal(32,4)").alias("revenue"),
+            sum_fixed(net, 4, "decimal(32,4)").alias("revenue"),
             F.sum("l_quantity").alias("quantity"),
             F.count(F.lit(1)).alias("n_lines"),
         )

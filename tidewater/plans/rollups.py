@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.numeric import fixed, sum_fixed
 from tidewater.operators.dedup import content_groups, host_of, last_labels, stable_bucket
 from tidewater.plans.registry import query
 from tidewater.session import table
@@ -78,8 +79,7 @@ def host_rollup(spark, sf_dir):
 def geo_area_rollup(spark, sf_dir):
     """Orders by country, region and world. Facts shrink to one row per country before the roll-up."""
     t = lambda name: table(spark, sf_dir, name)
-    money = F.col("o_totalprice").cast("decimal(18,2)")
-    per_customer = t("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum(money).alias("s"))
+    per_customer = t("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), sum_fixed(fixed(F.col("o_totalprice"))).alias("s"))
     per_nation = (
         per_customer.join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.numeric import fixed, sum_fixed
 from tidewater.plans.registry import query
 from tidewater.session import scratch_path, table, table_path
 from tidewater.sources.catalog import (
@@ -24,13 +25,9 @@ FROM {table} {where} GROUP BY {key}
 """
 
 
-def _money(name):
-    return F.col(name).cast("decimal(18,2)")
-
-
 def _totals(df, key, value):
     return df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(_money(value)).cast("decimal(28,2)").alias("total")
+        F.count(F.lit(1)).alias("n_rows"), sum_fixed(fixed(F.col(value))).alias("total")
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators.relational import exact_percentiles, rank_at_most, sort_by
+from tidewater.operators.skew import null_safe_join
 from tidewater.operators.windows import moving_sum, navigate, ranks, sliding_totals
 from tidewater.plans.registry import query
 from tidewater.session import table
@@ -63,7 +64,7 @@ def win_nav(spark, sf_dir):
 def win_percentile(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     per_type = exact_percentiles(events, ["event_type"], "value", {"p25": 0.25, "median": 0.5})
-    return events.join(per_type, "event_type").select(
+    return null_safe_join(events, per_type, ["event_type"]).select(
         "event_id",
         "event_type",
         (F.col("value") > F.col("median")).alias("above_median"),
@@ -88,7 +89,7 @@ def win_agg_frame(spark, sf_dir):
     day = sliding_totals(
         events, ["user_id"], "ts", "1 DAY", {"n_day": F.lit(1).cast("bigint"), "sum_day": F.col("v")}
     )
-    return last3.join(day, ["user_id", "ts"]).select(
+    return null_safe_join(last3, day, ["user_id", "ts"]).select(
         "event_id", "user_id", F.col("sum_last_3").cast("decimal(28,2)").alias("sum_last_3"),
         F.col("n_day"), F.col("sum_day").cast("decimal(28,2)").alias("sum_day"),
     )
