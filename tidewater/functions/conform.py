@@ -103,6 +103,20 @@ def declared_schema(declared: StructType | str) -> StructType:
     return StructType.fromDDL(declared) if isinstance(declared, str) else declared
 
 
+def is_bad(c: Column, source: DataType, declared: DataType, fmt: str | None = None) -> Column:
+    """Whether a value, or any value nested in it, is present but does not convert."""
+    if isinstance(source, ArrayType) and isinstance(declared, ArrayType):
+        inner = F.exists(c, lambda e: is_bad(e, source.elementType, declared.elementType))
+        return c.isNotNull() & F.coalesce(inner, F.lit(False))
+    if isinstance(source, StructType) and isinstance(declared, StructType):
+        found = F.lit(False)
+        for f in declared.fields:
+            if f.name in source.names:
+                found = found | is_bad(c[f.name], source[f.name].dataType, f.dataType)
+        return c.isNotNull() & found
+    return c.isNotNull() & convert(c, source, declared, "try_cast", fmt).isNull()
+
+
 def conform(
     df: DataFrame, declared: StructType | str, fill: bool = False, formats: Mapping[str, str] | None = None
 ) -> DataFrame:
@@ -144,7 +158,7 @@ def conform_checked(df: DataFrame, declared: StructType | str, formats: Mapping[
         typed.append(value.alias(f.name))
         if df.schema[f.name].dataType != f.dataType:
             bad = F.struct(F.lit(f.name).alias("column"), raw.cast("string").alias("raw"))
-            errors.append(F.when(raw.isNotNull() & value.isNull(), bad))
+            errors.append(F.when(is_bad(raw, df.schema[f.name].dataType, f.dataType, formats.get(f.name)), bad))
     found = F.filter(F.array(*errors), lambda e: e.isNotNull()) if errors else F.array()
     shape = "array<struct<column:string,raw:string>>"
     return df.select(*typed, found.cast(shape).alias("_errors"))

@@ -7,14 +7,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def content_groups(df: DataFrame, text: str, key: str) -> DataFrame:
+def content_groups(df: DataFrame, text: str, key: str, *more: Column) -> DataFrame:
     """One row per distinct whole text: digest, the key that is kept, and the number of copies.
 
     Only digests and keys are shuffled, and copies are combined before the
     shuffle, so a text with very many copies costs one row per task.
     """
     return df.groupBy(F.sha2(text, 256).alias("digest")).agg(
-        F.min(key).alias("kept"), F.count(F.lit(1)).alias("n_copies")
+        F.min(key).alias("kept"), F.count(F.lit(1)).alias("n_copies"), *more
     )
 
 

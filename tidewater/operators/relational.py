@@ -60,6 +60,19 @@ def band_join(
     return pairs.filter((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("_bucket")
 
 
+def left_join_hot(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join for a right side with hot keys.
+
+    Spark cannot split a hot key on the right of an outer join. So matches come
+    from an inner join, which it can split, and left rows without a match from
+    an anti join against the distinct keys.
+    """
+    on = list(on)
+    matched = left.join(right, on)
+    alone = left.join(right.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def rank_at_most(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """Top ``k`` rows of each group.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions.numeric import fixed, sum_fixed
-from tidewater.operators.relational import band_join
+from tidewater.operators.relational import band_join, left_join_hot
 from tidewater.plans.registry import query
 from tidewater.session import table, table_path
 from tidewater.sources.sinks import export_files
@@ -47,8 +47,8 @@ def join_left(spark, sf_dir):
         (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") >= _ntz("2000-01-01"))
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey")
-    matched = customer.join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return matched.select("c_custkey", "o_orderkey", "o_totalprice")
+    wanted = urgent.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+    return left_join_hot(customer, wanted, ["c_custkey"])
 
 
 @query(

@@ -18,10 +18,7 @@ from tidewater.session import table
 )
 def content_dedup(spark, sf_dir):
     """Exact-duplicate groups of whole texts; the smallest id is kept."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    groups = content_groups(documents, "text", "doc_id")
-    digests = documents.select(F.col("doc_id").alias("kept"), F.md5("text").alias("check_md5"))
-    return groups.join(digests, "kept")
+    return content_groups(table(spark, sf_dir, "documents"), "text", "doc_id", F.min(F.md5("text")).alias("check_md5"))
 
 
 BUCKETS = 16
@@ -29,18 +26,19 @@ BUCKETS = 16
 
 @query(
     "stable_bucket",
-    "SELECT doc_id, true AS in_range, true AS same_for_copies FROM documents",
+    "SELECT sha256(text) AS digest, count(*) AS n_copies, true AS in_range, 1::BIGINT AS n_buckets FROM documents GROUP BY sha256(text)",
 )
 def stable_bucket_query(spark, sf_dir):
     """Buckets from the whole text: always in range, and equal texts share one."""
-    documents = table(spark, sf_dir, "documents").select(
-        "doc_id", F.sha2("text", 256).alias("digest"), stable_bucket(["text"], BUCKETS, seed=11).alias("bucket")
+    per_bucket = (
+        table(spark, sf_dir, "documents")
+        .groupBy(F.sha2("text", 256).alias("digest"), stable_bucket(["text"], BUCKETS, seed=11).alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    spread = documents.groupBy("digest").agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
-    return documents.join(spread, "digest").select(
-        "doc_id",
-        F.col("bucket").between(0, BUCKETS - 1).alias("in_range"),
-        (F.col("lo") == F.col("hi")).alias("same_for_copies"),
+    return per_bucket.groupBy("digest").agg(
+        F.sum("n").alias("n_copies"),
+        F.bool_and(F.col("bucket").between(0, BUCKETS - 1)).alias("in_range"),
+        F.count("bucket").alias("n_buckets"),
     )
 
 
