@@ -137,3 +137,12 @@ def test_sort_by_puts_nulls_last(spark):
     df = spark.createDataFrame([(1,), (None,), (2,)], "n int")
     assert [r["n"] for r in sort_by(df, ("n", "asc")).collect()] == [1, 2, None]
     assert [r["n"] for r in sort_by(df, ("n", "desc")).collect()] == [2, 1, None]
+
+
+@pytest.mark.parametrize("x,y", [(2**63 - 1, 1), (-(2**63), -1), (5, 7), (-3, 2**62), (2**62, 2), (-(2**62), 2), (None, 1)])
+def test_safe_arithmetic(spark, x, y):
+    fits = lambda v: v if v is not None and -(2**63) <= v < 2**63 else None
+    a, b = lit(x), lit(y)
+    assert value(spark, numeric.safe_add(a, b)) == (None if x is None else fits(x + y))
+    assert value(spark, numeric.safe_subtract(a, b)) == (None if x is None else fits(x - y))
+    assert value(spark, numeric.safe_multiply(a, b)) == (None if x is None else fits(x * y))

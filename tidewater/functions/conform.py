@@ -31,6 +31,10 @@ NUMERIC = DecimalType(38, 9)
 BIGNUMERIC = DecimalType(38, 18)
 
 
+# A format for text in Spark's own date and timestamp layout, which parses fastest.
+ISO = "iso"
+
+
 class SchemaMismatch(ValueError):
     """The input cannot conform to the declared schema, whatever its rows hold."""
 
@@ -85,6 +89,8 @@ def convert(c: Column, source: DataType, declared: DataType, cast: str = "cast",
         ]
         return F.when(c.isNotNull(), F.struct(*parts))
     have, want = kind_of(source), kind_of(declared)
+    if fmt == ISO:
+        return getattr(c, cast)(declared)
     if fmt is not None:
         strict = cast == "cast"
         if want == "date":
@@ -124,7 +130,7 @@ def conform(
 
     Schema problems are raised here, before any row is read. With ``fill`` a
     declared field that is missing becomes NULL. ``formats`` gives the pattern
-    of date or timestamp columns that arrive as text.
+    of date or timestamp columns that arrive as text, or ISO.
     """
     declared = declared_schema(declared)
     formats = formats or {}

@@ -26,7 +26,30 @@ def is_inf(x: Column) -> Column:
 
 def safe_negate(x: Column) -> Column:
     """-x, or NULL where the type cannot hold it."""
-    return F.try_subtract(F.lit(0), x)
+    return safe_subtract(F.lit(0), x)
+
+
+def _in_bigint(exact: Column) -> Column:
+    """A wide decimal as bigint, NULL outside its range."""
+    low, high = (F.lit(v).cast("decimal(19,0)") for v in ("-9223372036854775808", "9223372036854775807"))
+    return F.when(exact.between(low, high), exact.cast("bigint"))
+
+
+def safe_add(x: Column, y: Column) -> Column:
+    """x + y on 64-bit integers, NULL on overflow.
+
+    Computed in decimals: the try_ functions raise and catch an error for each
+    overflowing row, which is very slow when there are many.
+    """
+    return _in_bigint(x.cast("decimal(19,0)") + y.cast("decimal(19,0)"))
+
+
+def safe_subtract(x: Column, y: Column) -> Column:
+    return _in_bigint(x.cast("decimal(19,0)") - y.cast("decimal(19,0)"))
+
+
+def safe_multiply(x: Column, y: Column) -> Column:
+    return _in_bigint(x.cast("decimal(19,0)") * y.cast("decimal(19,0)"))
 
 
 def _shift(x: Column, by: Column, bits: int, shift: str) -> Column:

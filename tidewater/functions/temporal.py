@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "week": 604800}
 _MONTHS = {"month": 1, "quarter": 3, "year": 12}
 
 
@@ -19,6 +19,8 @@ def boundary_diff(part: str, later: Column, earlier: Column) -> Column:
         months = lambda c: F.year(c) * 12 + F.month(c) - 1
         step = _MONTHS[part]
         return (F.floor(months(later) / step) - F.floor(months(earlier) / step)).cast("bigint")
+    if part == "day":
+        return F.date_diff(later, earlier).cast("bigint")
     seconds = lambda c: F.unix_seconds(F.date_trunc(part, c))
     return ((seconds(later) - seconds(earlier)) / _SECONDS[part]).cast("bigint")
 

@@ -64,9 +64,15 @@ def _cell(size: float) -> list[Column]:
 
 def _around(reach: int) -> Column:
     """Offsets of the cells up to ``reach`` steps away on each axis, as an array of structs."""
-    steps = range(-reach, reach + 1)
-    return F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in steps for j in steps for k in steps]
+    return _grid(-reach, reach)
+
+
+def _grid(low: int, high: int) -> Column:
+    """All (i, j, k) with entries from ``low`` to ``high``."""
+    steps = f"sequence({low}, {high})"
+    return F.expr(
+        f"flatten(transform({steps}, i -> flatten(transform({steps}, j -> "
+        f"transform({steps}, k -> named_struct('i', i, 'j', j, 'k', k))))))"
     )
 
 
@@ -159,8 +165,8 @@ def _parent(c: str) -> Column:
 class CellTree:
     """Cell counts of weighted locations (columns loc, w, x, y, z).
 
-    ``nodes``   level, cell, number of locations, weight, tight box, is_leaf
-    ``leaves``  every location with the level and cell of its leaf
+    ``at(level)``  cells: number of locations, weight, tight box, is_leaf
+    ``leaves``     every location with the level and cell of its leaf
     """
 
     def __init__(self, locs: DataFrame, leaf: int = LEAF_LOCATIONS):
@@ -169,18 +175,18 @@ class CellTree:
         # On the sphere about pi * 4^level cells are in use at a level.
         self.base = max(0, math.ceil(math.log(max(total / leaf / math.pi, 1.0), 4)))
         box = [f(v).alias(f"{p}{v}") for v in AXES for f, p in ((F.min, "lo_"), (F.max, "hi_"))]
-        tables, leaf_tables = [], []
+        self._cells: dict[int, DataFrame] = {}
+        leaf_tables = []
         rest, level = locs, self.base
         while True:
             placed = rest.select("loc", "w", *AXES, *_cells_at(level))
             cells = materialise(
                 placed.groupBy(*CELL)
                 .agg(F.count(F.lit(1)).alias("n_locs"), F.sum("w").alias("w"), *box)
-                .withColumn("is_leaf", (F.col("n_locs") <= leaf) | F.lit(level >= MAX_LEVEL))
-                .withColumn("level", F.lit(level)),
+                .withColumn("is_leaf", (F.col("n_locs") <= leaf) | F.lit(level >= MAX_LEVEL)),
                 "cells",
             )
-            tables.append(cells)
+            self._cells[level] = cells
             crowded = cells.filter(~F.col("is_leaf"))
             leaf_tables.append(
                 placed.join(cells.filter("is_leaf").select(*CELL), CELL, "left_semi").withColumn("level", F.lit(level))
@@ -190,23 +196,21 @@ class CellTree:
             rest = materialise(placed.join(crowded.select(*CELL), CELL, "left_semi").select("loc", "w", *AXES), "crowded")
             level += 1
         self.depth = level
-        up = tables[0]
+        up = self._cells[self.base]
         for lower in range(self.base - 1, -1, -1):
             merge = [f(f"{p}{v}").alias(f"{p}{v}") for v in AXES for f, p in ((F.min, "lo_"), (F.max, "hi_"))]
             up = materialise(
                 up.select(*[_parent(c) for c in CELL], "n_locs", "w", *[f"{p}{v}" for v in AXES for p in ("lo_", "hi_")])
                 .groupBy(*CELL)
                 .agg(F.sum("n_locs").alias("n_locs"), F.sum("w").alias("w"), *merge)
-                .withColumn("is_leaf", F.lit(False))
-                .withColumn("level", F.lit(lower)),
+                .withColumn("is_leaf", F.lit(False)),
                 "cells",
             )
-            tables.insert(0, up)
-        self.nodes = reduce(lambda a, b: a.unionByName(b), tables)
+            self._cells[lower] = up
         self.leaves = materialise(reduce(lambda a, b: a.unionByName(b), leaf_tables), "leaves")
 
     def at(self, level: int) -> DataFrame:
-        return self.nodes.filter(F.col("level") == level).drop("level")
+        return self._cells[level]
 
 
 def _gap(lo: str, hi: str, v: str) -> Column:
@@ -239,10 +243,7 @@ def _walk_down(tree: CellTree, queries: DataFrame, keep, collect_leaves, settle=
     Leaves are joined with their locations by ``collect_leaves``.
     """
     finals, leaf_rows = [], []
-    halves = (0, 1)
-    eight = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in halves for j in halves for k in halves]
-    )
+    eight = _grid(0, 1)
     # At level 0 a coordinate of exactly 1 falls into cell 1, all others into cell 0.
     starts = queries.withColumn("_o", F.explode(eight))
     frontier = starts.withColumns({c: F.col(f"_o.{o}").cast("bigint") for c, o in zip(CELL, "ijk")}).drop("_o")

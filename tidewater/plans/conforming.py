@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.conform import (
     BIGNUMERIC,
+    ISO,
     NUMERIC,
     conform,
     conform_checked,
@@ -68,7 +69,7 @@ def damaged_events(spark, sf_dir):
 
 
 EVENT_TYPES = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-EVENT_FORMATS = {"ts": "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"}
+EVENT_FORMATS = {"ts": ISO}
 
 
 @query("conform_quarantine", DAMAGED_SQL)

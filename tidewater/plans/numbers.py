@@ -10,7 +10,10 @@ from tidewater.functions.numeric import (
     int64_to_uint64,
     is_inf,
     range_bucket,
+    safe_add,
+    safe_multiply,
     safe_negate,
+    safe_subtract,
     shift_left,
     shift_right,
     trunc_digits,
@@ -18,7 +21,7 @@ from tidewater.functions.numeric import (
     uint64_to_int64,
 )
 from tidewater.plans.registry import query
-from tidewater.session import table
+from tidewater.session import table, widen
 
 KEY = ["l_orderkey", "l_partkey", "l_linenumber"]
 
@@ -73,9 +76,9 @@ def arith_safe(spark, sf_dir):
     lowest = F.when(F.col("l_linenumber") == 1, F.expr("-9223372036854775808L")).otherwise(part)
     return table(spark, sf_dir, "lineitem").select(
         *KEY,
-        F.try_add(F.lit(9223372036854775000), part).alias("s_add"),
-        F.try_subtract(F.lit(-9223372036854775000), part).alias("s_sub"),
-        F.try_multiply(part, F.lit(9000000000000000)).alias("s_mul"),
+        safe_add(F.lit(9223372036854775000), part).alias("s_add"),
+        safe_subtract(F.lit(-9223372036854775000), part).alias("s_sub"),
+        safe_multiply(part, F.lit(9000000000000000)).alias("s_mul"),
         F.round(F.try_divide("l_tax", "l_discount"), 6).alias("s_div"),
         safe_negate(lowest).alias("s_neg"),
     )
@@ -259,7 +262,7 @@ def range_bucket_query(spark, sf_dir):
 def parse_number(spark, sf_dir):
     """The first number in each document, NULL where there is none."""
     first = F.regexp_extract("text", r"([0-9]+([.][0-9]+)?)", 1)
-    return table(spark, sf_dir, "documents").select(
+    return widen(table(spark, sf_dir, "documents")).select(
         "doc_id", first.try_cast("decimal(38,9)").alias("as_numeric"), first.try_cast("decimal(38,18)").alias("as_big")
     )
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.text import full_match, initcap, instr, split_literal
 from tidewater.plans.registry import query
-from tidewater.session import table
+from tidewater.session import table, widen
 
 
 @query(
@@ -127,7 +127,7 @@ def str_replace(spark, sf_dir):
 )
 def regex(spark, sf_dir):
     text = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+    return widen(table(spark, sf_dir, "documents")).select(
         "doc_id",
         F.rlike(text, F.lit("[A-Z]{4,}")).alias("has_caps"),
         F.regexp_extract(text, "([0-9]{3})-[0-9]{4}", 1).alias("phone_part"),
