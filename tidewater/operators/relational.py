@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.skew import null_safe_join, running_sums, salted_join
+from tidewater.session import materialise
 
 
 def group_implicit(df: DataFrame, plain: Mapping[str, Column], aggregates: Mapping[str, Column]) -> DataFrame:
@@ -97,7 +98,9 @@ def exact_percentiles(
         everything = df.withColumn("_all", F.lit(0))
         return exact_percentiles(everything, ["_all"], value, fractions, max_rows).drop("_all")
     keys = list(keys)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = materialise(
+        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts"
+    )
     extra = {} if max_rows is None else {"max_rows": max_rows}
     upto = running_sums(counted, keys, [F.col(value)], {"_upto": F.col("_n")}, **extra)
     totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))

@@ -149,7 +149,7 @@ def sliding_totals(
     does not grow with the number of rows a frame spans.
     """
     keys = list(keys)
-    at = df.groupBy(*keys, ts).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    at = materialise(df.groupBy(*keys, ts).agg(*[F.sum(c).alias(n) for n, c in sums.items()]), "totals")
     enter = at.withColumn("_leaving", F.lit(0))
     leave = at.withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {width}")).withColumn("_leaving", F.lit(1))
     for n in sums:

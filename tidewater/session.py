@@ -65,8 +65,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used before.
+
+    All paths of one application lie under one folder, which can be deleted once
+    the application has ended.
+    """
+    return f"{shared_dir(spark)}/tidewater-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
