@@ -9,7 +9,6 @@ from tidewater.operators import spatial
 from tidewater.operators.clusters import components, density_cluster
 from tidewater.operators.spatial import (
     EARTH_RADIUS,
-    CellTree,
     geohash,
     haversine,
     locations,
@@ -75,8 +74,7 @@ def test_proximity_join(points, data, max_rows):
 def test_neighbour_counts(points, data, leaf):
     radius = 30_000.0
     locs = locations(points, "id")
-    tree = CellTree(locs.withColumn("w", F.col("n")), leaf)
-    got = {r["loc"]: r["n_near"] for r in neighbour_counts(locs, radius, tree).collect()}
+    got = {r["loc"]: r["n_near"] for r in neighbour_counts(locs, radius, leaf).collect()}
     want = {i: sum(metres(p, q) <= radius for _, q in data) for i, p in data if i in got}
     assert got == want
     assert len(got) == len({p for _, p in data})

@@ -18,6 +18,7 @@ from tidewater.operators.spatial import (
     _square,
     chord_of,
     locations,
+    touching_cells,
 )
 from tidewater.session import materialise
 
@@ -177,9 +178,11 @@ def density_cluster(
 
     # Points of thin cells (fewer than min_points a cell) against all points around them.
     asking = in_thin.select(
-        F.col("loc").alias("q"), *[F.col(v).alias(f"q{v}") for v in AXES], *[F.col(c).alias(f"q{c}") for c in CELL], *CELL
+        F.col("loc").alias("q"), *[F.col(v).alias(f"q{v}") for v in AXES], *[F.col(c).alias(f"a{c}") for c in CELL]
+    )
+    probes = asking.join(touching_cells(in_thin, cells, 2), [f"a{c}" for c in CELL]).withColumnsRenamed(
+        {f"a{c}": f"q{c}" for c in CELL}
     )
-    probes = _spread(asking, 2).join(cells.select(*CELL), CELL, "left_semi")
     around = salted_join(
         places.select("loc", "n", *[F.col(v).alias(f"p{v}") for v in AXES], *CELL), probes, CELL, salt_by=["loc"], max_rows=max_rows
     )

@@ -82,20 +82,30 @@ def _spread(df: DataFrame, reach: int) -> DataFrame:
     return moved.withColumns({c: F.col(c) + F.col(f"_o.{o}") for c, o in zip(CELL, "ijk")}).drop("_o")
 
 
+def touching_cells(a: DataFrame, b: DataFrame, reach: int) -> DataFrame:
+    """(cell of a as acx.., cell of b as cx..) for used cells at most ``reach`` steps apart.
+
+    Works on distinct cells, so its size does not depend on how full they are.
+    """
+    own = a.select(*CELL).distinct().select("*", *[F.col(c).alias(f"a{c}") for c in CELL])
+    return _spread(own, reach).join(b.select(*CELL).distinct(), CELL)
+
+
 def proximity_join(
     left: DataFrame, right: DataFrame, metres: float, max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Pairs of locations at most ``metres`` apart: (left_loc, right_loc, left_n, right_n, metres).
 
     Cells are as wide as the radius, so partners lie in the same or a touching
-    cell: the left side is copied to those cells (only to cells that the right
-    side uses, see the semi join), joined on the cell, and filtered by distance.
+    cell. Left rows are copied only to touching cells that the right side uses,
+    joined on the cell, and filtered by distance.
     """
     chord = chord_of(metres)
     a = left.select(F.col("loc").alias("left_loc"), F.col("n").alias("left_n"), *[F.col(v).alias(f"l{v}") for v in AXES], *_cell(chord))
     b = right.select(F.col("loc").alias("right_loc"), F.col("n").alias("right_n"), *[F.col(v).alias(f"r{v}") for v in AXES], *_cell(chord))
-    used = b.select(*CELL).distinct()
-    probes = _spread(a, 1).join(used, CELL, "left_semi")
+    touching = touching_cells(a, b, 1)
+    probes = a.withColumnsRenamed({c: f"a{c}" for c in CELL}).join(touching, [f"a{c}" for c in CELL])
+    probes = probes.drop(*[f"a{c}" for c in CELL])
     pairs = salted_join(b, probes, CELL, salt_by=["right_loc"], max_rows=max_rows)
     square = _square("l", "r")
     near = pairs.filter(square <= F.lit(chord * chord))
@@ -148,7 +158,7 @@ def geohash(lon: Column, lat: Column, length: int) -> Column:
 # each point only the cells that can still matter.
 # ---------------------------------------------------------------------------
 
-LEAF_LOCATIONS = 64
+LEAF_LOCATIONS = 16
 MAX_LEVEL = 50  # doubles cannot tell points apart beyond this
 
 
@@ -207,48 +217,61 @@ class CellTree:
                 "cells",
             )
             self._cells[lower] = up
-        self.leaves = materialise(reduce(lambda a, b: a.unionByName(b), leaf_tables), "leaves")
+        leaf_of = ["level", *CELL]
+        leaves = materialise(reduce(lambda a, b: a.unionByName(b), leaf_tables), "leaves")
+        boxes = leaves.groupBy(*leaf_of).agg(
+            F.min("loc").alias("q"), *[f(v).alias(f"q{p}{v}") for v in AXES for f, p in ((F.min, "lo_"), (F.max, "hi_"))]
+        )
+        self.boxes = materialise(boxes, "boxes")
+        self.leaves = leaves
 
     def at(self, level: int) -> DataFrame:
         return self._cells[level]
 
+    def queries(self) -> DataFrame:
+        """One query per leaf: its name ``q`` (its smallest location) and its box."""
+        return self.boxes.drop("level", *CELL)
 
-def _gap(lo: str, hi: str, v: str) -> Column:
-    """Distance along one axis from a query point to a box."""
-    return F.greatest(F.col(lo) - F.col(v), F.col(v) - F.col(hi), F.lit(0.0))
-
+    def members(self) -> DataFrame:
+        """(q, loc, px, py, pz): the locations of every query."""
+        named = self.leaves.join(self.boxes.select("q", "level", *CELL), ["level", *CELL])
+        return named.select("q", "loc", *[F.col(v).alias(f"p{v}") for v in AXES])
 
-def _reach(lo: str, hi: str, v: str) -> Column:
-    """Largest distance along one axis from a query point to a box."""
-    return F.greatest(F.col(hi) - F.col(v), F.col(v) - F.col(lo))
 
-
-def _bounds() -> dict[str, Column]:
-    """Squared distances from query (qx, qy, qz) to the nearest and farthest spot of a box."""
+def _box_distances(lo: str, hi: str, other_lo: str, other_hi: str) -> dict[str, Column]:
+    """Squared smallest and largest distance between a spot of one box and a spot of another."""
     add = lambda parts: reduce(lambda a, b: a + b, parts)
-    near = [_gap(f"lo_{v}", f"hi_{v}", f"q{v}") for v in AXES]
-    far = [_reach(f"lo_{v}", f"hi_{v}", f"q{v}") for v in AXES]
+    near = [
+        F.greatest(F.col(f"{other_lo}{v}") - F.col(f"{hi}{v}"), F.col(f"{lo}{v}") - F.col(f"{other_hi}{v}"), F.lit(0.0))
+        for v in AXES
+    ]
+    far = [
+        F.greatest(F.col(f"{other_hi}{v}") - F.col(f"{lo}{v}"), F.col(f"{hi}{v}") - F.col(f"{other_lo}{v}")) for v in AXES
+    ]
     return {"near": add([g * g for g in near]), "far": add([r * r for r in far])}
 
 
 # Squared distances are compared with a little slack: boxes and points round differently.
 SLACK = 1e-12
+QUERY_BOX = [f"q{p}{v}" for v in AXES for p in ("lo_", "hi_")]
 
 
-def _walk_down(tree: CellTree, queries: DataFrame, keep, collect_leaves, settle=None):
-    """Walk all queries down the tree.
+def _walk_down(tree: CellTree, keep, settle=None) -> tuple[DataFrame, list[DataFrame]]:
+    """Walk the leaves of the tree, as queries, down the tree itself.
 
-    ``keep(frontier)`` drops (query, cell) rows that cannot matter any more,
-    ``settle(frontier)`` may take rows out as final and return (final, rest).
-    Leaves are joined with their locations by ``collect_leaves``.
+    The frontier holds (query leaf, cell) rows with the smallest and largest
+    distance between their boxes; it has a few rows per leaf, not per point.
+    ``keep(frontier)`` drops rows that cannot matter for any point of the query,
+    ``settle(frontier)`` may take rows out as final and returns (final, rest).
+    Returns the (query leaf, leaf) rows that remain, and the final rows.
     """
     finals, leaf_rows = [], []
     eight = _grid(0, 1)
     # At level 0 a coordinate of exactly 1 falls into cell 1, all others into cell 0.
-    starts = queries.withColumn("_o", F.explode(eight))
+    starts = tree.queries().withColumn("_o", F.explode(eight))
     frontier = starts.withColumns({c: F.col(f"_o.{o}").cast("bigint") for c, o in zip(CELL, "ijk")}).drop("_o")
     for level in range(tree.depth + 1):
-        hit = frontier.join(tree.at(level), CELL).withColumns(_bounds())
+        hit = frontier.join(tree.at(level), CELL).withColumns(_box_distances("qlo_", "qhi_", "lo_", "hi_"))
         kept = keep(hit)
         if settle is not None:
             final, kept = settle(kept)
@@ -257,47 +280,46 @@ def _walk_down(tree: CellTree, queries: DataFrame, keep, collect_leaves, settle=
         leaf_rows.append(kept.filter("is_leaf").withColumn("level", F.lit(level)))
         if level == tree.depth:
             break
-        inner = kept.filter(~F.col("is_leaf")).select("q", *[f"q{v}" for v in AXES], *CELL)
+        inner = kept.filter(~F.col("is_leaf")).select("q", *QUERY_BOX, *CELL)
         frontier = (
             inner.withColumn("_o", F.explode(eight))
             .withColumns({c: F.col(c) * 2 + F.col(f"_o.{o}") for c, o in zip(CELL, "ijk")})
             .drop("_o")
         )
-    found = collect_leaves(reduce(lambda a, b: a.unionByName(b), leaf_rows))
-    return found, finals
-
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), leaf_rows), finals
 
-def _as_queries(locs: DataFrame) -> DataFrame:
-    return locs.select(F.col("loc").alias("q"), *[F.col(v).alias(f"q{v}") for v in AXES])
 
+def _point_pairs(tree: CellTree, rows: DataFrame, limit: Column) -> DataFrame:
+    """(loc, other, w, square) for points of the query leaves and points of the leaves they still hold.
 
-def _leaf_pairs(tree: CellTree, rows: DataFrame) -> DataFrame:
-    """(query, location) pairs of the leaves a query still holds, with the squared distance."""
-    members = tree.leaves.select("loc", "w", "level", *CELL, *[F.col(v).alias(f"p{v}") for v in AXES])
-    pairs = rows.select("q", *[f"q{v}" for v in AXES], "level", *CELL).join(members, ["level", *CELL])
-    return pairs.select("q", "loc", "w", _square("q", "p").alias("square"))
+    A point meets a leaf only if the leaf's box is within ``limit`` of the point itself.
+    """
+    gaps = [F.greatest(F.col(f"lo_{v}") - F.col(f"p{v}"), F.col(f"p{v}") - F.col(f"hi_{v}"), F.lit(0.0)) for v in AXES]
+    gap = reduce(lambda a, b: a + b, [g * g for g in gaps])
+    asked = tree.members().join(rows.withColumn("_limit", limit), "q").filter(gap <= F.col("_limit") + SLACK)
+    others = tree.leaves.select(F.col("loc").alias("other"), "w", "level", *CELL, *[F.col(v).alias(f"r{v}") for v in AXES])
+    pairs = asked.select("loc", *[f"p{v}" for v in AXES], "level", *CELL).join(others, ["level", *CELL])
+    return pairs.select("loc", "other", "w", _square("p", "r").alias("square"))
 
 
-def neighbour_counts(locs: DataFrame, metres: float, tree: CellTree | None = None) -> DataFrame:
+def neighbour_counts(locs: DataFrame, metres: float, leaf: int | None = None) -> DataFrame:
     """(loc, n_near): points within ``metres`` of each location, itself included.
 
     Cells that lie wholly inside the radius are added as one number, so a dense
     neighbourhood is counted without building its pairs.
     """
-    weighted = locs.withColumn("w", F.col("n"))
-    tree = tree or CellTree(weighted)
+    tree = CellTree(locs.withColumn("w", F.col("n")), leaf or LEAF_LOCATIONS)
     limit = chord_of(metres) ** 2
-    inside = (F.col("far") <= limit - SLACK) & ~F.col("is_leaf")
+    inside = F.col("far") <= limit - SLACK
 
     def settle(rows):
         return rows.filter(inside).select("q", F.col("w").alias("n")), rows.filter(~inside)
 
-    def in_leaves(rows):
-        return _leaf_pairs(tree, rows).filter(F.col("square") <= limit).select("q", F.col("w").alias("n"))
-
-    found, finals = _walk_down(tree, _as_queries(locs), lambda rows: rows.filter(F.col("near") <= limit + SLACK), in_leaves, settle)
-    parts = reduce(lambda a, b: a.unionByName(b), [found, *finals])
-    return parts.groupBy(F.col("q").alias("loc")).agg(F.sum("n").alias("n_near"))
+    rows, finals = _walk_down(tree, lambda hit: hit.filter(F.col("near") <= limit + SLACK), settle)
+    pairs = _point_pairs(tree, rows, F.lit(limit)).filter(F.col("square") <= limit)
+    whole = reduce(lambda a, b: a.unionByName(b), finals).groupBy("q").agg(F.sum("n").alias("n"))
+    parts = pairs.select("loc", F.col("w").alias("n")).unionByName(tree.members().join(whole, "q").select("loc", "n"))
+    return parts.groupBy("loc").agg(F.sum("n").alias("n_near"))
 
 
 def nearest_neighbours(points: DataFrame, key: str, k: int, lon: str = "lon", lat: str = "lat") -> DataFrame:
@@ -305,8 +327,9 @@ def nearest_neighbours(points: DataFrame, key: str, k: int, lon: str = "lon", la
 
     Among points at one place only the ``k + 1`` smallest keys can be anyone's
     answer, so each location brings at most those. Locations, not points, are
-    searched. A cell is kept for a location only while it can be nearer than the
-    distance within which ``k + 1`` points are already known to lie.
+    searched, a leaf of the cell tree at a time. A cell is kept for a leaf only
+    while it can be nearer than the distance within which ``k + 1`` points are
+    already known to lie.
     """
     from pyspark.sql import Window
 
@@ -321,15 +344,13 @@ def nearest_neighbours(points: DataFrame, key: str, k: int, lon: str = "lon", la
         by_far = Window.partitionBy("q").orderBy("far", *CELL).rowsBetween(Window.unboundedPreceding, 0)
         held = hit.withColumn("_held", F.sum("w").over(by_far))
         bound = F.min(F.when(F.col("_held") >= k + 1, F.col("far"))).over(Window.partitionBy("q"))
-        held = held.withColumn("_bound", bound)
-        return held.filter(F.col("_bound").isNull() | (F.col("near") <= F.col("_bound") + SLACK)).drop("_held", "_bound")
-
-    def in_leaves(found):
-        pairs = _leaf_pairs(tree, found).select("q", "loc", "square")
-        return rank_at_most(pairs.join(answers, "loc"), ["q"], [F.col("square"), F.col("neighbour")], k + 1)
+        held = held.withColumn("bound", F.coalesce(bound, F.lit(5.0))).drop("_held")  # squared chords end at 4
+        return held.filter(F.col("near") <= F.col("bound") + SLACK)
 
-    best, _ = _walk_down(tree, _as_queries(locs), keep, in_leaves)
-    best = best.select(F.col("q").alias("loc"), "neighbour", "square")
+    found, _ = _walk_down(tree, keep)
+    pairs = _point_pairs(tree, found, F.col("bound")).select("loc", F.col("other"), "square")
+    named = pairs.join(answers.withColumnRenamed("loc", "other"), "other")
+    best = rank_at_most(named, ["loc"], [F.col("square"), F.col("neighbour")], k + 1).select("loc", "neighbour", "square")
     members = rows.join(locs.select("lon", "lat", "loc"), ["lon", "lat"]).select("key", "loc")
     mine = salted_join(members, best, ["loc"], salt_by=["key"]).filter(F.col("key") != F.col("neighbour"))
     ranked = rank_at_most(mine, ["key"], [F.col("square"), F.col("neighbour")], k)
