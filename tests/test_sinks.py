@@ -13,6 +13,7 @@ from tidewater.sources.sinks import (
     pack_pages,
     page_numbers,
     read_profile,
+    time_reads,
 )
 
 
@@ -89,3 +90,10 @@ def test_read_profile_and_observation(spark, sf_dir):
     watched.write.format("noop").mode("overwrite").save()
     assert (seen.get["n_rows"], seen.get["n_bytes"]) == (profile["n"], profile["b"])
     assert profile["n"] == orders.count()
+
+
+def test_time_reads(spark, sf_dir):
+    rows = time_reads(spark.read.parquet(f"{sf_dir}/supplier.parquet")).collect()
+    assert [r["run"] for r in rows] == [0, 1]
+    assert len({(r["n_rows"], r["n_bytes"]) for r in rows}) == 1 and rows[0]["n_rows"] > 0
+    assert all(r["seconds"] > 0 and r["bytes_per_second"] > 0 for r in rows)

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from tidewater.sources.catalog import (
     browse,
+    browse_catalog,
     check_names,
     dry_run,
     hide,
@@ -134,6 +135,12 @@ def test_browse_and_names(spark, sf_dir, tmp_path):
         named_table(spark, [], sf_dir)
 
 
+def test_browse_catalog(spark):
+    spark.range(1).createOrReplaceTempView("numbers_view")
+    assert ("default", False) in {(r["name"], r["is_leaf"]) for r in browse_catalog(spark).collect()}
+    assert ("numbers_view", True) in {(r["name"], r["is_leaf"]) for r in browse_catalog(spark, "default").collect()}
+
+
 def test_native_query_and_dry_run(spark):
     df = spark.range(10)
     assert native_query(spark, "SELECT * FROM numbers WHERE id > :low", {"numbers": df}, {"low": 6}).count() == 3

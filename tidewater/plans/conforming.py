@@ -264,16 +264,15 @@ def cast_nested(spark, sf_dir):
 )
 def cast_safe(spark, sf_dir):
     """Casts that give NULL where the value does not fit."""
-    events = damaged_events(spark, sf_dir)
-    whole = table(spark, sf_dir, "events").select("event_id", F.col("value").alias("v"))
-    return events.withColumn("event_id", F.col("event_id").cast("bigint")).join(whole, "event_id").select(
+    events = damaged_events(spark, sf_dir).withColumn("event_id", F.col("event_id").cast("bigint"))
+    return events.select(
         "event_id",
         F.col("value").try_cast("double").alias("as_double"),
         F.col("user_id").try_cast("bigint").alias("as_int64"),
         F.col("event_id").try_cast("tinyint").cast("int").alias("as_small"),
         F.col("event_type").try_cast("boolean").alias("as_bool"),
         F.substring("ts", 1, 10).try_cast("date").cast("string").alias("as_date"),
-        F.col("v").cast("decimal(18,2)").try_cast("decimal(4,2)").alias("as_decimal"),
+        F.rtrim("value", F.lit("x")).cast("decimal(18,2)").try_cast("decimal(4,2)").alias("as_decimal"),
     )
 
 

@@ -141,10 +141,8 @@ def scan_partition_pruning(spark, sf_dir):
     """Events kept by day; a range filter on the day reads only those folders."""
     events = table(spark, sf_dir, "events").withColumn("p_date", F.to_date("ts"))
     path = scratch_path(spark, "events-by-day")
-    # Spread the rows of a day by a hash of the id, so that a busy day is not one task's or one file's work.
-    events.withColumn("_salt", F.pmod(F.xxhash64("event_id"), F.lit(8))).repartition("p_date", "_salt").drop(
-        "_salt"
-    ).write.partitionBy("p_date").parquet(path)
+    # Few files per day, but a busy day is split by size over as many tasks as it needs.
+    events.hint("rebalance", "p_date").write.partitionBy("p_date").parquet(path)
     days = spark.read.schema(events.schema).parquet(path).filter(
         F.col("p_date").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-19").cast("date"))
     )

@@ -1,7 +1,7 @@
 """Names, schemas and hidden columns."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructField, StructType
 
@@ -9,7 +9,22 @@ VISIBILITY = "visibility"
 DISPLAY_NAME = "display_name"
 
 
-def browse(spark: SparkSession, root: str, max_tables: int | None = None) -> DataFrame:
+def browse_catalog(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Children of the session catalog: its databases, or the tables of one database."""
+    if database is None:
+        found = spark.sql("SHOW DATABASES").select(F.lit("").alias("parent"), F.col("namespace").alias("name"), F.lit(False).alias("is_leaf"))
+    else:
+        found = spark.sql(f"SHOW TABLES IN `{database}`").select(
+            F.lit(database).alias("parent"), F.col("tableName").alias("name"), F.lit(True).alias("is_leaf")
+        )
+    return found.select("parent", "name", _label("name").alias("display_name"), "is_leaf")
+
+
+def _label(name: str) -> Column:
+    return F.initcap(F.translate(name, "_", " "))
+
+
+def browse(spark: SparkSession, root: str) -> DataFrame:
     """Children of a folder of parquet tables: (parent, name, display_name, is_leaf).
 
     The listing is a Spark scan of file names; file contents are not read. A
@@ -31,7 +46,7 @@ def browse(spark: SparkSession, root: str, max_tables: int | None = None) -> Dat
     ).distinct().select(
         "parent",
         "name",
-        F.initcap(F.translate("name", "_", " ")).alias("display_name"),
+        _label("name").alias("display_name"),
         F.lit(True).alias("is_leaf"),
     )
 

@@ -72,7 +72,7 @@ def pack_pages(
         import numpy as np
         import pyarrow as pa
 
-        current, carry, page = None, 0, 0
+        begun, current, carry, page = False, None, 0, 0
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index(stream))
             sizes = batch.column(batch.schema.get_field_index("row_bytes")).to_numpy(zero_copy_only=False)
@@ -82,8 +82,8 @@ def pack_pages(
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue
-                if current is None or labels[a] != current:
-                    current, carry, page = labels[a], 0, 0
+                if not begun or labels[a] != current:
+                    begun, current, carry, page = True, labels[a], 0, 0
                 numbers[a:b], carry, page = page_numbers(sizes[a:b], limit, carry, page)
             columns = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(
@@ -128,3 +128,26 @@ def observed_read(df: DataFrame, name: str = "read"):
         seen, F.count(F.lit(1)).alias("n_rows"), F.sum(row_bytes(df)).alias("n_bytes")
     )
     return watched, seen
+
+
+def time_reads(df: DataFrame, runs: int = 2) -> DataFrame:
+    """Read everything ``runs`` times: first-row latency, rows, bytes, seconds and throughput of each run.
+
+    Rows go to the noop sink; counts are taken on the way by the executors.
+    """
+    import time
+
+    rows = []
+    for run in range(runs):
+        start = time.perf_counter()
+        df.limit(1).collect()
+        first = time.perf_counter() - start
+        watched, seen = observed_read(df, f"read-{run}")
+        start = time.perf_counter()
+        watched.write.format("noop").mode("overwrite").save()
+        took = time.perf_counter() - start
+        n_bytes = int(seen.get["n_bytes"] or 0)
+        rows.append((run, first, int(seen.get["n_rows"]), n_bytes, took, n_bytes / took))
+    return df.sparkSession.createDataFrame(
+        rows, "run int, first_row_seconds double, n_rows bigint, n_bytes bigint, seconds double, bytes_per_second double"
+    )
