@@ -38,7 +38,7 @@ def agg_global(spark, sf_dir):
            CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS sum_qty,
            CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS sum_price,
            CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DECIMAL(32,4)) AS sum_net,
-           round(CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) / count(*), 6) AS avg_discount
+           CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_discount
     FROM lineitem GROUP BY ALL
     """.replace("year(l_shipdate)", "CAST(year(l_shipdate) AS INTEGER)"),
 )
@@ -52,7 +52,7 @@ def agg_group(spark, sf_dir):
             sum_fixed(fixed(F.col("l_quantity"))).alias("sum_qty"),
             sum_fixed(price).alias("sum_price"),
             sum_fixed(price * (F.lit(100) - discount), 4, "decimal(32,4)").alias("sum_net"),
-            F.round(sum_fixed(discount).cast("double") / F.count(F.lit(1)), 6).alias("avg_discount"),
+            (sum_fixed(discount).cast("double") / F.count(F.lit(1))).alias("avg_discount"),
         )
     )
 
@@ -115,10 +115,10 @@ def agg_count(spark, sf_dir):
 @query(
     "agg_sum_avg",
     """
-    SELECT l_returnflag, CAST(sum(l_orderkey) AS BIGINT) AS sum_int, round(sum(l_orderkey)::DOUBLE / count(*), 4) AS avg_int,
+    SELECT l_returnflag, CAST(sum(l_orderkey) AS BIGINT) AS sum_int, sum(l_orderkey)::DOUBLE / count(*) AS avg_int,
            CAST(sum(CAST(l_extendedprice AS DECIMAL(38,9))) AS DECIMAL(38,9)) AS sum_numeric,
            CAST(sum(18446744073709551615::DECIMAL(20,0) - l_orderkey) AS DECIMAL(30,0)) AS sum_uint,
-           round(sum(CAST(l_tax AS DECIMAL(18,2)))::DOUBLE / count(*), 6) AS avg_double,
+           sum(CAST(l_tax AS DECIMAL(18,2)))::DOUBLE / count(*) AS avg_double,
            CAST(sum(date_diff('day', o_orderdate, l_shipdate)) AS BIGINT) AS sum_lag_days
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_returnflag
     """,
@@ -132,10 +132,10 @@ def agg_sum_avg(spark, sf_dir):
     lag = F.col("l_shipdate") - F.col("o_orderdate")
     sums = lines.groupBy("l_returnflag").agg(
         F.sum("l_orderkey").alias("sum_int"),
-        F.round(F.sum("l_orderkey").cast("double") / F.count(F.lit(1)), 4).alias("avg_int"),
+        (F.sum("l_orderkey").cast("double") / F.count(F.lit(1))).alias("avg_int"),
         F.sum(F.col("l_extendedprice").cast("decimal(28,9)")).cast("decimal(38,9)").alias("sum_numeric"),
         F.sum((top - F.col("l_orderkey").cast("decimal(20,0)")).cast("decimal(20,0)")).cast("decimal(30,0)").alias("sum_uint"),
-        F.round(F.sum(_money("l_tax")).cast("double") / F.count(F.lit(1)), 6).alias("avg_double"),
+        (F.sum(_money("l_tax")).cast("double") / F.count(F.lit(1))).alias("avg_double"),
         F.sum(lag).alias("lag"),
     )
     return sums.withColumn("sum_lag_days", F.extract(F.lit("DAY"), "lag").cast("bigint")).drop("lag")
@@ -329,7 +329,7 @@ def agg_partial_final(spark, sf_dir):
     "agg_non_additive",
     """
     SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS order_year,
-           round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*), 4) AS avg_price
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_price
     FROM orders GROUP BY ALL
     """,
 )
@@ -340,7 +340,7 @@ def agg_non_additive(spark, sf_dir):
         sum_fixed(fixed(F.col("o_totalprice"))).alias("num"), F.count(F.lit(1)).alias("den")
     )
     return monthly.groupBy("o_orderstatus", F.year("month").alias("order_year")).agg(
-        F.round(F.sum("num").cast("double") / F.sum("den"), 4).alias("avg_price")
+        (F.sum("num").cast("double") / F.sum("den")).alias("avg_price")
     )
 
 
