@@ -331,9 +331,9 @@ def job_props_shred(spark, sf_dir):
     """
     SELECT 'good' AS kind, event_type AS item, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM events
     WHERE event_type NOT IN ('error', 'signup') AND value <= 400 GROUP BY event_type
-    UNION ALL SELECT 'bad', 'value', count(*), NULL FROM events WHERE event_type = 'error'
-    UNION ALL SELECT 'bad', 'user_id', count(*), NULL FROM events WHERE event_type = 'signup'
-    UNION ALL SELECT 'bad', 'ts', count(*), NULL FROM events WHERE value > 400
+    UNION ALL SELECT 'bad', 'value', count(*), NULL FROM events WHERE event_type = 'error' HAVING count(*) > 0
+    UNION ALL SELECT 'bad', 'user_id', count(*), NULL FROM events WHERE event_type = 'signup' HAVING count(*) > 0
+    UNION ALL SELECT 'bad', 'ts', count(*), NULL FROM events WHERE value > 400 HAVING count(*) > 0
     """,
 )
 def job_typed_load(spark, sf_dir):
