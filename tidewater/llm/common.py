@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +87,28 @@ def batches_of(rows: Iterable[pa.RecordBatch], column: str, size: int) -> Iterat
         yield pa.Table.from_batches(held)
 
 
+class Memo:
+    """Answers a worker remembers: at most ``2 * limit``, those not asked for lately go first.
+
+    Forgetting costs time only; an answer is always what ``make`` gives.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.now, self.old = limit, {}, {}
+
+    def learn(self, wanted: set, make: Callable[[list], Iterable]) -> dict:
+        """A mapping that has every wanted key; ``make`` answers a list of keys in order."""
+        missing = wanted.difference(self.now)
+        if len(self.now) + len(missing) > self.limit:
+            self.old, self.now, missing = self.now, {}, wanted
+        known = {x: self.old[x] for x in missing if x in self.old}
+        self.now.update(known)
+        if len(known) < len(missing):
+            new = [x for x in missing if x not in known]
+            self.now.update(zip(new, make(new)))
+        return self.now
+
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
 

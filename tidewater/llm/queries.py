@@ -51,3 +51,17 @@ def op10_token_counts(spark, sf_dir):
     from tidewater.llm.token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+@query()
+def op2_byte_bpe(spark, sf_dir):
+    from tidewater.llm.byte_bpe import decode, encode
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    decoded = decode(encode(table(spark, sf_dir, "documents"), *vocabulary), *vocabulary)
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

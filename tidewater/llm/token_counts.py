@@ -11,60 +11,51 @@ no rows; texts of any length are counted whole.
 """
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import byte_batches, chunks, small_batches, whole_text
+from tidewater.llm.common import Memo, byte_batches, chunks, small_batches, whole_text
 
 # Characters per call of the tokenizer, and chunks a worker remembers.
 ENCODE_CHARS = 1 << 18
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
-_encoders: dict[str, object] = {}
-_lengths: dict[str, dict[str, int]] = {}
+_encoders: dict[str, tuple] = {}
 
 
-def _encoder(path: str):
+def _encoder(path: str) -> tuple:
+    """The worker's tokenizer (texts to lengths) and what it remembers."""
     if path not in _encoders:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
-            _encoders[path] = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
+            encode = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
         else:
             from tokenizers import Tokenizer
 
             model = Tokenizer.from_file(path)
             model.no_truncation()
             model.no_padding()
-            _encoders[path] = lambda texts: [len(x) for x in model.encode_batch_fast(texts, add_special_tokens=False)]
-        _lengths[path] = {}
-    return _encoders[path], _lengths[path]
+            encode = lambda texts: [len(x) for x in model.encode_batch_fast(texts, add_special_tokens=False)]
+        _encoders[path] = encode, Memo(REMEMBERED)
+    return _encoders[path]
 
 
 def text_lengths(texts: list[str], path: str) -> list[int]:
     """Tokens of each text."""
-    encode, known = _encoder(path)
+    encode, memo = _encoder(path)
+    balanced = lambda items: (n for batch in byte_batches(items, ENCODE_CHARS) for n in encode(batch))
     if path.endswith(".model"):  # sentencepiece marks the start of a text, so texts are not cut
-        return [n for batch in byte_batches(texts, ENCODE_CHARS) for n in encode(batch)]
-    counts = []
-    for text in texts:
-        parts = chunks(text)
-        new = list({x for x in parts if x not in known})
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(parts))
-            for batch in byte_batches(new, ENCODE_CHARS):
-                known.update(zip(batch, encode(batch)))
-        counts.append(sum(map(known.__getitem__, parts)))
-    return counts
+        return list(balanced(texts))
+    parts = [chunks(text) for text in texts]
+    known = memo.learn(set().union(*parts), balanced)
+    return [sum(map(known.__getitem__, p)) for p in parts]
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
