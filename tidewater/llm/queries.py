@@ -74,3 +74,22 @@ def op1_best_fit_packing(spark, sf_dir):
     pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pack(digests)
+
+
+@query()
+def op5_language_id(spark, sf_dir):
+    from tidewater.llm.language_id import held_out, identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.filter(~held_out(docs)).select("text", "lang"))
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(found).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query()
+def op9_toxicity(spark, sf_dir):
+    from tidewater.llm.toxicity import held_out, score, train
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    classifier = train(docs.filter(~held_out()), labels.filter(~held_out()))
+    return score(docs, classifier).select("doc_id", held_out().alias("held_out"), "score", "predicted")
