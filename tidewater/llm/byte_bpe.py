@@ -31,7 +31,7 @@ from tidewater.llm.common import Memo, batches_of, byte_batches, chunks, small_b
 # Text bytes taken together; what a worker remembers; bytes of a word for the
 # recursive query; words in one query; tokens decoded by one query.
 BATCH_BYTES = 4 << 20
-REMEMBERED_CHUNKS, REMEMBERED_WORDS, REMEMBERED_PIECES = 250_000, 250_000, 250_000
+REMEMBERED_CHUNKS, REMEMBERED_WORDS = 250_000, 450_000
 ROUNDS = 256
 WORDS = 24_000
 DECODE_TOKENS = 1 << 20
@@ -77,10 +77,6 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.of_chunk, self.of_word = Memo(REMEMBERED_CHUNKS), Memo(REMEMBERED_WORDS)
-        self.of_ids = Memo(REMEMBERED_PIECES)
-        spaced = [rank for token, rank in self.ranks.items() if token.startswith(b" ")]
-        self.opens = np.zeros(max(self.ranks.values()) + 1, bool)
-        self.opens[spaced] = True
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
         pairs = [
             (self.ranks[token[:i]], self.ranks[token[i:]], rank)
@@ -176,22 +172,8 @@ class Codec:
         return [b"".join(map(known.__getitem__, p)) for p in parts]
 
     def decode(self, sequences: list[bytes]) -> list[bytes]:
-        """The bytes of each packed sequence of ids.
-
-        Sequences are cut before tokens that open with a space; equal pieces are decoded once.
-        """
-        parts = []
-        for packed in sequences:
-            cuts = [0, *(np.flatnonzero(self.opens[np.frombuffer(packed, "<u4")]) * 4).tolist(), len(packed)]
-            parts.append([packed[a:b] for a, b in zip(cuts, cuts[1:]) if a < b])
-        known = self.of_ids.learn(set().union(*parts), self.piece_bytes)
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
-
-    def piece_bytes(self, pieces: list[bytes]) -> list[bytes]:
-        out: list[bytes] = []
-        for batch in byte_batches(pieces, 4 * DECODE_TOKENS):
-            out += self._decode(batch)
-        return out
+        """The bytes of each packed sequence of ids."""
+        return [text for batch in byte_batches(sequences, 4 * DECODE_TOKENS) for text in self._decode(batch)]
 
     def _decode(self, sequences: list[bytes]) -> list[bytes]:
         lengths = np.array([len(s) // 4 for s in sequences])
