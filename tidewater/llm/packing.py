@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ from tidewater.session import materialise
 # Fillings looked at and kept per bin, and steps of the search before the incumbent stands.
 FILLING_STEPS, FILLINGS, SEARCH_STEPS = 4000, 6, 20_000
 ENCODE_CHARS = 1 << 18
-REMEMBERED = 400_000
+REMEMBERED_RUNS, REMEMBERED_WORDS = 400_000, 500_000
 
 # Runs without white space: no tokenizer here that drops white space joins two of them.
 _RUNS = re.compile(r"[\S\x1c-\x1f]+").findall
@@ -54,15 +55,38 @@ def _encoder(path: str) -> tuple:
         model.no_truncation()
         model.no_padding()
 
-        def encode(runs: list[str]) -> Iterator[bytes]:
-            for batch in byte_batches(runs, ENCODE_CHARS):
+        def word_ids(words: list[str]) -> Iterator[bytes]:
+            for batch in byte_batches(words, ENCODE_CHARS):
                 for found in model.encode_batch_fast(batch, add_special_tokens=False):
-                    yield np.array(found.ids, "<u4").tobytes()
+                    yield pack_ids(found.ids)
 
-        _encoders[path] = encode, Memo(REMEMBERED)
+        words = Memo(REMEMBERED_WORDS)
+
+        def run_ids(runs: list[str]) -> Iterator[bytes]:
+            split = [stem_and_tail(run) for run in runs]
+            known = words.learn(set().union(*split), word_ids)
+            return (known[stem] + known[tail] for stem, tail in split)
+
+        _encoders[path] = run_ids, Memo(REMEMBERED_RUNS)
     return _encoders[path]
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def stem_and_tail(run: str) -> tuple[str, str]:
+    """Cut a run before the marks that end it, where they follow an ASCII letter.
+
+    Letters and marks never share a token. ``<|`` may open a special token, so
+    such a run stays whole.
+    """
+    stem = run.rstrip(".,;:!?")
+    if len(stem) < len(run) and stem and stem[-1].isascii() and stem[-1].isalpha() and "<|" not in run:
+        return stem, run[len(stem) :]
+    return run, ""
+
+
 def text_ids(texts: list[str], path: str) -> list[bytes]:
     """Packed little-endian unsigned 32-bit ids of each text, for tokenizers that drop white space."""
     encode, memo = _encoder(path)
@@ -310,7 +334,7 @@ def pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     numbered = (
         rows.filter("length >= 1")
         .withColumn(number, F.row_number().over(in_part) - 1)
-        .join(shifts, ["length", part])
+        .join(shifts.hint("merge"), ["length", part])  # a row per length and part: grows with the input
         .select(*pieces.columns, (F.col(number) + F.col(before)).alias(number))
     )
     key, columns = plan["length"] << 44 | plan["first"], pieces.columns
