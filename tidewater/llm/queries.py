@@ -93,3 +93,10 @@ def op9_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     classifier = train(docs.filter(~held_out()), labels.filter(~held_out()))
     return score(docs, classifier).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query()
+def op8_nearest_vectors(spark, sf_dir):
+    from tidewater.llm.vector_search import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
