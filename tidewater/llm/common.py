@@ -201,3 +201,22 @@ def _odd_powers(n: int, base: int) -> np.ndarray:
         if len(table) <= 1 << 20:
             _power_tables[base] = table
     return table[:n]
+
+
+def blocks_for(docs: DataFrame, size: int, column: str = "text") -> int:
+    """How many blocks of about ``size`` text bytes the documents make."""
+    total = docs.agg(F.sum(F.octet_length(whole_text(column)))).first()[0] or 0
+    return max(1, -(-total // size))
+
+
+def dealt_to_blocks(docs: DataFrame, block: str, blocks: int) -> DataFrame:
+    """``docs`` with a block number from a hash of id and text, so copies of a text spread over blocks."""
+    return docs.withColumn(block, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+
+
+def by_bucket(values: np.ndarray, bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The values of each bucket that has some. ``values`` may have several columns."""
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(edges)):
+        yield int(k), values[order[edges[k] : edges[k + 1]]]

@@ -100,3 +100,11 @@ def op8_nearest_vectors(spark, sf_dir):
     from tidewater.llm.vector_search import search
 
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query()
+def op3_substring_dedup(spark, sf_dir):
+    from tidewater.llm.substring_dedup import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
