@@ -108,3 +108,10 @@ def op3_substring_dedup(spark, sf_dir):
 
     found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op6_jaccard_join(spark, sf_dir):
+    from tidewater.llm.jaccard_join import similar_documents
+
+    return similar_documents(table(spark, sf_dir, "documents"), n=5, percent=75)
