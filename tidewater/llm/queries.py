@@ -115,3 +115,10 @@ def op6_jaccard_join(spark, sf_dir):
     from tidewater.llm.jaccard_join import similar_documents
 
     return similar_documents(table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
+@query()
+def op4_context_tree(spark, sf_dir):
+    from tidewater.llm.context_tree import held_out, score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"), held_out())
