@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import Memo, crc_fold, small_batches, whole_text
+from tidewater.session import materialise
 
 SAMPLE = 12_000  # labelled training rows the cues and the classifier are learned from
 LEXICONS, LEXICON_CUES = 6, 20  # lexicon voters, cues in each
@@ -225,6 +226,7 @@ def mine_cues(sample: DataFrame) -> tuple[list[tuple[str, float]], list[tuple[st
     scored = per_cue.filter((F.col("clean") + F.col("toxic") >= SUPPORT) & (share < 1)).select(
         "cue", odds.alias("odds"), evidence.alias("evidence")
     )
+    scored = materialise(scored.filter(F.abs("odds") > ODDS), "cues")
     toxic = scored.filter(F.col("odds") > ODDS).orderBy(F.desc("evidence"), "cue").limit(CUES)
     clean = scored.filter(F.col("odds") < -ODDS).orderBy(F.desc("evidence"), "cue").limit(CUES)
     found = [(r["cue"], r["evidence"], r["odds"] > 0) for r in toxic.unionAll(clean).collect()]
@@ -237,10 +239,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     small_batches(spark)
     label = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     texts = docs.select("doc_id", whole_text().alias("text"))
-    known = texts.join(label, "doc_id")
-    # By hash of the id, so that the draw is the same on every run.
-    drawn = known.select("doc_id", F.xxhash64("doc_id").alias("order")).orderBy("order", "doc_id").limit(SAMPLE)
-    sample = known.join(F.broadcast(drawn.select("doc_id").distinct()), "doc_id").select("text", "toxic").limit(2 * SAMPLE)
+    # By hash of the id, so that the draw is the same on every run; at most SAMPLE ids are broadcast.
+    known = docs.select("doc_id").join(label, "doc_id").distinct()
+    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    sample = materialise(texts.join(F.broadcast(drawn), "doc_id").select("text", "toxic"), "sample")
     toxic, clean = mine_cues(sample)
     if not toxic:
         return Classifier({}, -60.0)
@@ -251,12 +253,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            votes = [voters.fire(t, cues_of(t, everything)) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.int32()), batch.column("toxic")], names=["votes", "toxic"])
+            votes = [voters.fire(t, cues_of(t, everything)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.int32())], names=["doc_id", "votes"])
 
     # Counts per pattern over all training rows: at most 2 ** voters times three rows.
-    cast = texts.join(label, "doc_id", "left").select("text", "toxic").mapInArrow(vote, "votes int, toxic int")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cast = texts.mapInArrow(vote, f"doc_id {kind}, votes int").join(label.hint("merge"), "doc_id", "left")
     patterns: dict[int, list[int]] = {}
     for r in cast.groupBy("votes", "toxic").count().collect():
         patterns.setdefault(r["votes"], [0, 0, 0])[2 if r["toxic"] is None else r["toxic"]] += r["count"]
