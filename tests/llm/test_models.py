@@ -153,7 +153,7 @@ def test_vector_search(spark):
         [(2000, None), (2020, [0.0] * 64), (2040, [float("nan")] * 64), (2060, [None] * 64), (2080, [1.0]), (None, [1.0] * 64)],
         "vec_id long, embedding array<float>",
     )
-    copies = rows.filter("vec_id = 40").select(F.explode(F.sequence(F.lit(3041), F.lit(3440))).cast("long").alias("vec_id"), "embedding")
+    copies = rows.filter("vec_id = 40").select(F.explode(F.sequence(F.lit(3041).cast("long"), F.lit(3440).cast("long"))).alias("vec_id"), "embedding")
     both = rows.select("vec_id", "embedding").unionByName(odd).unionByName(copies)
     given = {r["vec_id"]: np.array(r["embedding"], float) for r in rows.unionByName(copies.withColumn("label", F.lit(0))).select("vec_id", "embedding").collect()}
     found = {}
