@@ -103,7 +103,7 @@ def test_signatures_miss_no_link():
         if 100 * both < 75 * (len(a) + len(b) - both) or np.array_equal(a, b):
             continue
         bands = Bands(75)
-        found = [{(band, s) for band, k, p in bands.layouts(len(x)) for s in signatures(x, band, k, p)[0].tolist()} for x in (a, b)]
+        found = [{(band, s) for _, (band, k, p) in bands.layouts(len(x)) for s in signatures(x, band, k, p)[0].tolist()} for x in (a, b)]
         assert found[0] & found[1]
         bits = [np.frombuffer(parity(x), np.uint8) for x in (a, b)]
         assert could_link(len(a), bits[0], len(b), bits[1], 75)

@@ -15,13 +15,14 @@ returned. The join is exact up to 64-bit hashes of n-grams and sets.
    sets share as long as these are fewer than the reserve. A set whose reserve
    does not cover its empty partitions sends those too.
 3. Signatures meet in buckets as packed arrays. Sets that share a signature
-   with few others become candidate pairs.
-4. Signatures that more than ``FEW`` sets share matter only for sets that have
-   more of them than their reserve. Those sets are compared with one pivot per
-   signature first. Where a signature still joins several components, their
-   sets are compared across components in blocks of bounded size.
-5. Candidates pass an exact lower bound of their difference (parity bitmaps of
-   about a bit per n-gram) and then the n-grams themselves decide.
+   with few others become candidate pairs. Signatures that more than ``FEW``
+   sets share matter only for sets that have more of them than their reserve.
+4. Candidates pass an exact lower bound of their difference (parity bitmaps of
+   about a bit per n-gram) and then the n-grams of the texts decide.
+5. Two rounds: each signature's first set is compared with its others, which
+   gives most components. Then only pairs of different components remain: the
+   candidate pairs among them, and the sets of crowded signatures, compared
+   across components in blocks of bounded size.
 
 Defined results: NULL and word-less texts have an empty set, link to nothing
 and are their own component; NULL ids belong to a component but never name one
@@ -42,9 +43,9 @@ from tidewater.operators.clusters import components
 from tidewater.session import materialise
 
 FEW = 16  # sets that share a signature and are paired directly
-RESERVE = 0.25  # partitions beyond k + 1, as a share
+RESERVE = 0.15  # partitions beyond k + 1, as a share
 BATCH_BYTES = 24 << 20  # text whose signatures travel together
-BUCKET_BYTES = 16 << 20  # text whose signatures a bucket compares
+BUCKET_BYTES = 32 << 20  # text whose signatures a bucket compares
 BLOCK = 512  # sets on either side of a block of comparisons
 
 
@@ -92,8 +93,8 @@ class Bands:
             self.edges.append(self.edges[-1] * 100 // self.percent + 1)
         return int(np.searchsorted(self.edges, n, side="right")) - 1
 
-    def layouts(self, n: int) -> list[tuple[int, int, int]]:
-        """(band, most differing n-grams, partitions) of the bands a set of ``n`` takes part in."""
+    def layouts(self, n: int) -> list[tuple[int, tuple[int, int, int]]]:
+        """(0 or 1 for the own or the next band, (band, most differing n-grams, partitions)) of a set of size ``n``."""
         own, out = self.band(n), []
         for band in (own, own + 1):
             low = self.edges[band]
@@ -102,7 +103,7 @@ class Bands:
                 continue
             k = 2 * high * (100 - self.percent) // (100 + self.percent)
             if k:  # without differences sets are equal, and equal sets are one class
-                out.append((band, k, k + 1 + int(np.ceil(RESERVE * (k + 1)))))
+                out.append((band - own, (band, k, k + 1 + int(np.ceil(RESERVE * (k + 1))))))
         return out
 
 
@@ -146,76 +147,103 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for held in batches_of(batches, "text", BATCH_BYTES):
-            seen: dict[int, int] = {}
+            seen: set[int] = set()
             signs, which, table = [], [], []
+
+            def packed_rows() -> Iterator[pa.RecordBatch]:
+                sign, place = np.concatenate(signs), np.concatenate(which)
+                columns = [np.array(c, k) for c, k in zip(zip(*table), (np.int64, np.int32, np.int16, np.int16))]
+                packed = np.zeros(len(sign), PACKED)
+                packed["high"], packed["low"], packed["set"] = sign >> np.uint64(32) & np.uint64(0xFFFF), sign & np.uint64(0xFFFFFFFF), place
+                for bucket, part in by_bucket(packed, (sign >> np.uint64(48)).astype(np.int64) % buckets, buckets):
+                    row = [bucket, part.tobytes(), *(c.tobytes() for c in columns)]
+                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], schema=SENT)
+
             for text in held.column("text").to_pylist():
                 grams = gram_set(text.encode("utf-8", "surrogatepass"), n)
                 if not len(grams) or (key := set_key(grams)) in seen:
                     continue
-                seen[key] = len(seen)
-                for layout in bands.layouts(len(grams)):
-                    found, spare = signatures(grams, *layout)
+                seen.add(key)
+                spares = [0, 0]  # for its own band and the next
+                for side, (band, k, partitions) in bands.layouts(len(grams)):
+                    found, spares[side] = signatures(grams, band, k, partitions)
                     signs.append(found)
-                    which.append(np.full(len(found), len(table), np.uint32))
-                    table.append((key, len(grams), spare, layout[0]))
-            if not table:
-                continue
-            signs, which = np.concatenate(signs), np.concatenate(which)
-            columns = [pa.array(c, k) for c, k in zip(zip(*table), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))]
-            packed = np.zeros(len(signs), [("high", "<u2"), ("low", "<u4"), ("set", "<u4")])
-            packed["high"], packed["low"], packed["set"] = signs >> np.uint64(32) & np.uint64(0xFFFF), signs & np.uint64(0xFFFFFFFF), which
-            for bucket, part in by_bucket(packed, (signs >> np.uint64(48)).astype(np.int64) % buckets, buckets):
-                used, part["set"] = np.unique(part["set"], return_inverse=True)
-                lists = [pa.ListArray.from_arrays(pa.array([0, len(used)], pa.int32()), c.take(pa.array(used))) for c in columns]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket], pa.int32()), pa.array([part.tobytes()], pa.binary()), *lists],
-                    names=["bucket", "packed", "keys", "sizes", "spares", "bands"],
-                )
-
-    schema = "bucket int, packed binary, keys array<long>, sizes array<int>, spares array<int>, bands array<int>"
-    return docs.select(whole_text().alias("text")).mapInArrow(send, schema)
+                    which.append(np.full(len(found), 2 * len(table) + side, np.uint16))
+                table.append((key, len(grams), *(min(x, 32767) for x in spares)))
+                if len(table) == 1 << 15:
+                    yield from packed_rows() if signs else ()
+                    signs, which, table = [], [], []
+            if signs:
+                yield from packed_rows()
+
+    return docs.select(whole_text().alias("text")).mapInArrow(
+        send, "bucket long, packed binary, keys binary, sizes binary, own binary, next binary"
+    )
+
+
+#: A signature in a bucket: 48 of its bits, and the place of its set in the row's table times two, plus one for the next band.
+PACKED = np.dtype([("high", "<u2"), ("low", "<u4"), ("set", "<u2")])
+SENT = pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in ("packed", "keys", "sizes", "own", "next"))])
 
 
 def meet_signatures(sent: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (crowded false: keys a, b) and memberships of crowded signatures (true: signature a, key b, band, spare)."""
+    """What signatures join.
+
+    Rows that are not crowded: keys a < b of a candidate pair, and whether a is
+    the first set of a signature they share. Crowded rows: signature a, set b,
+    its side (own or next band) and its reserve there.
+    """
 
     def meet(table: pa.Table) -> pa.Table:
-        signs, keys, sizes, spares, bands = [], [], [], [], []
-        for row in table.to_batches():
-            for i in range(len(row)):
-                part = np.frombuffer(row.column("packed")[i].as_py(), [("high", "<u2"), ("low", "<u4"), ("set", "<u4")])
-                signs.append(part["high"].astype(np.uint64) << np.uint64(32) | part["low"])
-                for name, out in (("keys", keys), ("sizes", sizes), ("spares", spares), ("bands", bands)):
-                    out.append(row.column(name)[i].values.to_numpy()[part["set"]])
-        signs, keys, sizes, spares, bands = (np.concatenate(x) for x in (signs, keys, sizes, spares, bands))
+        signs, keys, sizes, spares, sides = [], [], [], [], []
+        for row in table.to_pylist():
+            part = np.frombuffer(row["packed"], PACKED)
+            place, side = part["set"] >> 1, (part["set"] & 1).astype(np.int8)
+            signs.append(part["high"].astype(np.uint64) << np.uint64(32) | part["low"])
+            keys.append(np.frombuffer(row["keys"], np.int64)[place])
+            sizes.append(np.frombuffer(row["sizes"], np.int32)[place])
+            both = [np.frombuffer(row[c], np.int16)[place] for c in ("own", "next")]
+            spares.append(np.where(side == 1, both[1], both[0]))
+            sides.append(side)
+        signs, keys, sizes, spares, sides = (np.concatenate(x) for x in (signs, keys, sizes, spares, sides))
         order = np.lexsort((keys, signs))
         signs, keys = signs[order], keys[order]
         first = np.append(True, (signs[1:] != signs[:-1]) | (keys[1:] != keys[:-1]))
         order, signs, keys = order[first], signs[first], keys[first]
-        sizes, spares, bands = sizes[order], spares[order], bands[order]
+        sizes, spares, sides = sizes[order], spares[order], sides[order]
         starts = np.flatnonzero(np.append(True, signs[1:] != signs[:-1]))
         counts = np.diff(np.append(starts, len(signs)))
-        pairs = [np.zeros((0, 2), np.int64)]
+        pairs, heads = [np.zeros((0, 2), np.int64)], [np.zeros(0, bool)]
         for count in range(2, FEW + 1):
             rows = starts[counts == count]
             if len(rows):
                 left, right = np.triu_indices(count, 1)
                 a, b = (rows[:, None] + left).ravel(), (rows[:, None] + right).ravel()
-                fits = 100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b])
+                fits = 100 * np.minimum(sizes[a], sizes[b]).astype(np.int64) >= percent * np.maximum(sizes[a], sizes[b]).astype(np.int64)
                 pairs.append(np.stack([keys[a][fits], keys[b][fits]], axis=1))  # keys ascend within a signature
-        pairs = np.unique(np.concatenate(pairs), axis=0)
+                heads.append(np.tile(left == 0, len(rows))[fits])
+        pairs, at = np.unique(np.concatenate(pairs), axis=0, return_inverse=True)
+        head = np.bincount(at.ravel(), np.concatenate(heads), len(pairs)) > 0
         crowd = np.repeat(counts > FEW, counts)
-        n = len(pairs)
+        n, m = len(pairs), int(crowd.sum())
         return pa.table({
-            "crowded": pa.array(np.append(np.zeros(n, bool), np.ones(crowd.sum(), bool))),
+            "crowded": pa.array(np.append(np.zeros(n, bool), np.ones(m, bool))),
             "a": pa.array(np.append(pairs[:, 0], signs[crowd].astype(np.int64))),
             "b": pa.array(np.append(pairs[:, 1], keys[crowd])),
-            "band": pa.array(np.append(np.zeros(n, np.int32), bands[crowd])),
+            "head": pa.array(np.append(head, np.zeros(m, bool))),
+            "side": pa.array(np.append(np.zeros(n, np.int32), sides[crowd])),
             "spare": pa.array(np.append(np.zeros(n, np.int32), spares[crowd])),
-            "bucket": pa.array(np.full(n + crowd.sum(), table.column("bucket")[0].as_py(), np.int32)),
-        })
+            "bucket": pa.array(np.full(n + m, table.column("bucket")[0].as_py(), np.int64)),
+        }).cast(MET)
+
+    schema = "crowded boolean, a long, b long, head boolean, side int, spare int, bucket long"
+    return sent.groupBy("bucket").applyInArrow(meet, schema)
+
 
-    return sent.groupBy("bucket").applyInArrow(meet, "crowded boolean, a long, b long, band int, spare int, bucket int")
+MET = pa.schema([
+    ("crowded", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()), ("head", pa.bool_()),
+    ("side", pa.int32()), ("spare", pa.int32()), ("bucket", pa.int64()),
+])
 
 
 class Join:
@@ -247,54 +275,65 @@ class Join:
         joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
         return joined.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(check, "a long, b long")
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that link, decided by their n-grams."""
-        n, percent = self.n, self.percent
-        pairs = materialise(self.plausible(pairs.distinct()), "plausible")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        # One document of each class; documents are found by id and known by the key of their set.
-        text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-        named = wanted.join(self.classes, "key").select(text_of("doc_id").alias("id"), "key")
+    def fetch(self, wanted: DataFrame) -> None:
+        """Keep one text of each class in ``wanted`` (key); both rounds compare these."""
+        # Documents are found by id and known by the key of their set.
+        n, text_of = self.n, lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+        named = wanted.join(self.classes.select("key", "doc_id"), "key").select(text_of("doc_id").alias("id"), "key")
         texts = self.docs.select(text_of("doc_id").alias("id"), whole_text().alias("text")).join(named, "id")
 
-        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys, texts = batch.column("key").to_pylist(), batch.column("text").to_pylist()
-                found = [(key, gram_set(t.encode("utf-8", "surrogatepass"), n)) for key, t in zip(keys, texts)]
-                found = [(key, g.tobytes()) for key, g in found if len(g) and set_key(g) == key]
-                keys, grams = zip(*found) if found else ((), ())
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(grams, pa.binary())], names=["key", "grams"])
+                keys, found = batch.column("key").to_pylist(), batch.column("text").to_pylist()
+                stay = [len(g := gram_set(t.encode("utf-8", "surrogatepass"), n)) > 0 and set_key(g) == k for k, t in zip(keys, found)]
+                yield batch.filter(pa.array(stay, pa.bool_()))
+
+        self.texts = materialise(texts.select("key", "text").mapInArrow(own, "key long, text string"), "texts")
 
-        sets = materialise(texts.select("key", "text").mapInArrow(read, "key long, grams binary").dropDuplicates(["key"]), "sets")
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that link, decided by the n-grams of their texts."""
+        n, percent = self.n, self.percent
+        pairs = materialise(self.plausible(pairs), "plausible")
         parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
         right = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
-        right = right.join(sets.withColumnRenamed("key", "b").hint("merge"), "b")
+        right = right.join(self.texts.withColumnRenamed("key", "b").hint("merge"), "b")
         left = parts.select(F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("slice"))
-        left = left.join(sets.select(F.col("key").alias("pivot"), F.col("grams").alias("own")).hint("merge"), "pivot")
+        left = left.join(self.texts.select(F.col("key").alias("pivot"), F.col("text").alias("own")).hint("merge"), "pivot")
+        grams = lambda t: gram_set(t.encode("utf-8", "surrogatepass"), n)
 
         def compare(one: pa.Table, many: pa.Table) -> pa.Table:
-            out = []
+            out = set()  # a text that stands twice gives its key once
             if len(one):
-                a = np.frombuffer(one.column("own")[0].as_py(), np.uint64)
-                for key, packed in zip(many.column("b").to_pylist(), many.column("grams").to_pylist()):
-                    b = np.frombuffer(packed, np.uint64)
+                a = grams(one.column("own")[0].as_py())
+                for key, text in zip(many.column("b").to_pylist(), many.column("text").to_pylist()):
+                    b = grams(text)
                     at = np.minimum(np.searchsorted(a, b), len(a) - 1)
                     both = int((a[at] == b).sum())
                     if 100 * both >= percent * (len(a) + len(b) - both):
-                        out.append(key)
-            return pa.table({"a": pa.array([one.column("pivot")[0].as_py()] * len(out) if out else [], pa.int64()), "b": pa.array(out, pa.int64())})
+                        out.add(key)
+            pivot = one.column("pivot")[0].as_py() if out else None
+            return pa.table({"a": pa.array([pivot] * len(out), pa.int64()), "b": pa.array(sorted(out), pa.int64())})
 
-        met = left.groupBy("pivot", "slice").cogroup(right.select("a", "part", "b", "grams").groupBy("a", "part"))
+        met = left.groupBy("pivot", "slice").cogroup(right.select("a", "part", "b", "text").groupBy("a", "part"))
         return met.applyInArrow(compare, "a long, b long")
 
-    def across(self, members: DataFrame, links: DataFrame) -> DataFrame:
+    def roots(self, links: DataFrame) -> DataFrame:
+        """(id, root) of the classes that have a link."""
+        ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        return materialise(components(ends, links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
+
+    def apart(self, pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs whose ends are in different components."""
+        root = lambda x: roots.select(F.col("id").alias(x), F.col("root").alias(f"root_{x}"))
+        named = pairs.join(root("a").hint("merge"), "a", "left").join(root("b").hint("merge"), "b", "left")
+        return named.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+    def across(self, members: DataFrame, roots: DataFrame) -> DataFrame:
         """Plausible pairs of members of one crowded signature that no link joins yet, in blocks.
 
         A pair is reported at the least signature it shares.
         """
         percent = self.percent
-        ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        roots = components(ends, links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         named = members.join(roots.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         several = named.groupBy("sign").agg(
             (F.min("root") != F.max("root")).alias("open"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")
@@ -334,7 +373,7 @@ class Join:
 
 
 def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links (links of the row's class) of every row."""
+    """doc_id, n_shingles and component_id of every row."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", "text")
@@ -342,31 +381,28 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFra
     join = Join(docs, rows, n, percent)
     buckets = min(1 << 16, blocks_for(docs, BUCKET_BYTES))
     met = materialise(meet_signatures(send_signatures(docs, n, percent, buckets), percent), "met")
-    pairs = met.filter("NOT crowded").select("a", "b")
+    pairs = met.filter("NOT crowded").groupBy("a", "b").agg(F.bool_or("head").alias("head"))
     crowded = met.filter("crowded").withColumn("sign", F.xxhash64("bucket", "a")).withColumnRenamed("b", "key")
     # Only sets with more crowded signatures than they can do without need them.
-    needing = crowded.groupBy("key", "band").agg(F.count(F.lit(1)).alias("n"), F.min("spare").alias("spare")).filter("n > spare")
-    members = materialise(crowded.join(needing.select("key", "band"), ["key", "band"]).select("sign", "key"), "members")
+    needing = crowded.groupBy("key", "side").agg(F.count(F.lit(1)).alias("n"), F.min("spare").alias("spare")).filter("n > spare")
+    members = materialise(crowded.join(needing.select("key", "side"), ["key", "side"]).select("sign", "key"), "members")
+    join.fetch(pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(members.select("key")).distinct())
     pivots = members.groupBy("sign").agg(F.min("key").alias("a"))
     to_pivot = members.join(pivots, "sign").filter("key <> a").select("a", F.col("key").alias("b"))
-    links = materialise(join.linked(pairs.unionByName(to_pivot)), "links")
-    more = join.across(members, links)
-    links = materialise(links.unionByName(join.linked(more)).distinct(), "links")
-
-    ends = links.select(F.explode(F.array("a", "b")).alias("key"))
-    degree = ends.groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
-    roots = components(degree.select(F.col("key").alias("id")), links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    links = materialise(join.linked(pairs.filter("head").select("a", "b").unionByName(to_pivot).distinct()), "links")
+    roots = join.roots(links)
+    rest = join.apart(pairs.filter("NOT head").select("a", "b"), roots).unionByName(join.across(members, roots))
+    links = materialise(links.unionByName(join.linked(rest.distinct())), "links")
     named = (
         join.classes.select("key", "doc_id")
-        .join(roots.withColumnRenamed("id", "key"), "key", "left")
-        .join(degree, "key", "left")
-        .select("key", "doc_id", F.coalesce("root", "key").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .join(join.roots(links).withColumnRenamed("id", "key"), "key", "left")
+        .select("key", "doc_id", F.coalesce("root", "key").alias("root"))
     )
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    groups = materialise(named.join(least, "root").select("key", "component_id", "n_links"), "groups")
+    groups = materialise(named.join(least, "root").select("key", "component_id"), "groups")
     full = rows.filter("key IS NOT NULL").join(groups.hint("merge"), "key")
-    lone = rows.filter("key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    return full.select("doc_id", "n_shingles", "component_id", "n_links").unionByName(lone)
+    lone = rows.filter("key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return full.select("doc_id", "n_shingles", "component_id").unionByName(lone)
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
