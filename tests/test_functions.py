@@ -146,3 +146,15 @@ def test_safe_arithmetic(spark, x, y):
     assert value(spark, numeric.safe_add(a, b)) == (None if x is None else fits(x + y))
     assert value(spark, numeric.safe_subtract(a, b)) == (None if x is None else fits(x - y))
     assert value(spark, numeric.safe_multiply(a, b)) == (None if x is None else fits(x * y))
+
+
+def test_fixed_rounds_half_up(spark):
+    from tidewater.functions.numeric import fixed, sum_fixed
+
+    values = [0.125, 1.005, 56.0123456789, -0.125, 2.675, 12345678901.23, 0.0, None, 1e300, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r["u"] for r in df.select(fixed(F.col("x")).alias("u")).collect()]
+    assert got == [13, 101, 5601, -13, 268, 1234567890123, 0, None, None, None]
+    rows = spark.range(2000).select((F.rand(3) * 1000).alias("x"))
+    both = rows.agg(sum_fixed(fixed(F.col("x"))).alias("a"), F.sum(F.col("x").cast("decimal(18,2)")).cast("decimal(28,2)").alias("b")).first()
+    assert both["a"] == both["b"]

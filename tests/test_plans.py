@@ -10,6 +10,8 @@ QUERIES = entry.queries()
 
 # These join or walk in stages that run while the query is being built; their final plans are covered too.
 EAGER_AND_SLOW = {"density_cluster", "nearest_neighbours", "stream_bucket"}
+# Queries of the optional subpackage have tests of their own.
+EAGER_AND_SLOW |= set(QUERIES) - set(entry.QUERIES)
 
 
 def plan(df):
@@ -43,3 +45,22 @@ def test_plan_shape(spark, sf_dir, key, needles):
     text = plan(QUERIES[key](spark, sf_dir))
     for needle in needles:
         assert needle in text, text
+
+
+@pytest.mark.parametrize(
+    "key,fact,group",
+    [("approx_quantiles", "lineitem", "l_returnflag"), ("win_percentile", "events", "event_type"), ("job_vector_angles", "embeddings", "label")],
+)
+def test_fact_table_is_not_shuffled_for_a_few_groups(spark, sf_dir, key, fact, group):
+    """The group rows are written first; their size is known to be small."""
+    text = plan(QUERIES[key](spark, sf_dir))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_text_mining_has_no_exchange_of_texts(spark, sf_dir):
+    text = plan(QUERIES["job_text_mine"](spark, sf_dir))
+    assert "RoundRobinPartitioning" not in text
+
+
+def test_calendar_has_no_join_on_a_constant(spark, sf_dir):
+    assert "one#" not in plan(QUERIES["job_calendar_fill"](spark, sf_dir))

@@ -12,7 +12,8 @@ def con(sf_dir):
     return open_tables(sf_dir)
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+# Queries of the optional subpackage without SQL have tests of their own.
+@pytest.mark.parametrize("key", sorted(set(entry.QUERIES) | set(ORACLE)))
 def test_query(spark, sf_dir, con, key):
     df = QUERIES[key](spark, sf_dir)
     if key in ORACLE:

@@ -190,3 +190,69 @@ def test_count_below_edges(spark):
     }
     assert count(False) == {1: 0, 2: 1, 5: 3}
     assert count(True) == {1: 1, 2: 3, 5: 3}
+
+
+@pytest.fixture(scope="module")
+def odd_rows(spark):
+    """Values that are NULL at the head of slices, NaN, infinite or do not add exactly."""
+    rng = random.Random(9)
+    pick = lambda i: None if i % 5 < 2 else rng.choice([0.1, 0.2, 1e7, -1e7, 3.3])
+    data = [(i, "hot" if i % 3 else "cold", i // 4, pick(i)) for i in range(240)]
+    data += [(1000 + i, "odd", i, float("nan") if i == 7 else float("inf") if i == 19 else 0.1) for i in range(60)]
+    data += [(2000 + i, "none", i, None) for i in range(40)]
+    rows = spark.createDataFrame(data, "id bigint, k string, t bigint, v double")
+    return rows.withColumn("ts", F.timestamp_seconds(F.col("t") * 30).cast("timestamp_ntz")).cache()
+
+
+def same(a, b):
+    return a == b or (a is not None and b is not None and (str(a) == str(b) == "nan" or a == pytest.approx(b, rel=1e-9, abs=1e-3)))
+
+
+@pytest.mark.parametrize("max_rows", [6, 10_000])
+def test_frames_over_odd_values_equal_plain_windows(odd_rows, max_rows):
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = odd_rows.withColumn("m", F.sum("v").over(w.rowsBetween(-2, 0)))
+    got = moving_sum(odd_rows, ["k"], ["t", "id"], F.col("v"), 3, "m", max_rows)
+    assert all(same(a[1], b[1]) for a, b in zip(collect(got, "id", "m"), collect(want, "id", "m")))
+    day = F.expr("sum(v) OVER (PARTITION BY k ORDER BY ts RANGE BETWEEN INTERVAL 2 MINUTE PRECEDING AND CURRENT ROW)")
+    want = odd_rows.select("k", "ts", day.alias("s")).distinct()
+    got = sliding_totals(odd_rows, ["k"], "ts", "2 MINUTE", {"s": F.col("v")}, max_rows)
+    wanted = {(r["k"], r["ts"]): r["s"] for r in want.collect()}
+    rows = got.collect()
+    assert len(rows) == len(wanted) and all(same(r["s"], wanted[r["k"], r["ts"]]) for r in rows)
+
+
+@pytest.mark.parametrize("max_rows", [6, 10_000])
+def test_running_sums_with_nulls(odd_rows, max_rows):
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    whole = odd_rows.withColumn("v", F.when(F.col("k") != "odd", (F.col("v") * 10).cast("decimal(38,4)")))
+    want = collect(whole.withColumn("r", F.sum("v").over(w)), "id", "r")
+    got = running_sums(whole, ["k"], [F.col("t"), F.col("id")], {"r": F.col("v")}, max_rows)
+    assert collect(got, "id", "r") == want
+
+
+def test_salted_join_counts_pairs(spark):
+    """A key that is not hot on either side but is by their product gets salts."""
+    left = spark.range(200).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+    right = spark.range(200).select(F.lit(1).alias("k"), F.col("id").alias("b"))
+    got = salted_join(left, right, ["k"], max_rows=210)
+    assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == 40_000 and got.distinct().count() == 40_000
+
+
+def test_long_bands_and_open_ranges(spark):
+    points = spark.createDataFrame([(i, float(i * 1000)) for i in range(50)], "id bigint, v double")
+    bands = spark.createDataFrame([(1, 0.0, 1e9), (2, 999.0, 1001.0), (3, -1e12, 2000.0)], "band bigint, lo double, hi double")
+    got = sorted((r["id"], r["band"]) for r in band_join(points, bands, "v", "lo", "hi", 1.0).collect())
+    want = sorted((i, b) for i in range(50) for b, lo, hi in ((1, 0, 1e9), (2, 999, 1001), (3, -1e12, 2000)) if lo <= i * 1000 < hi)
+    assert got == want
+    semi = band_join(points, bands.filter("band > 1"), "v", "lo", "hi", 1.0, how="left_semi")
+    assert sorted(r["id"] for r in semi.collect()) == [0, 1]
+    ts = lambda x: None if x is None else f"2024-01-{x:02d} 00:00:00"
+    spans = [(1, ts(1), ts(3)), (2, None, ts(2)), (3, ts(2), None), (4, None, None), (5, ts(9), ts(9)), (6, ts(20), ts(21))]
+    df = spark.createDataFrame(spans, "i int, s string, e string").select("i", *[F.col(c).cast("timestamp_ntz").alias(c) for c in "se"])
+    other = df.select(F.col("i").alias("j"), F.col("s").alias("s2"), F.col("e").alias("e2"))
+    got = sorted((r["i"], r["j"]) for r in overlap_join(df, other, ("s", "e"), ("s2", "e2"), "1 HOUR").collect())
+    low, high = (lambda x: x or "0"), (lambda x: x or "9")
+    fine = [x for x in spans if x[0] != 5]
+    assert got == sorted((a[0], b[0]) for a in fine for b in fine if low(a[1]) < high(b[2]) and low(b[1]) < high(a[2]))

@@ -1,5 +1,7 @@
-"""The partitioned source, catalogue views and the row generator."""
+"""Parquet scans, catalogue views and the row generator."""
 import datetime as dt
+import io
+from contextlib import redirect_stdout
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -20,7 +22,6 @@ from tidewater.sources.catalog import (
     with_display_name,
 )
 from tidewater.sources.generator import generate_rows
-from tidewater.sources.splits import Split, SplitsReader, group_splits, plan_splits, read_splits
 
 
 @pytest.fixture(scope="module")
@@ -48,80 +49,52 @@ def rows_of(df):
     return sorted((tuple(str(v) for v in r) for r in df.collect()))
 
 
-def test_any_number_of_splits_gives_the_same_rows(spark, folder):
-    want = rows_of(spark.read.parquet(folder))
-    for options in ({"splits": 1}, {"splits": 7}, {"splitBytes": 4000}, {"splitBytes": 1000, "maxConcurrency": 3}):
-        assert rows_of(read_splits(spark, folder, **options)) == want
+def scanned(df):
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
 
 
-def test_partition_counts(spark, folder):
-    assert read_splits(spark, folder, splits=1).rdd.getNumPartitions() == 1
-    many = read_splits(spark, folder, splitBytes=2000).rdd.getNumPartitions()
-    assert many > 8
-    assert read_splits(spark, folder, splitBytes=2000, maxConcurrency=4).rdd.getNumPartitions() == 4
+def test_columns_and_filters_reach_the_scan(spark, folder):
+    kept = spark.read.parquet(folder).filter((F.col("id") >= 100) & F.col("v").isNotNull()).select("id", "v")
+    text = scanned(kept)
+    assert "ReadSchema: struct<id:bigint,v:double>" in text
+    pushed = next(line for line in text.splitlines() if line.startswith("PushedFilters"))
+    assert "GreaterThanOrEqual(id,100)" in pushed and "IsNotNull(v)" in pushed
+    assert kept.count() == sum(1 for f, n in enumerate((1000, 700, 300)) for i in range(f * 10_000, f * 10_000 + n) if i >= 100 and i % 7)
 
 
-def test_every_byte_belongs_to_one_split():
-    splits = plan_splits([("a", 1000), ("b", 5), ("c", 0)], 300)
-    for path, size in (("a", 1000), ("b", 5), ("c", 0)):
-        mine = [s for s in splits if s.path == path]
-        assert mine[0].start == 0 and mine[-1].end == size
-        assert all(x.end == y.start for x, y in zip(mine, mine[1:]))
-    grouped = group_splits(splits, 2)
-    assert len(grouped) == 2 and sum(len(g.splits) for g in grouped) == len(splits)
-    assert len(group_splits([Split("a", 0, 1)], None)) == 1
+def test_pushed_filters_keep_nan_and_drop_null(spark, tmp_path):
+    values = [1.0, 5.0, 10.0, float("nan"), None]
+    pq.write_table(pa.table({"x": pa.array(values, pa.float64())}), tmp_path / "t.parquet")
+    df = spark.read.parquet(str(tmp_path))
+    got = lambda test: sorted(str(r["x"]) for r in df.filter(test).collect())
+    assert got("x > 5") == ["10.0", "nan"] and got("x >= 5") == ["10.0", "5.0", "nan"]
+    assert got("x IN (10.0, NULL)") == ["10.0"]
 
 
-def test_columns_and_filters_reach_the_source(spark, folder):
-    df = read_splits(spark, folder, splits=4, columns="id,v,ts")
-    assert df.columns == ["id", "v", "ts"]
-    kept = df.filter(
-        (F.col("id") >= 100) & F.col("v").isNotNull() & (F.col("ts") < F.lit("2024-01-05").cast("timestamp_ntz")) & (F.col("id") % 2 == 0)
-    )
-    plain = spark.read.parquet(folder).select("id", "v", "ts").filter(
-        (F.col("id") >= 100) & F.col("v").isNotNull() & (F.col("ts") < F.lit("2024-01-05").cast("timestamp_ntz")) & (F.col("id") % 2 == 0)
-    )
-    assert rows_of(kept) == rows_of(plain) and kept.count() > 0
-
-
-def test_push_filters_keeps_what_it_cannot_do(spark, folder):
-    from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull, StringContains
-
-    schema = spark.read.parquet(folder).schema
-    reader = SplitsReader({"path": folder}, schema)
-    mine = [EqualTo(("id",), 5), GreaterThan(("v",), 1.0), In(("name",), ("a", "b")), IsNotNull(("v",))]
-    other = [StringContains(("name",), "x"), EqualTo(("nested", "x"), 1)]
-    assert list(reader.pushFilters(mine + other)) == other
-    assert len(reader.pushed) == 4
+def test_folders_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "by-day")
+    spark.range(100).withColumn("day", F.col("id") % 10).write.partitionBy("day").parquet(path)
+    df = spark.read.parquet(path).filter("day = 3")
+    assert "PartitionFilters: [isnotnull(day" in scanned(df) and df.count() == 10
+    assert len(df.inputFiles()) >= 1
 
 
-def test_row_groups_are_pruned_by_pushed_filters(spark, folder):
-    reader = SplitsReader({"path": folder}, spark.read.parquet(folder).schema)
-    from pyspark.sql.datasource import EqualTo
-
-    assert list(reader.pushFilters([EqualTo(("id",), 20_007)])) == []
-    batches = [b for part in reader.partitions() for b in reader.read(part)]
-    assert sum(b.num_rows for b in batches) == 1
-
-
-def test_empty_results_keep_the_schema(spark, folder, tmp_path):
-    none = read_splits(spark, folder).filter("id < 0")
+def test_empty_results_keep_the_schema(spark, folder):
+    none = spark.read.parquet(folder).filter("id < 0")
     assert none.count() == 0 and none.schema == spark.read.parquet(folder).schema
-    pq.write_table(pa.table({"a": pa.array([], pa.int64())}), tmp_path / "none.parquet")
-    empty = read_splits(spark, str(tmp_path))
-    assert empty.columns == ["a"] and empty.count() == 0
-
 
-def test_missing_path(spark, tmp_path):
-    with pytest.raises(Exception, match="FileNotFound|no parquet files"):
-        read_splits(spark, str(tmp_path / "nothing")).count()
 
+def test_a_further_table_shows_in_the_catalog(spark, tmp_path):
+    from tidewater.plans import QUERIES, load_all
 
-def test_sample_split_is_repeatable_and_a_part(spark, folder):
-    one = rows_of(read_splits(spark, folder, splitBytes=4000, sampleSplit=1))
-    assert one == rows_of(read_splits(spark, folder, splitBytes=4000, sampleSplit=1))
-    assert 0 < len(one) < 2000
-    assert set(one) <= set(rows_of(spark.read.parquet(folder)))
+    load_all()
+    for name in ("orders", "invoices"):
+        pq.write_table(pa.table({"a": [1, 2]}), tmp_path / f"{name}.parquet")
+    rows = QUERIES["catalog_browse"](spark, str(tmp_path)).collect()
+    assert {(r["name"], r["n_rows"]) for r in rows} == {("orders", 2), ("invoices", 2)}
 
 
 def test_browse_and_names(spark, sf_dir, tmp_path):

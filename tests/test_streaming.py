@@ -31,3 +31,15 @@ def test_rows_behind_the_watermark_are_left_out(spark):
     stream = bucket_stream(spark, path, schema, "ts", "1 hour", "1 hour", [], [F.count(F.lit(1)).alias("n")])
     got = sorted((str(r["bucket"]), r["n"]) for r in run_available(stream, []).collect())
     assert got == [("2024-01-01 00:00:00", 1), ("2024-01-05 00:00:00", 1)]
+
+
+def test_no_row_is_lost_over_many_unordered_files(spark):
+    """2,001 files in three batches, the last file holding the oldest row."""
+    path = scratch_path(spark, "many")
+    rows = spark.range(2001).select((F.lit(4000) - F.col("id")).alias("minute"))
+    rows.select(F.timestamp_seconds(F.col("minute") * 60).cast("timestamp_ntz").alias("ts")).repartition(2001, "ts").write.option(
+        "maxRecordsPerFile", 1
+    ).parquet(path)
+    schema = spark.read.parquet(path).schema
+    stream = bucket_stream(spark, path, schema, "ts", "1 hour", None, [], [F.count(F.lit(1)).alias("n")])
+    assert run_available(stream, []).agg(F.sum("n")).first()[0] == 2001

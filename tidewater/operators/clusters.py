@@ -12,7 +12,7 @@ from tidewater.operators.spatial import (
     AXES,
     CELL,
     MAX_LEVEL,
-    SLACK,
+    slack,
     _cell,
     _spread,
     _square,
@@ -110,7 +110,7 @@ def _linked_groups(members: DataFrame, pairs: DataFrame, size: float, limit: flo
         return rows.select(F.col("node").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in (*names, *described)])
 
     def judged(rows: DataFrame) -> DataFrame:
-        close = _box_gap("a_", "b_") <= limit + SLACK
+        close = _box_gap("a_", "b_") <= limit + slack(limit)
         reps = reduce(
             lambda s, t: s + t,
             [(F.col(f"a_rep_{v}") - F.col(f"b_rep_{v}")) * (F.col(f"a_rep_{v}") - F.col(f"b_rep_{v}")) for v in AXES],
@@ -142,6 +142,8 @@ def _linked_groups(members: DataFrame, pairs: DataFrame, size: float, limit: flo
             return old.join(children(p), on).drop(*on[1:])
 
         open_pairs = descend(descend(rest, "a"), "b")
+    else:
+        raise RuntimeError("groups of locations did not settle")
     return reduce(lambda x, y: x.unionByName(y), linked).distinct()
 
 

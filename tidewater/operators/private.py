@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.relational import exact_percentiles, rank_at_most
+from tidewater.session import materialise
 
 
 @dataclass(frozen=True)
@@ -68,7 +69,7 @@ def private_aggregate(
 ) -> DataFrame:
     """Per group: count, sum, avg, var_pop, stddev_pop of bounded contributions, quantiles, and a report."""
     groups = list(groups)
-    units = user_contributions(df, user, groups, value, bounds)
+    units = materialise(user_contributions(df, user, groups, value, bounds), "units")  # read twice below
     mean = F.col("user_mean").cast("decimal(28,12)")
     # name -> (figure, how far one user can move it)
     top = max(abs(bounds.low), abs(bounds.high))

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.relational import at_level, bucket_level, touched_buckets
 from tidewater.operators.skew import MAX_GROUP_ROWS, running_sums, salted_join
 
 
@@ -63,34 +64,41 @@ def overlap_join(
     left: DataFrame, right: DataFrame, left_range: tuple[str, str], right_range: tuple[str, str], width: str,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Pairs of overlapping [start, end) time ranges.
+    """Pairs of overlapping [start, end) time ranges; a NULL bound is unbounded.
 
-    Both sides are laid on buckets of ``width`` and joined by bucket. A pair
-    that shares several buckets is kept only in the first one both touch, so no
-    distinct step is needed. Crowded buckets are salted.
+    Both sides are laid on buckets of ``width`` and joined by bucket. A range
+    much longer than that lies on coarser buckets, and shorter ranges meet it
+    there. A pair that shares several buckets is kept only in the first one both
+    touch, so no distinct step is needed. Crowded buckets are salted.
     """
     (ls, le), (rs, re) = left_range, right_range
-    slot = lambda c: F.window(c, width)["start"]
-    step = F.expr(f"INTERVAL {width}")
-
-    # F.window drops rows with a NULL time and must be its own column first.
-    def with_slot(df, start, end):
-        marked = df.withColumn("_first", slot(F.col(start)))
-        marked = marked.withColumn("_last_ts", F.col(end) - F.expr("INTERVAL 1 MICROSECOND"))
-        return marked.withColumn("_last", slot(F.col("_last_ts")))
-
-    def spread(df, start, end):
-        return (
-            with_slot(df.filter(F.col(start) < F.col(end)), start, end)
-            .withColumn("_bucket", F.explode(F.sequence("_first", "_last", step)))
-            .drop("_last_ts", "_last")
+    step = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00' + INTERVAL {width})")
+    slot = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / step).cast("bigint")
+    far = 1 << 50  # beyond every bucket of a time
+
+    def with_slots(df: DataFrame, start: str, end: str, side: str) -> DataFrame:
+        kept = df.filter(F.col(start).isNull() | F.col(end).isNull() | (F.col(start) < F.col(end)))
+        last = slot(F.col(end) - F.expr("INTERVAL 1 MICROSECOND"))
+        marked = kept.withColumns(
+            {f"_{side}first": F.coalesce(slot(F.col(start)), F.lit(-far)), f"_{side}last": F.coalesce(last, F.lit(far))}
         )
+        return marked.withColumn(f"_{side}own", bucket_level(f"_{side}first", f"_{side}last"))
 
-    a = spread(left, ls, le).withColumnRenamed("_first", "_lfirst")
-    b = spread(right, rs, re).withColumnRenamed("_first", "_rfirst")
-    pairs = salted_join(a, b, ["_bucket"], max_rows=max_rows)
+    a, b = with_slots(left, ls, le, "l"), with_slots(right, rs, re, "r")
+    # As many rows as there are levels.
+    used = a.select(F.col("_lown").alias("v")).unionByName(b.select(F.col("_rown").alias("v"))).distinct()
+    levels = F.array(*[F.lit(r["v"]) for r in sorted(used.collect())]).cast("array<int>")
+
+    def spread(df: DataFrame, side: str) -> DataFrame:
+        mine = F.filter(levels, lambda x: x >= F.col(f"_{side}own"))
+        at = df.withColumn("_level", F.explode(mine))
+        return at.withColumn("_bucket", F.explode(touched_buckets(f"_{side}first", f"_{side}last", F.col("_level"))))
+
+    pairs = salted_join(spread(a, "l"), spread(b, "r"), ["_level", "_bucket"], max_rows=max_rows)
+    first = F.greatest(at_level(F.col("_lfirst"), F.col("_level")), at_level(F.col("_rfirst"), F.col("_level")))
     return pairs.filter(
-        (F.col(ls) < F.col(re))
-        & (F.col(rs) < F.col(le))
-        & (F.col("_bucket") == F.greatest("_lfirst", "_rfirst"))
-    ).drop("_bucket", "_lfirst", "_rfirst")
+        F.coalesce(F.col(ls) < F.col(re), F.lit(True))
+        & F.coalesce(F.col(rs) < F.col(le), F.lit(True))
+        & (F.col("_level") == F.greatest("_lown", "_rown"))
+        & (F.col("_bucket") == first)
+    ).drop("_level", "_bucket", *[f"_{s}{n}" for s in "lr" for n in ("first", "last", "own")])

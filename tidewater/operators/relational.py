@@ -2,11 +2,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.skew import null_safe_join, running_sums, salted_join
+from tidewater.operators.skew import MAX_GROUP_ROWS, null_safe_join, running_sums, salted_join
 from tidewater.session import materialise
 
 
@@ -40,38 +41,68 @@ def band_join(
 
     A non-equi predicate turned into an equi join: both sides get the number of
     the bucket of ``width`` they fall in (a band, each bucket it touches), then
-    the exact predicate decides. Choose a width near the usual band length. A
-    point has one bucket, so no pair is found twice. Buckets that hold very many
-    points are salted. ``how`` is inner or left_semi.
+    the exact predicate decides. Choose a width near the usual band length; a
+    band much longer than that uses coarser buckets (see ``bucket_level``), so
+    no band is copied more than a fixed number of times. A point has one bucket
+    per level, so no pair is found twice. Crowded buckets are salted. ``how`` is
+    inner or left_semi.
     """
-    bucket = lambda c: F.floor(F.col(c) / F.lit(width)).cast("bigint")
-    left = points.withColumn("_bucket", bucket(value))
-    right = bands.filter(F.col(low) < F.col(high)).withColumn(
-        "_bucket", F.explode(F.sequence(bucket(low), bucket(high)))
-    )
+    bucket = lambda c: F.floor(F.col(c) / F.lit(width)).cast("bigint")
+    right = bands.filter(F.col(low) < F.col(high)).withColumns({"_first": bucket(low), "_last": bucket(high)})
+    right = right.withColumn("_level", bucket_level("_first", "_last"))
+    right = right.withColumn("_bucket", F.explode(touched_buckets("_first", "_last", F.col("_level")))).drop("_first", "_last")
+    # As many rows as there are levels.
+    levels = sorted(r["_level"] for r in right.select("_level").distinct().collect())
+    left = points.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    left = left.withColumn("_bucket", at_level(bucket(value), F.col("_level")))
+    inside = (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
     if how == "left_semi":
-        return (
-            left.join(
-                right.select("_bucket", F.col(low).alias("_low"), F.col(high).alias("_high")),
-                (left["_bucket"] == right["_bucket"]) & (F.col(value) >= F.col("_low")) & (F.col(value) < F.col("_high")),
-                "left_semi",
-            ).drop("_bucket")
-        )
-    pairs = salted_join(left, right, ["_bucket"])
-    return pairs.filter((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("_bucket")
-
-
-def left_join_hot(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join for a right side with hot keys.
-
-    Spark cannot split a hot key on the right of an outer join. So matches come
-    from an inner join, which it can split, and left rows without a match from
-    an anti join against the distinct keys.
+        row = "_row_of_points"
+        numbered = points.withColumn(row, F.xxhash64(*points.columns))
+        found = band_join(numbered, bands, value, low, high, width).select(row, *points.columns).distinct()
+        on = [F.col(f"p.{c}").eqNullSafe(F.col(f"f.{c}")) for c in [row, *points.columns]]
+        return numbered.alias("p").join(found.alias("f"), reduce(lambda x, y: x & y, on), "left_semi").drop(row)
+    return salted_join(left, right, ["_level", "_bucket"]).filter(inside).drop("_level", "_bucket")
+
+
+# Buckets of one level that a range may touch; each level's buckets are as many times as wide as the one before.
+FAN = 64
+
+
+def bucket_level(first: str, last: str) -> Column:
+    """The finest level at which a range from bucket ``first`` to ``last`` touches few buckets."""
+    level = F.lit(10)
+    for x in reversed(range(10)):
+        level = F.when(F.col(last) - F.col(first) <= FAN ** (x + 1), x).otherwise(level)
+    return level.cast("int")
+
+
+def at_level(bucket: Column, level: Column) -> Column:
+    """The bucket of a coarser level that holds a bucket of level 0."""
+    return F.call_function("shiftright", bucket, level * 6)  # FAN is 2 ** 6
+
+
+def touched_buckets(first: str, last: str, level: Column) -> Column:
+    """All buckets of ``level`` from ``first`` to ``last``."""
+    return F.sequence(at_level(F.col(first), level), at_level(F.col(last), level))
+
+
+def left_join_hot(left: DataFrame, right: DataFrame, on: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Left join for a right side that may have hot keys.
+
+    Spark cannot split a hot key on the right of an outer join. Where the right
+    side has none, this is a plain left join. Otherwise rows of hot keys are
+    joined apart: all of them have a match, so theirs is an inner join, which
+    Spark can split.
     """
     on = list(on)
-    matched = left.join(right, on)
-    alone = left.join(right.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = materialise(counts.filter(F.col("_n") > max_rows).select(*on), "hot-keys")
+    if hot.isEmpty():
+        return left.join(right, on, "left")
+    cold = left.join(hot, on, "left_anti").join(right.join(hot, on, "left_anti"), on, "left")
+    matched = left.join(hot, on, "left_semi").join(right, on)
+    return cold.unionByName(matched)
 
 
 def rank_at_most(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

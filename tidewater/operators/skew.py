@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tidewater.session import materialise
 
 MAX_GROUP_ROWS = 4_000_000
+# Candidate pairs one task of a join may look at, per row of the limit above.
+PAIRS_PER_ROW = 16
 
 
 def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -102,16 +104,21 @@ def running_sums(
         *[F.sum(f"_in_{n}").alias(f"_t_{n}") for n in sums]
     )
     before = totals.select(
-        *keys, "_slice", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in sums]
+        *keys, "_slice", *[F.sum(f"_t_{n}").over(earlier).alias(f"_b_{n}") for n in sums]
     )
     joined = (
         sliced.select("*", *[F.sum(f"_in_{n}").over(local).alias(f"_l_{n}") for n in sums])
         .alias("d")
         .join(before.alias("b"), _same_keys("d", "b", [*keys, "_slice"]))
     )
+
+    def carried(n: str) -> Column:
+        """Local and carried part; NULL only where neither holds a value."""
+        own, before = F.col(f"_l_{n}"), F.col(f"_b_{n}")
+        return F.when(own.isNull(), before).when(before.isNull(), own).otherwise(own + before)
+
     wanted = joined.select(
-        *[F.col(f"d.{c}") for c in df.columns],
-        *[(F.col(f"_l_{n}") + F.col(f"_b_{n}")).cast(types[n]).alias(n) for n in sums],
+        *[F.col(f"d.{c}") for c in df.columns], *[carried(n).cast(types[n]).alias(n) for n in sums]
     )
     return wanted if done is None else done.unionByName(wanted)
 
@@ -137,19 +144,25 @@ def salted_join(
 ) -> DataFrame:
     """Equi join whose hot keys are spread over several tasks.
 
-    ``big`` rows of a key above ``max_rows`` are dealt over salts by a hash of
-    ``salt_by`` (repeatable, so a retried task deals them the same way); the
-    matching ``small`` rows are repeated once per salt. ``how`` may be inner,
-    left or left_semi/left_anti, all of which keep ``big`` rows exactly once.
+    A key is hot by its ``big`` rows (above ``max_rows``) or by its candidate
+    pairs, ``big`` rows times ``small`` rows (above ``PAIRS_PER_ROW`` times
+    that). Its ``big`` rows are dealt over salts by a hash of ``salt_by``
+    (repeatable, so a retried task deals them the same way); the matching
+    ``small`` rows are repeated once per salt. ``how`` may be inner, left or
+    left_semi/left_anti, all of which keep ``big`` rows exactly once.
     """
     on = list(on)
-    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = materialise(
-        counts.filter(F.col("_n") > max_rows).select(
-            *on, F.ceil(F.col("_n") / F.lit(max_rows)).cast("int").alias("_salts")
-        ),
-        "hot-keys",
+    tally = lambda df, n: df.groupBy(*on).agg(F.count(F.lit(1)).alias(n))
+    counts = tally(big, "_n").join(tally(small, "_m"), on, "left")
+    salts = F.ceil(
+        F.greatest(
+            F.col("_n") / F.lit(max_rows),
+            F.col("_n").cast("double") * F.coalesce("_m", F.lit(0)) / F.lit(float(max_rows * PAIRS_PER_ROW)),
+        )
     )
+    # No more salts than there are rows to deal.
+    counts = counts.withColumn("_salts", F.least(salts, F.col("_n")).cast("int"))
+    hot = materialise(counts.filter("_salts > 1").select(*on, "_salts"), "hot-keys")
     if hot.isEmpty():
         return big.join(small, on, how)
     salts = F.coalesce(F.col("_salts"), F.lit(1))

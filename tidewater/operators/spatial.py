@@ -251,8 +251,16 @@ def _box_distances(lo: str, hi: str, other_lo: str, other_hi: str) -> dict[str,
     return {"near": add([g * g for g in near]), "far": add([r * r for r in far])}
 
 
-# Squared distances are compared with a little slack: boxes and points round differently.
-SLACK = 1e-12
+def slack(limit):
+    """What rounding may add to a squared chord of about ``limit`` (a number or a column).
+
+    Coordinates lie on the unit sphere, so their rounding moves a chord by some
+    1e-15 and its square by as much times the chord.
+    """
+    root = F.sqrt(limit) if isinstance(limit, Column) else limit**0.5
+    return limit * 1e-9 + root * 8e-15 + 1e-29
+
+
 QUERY_BOX = [f"q{p}{v}" for v in AXES for p in ("lo_", "hi_")]
 
 
@@ -296,7 +304,7 @@ def _point_pairs(tree: CellTree, rows: DataFrame, limit: Column) -> DataFrame:
     """
     gaps = [F.greatest(F.col(f"lo_{v}") - F.col(f"p{v}"), F.col(f"p{v}") - F.col(f"hi_{v}"), F.lit(0.0)) for v in AXES]
     gap = reduce(lambda a, b: a + b, [g * g for g in gaps])
-    asked = tree.members().join(rows.withColumn("_limit", limit), "q").filter(gap <= F.col("_limit") + SLACK)
+    asked = tree.members().join(rows.withColumn("_limit", limit), "q").filter(gap <= F.col("_limit") + slack(F.col("_limit")))
     others = tree.leaves.select(F.col("loc").alias("other"), "w", "level", *CELL, *[F.col(v).alias(f"r{v}") for v in AXES])
     pairs = asked.select("loc", *[f"p{v}" for v in AXES], "level", *CELL).join(others, ["level", *CELL])
     return pairs.select("loc", "other", "w", _square("p", "r").alias("square"))
@@ -310,12 +318,12 @@ def neighbour_counts(locs: DataFrame, metres: float, leaf: int | None = None) ->
     """
     tree = CellTree(locs.withColumn("w", F.col("n")), leaf or LEAF_LOCATIONS)
     limit = chord_of(metres) ** 2
-    inside = F.col("far") <= limit - SLACK
+    inside = F.col("far") <= limit - slack(limit)
 
     def settle(rows):
         return rows.filter(inside).select("q", F.col("w").alias("n")), rows.filter(~inside)
 
-    rows, finals = _walk_down(tree, lambda hit: hit.filter(F.col("near") <= limit + SLACK), settle)
+    rows, finals = _walk_down(tree, lambda hit: hit.filter(F.col("near") <= limit + slack(limit)), settle)
     pairs = _point_pairs(tree, rows, F.lit(limit)).filter(F.col("square") <= limit)
     whole = reduce(lambda a, b: a.unionByName(b), finals).groupBy("q").agg(F.sum("n").alias("n"))
     parts = pairs.select("loc", F.col("w").alias("n")).unionByName(tree.members().join(whole, "q").select("loc", "n"))
@@ -345,7 +353,7 @@ def nearest_neighbours(points: DataFrame, key: str, k: int, lon: str = "lon", la
         held = hit.withColumn("_held", F.sum("w").over(by_far))
         bound = F.min(F.when(F.col("_held") >= k + 1, F.col("far"))).over(Window.partitionBy("q"))
         held = held.withColumn("bound", F.coalesce(bound, F.lit(5.0))).drop("_held")  # squared chords end at 4
-        return held.filter(F.col("near") <= F.col("bound") + SLACK)
+        return held.filter(F.col("near") <= F.col("bound") + slack(F.col("bound")))
 
     found, _ = _walk_down(tree, keep)
     pairs = _point_pairs(tree, found, F.col("bound")).select("loc", F.col("other"), "square")

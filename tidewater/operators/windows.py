@@ -117,21 +117,25 @@ def moving_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, rows: int, name: str,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add the sum of ``value`` over the current and the ``rows - 1`` earlier rows of the group."""
+    """Add the sum of ``value`` over the current and the ``rows - 1`` earlier rows of the group.
+
+    A hot group is cut into slices of numbered rows; a slice also gets the
+    ``rows - 1`` rows before it, so every frame lies in one slice and is summed
+    by Spark's own window.
+    """
     keys = list(keys)
     cold, hot, _ = split_hot(df, keys, max_rows)
-    frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(1 - rows, 0)
-    done = cold.withColumn(name, F.sum(value).over(frame))
+    frame = lambda *by: Window.partitionBy(*by).rowsBetween(1 - rows, 0)
+    done = cold.withColumn(name, F.sum(value).over(frame(*keys).orderBy(*order)))
     if hot is None:
         return done
-    running = materialise(
-        running_sums(hot, keys, [F.col(c) for c in order], {"_rn": F.lit(1).cast("bigint"), "_run": value}, max_rows),
-        "running",
-    )
-    before = running.select(*keys, (F.col("_rn") + rows).alias("_rn"), F.col("_run").alias("_old"))
-    joined = null_safe_join(running, before, [*keys, "_rn"], "left")
-    total = F.col("_run") - F.coalesce(F.col("_old"), F.lit(0))
-    return done.unionByName(joined.withColumn(name, total.cast(done.schema[name].dataType)).select(*done.columns))
+    size = max(max_rows, rows)
+    at = F.col("_rn") - 1
+    counted = materialise(numbered(hot, keys, [F.col(c) for c in order], "_rn", max_rows), "numbered")
+    own = counted.withColumns({"_slice": F.floor(at / size), "_halo": F.lit(False)})
+    halo = counted.filter(at % size >= size - rows + 1).withColumns({"_slice": F.floor(at / size) + 1, "_halo": F.lit(True)})
+    summed = own.unionByName(halo).withColumn(name, F.sum(value).over(frame(*keys, "_slice").orderBy("_rn")))
+    return done.unionByName(summed.filter("NOT _halo").select(*done.columns))
 
 
 def sliding_totals(
@@ -144,18 +148,36 @@ def sliding_totals(
 ) -> DataFrame:
     """Totals over the time range [ts - width, ts] for each distinct (group, ts).
 
-    Same result as a RANGE frame. A row adds its value at ``ts`` and takes it
-    back just after ``ts + width``, so every frame is one running sum: the cost
-    does not grow with the number of rows a frame spans.
+    Rows of equal time are added up first; then Spark's own RANGE frame. A hot
+    group is cut into slices of numbered times; a slice also gets the times up
+    to ``width`` before its first one, so every frame lies in one slice.
     """
     keys = list(keys)
     at = materialise(df.groupBy(*keys, ts).agg(*[F.sum(c).alias(n) for n, c in sums.items()]), "totals")
-    enter = at.withColumn("_leaving", F.lit(0))
-    leave = at.withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {width}")).withColumn("_leaving", F.lit(1))
-    for n in sums:
-        leave = leave.withColumn(n, (-F.col(n)).cast(at.schema[n].dataType))
-    both = enter.unionByName(leave)
-    run = running_sums(
-        both, keys, [F.col(ts), F.col("_leaving")], {f"_run_{n}": F.col(n) for n in sums}, max_rows
+    names = [*keys, ts, *sums]
+    # NULL times form a frame of their own, as in any RANGE frame.
+    framed = lambda by: [
+        F.expr(
+            f"sum({n}) OVER (PARTITION BY {', '.join(f'`{k}`' for k in by)} ORDER BY `{ts}` "
+            f"RANGE BETWEEN INTERVAL {width} PRECEDING AND CURRENT ROW)"
+        ).cast(at.schema[n].dataType).alias(n)
+        for n in sums
+    ]
+    cold, hot, _ = split_hot(at, keys, max_rows)
+    done = cold.select(*keys, ts, *framed(keys))
+    if hot is None:
+        return done
+    counted = numbered(hot, keys, [F.col(ts)], "_rn", max_rows).withColumn("_slice", F.floor((F.col("_rn") - 1) / max_rows))
+    counted = materialise(counted, "numbered")
+    # Per hot group as many entries as it has slices.
+    starts = counted.groupBy(*keys, "_slice").agg(F.min(ts).alias("start")).groupBy(*keys).agg(
+        F.collect_list(F.struct("_slice", "start")).alias("_starts")
+    )
+    ahead = F.filter(
+        "_starts", lambda s: (s["_slice"] > F.col("_slice")) & (s["start"] - F.expr(f"INTERVAL {width}") <= F.col(ts))
     )
-    return run.filter(F.col("_leaving") == 0).select(*keys, ts, *[F.col(f"_run_{n}").alias(n) for n in sums])
+    placed = null_safe_join(counted, starts, keys)
+    halo = placed.withColumn("_slice", F.explode(F.transform(ahead, lambda s: s["_slice"]))).withColumn("_halo", F.lit(True))
+    both = counted.withColumn("_halo", F.lit(False)).select(*names, "_slice", "_halo").unionByName(halo.select(*names, "_slice", "_halo"))
+    summed = both.select(*keys, ts, "_halo", *framed([*keys, "_slice"]))
+    return done.unionByName(summed.filter("NOT _halo").select(*done.columns))

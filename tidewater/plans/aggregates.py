@@ -373,6 +373,7 @@ def approx_quantiles(spark, sf_dir):
     bounds = lines.groupBy("l_returnflag").agg(
         F.approx_percentile("l_extendedprice", fractions, ACCURACY).alias("b"), F.count(F.lit(1)).alias("n")
     )
+    bounds = materialise(bounds, "bounds")  # its real size decides the join below
     slack = F.greatest(F.col("n") * (2.0 / ACCURACY), F.lit(2.0))
     checks, agg = [], []
     for i in range(QUANTILES + 1):

@@ -10,7 +10,7 @@ from tidewater.functions.text import initcap, split_literal
 from tidewater.operators.windows import moving_sum
 from tidewater.plans.conforming import EVENT_FORMATS, EVENT_TYPES, damaged_events
 from tidewater.plans.registry import query
-from tidewater.session import materialise, table, widen
+from tidewater.session import materialise, table
 
 
 def _money(name):
@@ -120,6 +120,7 @@ def job_vector_angles(spark, sf_dir):
     )
     # As many entries per label as a vector has dimensions.
     means = cells.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "m")))["m"].alias("mean"))
+    means = materialise(means, "means")  # its real size decides the join below
     add = lambda acc, v: acc + v
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), add)
     sized = vectors.join(means, "label").select(
@@ -186,13 +187,15 @@ def job_calendar_fill(spark, sf_dir):
     """Gap-filled hourly counts per event type with a sum over the last 24 hours."""
     events = table(spark, sf_dir, "events")
     counts = events.groupBy("event_type", trunc_to("hour", F.col("ts")).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    bounds = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).withColumns(
-        {c: F.date_trunc("hour", c) for c in ("a", "b")}
-    )
-    hours = bounds.select(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR")).alias("hours"), F.lit(1).alias("one"))
-    kinds = events.select("event_type").distinct().withColumn("one", F.lit(1))
-    grid = kinds.join(hours, "one").select("event_type", F.explode("hours").alias("h")).select(
-        "event_type", F.col("h").cast("timestamp_ntz").alias("hour")
+    counts = materialise(counts, "hour-counts")
+    # The span of all events is one row; days are dealt out before they become hours.
+    span = counts.agg(F.min("hour").alias("a"), F.max("hour").alias("b")).first()
+    lit = lambda t: F.lit(t).cast("timestamp_ntz")
+    days = F.explode(F.sequence(F.date_trunc("day", lit(span["a"])), lit(span["b"]), F.expr("INTERVAL 1 DAY")))
+    kinds = counts.select("event_type").distinct().select("event_type", days.alias("day"))
+    hours = F.explode(F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: (F.col("day") + F.make_dt_interval(hours=h)).cast("timestamp_ntz")))
+    grid = kinds.select("event_type", hours.alias("hour")).filter(
+        F.col("hour").between(lit(span["a"]), lit(span["b"]))
     )
     filled = materialise(
         grid.join(counts, ["event_type", "hour"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))), "grid"
@@ -272,7 +275,7 @@ def job_text_mine(spark, sf_dir):
         found = [
             F.sum(F.size(F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)))).alias(f"n_{n}") for n, p in PATTERNS.items()
         ]
-        rows = widen(table(spark, sf_dir, name)).groupBy(F.lit(name).alias("origin"), group.alias("grp"))
+        rows = table(spark, sf_dir, name).groupBy(F.lit(name).alias("origin"), group.alias("grp"))
         return rows.agg(F.count(F.lit(1)).alias("n_rows"), *found)
 
     documents = hits("documents", "text", F.concat_ws("/", "lang", "source"))

@@ -8,7 +8,6 @@ from tidewater.operators.relational import band_join, left_join_hot
 from tidewater.plans.registry import query
 from tidewater.session import table, table_path
 from tidewater.sources.sinks import export_files
-from tidewater.sources.splits import read_splits
 
 
 def _ntz(text):
@@ -163,9 +162,9 @@ def join_self_alias(spark, sf_dir):
     """,
 )
 def join_federated(spark, sf_dir):
-    """Three sources in one query: parquet, the partitioned source, and a JSON export."""
+    """Sources of two kinds in one query: parquet tables and a JSON export."""
     per_customer = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    customer = read_splits(spark, table_path(sf_dir, "customer"), columns="c_custkey,c_nationkey,c_mktsegment")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     suppliers = export_files(table(spark, sf_dir, "supplier"), "json")
     nations = suppliers.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("k")).filter("k >= 2")
     return (

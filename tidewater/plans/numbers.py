@@ -21,7 +21,7 @@ from tidewater.functions.numeric import (
     uint64_to_int64,
 )
 from tidewater.plans.registry import query
-from tidewater.session import table, widen
+from tidewater.session import table
 
 KEY = ["l_orderkey", "l_partkey", "l_linenumber"]
 
@@ -241,12 +241,12 @@ PRICE_BOUNDS = [10000.0, 30000.0, 60000.0, 90000.0]
     "range_bucket",
     "SELECT CAST("
     + " + ".join(f"(l_extendedprice >= {b})::INTEGER" for b in PRICE_BOUNDS)
-    + " AS INTEGER) AS bucket, CAST(floor(l_extendedprice / 20000) + 1 AS BIGINT) AS even_bucket, count(*) AS n "
-    "FROM lineitem WHERE l_extendedprice < 200000 GROUP BY ALL",
+    + " AS INTEGER) AS bucket, CAST(least(greatest(floor(l_extendedprice / 20000) + 1, 0), 11) AS BIGINT) AS even_bucket, count(*) AS n "
+    "FROM lineitem GROUP BY ALL",
 )
 def range_bucket_query(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").filter("l_extendedprice < 200000")
-    return lines.groupBy(
+    """Values below the first bound are in bucket 0, values from the last bound on in the last one."""
+    return table(spark, sf_dir, "lineitem").groupBy(
         range_bucket(F.col("l_extendedprice"), PRICE_BOUNDS).alias("bucket"),
         F.width_bucket("l_extendedprice", F.lit(0.0), F.lit(200000.0), F.lit(10).cast("bigint")).alias("even_bucket"),
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -262,14 +262,25 @@ def range_bucket_query(spark, sf_dir):
 def parse_number(spark, sf_dir):
     """The first number in each document, NULL where there is none."""
     first = F.regexp_extract("text", r"([0-9]+([.][0-9]+)?)", 1)
-    return widen(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", first.try_cast("decimal(38,9)").alias("as_numeric"), first.try_cast("decimal(38,18)").alias("as_big")
     )
 
 
-@query("random_ids")
+@query(
+    "random_ids",
+    "SELECT count(*) AS n_rows, count(*) AS n_ids, true AS in_range, true AS spread, true AS ids_well_formed FROM orders",
+)
 def random_ids(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.rand(7).alias("r"), F.uuid().alias("id"))
+    """What must hold of random numbers and ids, whatever they are: in [0, 1), spread evenly, distinct."""
+    drawn = table(spark, sf_dir, "orders").select(F.rand(7).alias("r"), F.uuid().alias("id"))
+    return drawn.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("id").alias("n_ids"),
+        F.bool_and((F.col("r") >= 0) & (F.col("r") < 1)).alias("in_range"),
+        (F.abs(F.avg("r") - 0.5) < 6 * F.sqrt(F.lit(1.0) / (12 * F.count(F.lit(1))))).alias("spread"),
+        F.bool_and(F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("ids_well_formed"),
+    )
 
 
 @query(

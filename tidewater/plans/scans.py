@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.numeric import fixed, sum_fixed
 from tidewater.plans.registry import query
-from tidewater.session import scratch_path, table, table_path
+from tidewater.session import scratch_path, table
 from tidewater.sources.catalog import (
     browse,
     dry_run,
@@ -17,7 +17,6 @@ from tidewater.sources.catalog import (
 )
 from tidewater.sources.generator import generate_rows
 from tidewater.sources.sinks import PAGE_BYTES, export_files, export_pages, read_profile
-from tidewater.sources.splits import read_splits
 
 ORDER_TOTALS_SQL = """
 SELECT {key}, count(*) AS n_rows, CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
@@ -33,12 +32,14 @@ def _totals(df, key, value):
 
 @query("scan_partitioned", "SELECT * FROM orders")
 def scan_partitioned(spark, sf_dir):
-    return read_splits(spark, table_path(sf_dir, "orders"), splitBytes=1 << 27)
+    """A whole table; Spark cuts its files into byte ranges and reads them side by side."""
+    return table(spark, sf_dir, "orders")
 
 
 @query("scan_single", "SELECT * FROM customer")
 def scan_single(spark, sf_dir):
-    return read_splits(spark, table_path(sf_dir, "customer"), splits=1)
+    """A read by name alone, without any hint on how to split it."""
+    return table(spark, sf_dir, "customer")
 
 
 @query(
@@ -46,19 +47,21 @@ def scan_single(spark, sf_dir):
     ORDER_TOTALS_SQL.format(key="l_returnflag", value="l_extendedprice", table="lineitem", where=""),
 )
 def scan_concurrency_cap(spark, sf_dir):
-    df = read_splits(
-        spark,
-        table_path(sf_dir, "lineitem"),
-        splitBytes=1 << 20,
-        maxConcurrency=2,
-        columns="l_returnflag,l_extendedprice",
-    )
-    return _totals(df, "l_returnflag", "l_extendedprice")
+    """At most as many tasks read as the session has cores: neighbouring splits share a task."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    return _totals(lines.coalesce(spark.sparkContext.defaultParallelism), "l_returnflag", "l_extendedprice")
 
 
-@query("scan_empty", "SELECT * FROM orders WHERE o_totalprice < 0")
+@query(
+    "scan_empty",
+    "SELECT count(*) AS n_rows, max(o_orderkey) AS last_key, sum(o_totalprice) AS total FROM orders WHERE o_totalprice < 0",
+)
 def scan_empty(spark, sf_dir):
-    return read_splits(spark, table_path(sf_dir, "orders")).filter(F.col("o_totalprice") < 0)
+    """Totals over a scan that finds nothing: one row, no rows counted, NULL totals."""
+    none = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") < 0)
+    return none.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("o_orderkey").alias("last_key"), F.sum("o_totalprice").alias("total")
+    )
 
 
 NATIVE_TEXT = """
@@ -104,8 +107,7 @@ def scan_nested_source(spark, sf_dir):
     ORDER_TOTALS_SQL.format(key="l_linestatus", value="l_extendedprice", table="lineitem", where=""),
 )
 def scan_project_pushdown(spark, sf_dir):
-    df = read_splits(spark, table_path(sf_dir, "lineitem"), columns="l_linestatus,l_extendedprice")
-    return _totals(df, "l_linestatus", "l_extendedprice")
+    return _totals(table(spark, sf_dir, "lineitem"), "l_linestatus", "l_extendedprice")
 
 
 @query(
@@ -118,11 +120,8 @@ def scan_project_pushdown(spark, sf_dir):
     ),
 )
 def scan_filter_pushdown(spark, sf_dir):
-    """Two filters reach the source; the remainder test does not and Spark applies it."""
-    df = read_splits(
-        spark, table_path(sf_dir, "lineitem"), columns="l_returnflag,l_extendedprice,l_quantity,l_shipdate"
-    )
-    kept = df.filter(
+    """Two filters reach the parquet scan; the remainder test does not and Spark applies it."""
+    kept = table(spark, sf_dir, "lineitem").filter(
         (F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
         & (F.col("l_quantity") > 40)
         & (F.col("l_extendedprice") % 2 < 1)
@@ -171,11 +170,21 @@ def gen_rows(spark, sf_dir):
     return generate_rows(table(spark, sf_dir, "customer"), "c_custkey", GEN_LAYOUT, seed=7)
 
 
-@query("scan_split_sample")
+SAMPLE_PARTS, SAMPLE_SEED = 16, 42
+
+
+@query(
+    "scan_split_sample",
+    f"SELECT * FROM orders WHERE ('0x' || substr(md5(o_orderkey || '|{SAMPLE_SEED}'), 1, 8))::BIGINT % {SAMPLE_PARTS} = 0",
+)
 def scan_split_sample(spark, sf_dir):
-    return read_splits(spark, table_path(sf_dir, "lineitem"), sampleSplit=42)
+    """One of sixteen equal parts of a table, by a seeded hash of the key: the same rows on every run."""
+    digest = F.md5(F.concat_ws("|", "o_orderkey", F.lit(SAMPLE_SEED)).cast("binary"))
+    part = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % SAMPLE_PARTS
+    return table(spark, sf_dir, "orders").filter(part == 0)
 
 
+#: Given tables, for the check SQL; the query itself lists the folder.
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -190,37 +199,28 @@ TABLES = [
     ),
 )
 def catalog_browse(spark, sf_dir):
-    """Tables of the source folder with their row counts (taken from file footers)."""
-    counts = None
-    for name in TABLES:
+    """All tables of the source folder with their row counts (taken from file footers)."""
+    found, counts = browse(spark, sf_dir).drop("parent"), None
+    for name in sorted(r["name"] for r in found.select("name").collect()):
         one = table(spark, sf_dir, name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows")
         counts = one if counts is None else counts.unionByName(one)
-    return browse(spark, sf_dir).drop("parent").join(counts, "name")
+    return found.join(counts, "name")
 
 
 @query(
     "resolve_schema",
     " UNION ALL ".join(
-        f"SELECT CAST({i} AS INTEGER) AS pos, '{c}' AS path, '{t}' AS type, true AS nullable, "
-        f"'REGULAR' AS visibility, (SELECT count({c}) FROM orders) AS n_values"
-        for i, (c, t) in enumerate(
-            [
-                ("o_orderkey", "bigint"),
-                ("o_custkey", "bigint"),
-                ("o_orderstatus", "string"),
-                ("o_totalprice", "double"),
-                ("o_orderdate", "timestamp_ntz"),
-                ("o_orderpriority", "string"),
-            ]
-        )
+        f"SELECT CAST(ordinal_position - 1 AS INTEGER) AS pos, column_name AS path, CASE data_type "
+        f"WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' "
+        f"ELSE 'timestamp_ntz' END AS type, true AS nullable, 'REGULAR' AS visibility, "
+        f"'{t}' AS origin FROM information_schema.columns WHERE table_name = '{t}'"
+        for t in ("orders", "documents")
     ),
 )
 def resolve_schema(spark, sf_dir):
-    """Schema rows of a table, each with how many values the column holds."""
-    orders = table(spark, sf_dir, "orders")
-    filled = orders.agg(*[F.count(c).alias(c) for c in orders.columns])
-    per_column = filled.unpivot([], orders.columns, "path", "n_values")
-    return schema_rows(orders).join(per_column, "path")
+    """Schema rows of two tables, from file footers: no row is read."""
+    one = lambda name: schema_rows(table(spark, sf_dir, name)).withColumn("origin", F.lit(name))
+    return one("orders").unionByName(one("documents"))
 
 
 @query(
@@ -298,8 +298,19 @@ def read_profile_query(spark, sf_dir):
 DRY_TEXT = "SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey"
 
 
-@query("scan_dry_run", "SELECT o_custkey, count(*) AS n_orders FROM orders WHERE false GROUP BY o_custkey")
+@query(
+    "scan_dry_run",
+    f"""
+    WITH r AS ({DRY_TEXT})
+    SELECT 'o_custkey' AS path, 'bigint' AS type, count(o_custkey) AS n_values, CAST(sum(o_custkey) AS BIGINT) AS total FROM r
+    UNION ALL SELECT 'n_orders', 'bigint', count(n_orders), CAST(sum(n_orders) AS BIGINT) FROM r
+    """,
+)
 def scan_dry_run(spark, sf_dir):
-    """The typed, empty result of a query that was checked but not run."""
-    schema = dry_run(spark, DRY_TEXT, {"orders": table(spark, sf_dir, "orders")})
-    return spark.createDataFrame([], schema)
+    """The schema a query was checked to have, beside what its run then holds in each column."""
+    tables = {"orders": table(spark, sf_dir, "orders")}
+    schema = dry_run(spark, DRY_TEXT, tables)
+    ran = native_query(spark, DRY_TEXT, tables)
+    held = ran.agg(*[F.struct(F.count(f.name).alias("n"), F.sum(f.name).alias("t")).alias(f.name) for f in schema.fields])
+    rows = [F.struct(F.lit(f.name).alias("path"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f"{f.name}.n").alias("n_values"), F.col(f"{f.name}.t").alias("total")) for f in schema.fields]
+    return held.select(F.inline(F.array(*rows)))

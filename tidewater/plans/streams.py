@@ -21,7 +21,7 @@ def stream_bucket(spark, sf_dir):
         table(spark, sf_dir, "events").schema,
         ts="ts",
         width="6 hours",
-        lateness="1 day",
+        lateness=None,
         keys=["event_type"],
         aggregates=[F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total")],
         name_glob="events*.parquet",

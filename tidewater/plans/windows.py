@@ -7,7 +7,7 @@ from tidewater.operators.relational import exact_percentiles, rank_at_most, sort
 from tidewater.operators.skew import null_safe_join
 from tidewater.operators.windows import moving_sum, navigate, ranks, sliding_totals
 from tidewater.plans.registry import query
-from tidewater.session import table
+from tidewater.session import materialise, table
 
 
 def _money(name):
@@ -63,7 +63,8 @@ def win_nav(spark, sf_dir):
 )
 def win_percentile(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    per_type = exact_percentiles(events, ["event_type"], "value", {"p25": 0.25, "median": 0.5})
+    # Written first, so that its real size decides the join and not a guess.
+    per_type = materialise(exact_percentiles(events, ["event_type"], "value", {"p25": 0.25, "median": 0.5}), "per-type")
     return null_safe_join(events, per_type, ["event_type"]).select(
         "event_id",
         "event_type",

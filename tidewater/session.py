@@ -13,7 +13,6 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 _local_shared_dir: str | None = None
@@ -32,17 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small scan to all cores before heavy per-row work.
-
-    A small table is often one row group, which one task reads. A scan that
-    already has a partition per core is returned as it is, so large tables are
-    never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 

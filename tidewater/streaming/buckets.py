@@ -14,16 +14,17 @@ def bucket_stream(
     schema: StructType,
     ts: str,
     width: str,
-    lateness: str,
+    lateness: str | None,
     keys: list[str],
     aggregates: list[Column],
     name_glob: str = "*.parquet",
 ) -> DataFrame:
     """Streaming frame of tumbling-bucket aggregates.
 
-    A bucket closes once a row ``lateness`` newer than its end has arrived; rows
-    for closed buckets are ignored, so choose ``lateness`` above the disorder of
-    the source (files are taken oldest first).
+    Without ``lateness`` every row counts, however late, and the state holds one
+    row per bucket and key. With it, a bucket closes once a row ``lateness``
+    newer than its end has arrived and rows for closed buckets are ignored, as
+    the price of forgetting closed buckets.
     """
     rows = (
         spark.readStream.schema(schema)
@@ -31,12 +32,10 @@ def bucket_stream(
         .option("maxFilesPerTrigger", 1000)
         .parquet(path)
     )
-    return (
-        rows.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, lateness)
-        .groupBy(F.window(ts, width), *keys)
-        .agg(*aggregates)
-    )
+    timed = rows.withColumn(ts, F.col(ts).cast("timestamp"))
+    if lateness is not None:
+        timed = timed.withWatermark(ts, lateness)
+    return timed.groupBy(F.window(ts, width), *keys).agg(*aggregates)
 
 
 def run_available(buckets: DataFrame, keys: list[str], label: str = "buckets") -> DataFrame:
