@@ -33,8 +33,9 @@ from tidewater.llm.common import small_batches
 from tidewater.session import materialise
 
 SAMPLE = 20_000  # vectors the tree is fitted on
-BRANCHES, LEAF = 8, 40  # children of a node, sampled vectors in a leaf
-CALIBRATION, RECALL = 200, 0.97  # queries the number of visits is set by, and their recall
+BRANCHES, LEAF = 8, 10  # children of a node, least sampled vectors to split a leaf
+LEAF_ROWS = 1000  # rows of the table in a leaf that is not split further
+CALIBRATION, RECALL = 200, 0.95  # queries the number of visits is set by, and their recall
 ROWS = 4096  # vectors, and queries, in a block
 
 
@@ -96,15 +97,15 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return ((centres * centres).sum(axis=1) - 2 * points @ centres.T).argmin(axis=1)
 
 
-def fit_tree(sample: np.ndarray, norm2: float) -> Tree:
-    """Split by k-means until a node holds at most ``LEAF`` sampled vectors."""
+def fit_tree(sample: np.ndarray, norm2: float, largest: int) -> Tree:
+    """Split by k-means until a node holds at most ``largest`` sampled vectors."""
     random, count = np.random.default_rng(5), 0
     tree = Tree(Node(None, []), 0, norm2)
 
     def grow(points: np.ndarray) -> Node:
         nonlocal count
-        distinct = np.unique(points, axis=0) if len(points) > LEAF else points
-        if len(distinct) <= LEAF:
+        distinct = np.unique(points, axis=0) if len(points) > largest else points
+        if len(distinct) <= max(largest, BRANCHES):
             count += 1
             return Node(None, [], count - 1)
         centres = distinct[random.choice(len(distinct), BRANCHES, replace=False)]
@@ -200,7 +201,9 @@ def search(table: DataFrame, is_query, k: int = 20) -> DataFrame:
     if norm2 is None:
         return empty
     drawn = rows.select("vec_id", "vec", F.xxhash64("vec_id", "vec").alias("order")).orderBy("order", "vec_id").limit(SAMPLE)
-    tree = fit_tree(np.array([r["vec"] for r in drawn.select("vec").collect()]), norm2)
+    sample = np.array([r["vec"] for r in drawn.select("vec").collect()])
+    # Leaves grow in number with the table, until the sample cannot tell more of them apart.
+    tree = fit_tree(sample, norm2, max(LEAF, LEAF_ROWS * len(sample) // rows.count()))
     shared = spark.sparkContext.broadcast(tree)  # bounded by SAMPLE
 
     def to_leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
