@@ -9,14 +9,15 @@ how well they would have coded the training texts. A context that training
 never saw leaves the word to the longest one it did see. The score of a text
 is the base-10 logarithm of its probability; over its bytes, the code length.
 
-1. Documents are dealt to blocks of bounded size. A block counts its distinct
-   (context, byte) grams and words and sends them, once each, to buckets by
-   the last two bytes of the context, or by the word.
-2. A bucket adds up the counts and weights the trees from full depth up to
-   depth two. What the two shallow levels need is summed by Spark: at most
-   256 * 256 rows, which the driver turns into the top of the trees.
-3. Buckets answer each block's grams with their probabilities and its words
-   with their counts, and blocks score their documents.
+1. Every task counts the distinct (context, byte) grams and words of its
+   documents and sends them, once each, to buckets by the last two bytes of the
+   context, or by the word. A bucket adds up the counts and weights the trees
+   from full depth up to depth two. What the two shallow levels need is summed
+   by Spark: at most 256 * 256 rows, which become the top of the trees.
+2. Documents are dealt to blocks of bounded size. A block asks the buckets for
+   its grams and words; a bucket answers each block with the probabilities and
+   counts, and blocks score their documents. The documents cross the network
+   once: both uses of a block read one shuffle.
 
 The base score is that of words by themselves with one added to every count.
 
@@ -27,6 +28,7 @@ rows; other columns are not looked at.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import lgamma, log
 
 import numpy as np
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import blocks_for, by_bucket, crc_fold, dealt_to_blocks, mix, ship, whole_text, word_hashes
+from tidewater.llm.common import batches_of, blocks_for, by_bucket, crc_fold, dealt_to_blocks, mix, small_batches, whole_text, word_hashes
 from tidewater.session import materialise
 
 DEPTH = 5  # bytes of context
@@ -187,49 +189,56 @@ class Top:
 
 
 SENT = "bucket int, holder int, kind string, keys binary, counts binary"
-MODEL = "bucket int, kind string, keys binary, counts binary, bits binary, node int, zeros double, ones double, weighted double"
+NODES = "node int, zeros double, ones double, weighted double, tokens double, words double"
 
 
-def _sender(block: str, buckets: int):
-    def send(table: pa.Table) -> pa.Table:
-        own, trains = Block(table.column("text").to_pylist()), table.column("trains").to_numpy().astype(bool)
-        number, rows = table.column(block)[0].as_py(), []
-        for kind in ("gram", "word"):
-            keys, counts = own.counted(kind, trains)
-            packed = np.stack([keys, counts.astype(np.uint64)], axis=1)
-            for k, part in by_bucket(packed, bucket_of(kind, keys, buckets), buckets):
-                rows.append((k, number, kind, part[:, 0].tobytes(), part[:, 1].astype("<u4").tobytes()))
-        kinds = (pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary())
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "holder", "kind", "keys", "counts"])
+def squeeze(values: np.ndarray) -> bytes:
+    """Sorted 64-bit values as differences, byte by byte, which a shuffle compresses well."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    return steps.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
-    return send
 
+def expand(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
-def _merge(table: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    mine = table.filter(pa.array([k == kind for k in table.column("kind").to_pylist()], pa.bool_()))
-    keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(b, np.uint64) for b in mine.column("keys").to_pylist())])
-    counts = np.concatenate([np.zeros(0), *(np.frombuffer(b, "<u4") for b in mine.column("counts").to_pylist())])
-    values, at = np.unique(keys, return_inverse=True)
-    return values, np.bincount(at, counts, len(values))
+
+def sent_rows(own: Block, trains: np.ndarray, holder: int, buckets: int) -> pa.Table:
+    """The distinct grams and words of some documents, packed per bucket, with their training counts."""
+    rows = []
+    for kind in ("gram", "word"):
+        keys, counts = own.counted(kind, trains)
+        packed = np.stack([keys, counts.astype(np.uint64)], axis=1)
+        for k, part in by_bucket(packed, bucket_of(kind, keys, buckets), buckets):
+            rows.append((k, holder, kind, squeeze(part[:, 0]), squeeze(np.cumsum(part[:, 1], dtype=np.uint64))))
+    kinds = (pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary())
+    columns = list(zip(*rows)) or [[] for _ in kinds]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["bucket", "holder", "kind", "keys", "counts"])
 
 
-def _learn(table: pa.Table) -> pa.Table:
-    """A bucket's part of the model: its grams with the probability of their bits, its words with their counts."""
-    bucket, rows = table.column("bucket")[0].as_py(), []
-    empty = {"bucket": bucket, "kind": None, "keys": None, "counts": None, "bits": None, "node": None, "zeros": None, "ones": None, "weighted": None}
+def _merge(table: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of a kind in a bucket, sorted, with their counts in total."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0)]
+    for k, packed, sums in zip(*(table.column(c).to_pylist() for c in ("kind", "keys", "counts"))):
+        if k == kind:
+            keys.append(expand(packed))
+            counts.append(np.diff(expand(sums), prepend=np.uint64(0)).astype(float))
+    values, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return values, np.bincount(at, np.concatenate(counts), len(values))
+
+
+def _nodes(table: pa.Table) -> pa.Table:
+    """What the top of the trees, and the base score, need from a bucket."""
+    rows = []
     words, counts = _merge(table, "word")
     if len(words):
-        rows.append(empty | {"kind": "word", "keys": words.tobytes(), "counts": counts.astype("<u8").tobytes(), "ones": counts.sum(), "zeros": float((counts > 0).sum())})
+        rows.append({"tokens": counts.sum(), "words": float((counts > 0).sum())})
     grams, counts = _merge(table, "gram")
     if len(grams):
-        bits, sums = weighted_bits(grams, counts)
-        rows.append(empty | {"kind": "gram", "keys": grams.tobytes(), "bits": bits.astype("<f4").tobytes()})
-        columns = zip(*(sums[c].tolist() for c in ("node", "zeros", "ones", "weighted")))
-        rows += [empty | {"kind": "node", "node": n, "zeros": z, "ones": o, "weighted": w} for n, z, o, w in columns]
-    schema = pa.schema([
-        ("bucket", pa.int32()), ("kind", pa.string()), ("keys", pa.binary()), ("counts", pa.binary()), ("bits", pa.binary()),
-        ("node", pa.int32()), ("zeros", pa.float64()), ("ones", pa.float64()), ("weighted", pa.float64()),
-    ])
+        _, sums = weighted_bits(grams, counts)
+        names = ("node", "zeros", "ones", "weighted")
+        rows += [dict(zip(names, row)) for row in zip(*(sums[c].tolist() for c in names))]
+    schema = pa.schema([("node", pa.int32()), *((c, pa.float64()) for c in ("zeros", "ones", "weighted", "tokens", "words"))])
     return pa.Table.from_pylist(rows, schema)
 
 
@@ -240,31 +249,39 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     and n_bytes (what the score covers: words, single spaces and the end).
     """
     spark = docs.sparkSession
-    ship(spark)
+    small_batches(spark)
     rows = docs.select("doc_id", whole_text().alias("text"), (~held_out).alias("trains"))
     blocks, buckets = blocks_for(rows, BLOCK_BYTES), blocks_for(rows, BUCKET_BYTES)
+    flags = lambda column: column.to_numpy(zero_copy_only=False).astype(bool)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in batches_of(batches, "text", BLOCK_BYTES):
+            sent = sent_rows(Block(held.column("text").to_pylist()), flags(held.column("trains").combine_chunks()), 0, buckets)
+            yield from sent.to_batches()
+
+    counted = rows.filter("trains").select("text", "trains").mapInArrow(count, SENT)
+    nodes = materialise(counted.groupBy("bucket").applyInArrow(_nodes, NODES), "nodes")
+    total = nodes.agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).first()
+    tokens, distinct = int(total["tokens"] or 0), int(total["words"] or 0)
+    # At most 256 * 256 rows.
+    sums = nodes.filter("node IS NOT NULL").groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")])
+    top = spark.sparkContext.broadcast(Top(sums.collect()))
     dealt = dealt_to_blocks(rows, "block", blocks)
-    send = _sender("block", buckets)
-    model = materialise(dealt.groupBy("block").applyInArrow(send, SENT).groupBy("bucket").applyInArrow(_learn, MODEL), "model")
-    # One row per word bucket is summed; the nodes are at most 256 * 256 rows.
-    total = model.filter("kind = 'word'").agg(F.sum("ones").alias("tokens"), F.sum("zeros").alias("distinct")).first()
-    tokens, distinct = int(total["tokens"] or 0), int(total["distinct"] or 0)
-    nodes = model.filter("kind = 'node'").groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")])
-    top = spark.sparkContext.broadcast(Top(nodes.collect()))
-
-    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        tables = {}
-        for row in known.to_pylist():
-            keys = np.frombuffer(row["keys"], np.uint64)
-            if row["kind"] == "gram":
-                bits = np.frombuffer(row["bits"], "<f4").reshape(-1, 8).astype(float)
-                tables["gram"] = keys, top.value.log10(keys, bits).astype("<f4")
-            else:
-                tables["word"] = keys, np.frombuffer(row["counts"], "<u8")
+
+    def ask(table: pa.Table) -> pa.Table:
+        number = table.column("block")[0].as_py()
+        return sent_rows(Block(table.column("text").to_pylist()), flags(table.column("trains")), number, buckets)
+
+    def answer(table: pa.Table) -> pa.Table:
+        words, counts = _merge(table, "word")
+        known = {"word": (words, counts.astype("<u8"))}
+        grams, counts = _merge(table, "gram")
+        if len(grams):
+            known["gram"] = grams, top.value.log10(grams, weighted_bits(grams, counts)[0]).astype("<f4")
         rows = []
-        for bucket, holder, kind, wanted in zip(*(asked.column(c).to_pylist() for c in ("bucket", "holder", "kind", "keys"))):
-            keys, values = tables[kind]
-            rows.append((holder, bucket, kind, values[np.searchsorted(keys, np.frombuffer(wanted, np.uint64))].tobytes()))
+        for bucket, holder, kind, packed in zip(*(table.column(c).to_pylist() for c in ("bucket", "holder", "kind", "keys"))):
+            keys, values = known[kind]
+            rows.append((holder, bucket, kind, values[np.searchsorted(keys, expand(packed))].tobytes()))
         columns = list(zip(*rows)) or [[], [], [], []]
         kinds = (pa.int32(), pa.int32(), pa.string(), pa.binary())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["holder", "bucket", "kind", "answers"])
@@ -287,7 +304,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
         per_doc = lambda docs, values=None: np.bincount(docs, values, n)
         columns = {
             "doc_id": table.column("doc_id"),
-            "held_out": pa.array(~table.column("trains").to_numpy().astype(bool)),
+            "held_out": pa.array(~flags(table.column("trains"))),
             "n_tokens": pa.array(per_doc(own.word_docs).astype(np.int64)),
             "n_known": pa.array(per_doc(own.word_docs, (seen > 0).astype(float)).astype(np.int64)),
             "train_tokens": pa.array(np.full(n, tokens, np.int64)),
@@ -297,9 +314,8 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
         }
         return pa.table(columns)
 
-    asked = dealt.groupBy("block").applyInArrow(send, SENT).select("bucket", "holder", "kind", "keys")
-    known = model.filter("kind <> 'node'").select(F.col("bucket").alias("place"), "kind", "keys", "counts", "bits")
-    told = asked.groupBy("bucket").cogroup(known.groupBy("place")).applyInArrow(answer, "holder int, bucket int, kind string, answers binary")
+    asked = dealt.groupBy("block").applyInArrow(ask, SENT)
+    told = asked.groupBy("bucket").applyInArrow(answer, "holder int, bucket int, kind string, answers binary")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
     return dealt.groupBy("block").cogroup(told.groupBy("holder")).applyInArrow(score, schema)
