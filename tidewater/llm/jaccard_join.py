@@ -21,8 +21,8 @@ returned. The join is exact up to 64-bit hashes of n-grams and sets.
    about a bit per n-gram) and then the n-grams of the texts decide.
 5. Two rounds: each signature's first set is compared with its others, which
    gives most components. Then only pairs of different components remain: the
-   candidate pairs among them, and the sets of crowded signatures, compared
-   across components in blocks of bounded size.
+   candidate pairs among them, and the sets that crowded signatures join (a
+   crowd), compared across components in blocks of bounded size and like sizes.
 
 Defined results: NULL and word-less texts have an empty set, link to nothing
 and are their own component; NULL ids belong to a component but never name one
@@ -47,6 +47,7 @@ RESERVE = 0.15  # partitions beyond k + 1, as a share
 BATCH_BYTES = 24 << 20  # text whose signatures travel together
 BUCKET_BYTES = 32 << 20  # text whose signatures a bucket compares
 BLOCK = 512  # sets on either side of a block of comparisons
+FILTER_WORDS = 1 << 17  # 64-bit words of the Bloom filter of wanted documents: one megabyte
 
 
 def gram_set(text: bytes, n: int) -> np.ndarray:
@@ -275,30 +276,40 @@ class Join:
         joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
         return joined.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(check, "a long, b long")
 
-    def fetch(self, wanted: DataFrame) -> None:
-        """Keep one text of each class in ``wanted`` (key); both rounds compare these."""
-        # Documents are found by id and known by the key of their set.
+    def texts_of(self, wanted: DataFrame) -> DataFrame:
+        """(key, text) of one document of each class in ``wanted`` (key).
+
+        Documents are found by id and known by the key of their set. A Bloom
+        filter of fixed size (one hash, ``FILTER_WORDS`` 64-bit words) spares
+        most others the shuffle while few are wanted; it never drops a wanted one.
+        """
         n, text_of = self.n, lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-        named = wanted.join(self.classes.select("key", "doc_id"), "key").select(text_of("doc_id").alias("id"), "key")
-        texts = self.docs.select(text_of("doc_id").alias("id"), whole_text().alias("text")).join(named, "id")
+        named = materialise(wanted.join(self.classes.select("key", "doc_id"), "key").select(text_of("doc_id").alias("id"), "key"), "wanted")
+        word = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS)).alias("word")
+        mask = F.expr("shiftleft(1L, cast(shiftright(xxhash64(id), 40) & 63 AS INT))")
+        words = named.groupBy(word).agg(F.bit_or(mask).alias("bits"))
+        texts = self.docs.select(text_of("doc_id").alias("id"), whole_text().alias("text"))
+        near = texts.join(F.broadcast(words), F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS)) == F.col("word"))
+        found = near.filter(F.col("bits").bitwiseAND(mask) != 0).select("id", "text").join(named, "id")
 
         def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys, found = batch.column("key").to_pylist(), batch.column("text").to_pylist()
-                stay = [len(g := gram_set(t.encode("utf-8", "surrogatepass"), n)) > 0 and set_key(g) == k for k, t in zip(keys, found)]
+                keys, held = batch.column("key").to_pylist(), batch.column("text").to_pylist()
+                stay = [len(g := gram_set(t.encode("utf-8", "surrogatepass"), n)) > 0 and set_key(g) == k for k, t in zip(keys, held)]
                 yield batch.filter(pa.array(stay, pa.bool_()))
 
-        self.texts = materialise(texts.select("key", "text").mapInArrow(own, "key long, text string"), "texts")
+        return materialise(found.select("key", "text").mapInArrow(own, "key long, text string"), "texts")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link, decided by the n-grams of their texts."""
         n, percent = self.n, self.percent
         pairs = materialise(self.plausible(pairs), "plausible")
+        texts = self.texts_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
         parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
         right = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
-        right = right.join(self.texts.withColumnRenamed("key", "b").hint("merge"), "b")
+        right = right.join(texts.withColumnRenamed("key", "b").hint("merge"), "b")
         left = parts.select(F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("slice"))
-        left = left.join(self.texts.select(F.col("key").alias("pivot"), F.col("text").alias("own")).hint("merge"), "pivot")
+        left = left.join(texts.select(F.col("key").alias("pivot"), F.col("text").alias("own")).hint("merge"), "pivot")
         grams = lambda t: gram_set(t.encode("utf-8", "surrogatepass"), n)
 
         def compare(one: pa.Table, many: pa.Table) -> pa.Table:
@@ -328,48 +339,59 @@ class Join:
         named = pairs.join(root("a").hint("merge"), "a", "left").join(root("b").hint("merge"), "b", "left")
         return named.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
-    def across(self, members: DataFrame, roots: DataFrame) -> DataFrame:
-        """Plausible pairs of members of one crowded signature that no link joins yet, in blocks.
+    def across(self, crowds: DataFrame, roots: DataFrame) -> DataFrame:
+        """Plausible pairs within a crowd (key, crowd) that no link joins yet.
 
-        A pair is reported at the least signature it shares.
+        A crowd is cut into blocks of sets of like size; only blocks whose sizes
+        allow a link meet, and each pair of sets meets once.
         """
         percent = self.percent
-        named = members.join(roots.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        several = named.groupBy("sign").agg(
-            (F.min("root") != F.max("root")).alias("open"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")
+        step = 1.15
+        reach = int(np.ceil(np.log(100 / percent) / np.log(step)))
+        named = crowds.join(roots.select(F.col("id").alias("key"), "root").hint("merge"), "key", "left")
+        named = named.withColumn("root", F.coalesce("root", "key"))
+        several = named.groupBy("crowd").agg((F.min("root") != F.max("root")).alias("open")).filter("open").select("crowd")
+        sized = named.join(several.hint("merge"), "crowd").join(self.classes.select("key", "size", "bits").hint("merge"), "key")
+        bin_of = F.floor(F.log("size") / float(np.log(step))).cast("int")
+        rows = materialise(sized.withColumn("bin", bin_of), "crowded")
+        parts = rows.groupBy("crowd", "bin").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+        parts = materialise(parts, "blocks")
+        rows = rows.join(parts.hint("merge"), ["crowd", "bin"])
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).drop("parts")
+        # Which blocks meet: a few sizes up, every block there.
+        reached = F.explode(F.sequence(F.col("bin"), F.col("bin") + reach)).alias("j")
+        each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        grid = parts.select("crowd", F.col("bin").alias("i"), F.col("parts").alias("ni"), reached).join(
+            parts.select("crowd", F.col("bin").alias("j"), F.col("parts").alias("nj")).hint("merge"), ["crowd", "j"]
+        )
+        grid = grid.withColumn("p", each("ni")).withColumn("q", each("nj")).filter("i < j OR p <= q").select("crowd", "i", "p", "j", "q")
+        block = ["crowd", "i", "p", "j", "q"]
+        side = lambda bin_name, part: rows.select("crowd", F.col("bin").alias(bin_name), F.col("part").alias(part), "key", "root", "size", "bits")
+        left = grid.join(side("i", "p").hint("merge"), ["crowd", "i", "p"]).select(*block, "key", "root", "size", "bits")
+        right = grid.join(side("j", "q").hint("merge"), ["crowd", "j", "q"]).select(
+            *[F.col(c).alias(f"other_{c}") for c in (*block, "key", "root", "size", "bits")]
         )
-        open_members = materialise(named.join(several.filter("open"), "sign").select("sign", "key", "root", "parts"), "open")
-        if open_members.isEmpty():
-            return open_members.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
-        signs = open_members.groupBy("key").agg(F.sort_array(F.collect_set("sign")).alias("signs"))  # at most two bands of partitions
-        full = open_members.join(signs, "key").join(self.classes.select("key", "size", "bits"), "key")
-        full = full.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-        spread = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        spread = spread.select(
-            "sign", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-            "key", "root", "size", "bits", "signs", "part",
-        )
-
-        def compare(table: pa.Table) -> pa.Table:
-            sign, i, j = (table.column(c)[0].as_py() for c in ("sign", "i", "j"))
-            keys, roots, sizes, parts = (table.column(c).to_numpy() for c in ("key", "root", "size", "part"))
-            raw = [np.frombuffer(b, np.uint8) for b in table.column("bits").to_pylist()]
-            width = min(map(len, raw))
-            bits = np.stack([folded(b, width) for b in raw])
-            shared = table.column("signs").to_pylist()
-            found = []
-            for x in np.flatnonzero(parts == i):
-                fits = (parts == j) & (roots != roots[x]) & ((i != j) | (keys > keys[x]))
-                fits &= 100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])
-                near = np.flatnonzero(fits)
-                apart = np.bitwise_count(bits[near] ^ bits[x]).sum(axis=1, dtype=np.int64)
-                near = near[apart * (100 + percent) <= (sizes[near] + sizes[x]) * (100 - percent)]
-                mine = set(shared[x])
-                found += [(int(min(keys[x], keys[y])), int(max(keys[x], keys[y]))) for y in near.tolist() if min(mine.intersection(shared[y])) == sign]
-            a, b = zip(*found) if found else ((), ())
-            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-        return spread.groupBy("sign", "i", "j").applyInArrow(compare, "a long, b long")
+        def compare(one: pa.Table, other: pa.Table) -> pa.Table:
+            found = []
+            if len(one) and len(other):
+                same = [one.column(c)[0].as_py() for c in "ip"] == [one.column(c)[0].as_py() for c in "jq"]
+                other = other.rename_columns([c.removeprefix("other_") for c in other.column_names])
+                (ka, ra, na), (kb, rb, nb) = ([t.column(c).to_numpy() for c in ("key", "root", "size")] for t in (one, other))
+                raw = [[np.frombuffer(x, np.uint8) for x in t.column("bits").to_pylist()] for t in (one, other)]
+                width = min(len(x) for r in raw for x in r)
+                a, b = (np.stack([folded(x, width) for x in r]) for r in raw)
+                for x in range(len(ka)):
+                    fits = (rb != ra[x]) & (100 * np.minimum(nb, na[x]) >= percent * np.maximum(nb, na[x]))
+                    near = np.flatnonzero(fits & (kb > ka[x]) if same else fits)
+                    apart = np.bitwise_count(b[near] ^ a[x]).sum(axis=1, dtype=np.int64)
+                    near = near[apart * (100 + percent) <= (nb[near] + na[x]) * (100 - percent)]
+                    found += [(int(min(ka[x], kb[y])), int(max(ka[x], kb[y]))) for y in near.tolist()]
+            first, second = zip(*found) if found else ((), ())
+            return pa.table({"a": pa.array(first, pa.int64()), "b": pa.array(second, pa.int64())})
+
+        met = left.groupBy(*block).cogroup(right.groupBy(*[f"other_{c}" for c in block]))
+        return met.applyInArrow(compare, "a long, b long")
 
 
 def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
@@ -386,12 +408,14 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFra
     # Only sets with more crowded signatures than they can do without need them.
     needing = crowded.groupBy("key", "side").agg(F.count(F.lit(1)).alias("n"), F.min("spare").alias("spare")).filter("n > spare")
     members = materialise(crowded.join(needing.select("key", "side"), ["key", "side"]).select("sign", "key"), "members")
-    join.fetch(pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(members.select("key")).distinct())
     pivots = members.groupBy("sign").agg(F.min("key").alias("a"))
-    to_pivot = members.join(pivots, "sign").filter("key <> a").select("a", F.col("key").alias("b"))
+    to_pivot = members.join(pivots, "sign").filter("key <> a").select("a", F.col("key").alias("b")).distinct()
+    to_pivot = materialise(to_pivot, "to-pivot")
     links = materialise(join.linked(pairs.filter("head").select("a", "b").unionByName(to_pivot).distinct()), "links")
     roots = join.roots(links)
-    rest = join.apart(pairs.filter("NOT head").select("a", "b"), roots).unionByName(join.across(members, roots))
+    # Sets that crowded signatures join, directly or through others, are one crowd.
+    crowds = join.roots(to_pivot).select(F.col("id").alias("key"), F.col("root").alias("crowd"))
+    rest = join.apart(pairs.filter("NOT head").select("a", "b"), roots).unionByName(join.across(crowds, roots))
     links = materialise(links.unionByName(join.linked(rest.distinct())), "links")
     named = (
         join.classes.select("key", "doc_id")
