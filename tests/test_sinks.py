@@ -97,3 +97,15 @@ def test_time_reads(spark, sf_dir):
     assert [r["run"] for r in rows] == [0, 1]
     assert len({(r["n_rows"], r["n_bytes"]) for r in rows}) == 1 and rows[0]["n_rows"] > 0
     assert all(r["seconds"] > 0 and r["bytes_per_second"] > 0 for r in rows)
+
+
+def test_scratch_is_cleared(spark):
+    from tidewater.session import clear_scratch, materialise
+
+    kept = materialise(spark.range(3), "kept")
+    path = kept.inputFiles()[0]
+    assert kept.count() == 3
+    clear_scratch(spark)
+    import os
+
+    assert not os.path.exists(path.removeprefix("file://"))

@@ -20,6 +20,9 @@ MERGEABLE = {
     "bit_xor": (F.bit_xor, F.bit_xor),
     "hll": (F.hll_sketch_agg, F.hll_union_agg),
     "set": (F.collect_set, lambda c: F.array_distinct(F.flatten(F.collect_set(c)))),
+    # All values, duplicates kept. Give structs of (order, value): NULL values stay, and sorting
+    # the merged list restores the order. A group's list must be bounded by the data.
+    "list": (F.collect_list, lambda c: F.flatten(F.collect_list(c))),
 }
 
 

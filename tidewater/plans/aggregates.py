@@ -160,20 +160,50 @@ def agg_min_max_any(spark, sf_dir):
 @query(
     "agg_string",
     """
-    SELECT c_nationkey, string_agg(c_mktsegment, '|' ORDER BY c_mktsegment) AS segments,
-           string_agg(left(c_mktsegment, 1), '' ORDER BY left(c_mktsegment, 1)) AS initials
-    FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer) GROUP BY c_nationkey
+    SELECT l_orderkey, string_agg(l_returnflag, '|' ORDER BY l_returnflag) AS flags,
+           string_agg(DISTINCT l_linestatus, '' ORDER BY l_linestatus) AS statuses,
+           string_agg(CASE WHEN l_quantity > 25 THEN l_returnflag END, '' ORDER BY l_returnflag) AS large_flags
+    FROM lineitem GROUP BY l_orderkey
     """,
 )
 def agg_string(spark, sf_dir):
-    """Segments present in each nation. Duplicates go first, so a string never outgrows the segment list."""
-    pairs = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment").distinct()
-    return pairs.groupBy("c_nationkey").agg(
-        F.expr("listagg(c_mktsegment, '|') WITHIN GROUP (ORDER BY c_mktsegment)").alias("segments"),
-        F.expr(
-            "decode(listagg(encode(left(c_mktsegment, 1), 'UTF-8')) "
-            "WITHIN GROUP (ORDER BY encode(left(c_mktsegment, 1), 'UTF-8')), 'UTF-8')"
-        ).alias("initials"),
+    """Whole-group strings per order: duplicates kept, duplicates removed, NULLs left out; bytes as well as text."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_returnflag", "l_linestatus", F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).alias("large")
+    )
+    return lines.groupBy("l_orderkey").agg(
+        F.expr("listagg(l_returnflag, '|') WITHIN GROUP (ORDER BY l_returnflag)").alias("flags"),
+        F.expr("listagg(DISTINCT l_linestatus) WITHIN GROUP (ORDER BY l_linestatus)").alias("statuses"),
+        F.expr("decode(listagg(encode(large, 'UTF-8')) WITHIN GROUP (ORDER BY encode(large, 'UTF-8')), 'UTF-8')").alias("large_flags"),
+    )
+
+
+@query(
+    "agg_partial_lists",
+    """
+    SELECT l_orderkey, string_agg(l_returnflag, '|' ORDER BY l_partkey, l_linenumber, l_returnflag) AS flags,
+           string_agg(coalesce(CAST(CASE WHEN l_quantity > 25 THEN l_linenumber END AS VARCHAR), 'null'), ','
+                      ORDER BY l_partkey, l_linenumber, l_returnflag, l_quantity) AS large_lines,
+           count(*) AS n
+    FROM lineitem GROUP BY l_orderkey
+    """,
+)
+def agg_partial_lists(spark, sf_dir):
+    """Ordered strings and arrays from stored partial states, one per order and status, merged per order."""
+    lines = table(spark, sf_dir, "lineitem")
+    large = F.when(F.col("l_quantity") > 25, F.col("l_linenumber"))
+    parts = {
+        "fs": ("list", F.struct("l_partkey", "l_linenumber", "l_returnflag")),
+        "ls": ("list", F.struct("l_partkey", "l_linenumber", "l_returnflag", "l_quantity", large.alias("large"))),
+        "n": ("count", F.lit(1)),
+    }
+    stored = materialise(partial_rollup(lines, ["l_orderkey", "l_linestatus"], parts), "lists")
+    merged = merge_rollup(stored, ["l_orderkey"], parts)
+    return merged.select(
+        "l_orderkey",
+        F.array_join(F.sort_array("fs")["l_returnflag"], "|").alias("flags"),
+        F.array_join(F.transform(F.sort_array("ls")["large"], lambda x: x.cast("string")), ",", "null").alias("large_lines"),
+        "n",
     )
 
 

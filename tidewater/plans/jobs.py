@@ -1,6 +1,7 @@
 """Table jobs that put the scalar families to work on whole tables."""
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.conform import conform_checked, good_rows, reject_rows
@@ -286,27 +287,42 @@ def job_text_mine(spark, sf_dir):
 @query(
     "job_dialogue_rollup",
     """
-    SELECT conv_id, turn // 100 AS page_no, count(*) AS n_turns, string_agg(role, '>' ORDER BY turn) AS roles,
+    SELECT conv_id, count(*) AS n_turns, min_by(role, turn) AS first_role, max_by(role, turn) AS last_role,
            md5(min_by(CASE WHEN role = 'assistant' THEN text END, CASE WHEN role = 'assistant' THEN turn END)) AS first_reply,
-           CAST(count(*) FILTER (WHERE prev IS DISTINCT FROM role) AS INTEGER) AS n_runs, CAST(max(length(text)) AS INTEGER) AS longest
-    FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id, turn // 100 ORDER BY turn) AS prev FROM conversations) GROUP BY ALL
+           count(*) FILTER (WHERE prev IS DISTINCT FROM role) AS n_runs, CAST(max(length(text)) AS INTEGER) AS longest
+    FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations) GROUP BY conv_id
     """,
 )
 def job_dialogue_rollup(spark, sf_dir):
-    """Ordered roles, first reply and runs of one role, a page of 100 turns per row."""
+    """First reply, first and last role, and runs of one role per conversation.
+
+    Runs are counted a page of 100 turns at a time; a run that goes on across
+    the border of two pages counts once.
+    """
     turns = table(spark, sf_dir, "conversations").withColumn("page_no", F.expr("turn div 100"))
     reply = F.col("role") == "assistant"
     pages = turns.groupBy("conv_id", "page_no").agg(
         F.count(F.lit(1)).alias("n_turns"),
         F.sort_array(F.collect_list(F.struct("turn", "role")))["role"].alias("rs"),
-        F.md5(F.min_by(F.when(reply, F.col("text")), F.when(reply, F.col("turn")))).alias("first_reply"),
+        F.min(F.when(reply, F.col("turn"))).alias("reply_turn"),
+        F.md5(F.min_by(F.when(reply, F.col("text")), F.when(reply, F.col("turn")))).alias("reply"),
         F.max(F.length("text")).alias("longest"),
     )
-    changes = F.filter("rs", lambda r, i: (i == 0) | (r != F.get(F.col("rs"), i - 1)))
-    return pages.select(
-        "conv_id", "page_no", "n_turns", F.array_join("rs", ">").alias("roles"), "first_reply",
-        F.size(changes).alias("n_runs"), "longest",
-    )
+    changes = F.filter("rs", lambda r, i: (i == 0) | ~r.eqNullSafe(F.get(F.col("rs"), i - 1)))
+    ends = pages.select(
+        "*", F.size(changes).alias("runs"), F.get("rs", F.lit(0)).alias("first"), F.element_at("rs", -1).alias("last")
+    )
+    # A hundredth of the rows.
+    before = F.lag(F.struct("last")).over(Window.partitionBy("conv_id").orderBy("page_no"))
+    joined = ends.withColumn("goes_on", F.coalesce(before["last"].eqNullSafe(F.col("first")) & before.isNotNull(), F.lit(False)))
+    return joined.groupBy("conv_id").agg(
+        F.sum("n_turns").alias("n_turns"),
+        F.min_by("first", "page_no").alias("first_role"),
+        F.max_by("last", "page_no").alias("last_role"),
+        F.min_by("reply", "reply_turn").alias("first_reply"),
+        F.sum(F.col("runs") - F.col("goes_on").cast("int")).alias("n_runs"),
+        F.max("longest").alias("longest"),
+    )
 
 
 @query(

@@ -284,3 +284,47 @@ def dt_series(spark, sf_dir):
     return hourly_spine(events).join(errors, "hour", "left").select(
         "hour", F.coalesce("n", F.lit(0).cast("bigint")).alias("n_errors")
     )
+
+
+@query(
+    "dt_date_series",
+    """
+    WITH days AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1),
+         span AS (SELECT min(d) AS a, max(d) AS b FROM days)
+    SELECT strftime(s.d, '%Y-%m-%d') AS day, coalesce(n, 0) AS n_orders
+    FROM (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS d FROM span) s LEFT JOIN days ON days.d = s.d
+    """,
+)
+def dt_date_series(spark, sf_dir):
+    """A calendar of days from the first to the last order, with the orders of each."""
+    days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    span = days.agg(F.min("d").alias("a"), F.max("d").alias("b"))
+    calendar = span.select(F.explode(F.sequence("a", "b")).alias("d"))
+    return calendar.join(days, "d", "left").select(_day(F.col("d")).alias("day"), F.coalesce("n", F.lit(0).cast("bigint")).alias("n_orders"))
+
+
+@query(
+    "dt_time",
+    """
+    WITH t AS (SELECT o_orderkey, o_orderkey % 24 AS h, (o_orderkey * 7) % 60 AS m, (o_orderkey * 13) % 60 AS s FROM orders),
+         c AS (SELECT *, make_time(h, m, s::DOUBLE) AS clock FROM t)
+    SELECT o_orderkey, strftime(DATE '2024-01-01' + clock, '%H:%M:%S') AS time_text, strftime(DATE '2024-01-01' + clock, '%H:00:00') AS hour_start,
+           CAST(h * 60 + m - 60 AS BIGINT) + CASE WHEN h * 60 + m - 60 < 0 AND s > 0 THEN 1 ELSE 0 END AS minutes_since_one,
+           strftime(DATE '2024-01-01' + clock + INTERVAL 0 SECOND, '%H:%M:%S') AS parsed, true AS clock_in_day
+    FROM c
+    """,
+)
+def dt_time(spark, sf_dir):
+    """Times of day: built, truncated, compared, written and read back; the current time is one as well."""
+    key = F.col("o_orderkey")
+    times = table(spark, sf_dir, "orders").select(
+        key, F.expr("make_time(cast(o_orderkey % 24 AS INT), cast(o_orderkey * 7 % 60 AS INT), cast(o_orderkey * 13 % 60 AS DECIMAL(8, 6)))").alias("t")
+    )
+    return times.select(
+        "o_orderkey",
+        F.col("t").cast("string").alias("time_text"),
+        F.expr("cast(time_trunc('HOUR', t) AS STRING)").alias("hour_start"),
+        F.expr("time_diff('MINUTE', to_time('01.00', 'HH.mm'), t)").alias("minutes_since_one"),
+        F.expr("cast(to_time(cast(t AS STRING)) AS STRING)").alias("parsed"),
+        F.expr("current_time() BETWEEN to_time('00:00:00') AND to_time('23:59:59.999999')").alias("clock_in_day"),
+    )

@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.timeType.enabled": "true",
 }
 
 _local_shared_dir: str | None = None
@@ -61,6 +62,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidewater-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared folder; call it once results are written."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidewater-{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back.
 
