@@ -137,6 +137,22 @@ def test_density_cluster_dense_neighbours(spark):
         assert len({c for c, _ in got.values() if c is not None}) >= n_clusters
 
 
+def test_density_cluster_settles_at_one_metre(spark, monkeypatch):
+    """Two dense groups a little out of reach: few levels decide, as at any other distance."""
+    from tidewater.operators import clusters
+
+    monkeypatch.setattr(clusters, "MAX_LEVEL", 10)  # not settling by then is an error
+    rng = random.Random(6)
+    metre = 1 / (math.radians(1) * EARTH_RADIUS)  # in degrees, at the equator
+    data = [(rng.uniform(0, 0.5) * metre, rng.uniform(0, 0.5) * metre) for _ in range(150)]
+    data += [((1.6 + rng.uniform(0, 0.5)) * metre, rng.uniform(0, 0.5) * metre) for _ in range(150)]
+    data = list(enumerate(data))
+    points = spark.createDataFrame([(i, *p) for i, p in data], "id bigint, lon double, lat double")
+    got = {r["id"]: (r["cluster"], r["is_core"]) for r in density_cluster(points, "id", 1.0, 4).collect()}
+    assert got == brute_clusters(data, 1.0, 4)
+    assert {c for c, _ in got.values()} == {0, 150}
+
+
 def test_components_long_chain_and_hub(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     hub = [(500, i) for i in range(501, 560)]
