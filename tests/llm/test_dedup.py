@@ -79,6 +79,7 @@ def test_jaccard_join(docs, no_docs, monkeypatch, few):
     """With ``few`` 2 almost every signature is crowded and goes the way by pivots and blocks."""
     monkeypatch.setattr(jaccard_join, "FEW", few)
     monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "CROWD_BLOCK", 8)
     unique = {r["doc_id"]: r["text"] for r in docs.filter("doc_id IS NOT NULL").collect()}
     want = brute_components(unique.items(), 5, 75)
     rows = similar_documents(docs, 5, 75).collect()

@@ -46,7 +46,8 @@ FEW = 16  # sets that share a signature and are paired directly
 RESERVE = 0.15  # partitions beyond k + 1, as a share
 BATCH_BYTES = 24 << 20  # text whose signatures travel together
 BUCKET_BYTES = 32 << 20  # text whose signatures a bucket compares
-BLOCK = 512  # sets on either side of a block of comparisons
+BLOCK = 512  # texts compared with one text by one task
+CROWD_BLOCK = 4096  # sets on either side of a block of bitmap comparisons
 FILTER_WORDS = 1 << 17  # 64-bit words of the Bloom filter of wanted documents: one megabyte
 
 
@@ -354,7 +355,7 @@ class Join:
         sized = named.join(several.hint("merge"), "crowd").join(self.classes.select("key", "size", "bits").hint("merge"), "key")
         bin_of = F.floor(F.log("size") / float(np.log(step))).cast("int")
         rows = materialise(sized.withColumn("bin", bin_of), "crowded")
-        parts = rows.groupBy("crowd", "bin").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+        parts = rows.groupBy("crowd", "bin").agg(F.ceil(F.count(F.lit(1)) / CROWD_BLOCK).cast("int").alias("parts"))
         parts = materialise(parts, "blocks")
         rows = rows.join(parts.hint("merge"), ["crowd", "bin"])
         rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).drop("parts")
