@@ -40,8 +40,8 @@ from tidewater.llm.common import batches_of, blocks_for, by_bucket, crc_fold, de
 from tidewater.session import materialise
 
 DEPTH = 5  # bytes of context
-BLOCK_BYTES = 12 << 20
-BUCKET_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
+BUCKET_BYTES = 8 << 20
 END = 0xE2D  # key of the end token among the word hashes
 
 _HALF = 2 * lgamma(0.5)
@@ -66,15 +66,20 @@ class Block:
         for back in range(DEPTH + 1):
             keys[back:] |= data[: len(data) - back].astype(np.uint64) << np.uint64(8 * back)
         self.grams = keys[inside]
-        self.gram_docs = np.repeat(np.arange(len(texts)), lengths - DEPTH)
+        self.gram_docs = np.repeat(np.arange(len(texts), dtype=np.int32), lengths - DEPTH)
         self.words = np.concatenate(hashes)
         self.word_docs = np.repeat(np.arange(len(texts)), [len(h) for h in hashes])
 
     def counted(self, kind: str, trains: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct keys of all documents, sorted, and how often the training documents have them."""
         keys, docs = (self.grams, self.gram_docs) if kind == "gram" else (self.words, self.word_docs)
-        values, where = np.unique(keys, return_inverse=True)
-        return values, np.bincount(where[trains[docs]], minlength=len(values))
+        learned, n = np.unique(keys if trains.all() else keys[trains[docs]], return_counts=True)
+        if trains.all():
+            return learned, n
+        values = np.unique(keys)
+        counts = np.zeros(len(values), np.int64)
+        counts[np.searchsorted(values, learned)] = n
+        return values, counts
 
 
 def bucket_of(kind: str, keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -134,7 +139,9 @@ def weighted_bits(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, di
             weighted = np.logaddexp(kt, below) - log(2)
         else:
             below, weighted = np.zeros(len(names)), kt
+        at = at.astype(np.int32)
         levels.append({"names": names, "at": at, "zeros": zeros, "ones": ones, "kt": kt, "below": below, "weighted": weighted})
+        del node
     for i, level in enumerate(levels):
         seen = level["zeros"] + level["ones"]
         one = (level["ones"] + 0.5) / (seen + 1)
@@ -292,12 +299,12 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
 
         def looked_up(kind: str, keys: np.ndarray, dtype: str) -> np.ndarray:
             """The answer for every position, in the order the questions were asked in."""
-            values, where = np.unique(keys, return_inverse=True)
+            values = np.unique(keys)
             order = np.argsort(bucket_of(kind, values, buckets), kind="stable")
             parts = sorted((b, a) for k, b, a in zip(kinds, numbers, answers) if k == kind)
             out = np.zeros(len(values), dtype)
             out[order] = np.concatenate([np.frombuffer(a, dtype) for _, a in parts])
-            return out[where]
+            return out[np.searchsorted(values, keys)]
 
         seen = looked_up("word", own.words, "<u8").astype(float)
         logs = np.log10((seen + 1) / (tokens + distinct + 1))
@@ -309,7 +316,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
             "n_known": pa.array(per_doc(own.word_docs, (seen > 0).astype(float)).astype(np.int64)),
             "train_tokens": pa.array(np.full(n, tokens, np.int64)),
             "base_score": pa.array(per_doc(own.word_docs, logs)),
-            "score": pa.array(per_doc(own.gram_docs, looked_up("gram", own.grams, "<f4").astype(float))),
+            "score": pa.array(per_doc(own.gram_docs, looked_up("gram", own.grams, "<f4"))),
             "n_bytes": pa.array(per_doc(own.gram_docs).astype(np.int64)),
         }
         return pa.table(columns)
