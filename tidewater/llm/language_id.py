@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import crc_fold, fresh_name, small_batches
+from tidewater.session import materialise
 
 SAMPLE = 500  # labelled rows per language to learn from
 BITS, WIDTH = 15, 16  # buckets (as a power of two) and numbers per embedding
@@ -76,8 +77,14 @@ def _sample(docs: DataFrame, label: str) -> list[tuple[str, bool, np.ndarray, np
     rows = docs.filter(F.col("text").isNotNull() & F.col(label).isNotNull()).select(
         F.col(label).cast("string").alias("lang"), "text", F.xxhash64("text").alias("order")
     )
+    # A few times the wanted number by the size of the hash, which needs no shuffle of texts; copies
+    # of a text count once; then exactly the wanted number.
+    share = rows.groupBy("lang").agg((F.lit(4.0 * SAMPLE) / F.count(F.lit(1))).alias("share"))
+    spread = F.pmod(F.hash("order"), F.lit(1 << 30)) / float(1 << 30)
+    some = rows.join(materialise(share, "share"), "lang").filter(spread < F.col("share")).drop("share")
     nth = Window.partitionBy("lang").orderBy("order")
-    drawn = rows.withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= SAMPLE)
+    once = some.dropDuplicates(["lang", "order"])
+    drawn = once.withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= SAMPLE)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
