@@ -117,8 +117,17 @@ class Memo:
     Forgetting costs time only; an answer is always what ``make`` gives.
     """
 
+    made: list["Memo"] = []  # all memos of this worker
+
     def __init__(self, limit: int):
         self.limit, self.now, self.old = limit, {}, {}
+        Memo.made.append(self)
+
+    @classmethod
+    def forget(cls) -> None:
+        """Empty all memos: an operator that needs the memory itself calls this as its task starts."""
+        for memo in cls.made:
+            memo.now, memo.old = {}, {}
 
     def learn(self, wanted: set, make: Callable[[list], Iterable]) -> dict:
         """A mapping that has every wanted key; ``make`` answers a list of keys in order."""

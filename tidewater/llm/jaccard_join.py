@@ -38,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import batches_of, blocks_for, by_bucket, fresh_name, gram_hashes, mix, small_batches, whole_text, word_hashes
+from tidewater.llm.common import Memo, batches_of, blocks_for, by_bucket, fresh_name, gram_hashes, mix, small_batches, whole_text, word_hashes
 from tidewater.operators.clusters import components
 from tidewater.session import materialise
 
 FEW = 16  # sets that share a signature and are paired directly
 RESERVE = 0.15  # partitions beyond k + 1, as a share
-BATCH_BYTES = 24 << 20  # text whose signatures travel together
-BUCKET_BYTES = 32 << 20  # text whose signatures a bucket compares
+BATCH_BYTES = 16 << 20  # text whose signatures travel together
+BUCKET_BYTES = 16 << 20  # text whose signatures a bucket compares
 BLOCK = 512  # texts compared with one text by one task
 CROWD_BLOCK = 4096  # sets on either side of a block of bitmap comparisons
 FILTER_WORDS = 1 << 17  # 64-bit words of the Bloom filter of wanted documents: one megabyte
@@ -125,6 +125,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, n_shingles, key (NULL for the empty set) and bits of every row."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Memo.forget()
         for batch in batches:
             found = [gram_set(t.encode("utf-8", "surrogatepass"), n) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -147,6 +148,7 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
     """Signatures packed per bucket: 48 bits each (the bucket has the others) and the number of a set in the row's table."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Memo.forget()
         bands = Bands(percent)
         for held in batches_of(batches, "text", BATCH_BYTES):
             seen: set[int] = set()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import crc_fold, fresh_name, small_batches
+from tidewater.llm.common import Memo, crc_fold, fresh_name, small_batches
 from tidewater.session import materialise
 
 SAMPLE = 500  # labelled rows per language to learn from
@@ -169,6 +169,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed by BITS and the languages
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Memo.forget()
         for batch in batches:
             found = [shared.value.predict(text) for text in batch.column("text").to_pylist()]
             columns = list(zip(*found)) or [[], [], []]

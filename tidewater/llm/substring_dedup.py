@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import blocks_for, by_bucket, dealt_to_blocks, fresh_name, gram_hashes, mix, ship, word_hashes
+from tidewater.llm.common import Memo, blocks_for, by_bucket, dealt_to_blocks, fresh_name, gram_hashes, mix, ship, word_hashes
 
 BLOCK_BYTES = 8 << 20  # text in a block
 BUCKET_BYTES = 16 << 20  # text whose windows a bucket compares
@@ -125,6 +125,7 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
     dealt = dealt_to_blocks(docs, block, blocks)
 
     def send(table: pa.Table) -> pa.Table:
+        Memo.forget()
         values, second, counts = block_windows(_texts(table), length)
         number = table.column(block)[0].as_py()
         rows = []
