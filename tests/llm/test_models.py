@@ -45,6 +45,15 @@ def test_language_id_odd_inputs(spark, docs, no_docs):
     assert language_id.identify(no_docs, model).count() == 0
 
 
+def test_language_id_samples_a_language_of_copies(spark):
+    spell = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+    text = F.when(F.col("id") < 700, spell).otherwise(F.lit("the same text again"))
+    many = spark.range(60_000).select(text.alias("text"), F.lit("xx").alias("lang"))
+    few = spark.range(60_000).select(F.when(F.col("id") < 40, spell).otherwise(F.lit("zz zz")).alias("text"), F.lit("yy").alias("lang"))
+    sample = language_id._sample(many.unionByName(few), "lang")  # a whole and a piece of each text
+    assert Counter(lang for lang, *_ in sample) == {"xx": 2 * language_id.SAMPLE, "yy": 2 * 41}
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     labels = table(spark, sf, "labels").select("doc_id", "toxic")

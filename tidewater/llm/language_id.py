@@ -78,8 +78,10 @@ def _sample(docs: DataFrame, label: str) -> list[tuple[str, bool, np.ndarray, np
         F.col(label).cast("string").alias("lang"), "text", F.xxhash64("text").alias("order")
     )
     # A few times the wanted number by the size of the hash, which needs no shuffle of texts; copies
-    # of a text count once; then exactly the wanted number.
-    share = rows.groupBy("lang").agg((F.lit(4.0 * SAMPLE) / F.count(F.lit(1))).alias("share"))
+    # of a text count once, in the share too, or a language of copies would give too few; then exactly
+    # the wanted number.
+    texts = rows.select("lang", "order").distinct()
+    share = texts.groupBy("lang").agg((F.lit(4.0 * SAMPLE) / F.count(F.lit(1))).alias("share"))
     spread = F.pmod(F.hash("order"), F.lit(1 << 30)) / float(1 << 30)
     some = rows.join(materialise(share, "share"), "lang").filter(spread < F.col("share")).drop("share")
     nth = Window.partitionBy("lang").orderBy("order")
