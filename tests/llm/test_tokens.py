@@ -3,6 +3,7 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -138,6 +139,25 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert bins_of(plan) == _fewest(lengths, 100) <= bins_of(best_fit(counts, 100))
 
 
+def test_bin_completion_goes_on_after_a_full_filling():
+    counts = {1536: 8, 1024: 8, 768: 16}  # best fit takes 9; 1536 + 1024 + 768 + 768 is full
+    plan = bin_completion(counts, 4096)
+    assert bins_of(plan) == 8 < bins_of(best_fit(counts, 4096))
+    packed = Counter()
+    for pattern, times in plan:
+        assert sum(x * n for x, n in pattern) <= 4096
+        packed.update({x: n * times for x, n in pattern})
+    assert packed == counts
+
+
+def test_fillings_are_all_that_no_other_dominates():
+    counts = {5: 2, 4: 3, 3: 2}
+    assert set(packing.fillings(counts, [3, 4, 5], 13)) == {
+        ((5, 2), (3, 1)), ((5, 1), (4, 2)), ((5, 1), (4, 1), (3, 1)), ((5, 1), (3, 2)), ((4, 3),), ((4, 2), (3, 1)),
+    }
+    assert list(packing.fillings(counts, [3, 4, 5], 5)) == [((5, 1),)]
+
+
 def test_plan_is_bounded_by_lengths_not_pieces():
     counts = {x: 10**9 + x for x in range(1, 200)}
     plan = bin_completion(counts, 256)

@@ -6,8 +6,14 @@ works on a table of counts per length: it is as large for a billion pieces as
 for a thousand. The search is bin completion by branch and bound: take the
 largest length left, enumerate the undominated fillings of the room beside it,
 least waste first, and use the chosen filling as often as the counts allow. A
-branch ends when the waste so far exceeds what a better solution could have.
-Best-fit decreasing gives the first incumbent. The plan then meets the pieces:
+first search is narrow: it takes each length in a filling as often as it goes and
+goes on from the first filling without waste. If its plan does not meet the bound
+on the sum, a second one looks at all undominated fillings, with fewer of a length
+too, and falls back to using a filling fewer times. A branch ends when the
+waste so far exceeds what a better solution could have. Best-fit decreasing
+gives the first incumbent. The search is bounded by the numbers below, so only a
+plan that meets the bound on the sum, or a search that ends before its steps do
+with every filling kept, is proven least. The plan then meets the pieces:
 each gets its number among those of its length, which the plan maps to a bin
 and a place in it.
 
@@ -32,7 +38,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import Memo, byte_batches, fresh_name, small_batches, whole_text
 from tidewater.session import materialise
 
-# Fillings looked at and kept per bin, and steps of the search before the incumbent stands.
+# Steps to enumerate and fillings kept per bin, and steps of each search before the incumbent stands.
 FILLING_STEPS, FILLINGS, SEARCH_STEPS = 4000, 6, 20_000
 ENCODE_CHARS, JOINED_CHARS = 1 << 18, 1 << 12
 REMEMBERED_RUNS, REMEMBERED_WORDS = 300_000, 900_000
@@ -194,45 +200,59 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
     return [(tuple(sorted(c.items(), reverse=True)), n) for groups in held.values() for c, n in groups]
 
 
-def fillings(counts: dict[int, int], lengths: list[int], room: int) -> list[Pattern]:
-    """Undominated ways to fill ``room``, least waste first.
+def fillings(counts: dict[int, int], lengths: list[int], room: int, beside: int = 0, narrow: bool = False) -> Iterator[Pattern]:
+    """Undominated ways to fill ``room``: those without waste as they are found, then by waste.
 
-    ``lengths`` are those in ``counts``, ascending. A single piece as long as the
-    room dominates every other filling. A filling that could take a further piece
-    is dominated by the one that has it, and so is one that holds fewer tokens
-    than the longest single piece.
+    ``lengths`` are those in ``counts``, ascending; one piece of length ``beside``
+    is in the bin already. ``narrow`` looks for a good choice rather than for
+    all: each length is taken as often as it goes or not at all, the first filling
+    without waste ends the enumeration, and some that are dominated stay. A single piece as long as the room dominates every
+    other filling; several pieces that fill it do not. A filling that could take a further piece is dominated by the one that has it,
+    and so is one that holds fewer tokens than the longest single piece.
     """
     if not lengths or lengths[0] > room:
-        return [()]
+        yield ()
+        return
     at = bisect_left(lengths, room + 1) - 1
     if lengths[at] == room:
-        return [((room, 1),)]
-    floor, steps, found = lengths[at], 0, []
+        yield ((room, 1),)
+        return
+    floor, steps, full = lengths[at], 0, 0
+    found: list[tuple[int, Pattern]] = []
 
-    def extend(picked: list[tuple[int, int]], room_left: int, upto: int) -> bool:
-        """Add shorter and shorter lengths; True ends the search."""
+    def extend(picked: Pattern, room_left: int, upto: int, spare: int) -> Iterator[Pattern]:
+        """Add shorter and shorter lengths. ``spare`` is the shortest length left out so far."""
         nonlocal steps
         steps += 1
-        if steps > FILLING_STEPS:
-            return True
         k = min(upto, bisect_left(lengths, room_left + 1)) - 1
         if k < 0:
-            if room - room_left >= floor:
-                found.append((room_left, tuple(picked)))
-            return room_left == 0
-        # an exact fit of what is left dominates all other ways to go on
+            if room_left == 0:
+                yield picked
+            elif room - room_left >= floor and (narrow or spare > room_left):
+                found.append((room_left, picked))
+            return
+        # a piece as long as what is left dominates all other ways to go on
         stop = k - 1 if lengths[k] == room_left else -1
         for i in range(k, stop, -1):
-            n = min(counts[lengths[i]], room_left // lengths[i])
-            if extend([*picked, (lengths[i], n)], room_left - n * lengths[i], i):
-                return True
-            if steps > FILLING_STEPS // 2 and found:
-                return True
-        return False
-
-    extend([], room, len(lengths))
+            there = counts[lengths[i]] - (lengths[i] == beside)
+            most = min(there, room_left // lengths[i])
+            for n in range(most, most - 1 if narrow else 0, -1):
+                if steps >= FILLING_STEPS or steps > FILLING_STEPS // 2 and found:
+                    return
+                out = spare if n == there else lengths[i]
+                yield from extend((*picked, (lengths[i], n)), room_left - n * lengths[i], i, out)
+            spare = lengths[i]
+
+    for pattern in extend((), room, len(lengths), room + 1):
+        full += 1
+        yield pattern
+        if full == (1 if narrow else FILLINGS):
+            break
     found.sort(key=lambda x: (x[0], len(x[1])))
-    return [pattern for _, pattern in found[:FILLINGS]] or [((lengths[at], 1),)]
+    del found[FILLINGS - full :]  # the rest is not held while the search goes deeper
+    yield from [pattern for _, pattern in found]
+    if not full and not found:
+        yield ((lengths[at], 1),)
 
 
 def bin_completion(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
@@ -246,24 +266,30 @@ def bin_completion(counts: dict[int, int], capacity: int) -> list[tuple[Pattern,
     total = sum(length * n for length, n in left.items())
     least = -(-total // capacity)
     best = best_fit(left, capacity)
+    fewest = bins_of(best)
     plan: list[tuple[Pattern, int]] = []
-    used = waste = steps = 0
-    choices: list[Iterator[Pattern]] = []  # per level, the fillings not tried yet
+    used = waste = 0
+    choices: list[Iterator[tuple[Pattern, int]]] = []  # per level, the choices not tried yet
 
-    def options() -> Iterator[Pattern]:
+    def options(narrow: bool) -> Iterator[tuple[Pattern, int]]:
+        """Each filling as often as it goes; then, unless ``narrow``, half as often and so on down to once."""
         longest = lengths[-1]
-        left[longest] -= 1
-        rest = lengths if left[longest] else lengths[:-1]
-        found = fillings(left, rest, capacity - longest)
-        left[longest] += 1
-        for filling in found:
+        rest = lengths if left[longest] > 1 else lengths[:-1]
+        repeated = []
+        for filling in fillings(left, rest, capacity - longest, longest, narrow):
             contents = dict(filling)
             contents[longest] = contents.get(longest, 0) + 1
-            yield tuple(sorted(contents.items(), reverse=True))
-
-    def take(pattern: Pattern) -> None:
+            pattern = tuple(sorted(contents.items(), reverse=True))
+            times = min(left[length] // n for length, n in pattern)
+            repeated.append((pattern, times))
+            yield pattern, times
+        for pattern, times in () if narrow else repeated:
+            while times > 1:
+                times //= 2
+                yield pattern, times
+
+    def take(pattern: Pattern, times: int) -> None:
         nonlocal used, waste
-        times = min(left[length] // n for length, n in pattern)
         for length, n in pattern:
             left[length] -= n * times
             if not left[length]:
@@ -282,32 +308,46 @@ def bin_completion(counts: dict[int, int], capacity: int) -> list[tuple[Pattern,
         used -= times
         waste -= times * (capacity - sum(length * n for length, n in pattern))
 
-    while bins_of(best) > least and steps < SEARCH_STEPS:
-        steps += 1
-        if lengths and waste <= (bins_of(best) - 1) * capacity - total:
-            choices.append(options())
-        elif not lengths and used < bins_of(best):
-            best = list(plan)
-        # the next untried choice, from the deepest level up
-        while choices:
-            if len(plan) == len(choices):
-                give_back()
-            pattern = next(choices[-1], None)
-            if pattern is not None:
-                take(pattern)
+    for narrow in (True, False):
+        steps = 0
+        while fewest > least and steps < SEARCH_STEPS:
+            steps += 1
+            if lengths and waste <= (fewest - 1) * capacity - total:
+                choices.append(options(narrow))
+            elif not lengths and used < fewest:
+                best, fewest = _merged(plan), used
+            # the next untried choice, from the deepest level up
+            while choices:
+                if len(plan) == len(choices):
+                    give_back()
+                choice = next(choices[-1], None)
+                if choice is not None:
+                    take(*choice)
+                    break
+                choices.pop()
+            else:
                 break
-            choices.pop()
-        else:
-            break
+        choices.clear()
+        while plan:
+            give_back()
     return best
 
 
+def _merged(plan: list[tuple[Pattern, int]]) -> list[tuple[Pattern, int]]:
+    """The plan with one entry per pattern."""
+    times: dict[Pattern, int] = {}
+    for pattern, n in plan:
+        times[pattern] = times.get(pattern, 0) + n
+    return list(times.items())
+
+
 def places(plan: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:
     """The plan as arrays ordered by (length, first number).
 
     Pieces ``first`` to the next ``first`` of a length go ``per`` to a bin,
     starting with bin ``sequence`` at place ``offset``. A plan has at most as
-    many rows as there are lengths times lengths in a bin, whatever the data.
+    many rows as there are lengths, or steps of a search, times lengths in a bin,
+    whatever the data.
     """
     rows, taken, sequence = [], {}, 0
     for pattern, times in plan:
