@@ -91,6 +91,17 @@ def test_jaccard_join(docs, no_docs, monkeypatch, few):
     assert similar_documents(no_docs).count() == 0
 
 
+def test_keep_one_keeps_one_row_of_ids_missing_or_repeated(spark):
+    near = [" ".join([*(f"w{i}" for i in range(60)), end]) for end in ("a", "b", "c")]
+    other = [" ".join([*(f"v{i}" for i in range(60)), end]) for end in ("a", "b")]
+    third = [" ".join([*(f"u{i}" for i in range(60)), end]) for end in ("a", "b")]
+    given = [(4, near[0]), (None, near[1]), (5, near[2]), (None, other[0]), (None, other[1]), (5, third[0]), (2, third[1]), (4, ""), (None, "")]
+    stay = keep_one(spark.createDataFrame(given, "doc_id long, text string"), 5, 75).collect()
+    got = sorted(((r["doc_id"] or 0, r["text"]) for r in stay))
+    assert [g for g in got if g[1] not in other] == sorted([(4, near[0]), (2, third[1]), (4, ""), (0, "")])
+    assert len([g for g in got if g[1] in other]) == 1
+
+
 def test_signatures_miss_no_link():
     """Random pairs at the edge of the threshold share a signature, and no bound rules them out."""
     random = np.random.default_rng(4)

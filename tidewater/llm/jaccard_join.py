@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import Memo, batches_of, blocks_for, by_bucket, fresh_name, gram_hashes, mix, small_batches, whole_text, word_hashes
@@ -122,7 +122,7 @@ def signatures(grams: np.ndarray, band: int, k: int, partitions: int) -> tuple[n
 
 
 def read_sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, key (NULL for the empty set) and bits of every row."""
+    """doc_id, n_shingles, key (NULL for the empty set), bits and a hash of the text of every row."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Memo.forget()
@@ -134,13 +134,14 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
                     pa.array([len(g) for g in found], pa.int64()),
                     pa.array([set_key(g) if len(g) else None for g in found], pa.int64()),
                     pa.array([parity(g) if len(g) else None for g in found], pa.binary()),
+                    batch.column("hash"),
                 ],
-                names=["doc_id", "n_shingles", "key", "bits"],
+                names=["doc_id", "n_shingles", "key", "bits", "hash"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(
-        sets, f"doc_id {kind}, n_shingles long, key long, bits binary"
+    return docs.select("doc_id", whole_text().alias("text"), F.xxhash64(whole_text()).alias("hash")).mapInArrow(
+        sets, f"doc_id {kind}, n_shingles long, key long, bits binary, hash long"
     )
 
 
@@ -397,8 +398,8 @@ class Join:
         return met.applyInArrow(compare, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def similar_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows as ``read_sets`` gives them, and key, doc_id, root of the classes of equal sets."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", "text")
@@ -425,6 +426,12 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFra
         .join(join.roots(links).withColumnRenamed("id", "key"), "key", "left")
         .select("key", "doc_id", F.coalesce("root", "key").alias("root"))
     )
+    return rows, named
+
+
+def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    rows, named = similar_sets(docs, n, percent)
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     groups = materialise(named.join(least, "root").select("key", "component_id"), "groups")
     full = rows.filter("key IS NOT NULL").join(groups.hint("merge"), "key")
@@ -433,10 +440,22 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFra
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """The documents that stay, with all their columns: of each component the one with the smallest id.
+    """The documents that stay, with all their columns: of each component the row with the smallest id.
 
-    Rows without an id, and the rows that repeat an id that stays, stay.
+    Of rows with that id the one whose text has the least hash stays. A row
+    without an id stays if its component has none with one. Rows with an empty set stay.
     """
-    mark = fresh_name(docs, "_stays")
-    found = similar_documents(docs, n, percent).filter("doc_id = component_id").select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(found, F.col("doc_id") == F.col(mark), "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    rows, named = similar_sets(docs, n, percent)
+    key, text, rank = (fresh_name(docs, c) for c in ("_id", "_hash", "_rank"))
+    as_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    roots = materialise(named.select("key", "root"), "roots-of-keys")
+    full = rows.filter("key IS NOT NULL").join(roots.hint("merge"), "key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "hash")).alias("first")
+    stays = full.groupBy("root").agg(first).select("first.*")
+    names = [as_key("doc_id").alias(key), F.col("hash").alias(text)]
+    chosen = materialise(stays.select(*names), "stays")
+    lone = materialise(rows.filter("key IS NULL").select(*names).distinct(), "lone")
+    marked = docs.withColumns({key: as_key("doc_id"), text: F.xxhash64(whole_text())})
+    one = Window.partitionBy(key, text).orderBy(F.lit(0))  # equal id and text: any
+    once = marked.join(chosen, [key, text], "left_semi").withColumn(rank, F.row_number().over(one)).filter(F.col(rank) == 1)
+    return once.select(*docs.columns).unionByName(marked.join(lone, [key, text], "left_semi").select(*docs.columns))
