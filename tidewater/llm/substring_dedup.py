@@ -8,7 +8,8 @@ more, in one document or in several, are removed with every word they cover.
    bucket chosen by an independent hash (so what tells windows apart grows with
    the number of buckets, as the number of windows does).
 2. A bucket finds the windows that two blocks hold and tells those blocks.
-3. A block confirms the recurring passages in its documents, lays tiles of one
+3. A block finds the recurring passages in its documents by their hashes (words
+   of different blocks are never compared; the automata only recheck), lays tiles of one
    window's length over each (recurring windows that together cover it),
    compiles them into Aho-Corasick automata over words, a bounded number of
    words in each, and streams all its documents through them; every occurrence
