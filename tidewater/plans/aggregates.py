@@ -491,7 +491,7 @@ def hll_sketch(spark, sf_dir):
     """,
 )
 def distinct_with_deletes(spark, sf_dir):
-    """Users added more often than deleted, exactly and as a difference of two stored sketches."""
+    """Users added more often than deleted, exactly and as a difference of two sketches of the exact net set."""
     events = table(spark, sf_dir, "events")
     sign = F.when(F.col("value") < 5, -1).otherwise(1)
     exact = signed_distinct(events, ["event_type"], "user_id", sign)
