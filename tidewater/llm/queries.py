@@ -122,3 +122,39 @@ def op4_context_tree(spark, sf_dir):
     from tidewater.llm.context_tree import held_out, score_texts
 
     return score_texts(table(spark, sf_dir, "documents"), held_out())
+
+
+@query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+             ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS shuffle
+      FROM documents
+    ), s AS (
+      SELECT *, [5, 2, 1][1 + (turn - 1) % 3] AS weight, 2 * source_size AS most, 2 * source_size / weight AS fills_at
+      FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS turn
+            FROM d GROUP BY source)
+    ), f AS (
+      SELECT *, sum(most) OVER w + fills_at * (sum(weight) OVER () - sum(weight) OVER w) <= 1.5::DOUBLE * sum(source_size) OVER () AS is_full,
+             1.5::DOUBLE * sum(source_size) OVER () AS budget
+      FROM s WINDOW w AS (ORDER BY fills_at, turn)
+    ), t AS (
+      SELECT *, CASE WHEN is_full THEN most::DOUBLE ELSE weight *
+               ((budget - coalesce(sum(most) FILTER (is_full) OVER (), 0)) / sum(weight) FILTER (NOT is_full) OVER ()) END AS target
+      FROM f
+    ), q AS (
+      SELECT row_number() OVER () AS rid, doc_id, size, source_size, turn, target, budget,
+             sum(size) OVER (PARTITION BY turn ORDER BY shuffle, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+    ), e AS (
+      SELECT rid, size, budget, sum(size) OVER (ORDER BY (start + p * source_size + size)::DOUBLE / target, turn, start + p * source_size
+                                                ROWS UNBOUNDED PRECEDING) AS upto
+      FROM q, (VALUES (0), (1)) AS passes(p) WHERE size > 0
+    ), m AS (SELECT rid, sum(size) AS taken FROM e WHERE upto <= budget GROUP BY rid)
+    SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM q LEFT JOIN m USING (rid)
+    """
+)
+def op11_source_mixing(spark, sf_dir):
+    from tidewater.llm.source_mixing import schedule
+
+    return schedule(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
