@@ -158,3 +158,47 @@ def op11_source_mixing(spark, sf_dir):
     from tidewater.llm.source_mixing import schedule
 
     return schedule(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(
+    r"""
+    WITH p AS (
+      SELECT lang, row_number() OVER () AS piece_id, piece
+      FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents)
+    ), o AS (
+      SELECT lang, piece_id, unnest(ws) AS w1, generate_subscripts(ws, 1) AS pos
+      FROM (SELECT lang, piece_id, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p)
+    ), g AS (
+      SELECT lang, w1, lead(w1, 1) OVER x AS w2, lead(w1, 2) OVER x AS w3, lead(w1, 3) OVER x AS w4
+      FROM o WINDOW x AS (PARTITION BY piece_id ORDER BY pos)
+    ), f AS (
+      SELECT lang, [w1] AS ws, count(*) AS f FROM g GROUP BY lang, w1
+      UNION ALL SELECT lang, [w1, w2], count(*) FROM g WHERE w2 IS NOT NULL GROUP BY lang, w1, w2
+      UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM g WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3
+      UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM g WHERE w4 IS NOT NULL GROUP BY lang, w1, w2, w3, w4
+    ), c AS (
+      SELECT lang, ws, f AS a, len(ws) AS m FROM f WHERE f >= 30 AND len(ws) > 1
+    ), held AS (
+      SELECT lang, ws, max(a) AS most
+      FROM (SELECT lang, ws[i:j] AS ws, a FROM c, range(1, 4) AS s(i), range(2, 5) AS t(j) WHERE i < j AND j <= m AND j - i + 1 < m)
+      GROUP BY lang, ws
+    ), k AS (
+      SELECT c.* FROM c LEFT JOIN held USING (lang, ws) WHERE most IS NULL OR 100 * most < 80 * a
+    ), cuts AS (
+      SELECT k.lang, k.ws, a, i, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score
+      FROM k, range(1, 4) AS s(i), f AS l, f AS r
+      WHERE i < m AND l.lang = k.lang AND l.ws = k.ws[1:i] AND r.lang = k.lang AND r.ws = k.ws[i + 1:m]
+    ), lowest AS (
+      SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score
+      FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, i) = 1
+    ), n AS (SELECT lang, count(*) AS n FROM o GROUP BY lang)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM lowest JOIN n USING (lang) QUALIFY rank <= 2000
+    """
+)
+def op12_phrase_mining(spark, sf_dir):
+    from tidewater.llm.phrases import mine
+
+    return mine(table(spark, sf_dir, "documents"), longest=4, least=30, covered=80, top=2000)
