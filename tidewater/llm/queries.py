@@ -202,3 +202,22 @@ def op12_phrase_mining(spark, sf_dir):
     from tidewater.llm.phrases import mine
 
     return mine(table(spark, sf_dir, "documents"), longest=4, least=30, covered=80, top=2000)
+
+
+@query()
+def op13_embedding_whitening(spark, sf_dir):
+    from tidewater.llm.whitening import fit, transform
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit(vectors, components=4)
+    rows = transform(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    shares = F.array(*[F.lit(v) for v in model.explained]).cast("array<double>")
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
