@@ -56,6 +56,14 @@ def split_hot(
     return cold, hot, int(hot_rows)
 
 
+# How a running value folds rows, and how the value of earlier slices joins that of a row's own.
+FOLDS = {
+    "sum": (F.sum, lambda own, before: own + before),
+    "min": (F.min, F.least),
+    "max": (F.max, F.greatest),
+}
+
+
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -63,17 +71,30 @@ def running_sums(
     sums: Mapping[str, Column],
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add inclusive running sums within each group, in ``order`` (which must be total).
+    """Add inclusive running sums within each group, in ``order`` (which must be total)."""
+    return running(df, keys, order, {n: ("sum", c) for n, c in sums.items()}, max_rows)
+
+
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    folds: Mapping[str, tuple[str, Column]],
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Add inclusive running values (``sum``, ``min`` or ``max`` of a column) within each group, in ``order``.
 
-    Ordinary groups use one window. Hot groups, or the whole frame when there
-    are no keys, are range-partitioned on (keys, order); each slice gets a local
-    window and the totals of the slices before it.
+    The order must be total where a row's value depends on it. Ordinary groups
+    use one window. Hot groups, or the whole frame when there are no keys, are
+    range-partitioned on (keys, order); each slice gets a local window and the
+    folded values of the slices before it. NULLs are passed over.
     """
     keys = list(keys)
+    over = lambda w: [FOLDS[how][0](c).over(w).alias(n) for n, (how, c) in folds.items()]
     if keys:
         cold, hot, hot_rows = split_hot(df, keys, max_rows)
         whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        done = cold.select("*", *[F.sum(c).over(whole).alias(n) for n, c in sums.items()])
+        done = cold.select("*", *over(whole))
         if hot is None:
             return done
     else:
@@ -81,16 +102,16 @@ def running_sums(
         hot_rows = hot.count()  # from file footers
         if hot_rows <= max_rows:
             whole = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-            return hot.select("*", *[F.sum(c).over(whole).alias(n) for n, c in sums.items()])
+            return hot.select("*", *over(whole))
 
     slices = hot_rows // max_rows + 1
-    types = {n: df.select(F.sum(c).alias("x")).schema["x"].dataType for n, c in sums.items()}
+    types = {n: df.select(FOLDS[how][0](c).alias("x")).schema["x"].dataType for n, (how, c) in folds.items()}
     ranged = hot.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
     sliced = materialise(
         ranged.select(
             "*",
             F.spark_partition_id().alias("_slice"),
-            *[c.alias(f"_in_{n}") for n, c in sums.items()],
+            *[c.alias(f"_in_{n}") for n, (_, c) in folds.items()],
         ),
         "slices",
     )
@@ -101,13 +122,13 @@ def running_sums(
     # the slices of a group stays small.
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     totals = sliced.groupBy(*keys, "_slice").agg(
-        *[F.sum(f"_in_{n}").alias(f"_t_{n}") for n in sums]
+        *[FOLDS[how][0](f"_in_{n}").alias(f"_t_{n}") for n, (how, _) in folds.items()]
     )
     before = totals.select(
-        *keys, "_slice", *[F.sum(f"_t_{n}").over(earlier).alias(f"_b_{n}") for n in sums]
+        *keys, "_slice", *[FOLDS[how][0](f"_t_{n}").over(earlier).alias(f"_b_{n}") for n, (how, _) in folds.items()]
     )
     joined = (
-        sliced.select("*", *[F.sum(f"_in_{n}").over(local).alias(f"_l_{n}") for n in sums])
+        sliced.select("*", *[FOLDS[how][0](f"_in_{n}").over(local).alias(f"_l_{n}") for n, (how, _) in folds.items()])
         .alias("d")
         .join(before.alias("b"), _same_keys("d", "b", [*keys, "_slice"]))
     )
@@ -115,10 +136,10 @@ def running_sums(
     def carried(n: str) -> Column:
         """Local and carried part; NULL only where neither holds a value."""
         own, before = F.col(f"_l_{n}"), F.col(f"_b_{n}")
-        return F.when(own.isNull(), before).when(before.isNull(), own).otherwise(own + before)
+        return F.when(own.isNull(), before).when(before.isNull(), own).otherwise(FOLDS[folds[n][0]][1](own, before))
 
     wanted = joined.select(
-        *[F.col(f"d.{c}") for c in df.columns], *[carried(n).cast(types[n]).alias(n) for n in sums]
+        *[F.col(f"d.{c}") for c in df.columns], *[carried(n).cast(types[n]).alias(n) for n in folds]
     )
     return wanted if done is None else done.unionByName(wanted)
 

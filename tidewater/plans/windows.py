@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.operators.frames import micros, moving_distinct, moving_extremes, sliding_distinct, sliding_extremes
 from tidewater.operators.relational import exact_percentiles, rank_at_most, sort_by
 from tidewater.operators.skew import null_safe_join
 from tidewater.operators.windows import moving_sum, navigate, ranks, sliding_totals
@@ -96,6 +97,46 @@ def win_agg_frame(spark, sf_dir):
     )
 
 
+@query(
+    "win_extreme_frame",
+    """
+    SELECT event_id, user_id, min(value) OVER r AS lowest_5, max(value) OVER r AS highest_5,
+           min(value) OVER l AS lowest_100, max(value) OVER l AS highest_100,
+           min(value) OVER d AS lowest_day, max(value) OVER d AS highest_day
+    FROM events
+    WINDOW r AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+           l AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW),
+           d AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)
+    """,
+)
+def win_extreme_frame(spark, sf_dir):
+    """Extremes over five rows of a user, and over a hundred rows and a day of an event type."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value", micros(F.col("ts")).alias("at"))
+    value = F.col("value")
+    few = moving_extremes(events, ["user_id"], ["ts", "event_id"], value, 5, "lowest_5", "highest_5")
+    many = moving_extremes(few, ["event_type"], ["ts", "event_id"], value, 100, "lowest_100", "highest_100")
+    day = sliding_extremes(events, ["event_type"], "at", 86_400_000_000, value, "lowest_day", "highest_day")
+    return null_safe_join(many, day, ["event_type", "at"]).drop("event_type", "ts", "value", "at")
+
+
+@query(
+    "win_distinct_frame",
+    """
+    SELECT event_id, count(DISTINCT kind) OVER r AS kinds_5, count(DISTINCT user_id) OVER d AS users_day
+    FROM (SELECT *, nullif(event_type, 'view') AS kind FROM events)
+    WINDOW r AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+           d AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)
+    """,
+)
+def win_distinct_frame(spark, sf_dir):
+    """Distinct event types in five rows of a user (views count as missing), distinct users of a type in a day."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", micros(F.col("ts")).alias("at"))
+    kind = F.nullif("event_type", F.lit("view"))
+    rows = moving_distinct(events, ["user_id"], ["ts", "event_id"], kind, 5, "kinds_5")
+    day = sliding_distinct(events, ["event_type"], "at", 86_400_000_000, F.col("user_id"), "users_day")
+    return null_safe_join(rows, day, ["event_type", "at"]).select("event_id", "kinds_5", "users_day")
+
+
 @query(
     "sort",
     "SELECT o_orderkey, o_orderstatus AS status, nullif(o_orderpriority, '5-LOW') AS priority FROM orders "
