@@ -1,11 +1,14 @@
 """Joins and counts on ranges, without comparing every pair."""
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.relational import at_level, bucket_level, touched_buckets
-from tidewater.operators.skew import MAX_GROUP_ROWS, running_sums, salted_join
+from tidewater.operators.inequality import count_matches
+from tidewater.operators.skew import MAX_GROUP_ROWS, null_safe_join, running, running_sums, salted_join
 
 
 def make_range(start: Column, end: Column) -> Column:
@@ -60,6 +63,40 @@ def overlap_counts(
     )
 
 
+def containers(
+    left: DataFrame, right: DataFrame, start: str, end: str, key: str, name: str = "container",
+    within: Sequence[str] = (), max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Add to each left time range the ``key`` of a right range that holds it, NULL if none does.
+
+    Of the right ranges that start no later, the one that ends last decides: it
+    holds the left range, or none of them does (ties: the largest key). That is
+    a running maximum over the starts, so no pair is built and a stretch that
+    many ranges cover costs no more than any other. ``within`` names columns
+    that must agree (NULL agrees with NULL). A NULL bound is unbounded.
+    """
+    within = list(within)
+    left, right = _closed(left, start, end), _closed(right, start, end)
+    reach = F.struct(F.col("_hi").alias("end"), F.col(key).alias("key"))
+    starts = right.groupBy(*within, F.col("_lo").alias("_t")).agg(F.max(reach).alias("_reach"))
+    asked = left.select(*within, F.col("_lo").alias("_t")).distinct().withColumn("_side", F.lit(1))
+    merged = starts.withColumn("_side", F.lit(0)).unionByName(asked, allowMissingColumns=True)
+    run = running(merged, within, [F.col("_t"), F.col("_side")], {"_furthest": ("max", F.col("_reach"))}, max_rows)
+    furthest = run.filter("_side = 1").select(*within, F.col("_t").alias("_lo"), "_furthest")
+    joined = null_safe_join(left, furthest, [*within, "_lo"])
+    kept = [c for c in left.columns if c not in ("_lo", "_hi")]
+    return joined.select(*kept, F.when(F.col("_furthest.end") >= F.col("_hi"), F.col("_furthest.key")).alias(name))
+
+
+def container_counts(
+    left: DataFrame, right: DataFrame, start: str, end: str, name: str = "n_containers", max_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """Add to each left time range the number of right ranges that hold it: start no later, end no earlier."""
+    left, right = _closed(left, start, end), _closed(right, start, end)
+    counted = count_matches(left, right, ("_lo", ">=", "_lo"), ("_hi", "<=", "_hi"), name, max_rows=max_rows)
+    return counted.drop("_lo", "_hi")
+
+
 def overlap_join(
     left: DataFrame, right: DataFrame, left_range: tuple[str, str], right_range: tuple[str, str], width: str,
     max_rows: int = MAX_GROUP_ROWS,

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions.numeric import fixed, sum_fixed
+from tidewater.operators.inequality import count_matches
 from tidewater.operators.relational import band_join, left_join_hot
 from tidewater.plans.registry import query
 from tidewater.session import table, table_path
@@ -87,6 +88,20 @@ def join_theta(spark, sf_dir):
     )
 
 
+@query(
+    "join_two_sided",
+    """
+    SELECT a.p_partkey, count(b.p_partkey) AS n_dearer_smaller FROM part a
+    LEFT JOIN part b ON a.p_retailprice < b.p_retailprice AND a.p_size > b.p_size GROUP BY a.p_partkey
+    """,
+)
+def join_two_sided(spark, sf_dir):
+    """For each part, how many parts are dearer and yet smaller."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_size")
+    price, size = ("p_retailprice", "<", "p_retailprice"), ("p_size", ">", "p_size")
+    return count_matches(part, part, price, size, "n_dearer_smaller").select("p_partkey", "n_dearer_smaller")
+
+
 @query(
     "join_tree",
     """

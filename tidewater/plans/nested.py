@@ -12,7 +12,7 @@ from tidewater.functions.nested import (
     array_offsets,
     array_sum,
 )
-from tidewater.operators.ranges import make_range, overlap_counts
+from tidewater.operators.ranges import container_counts, containers, make_range, overlap_counts, overlap_join
 from tidewater.plans.registry import query
 from tidewater.session import table
 
@@ -222,6 +222,65 @@ def range_overlap(spark, sf_dir):
     return counted.select("event_id", "n_overlaps")
 
 
+# Error windows of five minutes and purchase windows of half an hour; some have no end, some purchases no start.
+_SPANS = """
+    WITH e AS (SELECT event_id, ts AS s, CASE WHEN value >= 2 THEN ts + INTERVAL 5 MINUTE END AS t FROM events WHERE event_type = 'error'),
+         p AS (SELECT event_id, CASE WHEN value < 97 THEN ts END AS s, CASE WHEN value >= 3 THEN ts + INTERVAL 30 MINUTE END AS t
+               FROM events WHERE event_type = 'purchase')
+"""
+
+
+def _spans(spark, sf_dir):
+    events, value = table(spark, sf_dir, "events"), F.col("value")
+    later = lambda text: F.col("ts") + F.expr(f"INTERVAL {text}")
+    of = lambda kind, start, end: events.filter(F.col("event_type") == kind).select(
+        "event_id", start.alias("start"), end.alias("end")
+    )
+    errors = of("error", F.col("ts"), F.when(value >= 2, later("5 MINUTE")))
+    return errors, of("purchase", F.when(value < 97, F.col("ts")), F.when(value >= 3, later("30 MINUTE")))
+
+
+@query(
+    "range_containment",
+    _SPANS
+    + """
+    SELECT e.event_id, count(p.event_id) AS n_containers, arg_max(p.event_id, (coalesce(p.t, TIMESTAMP '9999-12-31'), p.event_id)) AS container
+    FROM e LEFT JOIN p ON coalesce(p.s, TIMESTAMP '0001-01-01') <= e.s
+                      AND coalesce(e.t, TIMESTAMP '9999-12-31') <= coalesce(p.t, TIMESTAMP '9999-12-31')
+    GROUP BY e.event_id
+    """,
+)
+def range_containment(spark, sf_dir):
+    """How many purchase windows hold each error window, and which of them ends last."""
+    errors, purchases = _spans(spark, sf_dir)
+    held = containers(errors, purchases, "start", "end", "event_id")
+    return container_counts(held, purchases, "start", "end").select("event_id", "n_containers", "container")
+
+
+@query(
+    "range_pairs",
+    """
+    SELECT p.event_id AS purchase_id, e.event_id AS error_id FROM events p, events e
+    WHERE p.event_type = 'purchase' AND e.event_type = 'error'
+      AND e.ts < p.ts + INTERVAL 30 MINUTE AND p.ts < e.ts + INTERVAL 5 MINUTE
+    """,
+)
+def range_pairs(spark, sf_dir):
+    """The overlapping pairs themselves: half hours after a purchase and five-minute error windows."""
+    events = table(spark, sf_dir, "events")
+
+    def spans(kind, prefix, length):
+        end = F.col("ts") + F.expr(f"INTERVAL {length}")
+        own = events.filter(F.col("event_type") == kind)
+        return own.select(F.col("event_id").alias(f"{prefix}_id"), F.col("ts").alias(f"{prefix}_start"), end.alias(f"{prefix}_end"))
+
+    pairs = overlap_join(
+        spans("purchase", "purchase", "30 MINUTE"), spans("error", "error", "5 MINUTE"),
+        ("purchase_start", "purchase_end"), ("error_start", "error_end"), "30 MINUTE",
+    )
+    return pairs.select("purchase_id", "error_id")
+
+
 @query(
     "json_scalar",
     """

@@ -1,8 +1,11 @@
 """Session settings, table loading and lineage cuts shared by all jobs."""
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,21 @@ SETTINGS = {
 }
 
 _local_shared_dir: str | None = None
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, for their Python workers to import."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    folder = tempfile.TemporaryDirectory()  # the driver serves the file from here until it ends
+    with zipfile.ZipFile(file := os.path.join(folder.name, "tidewater.zip"), "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(file)
+    _shipped[context.applicationId] = folder
 
 
 def prepare(spark: SparkSession) -> SparkSession:
