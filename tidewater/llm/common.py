@@ -1,19 +1,15 @@
 """Helpers the operators of this package share: text access, safe cuts, word hashes, packed exchange."""
 from __future__ import annotations
 
-import os
 import re
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import tidewater
+from tidewater.session import ship
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -28,23 +24,6 @@ _SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 CHUNK = re.compile(f"{_SPACE}*{_OTHER}+|{_SPACE}+")
 
 
-_shipped: dict[str, tempfile.TemporaryDirectory] = {}
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, for their Python workers to import."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(tidewater.__file__).parent
-    folder = tempfile.TemporaryDirectory()  # the driver serves the file from here until it ends
-    with zipfile.ZipFile(file := os.path.join(folder.name, "tidewater.zip"), "w") as archive:
-        for source in sorted(package.rglob("*.py")):
-            archive.write(source, source.relative_to(package.parent))
-    context.addPyFile(file)
-    _shipped[context.applicationId] = folder
-
-
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Ready the session for Arrow functions: the package on the executors, batches of ``rows`` rows."""
     ship(spark)
