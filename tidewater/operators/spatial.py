@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewater.operators.relational import rank_at_most
 from tidewater.operators.skew import MAX_GROUP_ROWS, salted_join
@@ -363,3 +364,66 @@ def nearest_neighbours(points: DataFrame, key: str, k: int, lon: str = "lon", la
     mine = salted_join(members, best, ["loc"], salt_by=["key"]).filter(F.col("key") != F.col("neighbour"))
     ranked = rank_at_most(mine, ["key"], [F.col("square"), F.col("neighbour")], k)
     return ranked.select(F.col("key").alias(key), F.col("rn").alias("rank"), "neighbour", metres_of(F.col("square")).alias("metres"))
+
+
+# A box is as long as at most this many cells of its level, so it touches one more along each axis.
+BOX_FAN = 4
+BOX_LEVELS = 14
+
+
+def _box_level(length: Column) -> Column:
+    """The finest level at which a side of ``length`` degrees touches few cells."""
+    level = F.lit(0)
+    for k in range(1, BOX_LEVELS):
+        level = F.when(length <= F.lit(360.0 / BOX_FAN ** (k - 1)), k).otherwise(level)
+    return level.cast("int")
+
+
+def _box_cell(degrees: Column, level: Column) -> Column:
+    """Number of the cell of a level, counted from 180 degrees west or 180 degrees south."""
+    return F.floor((degrees + 180.0) / 360.0 * F.pow(F.lit(float(BOX_FAN)), level)).cast("bigint")
+
+
+def points_in_boxes(
+    points: DataFrame, boxes: DataFrame, lon: str, lat: str, west: str, south: str, east: str, north: str,
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Pairs of a point and a box that holds it, edges included.
+
+    A box runs east from ``west`` to ``east``; where ``west`` is greater it
+    crosses the date line and is looked at as two. A box is laid on cells of two
+    levels, one for its length along each axis, of which it touches at most
+    ``BOX_FAN + 1`` an axis, so no box is copied more than (5 * 5) times a part,
+    however large or thin. A point lies in one cell of each pair of levels that
+    boxes use, and meets each box there once. Crowded cells are salted. The
+    180th meridian is the same from both sides; boxes with a NULL edge or with
+    ``south`` above ``north`` hold nothing.
+    """
+    edge = lambda a, b: F.struct(a.alias("w"), b.alias("e"))
+    left, right, line = F.lit(-180.0), F.lit(180.0), F.col(east) >= 180.0
+    w, e = F.col(west).cast("double"), F.col(east).cast("double")
+    # Points lie in [-180, 180): what ends at 180 also holds the points at -180.
+    parts = (
+        F.when(w > e, F.array(edge(w, right), edge(left, e)))
+        .when(line & (w > left), F.array(edge(w, e), edge(left, left)))
+        .otherwise(F.array(edge(w, e)))
+    )
+    good = boxes.filter(F.col(south) <= F.col(north)).filter(w.isNotNull() & e.isNotNull())
+    laid = good.withColumn("_part", F.explode(parts))
+    laid = laid.withColumns(
+        {"_lx": _box_level(F.col("_part.e") - F.col("_part.w")), "_ly": _box_level(F.col(north) - F.col(south))}
+    )
+    cells = lambda a, b, level: F.sequence(_box_cell(a, level), _box_cell(b, level))
+    laid = laid.withColumn("_x", F.explode(cells(F.col("_part.w"), F.col("_part.e"), F.col("_lx"))))
+    laid = laid.withColumn("_y", F.explode(cells(F.col(south), F.col(north), F.col("_ly"))))
+    laid = materialise(laid, "boxes")
+    used = laid.select("_lx", "_ly").distinct().collect()  # at most BOX_LEVELS squared
+    levels = F.array(*[F.struct(F.lit(r["_lx"]).alias("_lx"), F.lit(r["_ly"]).alias("_ly")) for r in sorted(used)])
+    if not used:
+        return points.sparkSession.createDataFrame([], StructType([*points.schema.fields, *boxes.schema.fields]))
+    at = F.when(F.col(lon) >= 180.0, F.col(lon) - 360.0).otherwise(F.col(lon))
+    chain = points.withColumn("_at", at).withColumn("_l", F.explode(levels)).select("*", "_l.*").drop("_l")
+    chain = chain.withColumns({"_x": _box_cell(F.col("_at"), F.col("_lx")), "_y": _box_cell(F.col(lat), F.col("_ly"))})
+    met = salted_join(chain, laid, ["_lx", "_ly", "_x", "_y"], max_rows=max_rows)
+    inside = F.col("_at").between(F.col("_part.w"), F.col("_part.e")) & F.col(lat).between(F.col(south), F.col(north))
+    return met.filter(inside).drop("_lx", "_ly", "_x", "_y", "_at", "_part")

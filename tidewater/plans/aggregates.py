@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions.numeric import fixed, sum_fixed
-from tidewater.operators.aggregates import merge_rollup, partial_rollup, signed_distinct, top_sum
+from tidewater.operators.aggregates import daily_changes, fold_changes, merge_rollup, partial_rollup, signed_distinct, top_sum
 from tidewater.operators.relational import exact_percentiles, group_implicit
 from tidewater.plans.registry import query
 from tidewater.session import materialise, table
@@ -510,6 +510,44 @@ def distinct_with_deletes(spark, sf_dir):
     )
 
 
+@query(
+    "distinct_change_states",
+    """
+    SELECT event_type, count(*) FILTER (in_set) AS n_distinct, true AS within_bound, true AS halves_agree
+    FROM (SELECT event_type, user_id, arg_max(value >= 40, (ts, event_id)) AS in_set FROM events GROUP BY event_type, user_id)
+    GROUP BY event_type
+    """,
+)
+def distinct_change_states(spark, sf_dir):
+    """Users of each event type: a high value puts one in, a low one takes it out, and it may come back.
+
+    Two sketches per day are stored and folded in order of the days; the exact
+    count stands beside the estimate. Folding the days of 2024's first half and
+    of the rest apart, and then those two, must give the same.
+    """
+    events = table(spark, sf_dir, "events")
+    adds, order = F.col("value") >= 40, [F.col("ts"), F.col("event_id")]
+    daily = materialise(daily_changes(events, ["event_type"], F.to_date("ts"), "user_id", adds, order), "daily-changes")
+    counted = lambda states, name: states.select(
+        "event_type", F.expr("theta_sketch_estimate(added)").alias(name)
+    )
+    whole = counted(fold_changes(daily, ["event_type"]), "estimate")
+    early = F.col("day") < F.lit("2024-01-15").cast("date")
+    halves = fold_changes(daily.filter(early), ["event_type"]).withColumn("half", F.lit(1)).unionByName(
+        fold_changes(daily.filter(~early), ["event_type"]).withColumn("half", F.lit(2))
+    )
+    again = counted(fold_changes(halves, ["event_type"], "half"), "again")
+    last = events.groupBy("event_type", "user_id").agg(F.max_by(adds, F.struct(*order)).alias("in_set"))
+    exact = last.groupBy("event_type").agg(F.count_if("in_set").alias("n_distinct"), F.count(F.lit(1)).alias("n_seen"))
+    near = lambda c: F.abs(F.col(c) - F.col("n_distinct")) <= 0.1 * F.col("n_seen") + 1
+    return exact.join(whole, "event_type").join(again, "event_type").select(
+        "event_type",
+        "n_distinct",
+        near("estimate").alias("within_bound"),
+        (near("again") & (F.abs(F.col("estimate") - F.col("again")) <= 0.02 * F.col("n_seen") + 1)).alias("halves_agree"),
+    )
+
+
 @query(
     "kll_sketch",
     "SELECT l_returnflag, count(*) AS n, true AS within_bound FROM lineitem GROUP BY l_returnflag",

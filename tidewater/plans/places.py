@@ -9,6 +9,7 @@ from tidewater.operators.spatial import (
     geohash,
     locations,
     nearest_neighbours,
+    points_in_boxes,
     proximity_join,
     snap,
 )
@@ -69,6 +70,46 @@ def nearest_neighbours_query(spark, sf_dir):
     return nearest_neighbours(points(spark, sf_dir), "vec_id", 3).withColumn("metres", F.round("metres", 3))
 
 
+# Points spread over the whole globe, and boxes of half a degree to fifty around some of them.
+_GLOBE = """
+    WITH g AS (SELECT vec_id, label, x - 360.0 * floor((x + 180.0) / 360.0) AS lon, greatest(least(y, 90.0), -90.0) AS lat
+               FROM (SELECT vec_id, label, embedding[1]::DOUBLE * 1500.0 AS x, embedding[2]::DOUBLE * 250.0 AS y FROM embeddings)),
+         b AS (SELECT vec_id AS box_id, w - 360.0 * floor((w + 180.0) / 360.0) AS west, lat - size / 4.0 AS south,
+                      e - 360.0 * floor((e + 180.0) / 360.0) AS east, lat + size / 8.0 AS north
+               FROM (SELECT *, lon - size AS w, lon + size AS e FROM (SELECT *, (label + 1.0) * (label + 1.0) / 4.0 AS size FROM g WHERE vec_id % 10 = 0)))
+"""
+
+
+@query(
+    "points_in_boxes",
+    _GLOBE
+    + """
+    SELECT box_id, vec_id FROM b, g WHERE lat BETWEEN south AND north
+      AND CASE WHEN west <= east THEN lon BETWEEN west AND east ELSE lon >= west OR lon <= east END
+    """,
+)
+def points_in_boxes_query(spark, sf_dir):
+    """All points in longitude and latitude boxes, some of which cross the date line."""
+    e = F.col("embedding")
+    wrapped = lambda x: x - 360.0 * F.floor((x + 180.0) / 360.0)
+    globe = table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        "label",
+        wrapped(e[0].cast("double") * 1500.0).alias("lon"),
+        F.greatest(F.least(e[1].cast("double") * 250.0, F.lit(90.0)), F.lit(-90.0)).alias("lat"),
+    )
+    size = (F.col("label") + 1.0) * (F.col("label") + 1.0) / 4.0
+    boxes = globe.filter("vec_id % 10 = 0").select(
+        F.col("vec_id").alias("box_id"),
+        wrapped(F.col("lon") - size).alias("west"),
+        (F.col("lat") - size / 4.0).alias("south"),
+        wrapped(F.col("lon") + size).alias("east"),
+        (F.col("lat") + size / 8.0).alias("north"),
+    )
+    found = points_in_boxes(globe.select("vec_id", "lon", "lat"), boxes, "lon", "lat", "west", "south", "east", "north")
+    return found.select("box_id", "vec_id")
+
+
 @query(
     "extent_centroid",
     f"""
