@@ -117,14 +117,17 @@ def fixed(amount: Column, digits: int = 2) -> Column:
     """A double rounded half up to ``digits`` decimals, as a whole number of its smallest unit.
 
     An amount that is a whole number of units takes the cheap way; any other is
-    rounded as a decimal, so 0.125 gives 13 and 1.005 gives 101. NULL where the
-    amount is no finite number.
+    rounded as a decimal, so 0.125 gives 13 and 1.005 gives 101. NaN, infinity
+    and amounts whose units do not fit 64 bits fail the query: no amount drops
+    out of a sum unseen. NULL stays NULL.
     """
     scale = F.lit(float(10**digits))
     units = F.rint(amount * scale)
     whole = (units / scale == amount) & (F.abs(units) < F.lit(float(1 << 53)))
-    by_decimal = amount.try_cast(f"decimal(38,{digits})") * F.lit(10**digits).cast("decimal(18,0)")
-    return F.when(whole, units.try_cast("bigint")).otherwise(by_decimal.try_cast("bigint"))
+    by_decimal = amount.cast(f"decimal(38,{digits})") * F.lit(10**digits).cast("decimal(18,0)")
+    # NaN and infinity come out of the cast as NULL.
+    no_number = F.when(amount.isNotNull(), F.raise_error(F.lit("OUT_OF_RANGE: an amount must be a finite number")).cast("bigint"))
+    return F.when(whole, units.cast("bigint")).otherwise(F.coalesce(by_decimal.cast("bigint"), no_number))
 
 
 def sum_fixed(units: Column, digits: int = 2, out: str = "decimal(28,2)") -> Column:
