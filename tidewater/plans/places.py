@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators.clusters import density_cluster
+from tidewater.operators.farthest import farthest_pairs
 from tidewater.operators.spatial import (
     extent_centroid,
     geohash,
@@ -110,6 +111,23 @@ def points_in_boxes_query(spark, sf_dir):
     return found.select("box_id", "vec_id")
 
 
+@query(
+    "farthest_pairs",
+    f"""
+    SELECT a.label AS a, b.label AS b, round(max({METRES_SQL}), 2) AS metres
+    FROM {POINTS_SQL} a JOIN {POINTS_SQL} b ON a.label <= b.label GROUP BY a.label, b.label
+    """,
+)
+def farthest_pairs_query(spark, sf_dir):
+    """The largest distance between points of each two labels."""
+    all_points = points(spark, sf_dir)
+    labels = all_points.select("label").distinct()
+    last = labels.agg(F.max("label").alias("last"))
+    upto = labels.select(F.col("label").alias("a"), F.explode(F.sequence("label", F.lit(last.first()["last"]))).alias("b"))
+    found = farthest_pairs(all_points, upto, "vec_id", "label")
+    return found.select("a", "b", F.round("metres", 2).alias("metres"))
+
+
 @query(
     "extent_centroid",
     f"""
