@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.cells import cell_id, parent
 from tidewater.operators.clusters import density_cluster
 from tidewater.operators.farthest import farthest_pairs
 from tidewater.operators.spatial import (
@@ -81,6 +82,20 @@ _GLOBE = """
 """
 
 
+def _globe(spark, sf_dir):
+    e = F.col("embedding")
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        "label",
+        _wrapped(e[0].cast("double") * 1500.0).alias("lon"),
+        F.greatest(F.least(e[1].cast("double") * 250.0, F.lit(90.0)), F.lit(-90.0)).alias("lat"),
+    )
+
+
+def _wrapped(x):
+    return x - 360.0 * F.floor((x + 180.0) / 360.0)
+
+
 @query(
     "points_in_boxes",
     _GLOBE
@@ -91,20 +106,13 @@ _GLOBE = """
 )
 def points_in_boxes_query(spark, sf_dir):
     """All points in longitude and latitude boxes, some of which cross the date line."""
-    e = F.col("embedding")
-    wrapped = lambda x: x - 360.0 * F.floor((x + 180.0) / 360.0)
-    globe = table(spark, sf_dir, "embeddings").select(
-        "vec_id",
-        "label",
-        wrapped(e[0].cast("double") * 1500.0).alias("lon"),
-        F.greatest(F.least(e[1].cast("double") * 250.0, F.lit(90.0)), F.lit(-90.0)).alias("lat"),
-    )
+    globe = _globe(spark, sf_dir)
     size = (F.col("label") + 1.0) * (F.col("label") + 1.0) / 4.0
     boxes = globe.filter("vec_id % 10 = 0").select(
         F.col("vec_id").alias("box_id"),
-        wrapped(F.col("lon") - size).alias("west"),
+        _wrapped(F.col("lon") - size).alias("west"),
         (F.col("lat") - size / 4.0).alias("south"),
-        wrapped(F.col("lon") + size).alias("east"),
+        _wrapped(F.col("lon") + size).alias("east"),
         (F.col("lat") + size / 8.0).alias("north"),
     )
     found = points_in_boxes(globe.select("vec_id", "lon", "lat"), boxes, "lon", "lat", "west", "south", "east", "north")
@@ -128,6 +136,34 @@ def farthest_pairs_query(spark, sf_dir):
     return found.select("a", "b", F.round("metres", 2).alias("metres"))
 
 
+@query(
+    "cell_rollup",
+    _GLOBE.replace("WITH", "WITH RECURSIVE", 1)
+    + """, p AS (SELECT vec_id, label, cos(radians(lat)) * cos(radians(lon)) AS x, cos(radians(lat)) * sin(radians(lon)) AS y, sin(radians(lat)) AS z FROM g),
+    f AS (SELECT *, CASE WHEN abs(x) >= abs(y) AND abs(x) >= abs(z) THEN CASE WHEN x < 0 THEN 3 ELSE 0 END
+                         WHEN abs(y) >= abs(z) THEN CASE WHEN y < 0 THEN 4 ELSE 1 END ELSE CASE WHEN z < 0 THEN 5 ELSE 2 END END AS face FROM p),
+    uv AS (SELECT vec_id, label, face, [y / x, -x / y, -x / z, z / x, z / y, -y / z][face + 1] AS u, [z / x, z / y, -y / z, y / x, -x / y, -x / z][face + 1] AS v FROM f),
+    st AS (SELECT *, CASE WHEN u >= 0 THEN 0.5 * sqrt(1 + 3 * u) ELSE 1 - 0.5 * sqrt(1 - 3 * u) END AS s, CASE WHEN v >= 0 THEN 0.5 * sqrt(1 + 3 * v) ELSE 1 - 0.5 * sqrt(1 - 3 * v) END AS t FROM uv),
+    h AS (SELECT vec_id, label, face, CAST(least(floor(s * 1073741824.0), 1073741823) AS BIGINT) AS i, CAST(least(floor(t * 1073741824.0), 1073741823) AS BIGINT) AS j,
+                 0 AS level, face & 1 AS turn, 0::HUGEINT AS place FROM st
+          UNION ALL
+          SELECT vec_id, label, face, i, j, level + 1, xor(turn, [1, 0, 0, 3][q + 1]), place * 4 + q
+          FROM (SELECT *, [[0, 1, 3, 2], [0, 3, 1, 2], [2, 3, 1, 0], [2, 1, 3, 0]][turn + 1][((i >> (29 - level)) & 1) * 2 + ((j >> (29 - level)) & 1) + 1] AS q FROM h WHERE level < 9)),
+    c AS (SELECT level, label, face * 2305843009213693952::HUGEINT + place * (1::HUGEINT << (61 - 2 * level)) + (1::HUGEINT << (60 - 2 * level)) AS c FROM h WHERE level IN (2, 5, 9))
+    SELECT level, CAST(CASE WHEN c >= 9223372036854775808::HUGEINT THEN c - 18446744073709551616::HUGEINT ELSE c END AS BIGINT) AS cell, count(*) AS n, CAST(sum(label) AS BIGINT) AS sum_label
+    FROM c GROUP BY ALL
+    """,
+)
+def cell_rollup(spark, sf_dir):
+    """Points counted in the cells of three levels; each level is the parents' ids of the finest one."""
+    finest = _globe(spark, sf_dir).groupBy(cell_id(F.col("lon"), F.col("lat"), 9).alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("sum_label")
+    )
+    levels = F.array(*[F.struct(F.lit(k).alias("level"), parent(F.col("cell"), k).alias("cell")) for k in (2, 5, 9)])
+    at = finest.select(F.explode(levels).alias("at"), "n", "sum_label").select("at.*", "n", "sum_label")
+    return at.groupBy("level", "cell").agg(F.sum("n").alias("n"), F.sum("sum_label").alias("sum_label"))
+
+
 @query(
     "extent_centroid",
     f"""
