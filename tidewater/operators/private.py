@@ -2,7 +2,8 @@
 
 Every privacy unit (a user) is brought down to bounded influence first: at most
 ``max_groups`` groups, one pre-aggregated and clamped contribution to each. Only
-then are groups summed, small groups suppressed and Laplace noise added. The
+then are groups summed, small groups suppressed and Laplace noise added; quantiles are
+drawn by the exponential mechanism. The
 bounds are the feature here, not a way to save work. With ``epsilon=None`` the
 noise is left out and the result is exact, which is what the tests compare.
 """
@@ -14,7 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.frames import previous
 from tidewater.operators.relational import exact_percentiles, rank_at_most
+from tidewater.operators.skew import null_safe_join, running_sums
 from tidewater.session import materialise
 
 
@@ -31,16 +34,63 @@ class Bounds:
     seed: str = ""
 
 
+def _draw(seed: str, *keys: Column) -> Column:
+    """A number above 0 and below 1 from a keyed hash."""
+    digest = F.sha2(F.concat_ws("|", F.lit(seed), *[k.cast("string") for k in keys]), 256)
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
 def laplace(scale: float | Column, seed: str, *keys: Column) -> Column:
     """Laplace noise drawn from a keyed hash of the group, so a retried task draws the same.
 
     The seed must be secret and new for every release.
     """
-    digest = F.sha2(F.concat_ws("|", F.lit(seed), *[k.cast("string") for k in keys]), 256)
-    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52) - 0.5
+    u = _draw(seed, *keys) - 0.5
     return -F.lit(scale) * F.signum(u) * F.log(1 - 2 * F.abs(u))
 
 
+def private_quantiles(
+    units: DataFrame, groups: Sequence[str], value: str, quantiles: dict[str, float], low: float, high: float,
+    epsilon: float, seed: str,
+) -> DataFrame:
+    """Quantiles of a group by the exponential mechanism, ``epsilon`` for each; a group's users hold one value each.
+
+    Between two neighbouring values the number of values below is the same, and
+    one user moves it by one at most. A stretch is drawn with its length as
+    weight, times exp(-epsilon / 2 * distance of that number from the wanted
+    one), and a place in it evenly. Unlike noise added to the quantile, this does
+    not depend on how far apart ``low`` and ``high`` are. The draw takes the
+    largest of the weights' logarithms plus Gumbel noise, hashed from the
+    stretch: one aggregate, whatever the size of a group.
+    """
+    groups = list(groups)
+    known = units.filter(F.col(value).isNotNull())  # NULL would be clamped to a bound
+    clamped = known.withColumn("_v", F.least(F.greatest(F.col(value).cast("double"), F.lit(low)), F.lit(high)))
+    counted = clamped.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counted = materialise(counted, "value-counts")
+    ends = counted.groupBy(*groups).agg(F.sum("_n").alias("_total"), F.max("_v").alias("_last"))
+    upto = previous(running_sums(counted, groups, [F.col("_v")], {"_upto": F.col("_n")}), groups, "_v", "_from")
+    between = null_safe_join(upto, ends, groups).select(
+        *groups, "_total", F.coalesce("_from", F.lit(low)).alias("_from"), F.col("_v").alias("_to"),
+        (F.col("_upto") - F.col("_n")).alias("_below"),
+    )
+    above = ends.select(*groups, "_total", F.col("_last").alias("_from"), F.lit(high).alias("_to"), F.col("_total").alias("_below"))
+    stretches = between.unionByName(above).filter("_to > _from")
+    keys = [F.col(g) for g in groups]
+    picks = []
+    for name, q in quantiles.items():
+        place = [F.lit(name), *keys, F.col("_below")]
+        noise = -F.log(-F.log(_draw(f"{seed}|stretch", *place)))
+        far = F.abs(F.col("_below") - F.col("_total") * F.lit(float(q)))
+        score = F.log(F.col("_to") - F.col("_from")) - far * F.lit(epsilon / 2) + noise
+        inside = F.col("_from") + (F.col("_to") - F.col("_from")) * _draw(f"{seed}|place", *place)
+        picks.append(F.max_by(inside, score).alias(name))
+    found = stretches.groupBy(*groups).agg(*picks)
+    # All of a group's values, and both bounds, may be one number.
+    same = ends.select(*groups, "_last")
+    return null_safe_join(same, found, groups, "left").select(*groups, *[F.coalesce(n, "_last").alias(n) for n in quantiles])
+
+
 def user_contributions(
     df: DataFrame, user: str, groups: Sequence[str], value: str, bounds: Bounds
 ) -> DataFrame:
@@ -82,13 +132,16 @@ def private_aggregate(
     }
     sums = units.groupBy(*groups).agg(*[c.alias(n) for n, (c, _) in figures.items()])
     reach = {n: r for n, (_, r) in figures.items()}
+    # The budget is split evenly over the figures and over the groups a user may be in.
+    figures_out = len(reach) + len(quantiles or {})
+    share = None if bounds.epsilon is None else bounds.epsilon / (figures_out * bounds.max_groups)
     if quantiles:
-        spread = exact_percentiles(units, groups, "user_mean", quantiles)
-        sums = sums.join(spread.select(*groups, *quantiles), groups)
-        reach |= {q: bounds.high - bounds.low for q in quantiles}
-    if bounds.epsilon is not None:
-        # The budget is split evenly over the figures and over the groups a user may be in.
-        share = bounds.epsilon / (len(reach) * bounds.max_groups)
+        if share is None:
+            spread = exact_percentiles(units, groups, "user_mean", quantiles).select(*groups, *quantiles)
+        else:
+            spread = private_quantiles(units, groups, "user_mean", quantiles, bounds.low, bounds.high, share, bounds.seed)
+        sums = null_safe_join(sums, spread, groups)
+    if share is not None:
         keys = [F.col(g) for g in groups]
         sums = sums.withColumns(
             {n: F.col(n) + laplace(r / share, f"{bounds.seed}|{n}", *keys) for n, r in reach.items()}
