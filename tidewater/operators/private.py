@@ -21,6 +21,10 @@ from tidewater.operators.skew import null_safe_join, running_sums
 from tidewater.session import materialise
 
 
+# Points a private quantile is chosen from, less one.
+GRID = 1 << 20
+
+
 @dataclass(frozen=True)
 class Bounds:
     """Limits on one user's influence, and on what may be released."""
@@ -55,40 +59,43 @@ def private_quantiles(
 ) -> DataFrame:
     """Quantiles of a group by the exponential mechanism, ``epsilon`` for each; a group's users hold one value each.
 
-    Between two neighbouring values the number of values below is the same, and
-    one user moves it by one at most. A stretch is drawn with its length as
-    weight, times exp(-epsilon / 2 * distance of that number from the wanted
-    one), and a place in it evenly. Unlike noise added to the quantile, this does
-    not depend on how far apart ``low`` and ``high`` are. The draw takes the
-    largest of the weights' logarithms plus Gumbel noise, hashed from the
-    stretch: one aggregate, whatever the size of a group.
+    The answer is one of ``GRID`` + 1 even points from ``low`` to ``high``, to
+    which values are rounded. A point weighs exp(-epsilon / 2 * d), where d says
+    by how many users it misses the wanted rank; one user moves d by one at
+    most. Unlike noise added to the quantile, this does not depend on how far
+    apart ``low`` and ``high`` are. Points between two neighbouring values weigh
+    the same and are drawn as one stretch, a value's own point apart. The draw
+    takes the largest of the weights' logarithms plus Gumbel noise, hashed from
+    the stretch: one aggregate, whatever the size of a group. NULL values and
+    groups without others are left out.
     """
     groups = list(groups)
+    step = (high - low) / GRID
     known = units.filter(F.col(value).isNotNull())  # NULL would be clamped to a bound
-    clamped = known.withColumn("_v", F.least(F.greatest(F.col(value).cast("double"), F.lit(low)), F.lit(high)))
-    counted = clamped.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    counted = materialise(counted, "value-counts")
+    clamped = F.least(F.greatest(F.col(value).cast("double"), F.lit(low)), F.lit(high))
+    point = (F.round((clamped - low) / step) if step else F.lit(0)).cast("bigint")
+    counted = materialise(known.groupBy(*groups, point.alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
     ends = counted.groupBy(*groups).agg(F.sum("_n").alias("_total"), F.max("_v").alias("_last"))
-    upto = previous(running_sums(counted, groups, [F.col("_v")], {"_upto": F.col("_n")}), groups, "_v", "_from")
-    between = null_safe_join(upto, ends, groups).select(
-        *groups, "_total", F.coalesce("_from", F.lit(low)).alias("_from"), F.col("_v").alias("_to"),
-        (F.col("_upto") - F.col("_n")).alias("_below"),
-    )
-    above = ends.select(*groups, "_total", F.col("_last").alias("_from"), F.lit(high).alias("_to"), F.col("_total").alias("_below"))
-    stretches = between.unionByName(above).filter("_to > _from")
+    upto = previous(running_sums(counted, groups, [F.col("_v")], {"_upto": F.col("_n")}), groups, "_v", "_before")
+    below = F.col("_upto") - F.col("_n")
+    stretch = lambda first, n, low_rank, high_rank: F.struct(
+        first.cast("bigint").alias("first"), n.cast("bigint").alias("n"), low_rank.alias("below"), high_rank.alias("upto")
+    )
+    free = F.coalesce(F.col("_before"), F.lit(-1)) + 1
+    of_value = F.array(stretch(free, F.col("_v") - free, below, below), stretch(F.col("_v"), F.lit(1), below, F.col("_upto")))
+    rows = null_safe_join(upto, ends, groups).select(*groups, "_total", F.explode(of_value).alias("s"))
+    rest = stretch(F.col("_last") + 1, F.lit(GRID if step else 0) - F.col("_last"), F.col("_total"), F.col("_total"))
+    stretches = rows.unionByName(ends.select(*groups, "_total", rest.alias("s"))).select(*groups, "_total", "s.*").filter("n > 0")
     keys = [F.col(g) for g in groups]
     picks = []
     for name, q in quantiles.items():
-        place = [F.lit(name), *keys, F.col("_below")]
-        noise = -F.log(-F.log(_draw(f"{seed}|stretch", *place)))
-        far = F.abs(F.col("_below") - F.col("_total") * F.lit(float(q)))
-        score = F.log(F.col("_to") - F.col("_from")) - far * F.lit(epsilon / 2) + noise
-        inside = F.col("_from") + (F.col("_to") - F.col("_from")) * _draw(f"{seed}|place", *place)
-        picks.append(F.max_by(inside, score).alias(name))
-    found = stretches.groupBy(*groups).agg(*picks)
-    # All of a group's values, and both bounds, may be one number.
-    same = ends.select(*groups, "_last")
-    return null_safe_join(same, found, groups, "left").select(*groups, *[F.coalesce(n, "_last").alias(n) for n in quantiles])
+        place = [F.lit(name), *keys, F.col("first")]
+        wanted = F.col("_total") * F.lit(float(q))
+        missed = F.greatest(F.lit(0.0), F.col("below") - wanted, wanted - F.col("upto"))
+        score = F.log(F.col("n")) - missed * F.lit(epsilon / 2) - F.log(-F.log(_draw(f"{seed}|stretch", *place)))
+        drawn = F.col("first") + F.floor(F.col("n") * _draw(f"{seed}|point", *place))
+        picks.append((F.max_by(drawn, score) * F.lit(step) + low).alias(name))
+    return stretches.groupBy(*groups).agg(*picks)
 
 
 def user_contributions(
