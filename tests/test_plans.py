@@ -38,6 +38,7 @@ def test_no_query_compares_all_pairs(spark, sf_dir, key):
         ("topk_per_group", ["WindowGroupLimit"]),
         ("agg_group", ["partial_sum"]),
         ("scan_partition_pruning", ["PartitionFilters: [isnotnull(p_date", "p_date"]),
+        ("scan_dynamic_pruning", ["dynamicpruning", "p_date"]),
         ("project_none", ["ReadSchema: struct<>"]),
     ],
 )

@@ -109,3 +109,29 @@ def test_scratch_is_cleared(spark):
     import os
 
     assert not os.path.exists(path.removeprefix("file://"))
+
+
+def test_profile_of_many_files(spark):
+    """Rows and bytes by file, times within the task, and totals from the observation of the same pass."""
+    from tidewater.session import scratch_path
+    from tidewater.sources.sinks import profile_files
+
+    path = scratch_path(spark, "profiled")
+    spark.range(1000).selectExpr("id", "repeat('x', cast(id % 7 as int)) AS s", "id % 5 AS p").repartition(5, "p").write.parquet(path)
+    table = spark.read.parquet(path)
+    profile, seen = profile_files(table)
+    rows = profile.collect()
+    want = {
+        r["f"]: (r["n"], r["b"])
+        for r in table.groupBy(F.col("_metadata.file_name").alias("f"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(16 + F.length("s")).alias("b"))
+        .collect()
+    }
+    got = {}
+    for r in rows:
+        n, b = got.get(r["file"], (0, 0))
+        got[r["file"]] = (n + r["n_rows"], b + r["n_bytes"])
+        assert 0 < r["first_seconds"] <= r["seconds"] and r["file_bytes"] > 0
+        assert r["bytes_per_second"] == r["n_bytes"] / r["seconds"]
+    assert got == want
+    assert seen["n_rows"] == 1000 and seen["n_bytes"] == sum(b for _, b in want.values())

@@ -151,3 +151,32 @@ def test_generated_rows(spark):
     assert rows_of(a) != rows_of(generate_rows(keys, "id", layout, seed=2))
     bad = a.filter(~F.col("first_name").rlike("^[a-z]{10}$") | ~F.col("age").between(0, 99))
     assert bad.count() == 0
+
+
+def test_layout_is_written_once_and_again_when_the_table_changes(spark):
+    from tidewater.session import scratch_path
+    from tidewater.sources.layouts import partitioned
+
+    path = scratch_path(spark, "laid-out")
+    write = lambda n: spark.range(n).selectExpr("id", "id % 3 AS k").write.mode("overwrite").parquet(path)
+    by = {"part": F.col("k") * 10}
+    files = lambda: sorted(partitioned(spark, path, by).inputFiles())
+    write(30)
+    first = files()
+    assert files() == first  # found, not written again
+    assert partitioned(spark, path, by).count() == 30
+    assert files() != sorted(partitioned(spark, path, {"part": F.col("k")}).inputFiles())
+    scan = partitioned(spark, path, by).filter("part = 20")
+    assert scan.count() == 10 and "PartitionFilters: [isnotnull(part" in scan._jdf.queryExecution().executedPlan().toString()
+    write(60)
+    assert not set(files()) & set(first) and partitioned(spark, path, by).count() == 60
+
+
+def test_queries_share_one_layout(spark, sf_dir):
+    from tidewater.plans.scans import _events_by_day
+
+    first = sorted(_events_by_day(spark, sf_dir).inputFiles())
+    import __spark_entry__ as entry
+
+    entry.queries()["scan_partition_pruning"](spark, sf_dir).collect()
+    assert sorted(_events_by_day(spark, sf_dir).inputFiles()) == first

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.numeric import fixed, sum_fixed
 from tidewater.plans.registry import query
-from tidewater.session import scratch_path, table
+from tidewater.session import materialise, scratch_path, table, table_path
 from tidewater.sources.catalog import (
     browse,
     dry_run,
@@ -16,7 +16,8 @@ from tidewater.sources.catalog import (
     select_star,
 )
 from tidewater.sources.generator import generate_rows
-from tidewater.sources.sinks import PAGE_BYTES, export_files, export_pages, read_profile
+from tidewater.sources.layouts import partitioned
+from tidewater.sources.sinks import PAGE_BYTES, export_files, export_pages, profile_files, read_profile
 
 ORDER_TOTALS_SQL = """
 SELECT {key}, count(*) AS n_rows, CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
@@ -137,12 +138,8 @@ def scan_filter_pushdown(spark, sf_dir):
     """,
 )
 def scan_partition_pruning(spark, sf_dir):
-    """Events kept by day; a range filter on the day reads only those folders."""
-    events = table(spark, sf_dir, "events").withColumn("p_date", F.to_date("ts"))
-    path = scratch_path(spark, "events-by-day")
-    # Few files per day, but a busy day is split by size over as many tasks as it needs.
-    events.hint("rebalance", "p_date").write.partitionBy("p_date").parquet(path)
-    days = spark.read.schema(events.schema).parquet(path).filter(
+    """Events laid out by day, once; a range filter on the day reads only those folders."""
+    days = _events_by_day(spark, sf_dir).filter(
         F.col("p_date").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-19").cast("date"))
     )
     return days.groupBy("event_type", F.date_format("p_date", "yyyy-MM-dd").alias("p_date")).agg(
@@ -150,6 +147,29 @@ def scan_partition_pruning(spark, sf_dir):
     )
 
 
+def _events_by_day(spark, sf_dir):
+    return partitioned(spark, table_path(sf_dir, "events"), {"p_date": F.to_date("ts")})
+
+
+@query(
+    "scan_dynamic_pruning",
+    """
+    SELECT e.event_type, count(*) AS n_events, count(DISTINCT e.user_id) AS n_users FROM events e
+    JOIN (SELECT CAST(ts AS DATE) AS d FROM events WHERE event_type = 'error' GROUP BY d HAVING count(*) FILTER (value > 90) > 0 AND dayofweek(d) IN (0, 6)) w
+    ON CAST(e.ts AS DATE) = w.d GROUP BY e.event_type
+    """,
+)
+def scan_dynamic_pruning(spark, sf_dir):
+    """Events of the weekend days with a large error: which folders are read is known only once the days are."""
+    events = _events_by_day(spark, sf_dir)
+    errors = events.filter(F.col("event_type") == "error").groupBy("p_date").agg(F.count_if(F.col("value") > 90).alias("n_large"))
+    days = materialise(errors.withColumn("weekend", F.dayofweek("p_date").isin(1, 7)), "days")
+    wanted = days.filter(F.col("weekend") & (F.col("n_large") > 0)).select("p_date")
+    return events.join(wanted, "p_date").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_id").alias("n_users")
+    )
+
+
 def _gen_sql(column: str, kind: str) -> str:
     digest = f"md5(c_custkey || '|{column}|7')"
     if kind == "bigint":
@@ -295,6 +315,25 @@ def read_profile_query(spark, sf_dir):
     return read_profile(table(spark, sf_dir, "lineitem"), F.col("l_linestatus"))
 
 
+@query(
+    "read_profile_files",
+    "SELECT 'lineitem.parquet' AS file, count(*) AS n_rows, CAST(sum(68 + octet_length(encode(l_returnflag)) "
+    "+ octet_length(encode(l_linestatus))) AS BIGINT) AS n_bytes, true AS times_hold, true AS all_observed FROM lineitem",
+)
+def read_profile_files(spark, sf_dir):
+    """Rows, bytes and times of a read by input file; the times are checked, not returned, as no two runs agree on them."""
+    profile, observed = profile_files(table(spark, sf_dir, "lineitem"))
+    per_split = (
+        (F.col("first_seconds") > 0) & (F.col("first_seconds") <= F.col("seconds")) & (F.col("bytes_per_second") > 0)
+    )
+    files = profile.groupBy("file").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"), F.bool_and(per_split).alias("times_hold")
+    )
+    whole = profile.agg(F.sum("n_rows").alias("r"), F.sum("n_bytes").alias("b")).first()
+    agree = (whole["r"], whole["b"]) == (observed["n_rows"], observed["n_bytes"])
+    return files.withColumn("all_observed", F.lit(agree))
+
+
 DRY_TEXT = "SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey"
 
 

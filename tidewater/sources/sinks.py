@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidewater.session import scratch_path
+from tidewater.session import materialise, scratch_path
 
 # Fixed value: a page closes after the row that brings it to this many bytes.
 PAGE_BYTES = 256_000
@@ -130,6 +130,45 @@ def observed_read(df: DataFrame, name: str = "read"):
     return watched, seen
 
 
+def profile_files(df: DataFrame):
+    """Read everything once: a row per input file and task, and what the whole read was observed to hold.
+
+    Columns: file, split (task), n_rows, n_bytes (payload), file_bytes, first_seconds (from the start of
+    the task to its first rows of the file), seconds (to the last ones) and bytes_per_second. ``df`` must be
+    a plain read of files. The totals come from an observation of the same pass, so they hold the rows of
+    every file, also of those no row of which came through.
+    """
+    watched, seen = observed_read(df, "files")
+    rows = watched.select(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_size").alias("file_bytes"),
+        row_bytes(df).alias("b"),
+        F.spark_partition_id().alias("split"),
+    )
+
+    def clock(batches):
+        import time
+
+        import pyarrow as pa
+
+        start, files = time.perf_counter(), {}
+        for batch in batches:
+            now = time.perf_counter() - start
+            held = pa.Table.from_batches([batch]).group_by(["file", "file_bytes", "split"]).aggregate([("b", "sum"), ("b", "count")])
+            for r in held.to_pylist():
+                n_rows, n_bytes, first, _ = files.get((r["file"], r["file_bytes"], r["split"]), (0, 0, now, now))
+                files[r["file"], r["file_bytes"], r["split"]] = (n_rows + r["b_count"], n_bytes + r["b_sum"], first, now)
+        if files:
+            names = ["file", "file_bytes", "split", "n_rows", "n_bytes", "first_seconds", "seconds"]
+            kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            columns = zip(*[(*key, *value) for key, value in files.items()])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    schema = "file string, file_bytes bigint, split int, n_rows bigint, n_bytes bigint, first_seconds double, seconds double"
+    found = materialise(rows.mapInArrow(clock, schema), "profile")
+    return found.withColumn("bytes_per_second", F.col("n_bytes") / F.col("seconds")), seen.get
+
+
 def time_reads(df: DataFrame, runs: int = 2) -> DataFrame:
     """Read everything ``runs`` times: first-row latency, rows, bytes, seconds and throughput of each run.
 
