@@ -171,3 +171,39 @@ def test_no_amount_drops_out_of_a_sum(spark, bad):
     with pytest.raises(Exception):
         df.groupBy(F.col("x").isNull()).agg(sum_fixed(fixed(F.col("x"))), F.count("x")).collect()
     assert str(df.filter("x in (1.0, 2.5)").agg(sum_fixed(fixed(F.col("x")))).first()[0]) == "3.50"
+
+
+def test_times_of_day_go_on_past_midnight(spark):
+    t = lambda text: F.to_time(F.lit(text))
+    text = lambda c: value(spark, c.cast("string"))
+    assert text(temporal.time_add(t("23:10:00"), F.lit(90), "minute")) == "00:40:00"
+    assert text(temporal.time_add(t("00:00:00.25"), F.lit(-500_000), "microsecond")) == "23:59:59.75"
+    assert text(temporal.time_add(t("10:00:00"), F.lit(-49), "hour")) == "09:00:00"
+    assert text(temporal.time_add(t("10:00:00"), F.lit(None).cast("int"), "hour")) is None
+
+
+def test_format_time(spark):
+    t = F.to_time(F.lit("15:04:05.5"))
+    assert value(spark, temporal.format_time("hh:mm a", t)) == "03:04 PM"
+    assert value(spark, temporal.format_time("HH-mm-ss.SSS", t)) == "15-04-05.500"
+    with pytest.raises(ValueError):
+        temporal.format_time("yyyy HH", t)
+
+
+@pytest.mark.parametrize("given,want", [((0, 29, 49), (1, 1, 1)), ((1, 0, -1), (0, 29, 23)), ((0, -31, 0), (-1, -1, 0)), ((-1, 30, 0), (0, 0, 0)), ((0, 1, -25), (0, 0, -1))])
+def test_justify_interval(spark, given, want):
+    assert tuple(value(spark, c) for c in temporal.justify_interval(*[lit(x) for x in given])) == want
+
+
+def test_arrays_of_long_conversations(spark, tmp_path):
+    """A thousand turns are one row, with offsets that run through."""
+    import __spark_entry__ as entry
+
+    rows = spark.range(1000).selectExpr("7L AS conv_id", "999 - id AS turn", "if(id % 500 = 0, 'assistant', 'user') AS role", "'abc' AS text")
+    rows.repartition(5).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = entry.queries()["arr_find"](spark, str(tmp_path)).collect()
+    assert len(found) == 1 and found[0]["first_reply"] == 499 and found[0]["n_user"] == 998
+    assert found[0]["user_turns"].split(",")[-1] == "998"
+    one = entry.queries()["agg_array"](spark, str(tmp_path)).first()
+    assert one["n_concat"] == 2000 and one["roles"].count(",") == 999
+    assert entry.queries()["nested_build"](spark, str(tmp_path)).first()["turns"].count("turn") == 1000

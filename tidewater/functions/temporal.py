@@ -35,6 +35,44 @@ def unix_micros_ntz(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+DAY_MICROS = 86_400_000_000
+_UNIT_MICROS = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000}
+
+
+def time_micros(t: Column) -> Column:
+    """Microseconds of a time of day since midnight."""
+    midnight = F.make_time(F.lit(0), F.lit(0), F.lit(0).cast("decimal(8,6)"))
+    return F.time_diff(F.lit("MICROSECOND"), midnight, t)
+
+
+def time_of(micros: Column) -> Column:
+    """The time of day so many microseconds after midnight, any number of days on or back."""
+    left = F.pmod(micros, F.lit(DAY_MICROS))
+    seconds = F.pmod(left, F.lit(60_000_000)).cast("decimal(14,0)") / F.lit(1_000_000)
+    part = lambda unit, size: F.pmod(F.floor(left / F.lit(unit)), F.lit(size)).cast("int")
+    return F.make_time(part(3_600_000_000, 24), part(60_000_000, 60), seconds.cast("decimal(8,6)"))
+
+
+def time_add(t: Column, n: Column, part: str) -> Column:
+    """A time of day ``n`` parts later (earlier where negative); it goes on past midnight."""
+    return time_of(time_micros(t) + n.cast("bigint") * F.lit(_UNIT_MICROS[part]))
+
+
+def format_time(pattern: str, t: Column) -> Column:
+    """A time of day as text by a pattern of letters for hours, minutes, seconds and halves of the day."""
+    if set(pattern) & set("yuMLdDQqEeYwWF"):
+        raise ValueError("a time of day has no date parts")
+    return F.date_format(F.make_timestamp_ntz(date=F.lit("1970-01-01").cast("date"), time=t), pattern)
+
+
+def justify_interval(months: Column, days: Column, hours: Column) -> tuple[Column, Column, Column]:
+    """(months, days, hours) of one sign, with whole days of 24 hours and whole months of 30 days carried over."""
+    whole = (months * 30 + days) * 24 + hours
+    sign, size = F.signum(whole).cast("bigint"), F.abs(whole)
+    part = lambda unit, wrap: sign * (F.floor(size / unit) % wrap if wrap else F.floor(size / unit))
+    return part(720, None), part(24, 30), sign * (size % 24)
+
+
 def justify_hours(hours: Column) -> tuple[Column, Column]:
     """(days, hours) with whole 24-hour days carried over."""
     days = F.signum(hours).cast("bigint") * F.floor(F.abs(hours) / 24)

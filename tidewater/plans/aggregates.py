@@ -119,7 +119,8 @@ def agg_count(spark, sf_dir):
            CAST(sum(CAST(l_extendedprice AS DECIMAL(38,9))) AS DECIMAL(38,9)) AS sum_numeric,
            CAST(sum(18446744073709551615::DECIMAL(20,0) - l_orderkey) AS DECIMAL(30,0)) AS sum_uint,
            sum(CAST(l_tax AS DECIMAL(18,2)))::DOUBLE / count(*) AS avg_double,
-           CAST(sum(date_diff('day', o_orderdate, l_shipdate)) AS BIGINT) AS sum_lag_days
+           CAST(sum(date_diff('day', o_orderdate, l_shipdate)) AS BIGINT) AS sum_lag_days,
+           CAST(sum(epoch_us(l_shipdate) - epoch_us(o_orderdate)) // count(*) // 1000000 AS BIGINT) AS avg_lag_seconds
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_returnflag
     """,
 )
@@ -137,8 +138,12 @@ def agg_sum_avg(spark, sf_dir):
         F.sum((top - F.col("l_orderkey").cast("decimal(20,0)")).cast("decimal(20,0)")).cast("decimal(30,0)").alias("sum_uint"),
         (F.sum(_money("l_tax")).cast("double") / F.count(F.lit(1))).alias("avg_double"),
         F.sum(lag).alias("lag"),
+        F.avg(lag).alias("mean_lag"),
     )
-    return sums.withColumn("sum_lag_days", F.extract(F.lit("DAY"), "lag").cast("bigint")).drop("lag")
+    # The mean is an interval; its whole seconds are what is compared.
+    mean_seconds = F.floor(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.col("mean_lag")) / 1_000_000)
+    lags = {"sum_lag_days": F.extract(F.lit("DAY"), "lag").cast("bigint"), "avg_lag_seconds": mean_seconds}
+    return sums.withColumns(lags).drop("lag", "mean_lag")
 
 
 @query(
@@ -207,36 +212,26 @@ def agg_partial_lists(spark, sf_dir):
     )
 
 
-PAGE_TURNS = 100
-
-
 @query(
     "agg_array",
-    f"""
-    SELECT conv_id, turn // {PAGE_TURNS} AS page_no, string_agg(role, ',' ORDER BY turn) AS roles,
+    """
+    SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS roles,
            string_agg(coalesce(CAST(CASE WHEN role = 'user' THEN length(text) END AS VARCHAR), 'null'), ',' ORDER BY turn) AS sizes,
            count(*) * 2 AS n_concat
-    FROM conversations GROUP BY conv_id, page_no
+    FROM conversations GROUP BY conv_id
     """,
 )
 def agg_array(spark, sf_dir):
-    """Ordered arrays per conversation, a page of 100 turns per row.
-
-    Paging bounds each array however long a conversation gets. NULLs stay in,
-    because each element travels inside a struct.
-    """
+    """Ordered arrays of whole conversations; NULLs stay in, because each element travels inside a struct."""
     turns = table(spark, sf_dir, "conversations").select(
-        "conv_id",
-        F.expr(f"turn div {PAGE_TURNS}").alias("page_no"),
-        F.struct("turn", "role", F.when(F.col("role") == "user", F.length("text")).alias("size")).alias("t"),
+        "conv_id", F.struct("turn", "role", F.when(F.col("role") == "user", F.length("text")).alias("size")).alias("t")
     )
-    pages = turns.groupBy("conv_id", "page_no").agg(
+    whole = turns.groupBy("conv_id").agg(
         F.sort_array(F.array_agg("t")).alias("ts"),
         F.size(F.flatten(F.array_agg(F.array(F.col("t.role"), F.col("t.role"))))).cast("bigint").alias("n_concat"),
     )
-    return pages.select(
+    return whole.select(
         "conv_id",
-        "page_no",
         F.array_join("ts.role", ",").alias("roles"),
         F.array_join(F.transform("ts.size", lambda s: s.cast("string")), ",", "null").alias("sizes"),
         "n_concat",

@@ -125,20 +125,15 @@ def time_normalise(spark, sf_dir):
 @query(
     "nested_build",
     """
-    SELECT conv_id, turn // 100 AS page_no,
-           CAST(to_json(list({'turn': turn, 'role': role, 'size': length(text)} ORDER BY turn)) AS VARCHAR) AS turns
+    SELECT conv_id, CAST(to_json(list({'turn': turn, 'role': role, 'size': length(text)} ORDER BY turn)) AS VARCHAR) AS turns
     FROM conversations GROUP BY ALL
     """,
 )
 def nested_build(spark, sf_dir):
-    """Flat turns to an array of structs, a page of 100 turns per row."""
+    """Flat turns to one array of structs per conversation."""
     turn = F.struct("turn", "role", F.length("text").alias("size"))
-    pages = (
-        table(spark, sf_dir, "conversations")
-        .groupBy("conv_id", F.expr("turn div 100").alias("page_no"))
-        .agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    )
-    return pages.withColumn("turns", F.to_json("turns"))
+    whole = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    return whole.withColumn("turns", F.to_json("turns"))
 
 
 @query(

@@ -16,9 +16,6 @@ from tidewater.operators.ranges import container_counts, containers, make_range,
 from tidewater.plans.registry import query
 from tidewater.session import table
 
-PAGE_TURNS = 100
-
-
 def _text(a):
     return F.array_join(F.transform(a, lambda x: x.cast("string")), ",")
 
@@ -114,33 +111,31 @@ def arr_agg(spark, sf_dir):
     )
 
 
-def _role_pages(spark, sf_dir):
-    """Ordered roles per conversation, a bounded page of turns per row."""
-    turns = table(spark, sf_dir, "conversations").select(
-        "conv_id", F.expr(f"turn div {PAGE_TURNS}").alias("page_no"), F.struct("turn", "role").alias("t")
-    )
-    pages = turns.groupBy("conv_id", "page_no").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    return pages.select("conv_id", "page_no", F.col("ts.role").alias("roles"))
+def _roles(spark, sf_dir):
+    """The roles of each whole conversation, in order of its turns."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", "role").alias("t"))
+    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    return whole.select("conv_id", F.col("ts.role").alias("roles"))
 
 
-ROLE_PAGES_SQL = f"(SELECT conv_id, turn // {PAGE_TURNS} AS page_no, list(role ORDER BY turn) AS roles FROM conversations GROUP BY ALL)"
+ROLES_SQL = "(SELECT conv_id, list(role ORDER BY turn) AS roles FROM conversations GROUP BY ALL)"
 
 
 @query(
     "arr_find",
     f"""
-    SELECT conv_id, page_no, CAST(list_position(roles, 'assistant') - 1 AS BIGINT) AS first_reply,
+    SELECT conv_id, CAST(list_position(roles, 'assistant') - 1 AS BIGINT) AS first_reply,
            array_to_string(list_transform(list_filter(list_transform(roles, lambda r, i: CASE WHEN r = 'user' THEN i - 1 END), lambda i: i IS NOT NULL), lambda i: CAST(i AS VARCHAR)), ',') AS user_turns,
            list_filter(roles, lambda r: r <> 'user')[1] AS first_other, CAST(len(list_filter(roles, lambda r: r = 'user')) AS INTEGER) AS n_user,
            len(list_distinct(roles)) = len(roles) AS is_distinct
-    FROM {ROLE_PAGES_SQL}
+    FROM {ROLES_SQL}
     """,
 )
 def arr_find(spark, sf_dir):
+    """Offsets and finds in the roles of whole conversations."""
     roles = F.col("roles")
-    return _role_pages(spark, sf_dir).select(
+    return _roles(spark, sf_dir).select(
         "conv_id",
-        "page_no",
         array_offset(roles, F.lit("assistant")).alias("first_reply"),
         _text(array_offsets(roles, F.lit("user"))).alias("user_turns"),
         array_find(roles, lambda r: r != "user").alias("first_other"),
@@ -152,15 +147,15 @@ def arr_find(spark, sf_dir):
 @query(
     "arr_to_string",
     f"""
-    SELECT conv_id, page_no, array_to_string(roles, ' > ') AS plain,
+    SELECT conv_id, array_to_string(roles, ' > ') AS plain,
            array_to_string(list_transform(roles, lambda r: coalesce(nullif(r, 'system'), '(none)')), '|') AS with_nulls
-    FROM {ROLE_PAGES_SQL}
+    FROM {ROLES_SQL}
     """,
 )
 def arr_to_string(spark, sf_dir):
     gaps = F.transform("roles", lambda r: F.nullif(r, F.lit("system")))
-    return _role_pages(spark, sf_dir).select(
-        "conv_id", "page_no", F.array_join("roles", " > ").alias("plain"), F.array_join(gaps, "|", "(none)").alias("with_nulls")
+    return _roles(spark, sf_dir).select(
+        "conv_id", F.array_join("roles", " > ").alias("plain"), F.array_join(gaps, "|", "(none)").alias("with_nulls")
     )
 
 

@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.temporal import (
     boundary_diff,
+    format_time,
     justify_days,
     justify_hours,
+    justify_interval,
+    time_add,
     time_text,
     trunc_to,
     unix_micros_ntz,
@@ -26,7 +29,7 @@ def _day(c):
     "SELECT o_orderstatus, count(*) AS n_past, true AS clocks_agree FROM orders GROUP BY o_orderstatus",
 )
 def dt_now(spark, sf_dir):
-    """All four clocks of one query agree on the day, and every order lies before them."""
+    """Date, civil time and instant of one query agree, and every order lies before them (``dt_time`` has the fourth clock)."""
     agree = (F.localtimestamp().cast("date") == F.current_date()) & (
         F.date_format(F.current_timestamp(), "HH") == F.date_format(F.localtimestamp(), "HH")
     )
@@ -203,8 +206,9 @@ def dt_last_day(spark, sf_dir):
     SELECT l_orderkey, l_partkey, l_linenumber, l_shipdate + to_days(l_linenumber) + to_hours(CAST(l_quantity AS INTEGER)) AS shifted,
            CAST(CAST(l_quantity AS BIGINT) // 24 AS BIGINT) AS j_days, CAST(CAST(l_quantity AS BIGINT) % 24 AS BIGINT) AS j_hours,
            CAST(l_partkey // 30 AS BIGINT) AS j_months, CAST(l_partkey % 30 AS BIGINT) AS j_rest_days,
+           CAST(sign(w) * (abs(w) // 720) AS BIGINT) AS ji_months, CAST(sign(w) * (abs(w) // 24 % 30) AS BIGINT) AS ji_days, CAST(sign(w) * (abs(w) % 24) AS BIGINT) AS ji_hours,
            strftime(l_shipdate + to_months(14), '%Y-%m-%d') AS plus_14_months
-    FROM lineitem
+    FROM (SELECT *, (l_linenumber * 30 - l_partkey) * 24 + CAST(l_quantity AS BIGINT) * 7 AS w FROM lineitem)
     """,
 )
 def interval_ops(spark, sf_dir):
@@ -212,10 +216,13 @@ def interval_ops(spark, sf_dir):
     span = F.make_dt_interval(F.col("l_linenumber"), F.col("l_quantity").cast("int"))
     days, rest_hours = justify_hours(hours)
     months, rest_days = justify_days(F.col("l_partkey"))
+    # Mixed signs: some months, many days back, some hours on.
+    all_months, all_days, all_hours = justify_interval(F.col("l_linenumber").cast("bigint"), -F.col("l_partkey"), hours * 7)
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber",
         (F.col("l_shipdate") + span).alias("shifted"),
         days.alias("j_days"), rest_hours.alias("j_hours"), months.alias("j_months"), rest_days.alias("j_rest_days"),
+        all_months.alias("ji_months"), all_days.alias("ji_days"), all_hours.alias("ji_hours"),
         _day(F.col("l_shipdate") + F.make_ym_interval(F.lit(1), F.lit(2))).alias("plus_14_months"),
     )
 
@@ -310,7 +317,9 @@ def dt_date_series(spark, sf_dir):
          c AS (SELECT *, make_time(h, m, s::DOUBLE) AS clock FROM t)
     SELECT o_orderkey, strftime(DATE '2024-01-01' + clock, '%H:%M:%S') AS time_text, strftime(DATE '2024-01-01' + clock, '%H:00:00') AS hour_start,
            CAST(h * 60 + m - 60 AS BIGINT) + CASE WHEN h * 60 + m - 60 < 0 AND s > 0 THEN 1 ELSE 0 END AS minutes_since_one,
-           strftime(DATE '2024-01-01' + clock + INTERVAL 0 SECOND, '%H:%M:%S') AS parsed, true AS clock_in_day
+           strftime(DATE '2024-01-01' + clock + INTERVAL 0 SECOND, '%H:%M:%S') AS parsed, true AS clock_in_day,
+           strftime(DATE '2024-01-02' + clock + INTERVAL 5000 SECOND, '%H:%M:%S') AS later, strftime(DATE '2024-01-02' + clock - INTERVAL 600 MINUTE, '%H:%M:%S') AS earlier,
+           strftime(DATE '2024-01-01' + clock, '%I:%M %p, %S') AS styled
     FROM c
     """,
 )
@@ -327,4 +336,7 @@ def dt_time(spark, sf_dir):
         F.expr("time_diff('MINUTE', to_time('01.00', 'HH.mm'), t)").alias("minutes_since_one"),
         F.expr("cast(to_time(cast(t AS STRING)) AS STRING)").alias("parsed"),
         F.expr("current_time() BETWEEN to_time('00:00:00') AND to_time('23:59:59.999999')").alias("clock_in_day"),
+        time_add(F.col("t"), F.lit(5000), "second").cast("string").alias("later"),
+        time_add(F.col("t"), F.lit(-600), "minute").cast("string").alias("earlier"),
+        format_time("hh:mm a, ss", F.col("t")).alias("styled"),
     )
