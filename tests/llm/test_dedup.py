@@ -8,7 +8,7 @@ import pytest
 
 from tidewater.llm.exact_dedup import DigestIndex, deduplicate, drop_copies
 from tidewater.llm.jaccard_join import Bands, could_link, gram_set, keep_one, parity, signatures, similar_documents
-from tidewater.llm import jaccard_join, substring_dedup
+from tidewater.llm import exact_dedup, jaccard_join, substring_dedup
 from tidewater.llm.substring_dedup import keep_unique_text, remove_repeats
 
 ids = lambda rows: sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in rows)
@@ -49,11 +49,52 @@ def test_index_is_kept_between_batches(spark):
     assert rows.count() == 4 and rows.select("text_sha256").distinct().count() == 4
     plan = rows.groupBy("text_sha256").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # bucketed by digest
+    copy = next(r for r in deduplicate(spark.createDataFrame([(9, "A")], "doc_id long, text string"), again).collect())
+    assert (copy["keep_id"], copy["group_size"], copy["kept"]) == (3, 3, False)  # two then, one now
     again.forget()
     index.forget()
     assert uuid.UUID(again.table.rsplit("_", 1)[1])
 
 
+def test_batch_that_is_run_again(spark):
+    """A batch named by the caller gives the same answer again, also after its first run was cut short."""
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "A"), (4, None)], "doc_id long, text string")
+    more = spark.createDataFrame([(5, "a"), (6, "c"), (7, "C")], "doc_id long, text string")
+    index = DigestIndex(spark, buckets=4)
+    answer = lambda docs, batch: sorted(map(tuple, deduplicate(docs, index, batch).collect()))
+    once, then = answer(rows, "first"), answer(more, "second")
+    assert answer(rows, "first") == once and answer(more, "second") == then
+    assert {r[0] for r in once if r[3]} == {2, 3, 4} and {r[0] for r in then if r[3]} == {7}
+    assert ids(drop_copies(rows, index, "first").collect()) == [2, 3, 4]
+    # Only a part of the batch had been written.
+    spark.sql(f"INSERT OVERWRITE TABLE {index.table} PARTITION (batch = 'second') SELECT sha2('c', 256), 6L, 1L")
+    assert answer(more, "second") == then
+    with pytest.raises(ValueError):
+        deduplicate(rows, index, "no 'name'")
+    assert index.rows().count() == 4
+    index.forget()
+
+
+def test_batches_by_falling_ids_equal_one_batch(spark, docs):
+    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").distinct()
+    index = DigestIndex(spark, buckets=4)
+    kept = [ids(drop_copies(rows.filter(part), index, f"b{k}").collect()) for k, part in enumerate(("doc_id >= 40", "doc_id < 40"))]
+    assert sorted(kept[0] + kept[1]) == ids(drop_copies(rows).collect())
+    index.forget()
+
+
+def test_index_is_never_shuffled_and_hot_digests_are_joined_apart(spark, monkeypatch):
+    index = DigestIndex(spark, buckets=5)
+    rows = spark.createDataFrame([(i, "copy" if i % 2 else f"t{i}") for i in range(60)] + [(1, "copy")] * 3, "doc_id long, text string")
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 10)
+    found = deduplicate(rows, index, "one")
+    out = found.collect()
+    assert len(out) == 63 and {r["group_size"] for r in out if r["keep_id"] == 59} == {33} and sum(r["kept"] for r in out) == 31
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "SelectedBucketsCount: 5 out of 5" in plan
+    index.forget()
+
+
 def brute_components(rows, n, percent):
     sets = {}
     for i, text in rows:
