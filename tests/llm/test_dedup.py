@@ -8,6 +8,7 @@ import pytest
 
 from tidewater.llm.exact_dedup import DigestIndex, deduplicate, drop_copies
 from tidewater.llm.jaccard_join import Bands, could_link, gram_set, keep_one, parity, signatures, similar_documents
+from tidewater.llm.common import mix, word_hashes
 from tidewater.llm import exact_dedup, jaccard_join, substring_dedup
 from tidewater.llm.substring_dedup import keep_unique_text, remove_repeats
 
@@ -156,7 +157,7 @@ def test_signatures_miss_no_link():
         if 100 * both < 75 * (len(a) + len(b) - both) or np.array_equal(a, b):
             continue
         bands = Bands(75)
-        found = [{(band, s) for _, (band, k, p) in bands.layouts(len(x)) for s in signatures(x, band, k, p)[0].tolist()} for x in (a, b)]
+        found = [{(band, s) for _, (band, k, p) in bands.layouts(len(x)) for s in signatures(x, mix(x), band, k, p)[0].tolist()} for x in (a, b)]
         assert found[0] & found[1]
         bits = [np.frombuffer(parity(x), np.uint8) for x in (a, b)]
         assert could_link(len(a), bits[0], len(b), bits[1], 75)
@@ -193,3 +194,26 @@ def test_substring_dedup(docs, no_docs, monkeypatch, length, block):
     texts = {r["doc_id"]: r["text"] for r in cut.collect()}
     assert texts[0] is None and texts[2] == "  \t\n "  # nothing removed, nothing changed
     assert remove_repeats(no_docs).count() == 0
+
+
+def test_word_hashes():
+    words = ["a", "b", "ab", "ba", "a" * 8, "a" * 9, "a" * 16, "a" * 17, "12345678", "123456789", "x" * 5000, "x" * 5001, "é", "ß"]
+    text = " \t".join(words + words) + "\n\x1c"
+    hashes = word_hashes(text.encode())
+    assert len(hashes) == 2 * len(words) + 1 and (hashes[: len(words)] == hashes[len(words) : -1]).all()
+    assert len(set(hashes.tolist())) == len(words) + 1
+    assert len(word_hashes(b"")) == len(word_hashes(b" \t\n")) == 0 and len(word_hashes(b"one")) == 1
+    # A word of 1,024 letters and its complement, whose sums by powers of two cancel, are two words.
+    flips = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = ("".join("ab"[(f + turn) % 2] for f in flips).encode() for turn in (0, 1))
+    assert word_hashes(one)[0] != word_hashes(two)[0]
+
+
+def test_jaccard_without_ids(spark, words):
+    """Many rows without an id, and many that share one, next to near copies of each."""
+    base = [words[i % 50] for i in range(60)]
+    near = lambda k: " ".join(base[:59] + [f"end{k}"])
+    rows = [(None, near(k % 40)) for k in range(400)] + [(7, near(k)) for k in range(40, 80)] + [(8, "something else entirely here")] * 3
+    got = similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), n=5, percent=75).collect()
+    assert len(got) == len(rows)
+    assert {r["component_id"] for r in got if r["doc_id"] != 8} == {7} and {r["component_id"] for r in got if r["doc_id"] == 8} == {8}

@@ -29,6 +29,15 @@ def test_language_id_is_right_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_letters_and_labels(spark, monkeypatch):
+    assert not any(map(language_id.has_letter, ("", "½ ² ٣ _ 12", "①", "...")))
+    assert all(map(language_id.has_letter, ("½ a", "ß", "文", "٣ب")))
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 3)
+    rows = spark.createDataFrame([(f"some words {k}", f"l{k % 4}") for k in range(20)], "text string, lang string")
+    with pytest.raises(ValueError, match="4 labels"):
+        language_id.train(rows)
+
+
 def test_language_id_odd_inputs(spark, docs, no_docs):
     model = language_id.train(docs)
     rows = language_id.identify(docs, model).collect()

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import batches_of, blocks_for, by_bucket, crc_fold, dealt_to_blocks, mix, small_batches, whole_text, word_hashes
+from tidewater.llm.common import batches_of, blocks_for, by_bucket, crc_fold, dealt_to_blocks, mix, sorted_distinct, small_batches, whole_text, word_hashes
 from tidewater.session import materialise
 
 DEPTH = 5  # bytes of context
@@ -76,7 +76,7 @@ class Block:
         learned, n = np.unique(keys if trains.all() else keys[trains[docs]], return_counts=True)
         if trains.all():
             return learned, n
-        values = np.unique(keys)
+        values = sorted_distinct(keys)
         counts = np.zeros(len(values), np.int64)
         counts[np.searchsorted(values, learned)] = n
         return values, counts
@@ -299,7 +299,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
 
         def looked_up(kind: str, keys: np.ndarray, dtype: str) -> np.ndarray:
             """The answer for every position, in the order the questions were asked in."""
-            values = np.unique(keys)
+            values = sorted_distinct(keys)
             order = np.argsort(bucket_of(kind, values, buckets), kind="stable")
             parts = sorted((b, a) for k, b, a in zip(kinds, numbers, answers) if k == kind)
             out = np.zeros(len(values), dtype)

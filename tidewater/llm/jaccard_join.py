@@ -38,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Memo, batches_of, blocks_for, by_bucket, fresh_name, gram_hashes, mix, small_batches, whole_text, word_hashes
+from tidewater.llm.common import Memo, batches_of, blocks_for, by_bucket, fresh_name, gram_hashes, mix, small_batches, sorted_distinct, whole_text, word_hashes
 from tidewater.operators.clusters import components
 from tidewater.session import materialise
 
 FEW = 16  # sets that share a signature and are paired directly
 RESERVE = 0.15  # partitions beyond k + 1, as a share
 BATCH_BYTES = 16 << 20  # text whose signatures travel together
-BUCKET_BYTES = 16 << 20  # text whose signatures a bucket compares
+BUCKET_BYTES = 8 << 20  # text whose signatures a bucket compares
 BLOCK = 512  # texts compared with one text by one task
 CROWD_BLOCK = 4096  # sets on either side of a block of bitmap comparisons
 FILTER_WORDS = 1 << 17  # 64-bit words of the Bloom filter of wanted documents: one megabyte
@@ -54,7 +54,7 @@ FILTER_WORDS = 1 << 17  # 64-bit words of the Bloom filter of wanted documents:
 def gram_set(text: bytes, n: int) -> np.ndarray:
     """Hashes of the distinct n-grams of a text."""
     words = word_hashes(text.lower())
-    return np.unique(gram_hashes(words, min(n, len(words)))) if len(words) else np.zeros(0, np.uint64)
+    return sorted_distinct(gram_hashes(words, min(n, len(words)))) if len(words) else np.zeros(0, np.uint64)
 
 
 def set_key(grams: np.ndarray) -> int:
@@ -109,16 +109,21 @@ class Bands:
         return out
 
 
-def signatures(grams: np.ndarray, band: int, k: int, partitions: int) -> tuple[np.ndarray, int]:
-    """Signatures of a set in a band, and how many of them it can do without."""
-    spread = mix(grams ^ np.uint64(0xA24BAED4963EE407 + band))
-    which = (spread % np.uint64(partitions)).astype(np.int64)
-    sums = np.zeros(partitions, np.uint64)
-    np.add.at(sums, which, mix(spread))
-    held = np.bincount(which, minlength=partitions) > 0
-    signs = mix(sums + mix(np.arange(partitions, dtype=np.uint64) + np.uint64(band << 32)))
-    spare = int(held.sum()) - k - 1
-    return (signs[held], spare) if spare >= 0 else (signs, 0)
+def signatures(grams: np.ndarray, mixed: np.ndarray, band: int, k: int, partitions: int) -> tuple[np.ndarray, int]:
+    """Signatures of a set in a band, and how many of them it can do without.
+
+    ``grams`` ascend, and partitions are ranges of hashes, so those of one
+    partition stand together; ``mixed`` are the n-grams hashed once more.
+    """
+    which = (grams >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)
+    starts = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+    held, sums = which[starts], np.add.reduceat(mixed, starts)
+    spare = len(held) - k - 1
+    if spare < 0:  # empty partitions count too
+        full = np.zeros(partitions, np.uint64)
+        full[held.astype(np.int64)] = sums
+        held, sums, spare = np.arange(partitions, dtype=np.uint64), full, 0
+    return mix(sums + mix(held + np.uint64(band << 32))), spare
 
 
 def read_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -146,7 +151,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
-    """Signatures packed per bucket: 48 bits each (the bucket has the others) and the number of a set in the row's table."""
+    """Signatures packed per bucket: 48 bits each (the bucket comes from the upper ones) and the number of a set in the row's table."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Memo.forget()
@@ -157,10 +162,10 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
 
             def packed_rows() -> Iterator[pa.RecordBatch]:
                 sign, place = np.concatenate(signs), np.concatenate(which)
-                columns = [np.array(c, k) for c, k in zip(zip(*table), (np.int64, np.int32, np.int16, np.int16))]
+                columns = [np.array(c, k) for c, k in zip(zip(*table), TABLE.values())]
                 packed = np.zeros(len(sign), PACKED)
                 packed["high"], packed["low"], packed["set"] = sign >> np.uint64(32) & np.uint64(0xFFFF), sign & np.uint64(0xFFFFFFFF), place
-                for bucket, part in by_bucket(packed, (sign >> np.uint64(48)).astype(np.int64) % buckets, buckets):
+                for bucket, part in by_bucket(packed, (sign >> np.uint64(40)).astype(np.int64) % buckets, buckets):
                     row = [bucket, part.tobytes(), *(c.tobytes() for c in columns)]
                     yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], schema=SENT)
 
@@ -170,8 +175,9 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
                     continue
                 seen.add(key)
                 spares = [0, 0]  # for its own band and the next
+                mixed = mix(grams)
                 for side, (band, k, partitions) in bands.layouts(len(grams)):
-                    found, spares[side] = signatures(grams, band, k, partitions)
+                    found, spares[side] = signatures(grams, mixed, band, k, partitions)
                     signs.append(found)
                     which.append(np.full(len(found), 2 * len(table) + side, np.uint16))
                 table.append((key, len(grams), *(min(x, 32767) for x in spares)))
@@ -188,6 +194,8 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
 
 #: A signature in a bucket: 48 of its bits, and the place of its set in the row's table times two, plus one for the next band.
 PACKED = np.dtype([("high", "<u2"), ("low", "<u4"), ("set", "<u2")])
+#: The sets of a row: key, size, and the reserves in its own and the next band.
+TABLE = {"keys": np.int64, "sizes": np.int32, "own": np.int16, "next": np.int16}
 SENT = pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in ("packed", "keys", "sizes", "own", "next"))])
 
 
@@ -200,23 +208,27 @@ def meet_signatures(sent: DataFrame, percent: int) -> DataFrame:
     """
 
     def meet(table: pa.Table) -> pa.Table:
-        signs, keys, sizes, spares, sides = [], [], [], [], []
-        for row in table.to_pylist():
-            part = np.frombuffer(row["packed"], PACKED)
-            place, side = part["set"] >> 1, (part["set"] & 1).astype(np.int8)
-            signs.append(part["high"].astype(np.uint64) << np.uint64(32) | part["low"])
-            keys.append(np.frombuffer(row["keys"], np.int64)[place])
-            sizes.append(np.frombuffer(row["sizes"], np.int32)[place])
-            both = [np.frombuffer(row[c], np.int16)[place] for c in ("own", "next")]
-            spares.append(np.where(side == 1, both[1], both[0]))
-            sides.append(side)
-        signs, keys, sizes, spares, sides = (np.concatenate(x) for x in (signs, keys, sizes, spares, sides))
+        parts = [np.frombuffer(x.as_buffer(), PACKED) for x in table.column("packed")]
+        tables = {c: [np.frombuffer(x.as_buffer(), k) for x in table.column(c)] for c, k in TABLE.items()}
+        signs = np.concatenate([p["high"].astype(np.uint64) << np.uint64(32) | p["low"] for p in parts])
+        # Most signatures are of one set. Only the others are looked at further.
+        order = np.argsort(signs)
+        ordered = signs[order]
+        same = ordered[1:] == ordered[:-1]
+        order = order[np.append(same, False) | np.append(False, same)]
+        signs = signs[order]
+        row = np.searchsorted(np.cumsum([len(p) for p in parts]), order, "right")
+        place = np.concatenate([p["set"] for p in parts])[order]
+        before = np.cumsum([0, *map(len, tables["keys"])])[row]
+        side, at = (place & 1).astype(np.int8), before + (place >> 1)
+        of = lambda c: np.concatenate(tables[c])[at]
+        keys, sizes, spares, sides = of("keys"), of("sizes"), np.where(side == 1, of("next"), of("own")), side
         order = np.lexsort((keys, signs))
         signs, keys = signs[order], keys[order]
-        first = np.append(True, (signs[1:] != signs[:-1]) | (keys[1:] != keys[:-1]))
+        first = np.append(True, (signs[1:] != signs[:-1]) | (keys[1:] != keys[:-1]))[: len(signs)]
         order, signs, keys = order[first], signs[first], keys[first]
         sizes, spares, sides = sizes[order], spares[order], sides[order]
-        starts = np.flatnonzero(np.append(True, signs[1:] != signs[:-1]))
+        starts = np.flatnonzero(np.append(True, signs[1:] != signs[:-1])[: len(signs)])
         counts = np.diff(np.append(starts, len(signs)))
         pairs, heads = [np.zeros((0, 2), np.int64)], [np.zeros(0, bool)]
         for count in range(2, FEW + 1):
@@ -258,8 +270,10 @@ class Join:
         self.docs, self.n, self.percent = docs, n, percent
         self.classes = materialise(
             rows.filter("key IS NOT NULL").groupBy("key").agg(
-                F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size"), F.min("bits").alias("bits")
-            ),
+                F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash")).alias("one"),
+                F.min("n_shingles").alias("size"),
+                F.min("bits").alias("bits"),
+            ).select("key", "one.doc_id", "one.hash", "size", "bits"),
             "classes",
         )
 
@@ -283,17 +297,20 @@ class Join:
     def texts_of(self, wanted: DataFrame) -> DataFrame:
         """(key, text) of one document of each class in ``wanted`` (key).
 
-        Documents are found by id and known by the key of their set. A Bloom
-        filter of fixed size (one hash, ``FILTER_WORDS`` 64-bit words) spares
-        most others the shuffle while few are wanted; it never drops a wanted one.
+        Documents are found by id and text together, as ids may be missing or
+        repeated, and known by the key of their set. A Bloom filter of fixed size
+        (one hash, ``FILTER_WORDS`` 64-bit words) spares most others the shuffle
+        while few are wanted; it never drops a wanted one.
         """
-        n, text_of = self.n, lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-        named = materialise(wanted.join(self.classes.select("key", "doc_id"), "key").select(text_of("doc_id").alias("id"), "key"), "wanted")
-        word = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS)).alias("word")
-        mask = F.expr("shiftleft(1L, cast(shiftright(xxhash64(id), 40) & 63 AS INT))")
+        n = self.n
+        look = lambda text: F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text).alias("id")
+        named = wanted.join(self.classes.select("key", "doc_id", "hash"), "key").select(look(F.col("hash")), "key")
+        named = materialise(named, "wanted")
+        word = F.pmod("id", F.lit(FILTER_WORDS)).alias("word")
+        mask = F.expr("shiftleft(1L, cast(shiftright(id, 40) & 63 AS INT))")
         words = named.groupBy(word).agg(F.bit_or(mask).alias("bits"))
-        texts = self.docs.select(text_of("doc_id").alias("id"), whole_text().alias("text"))
-        near = texts.join(F.broadcast(words), F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS)) == F.col("word"))
+        texts = self.docs.select(look(F.xxhash64(whole_text())), whole_text().alias("text"))
+        near = texts.join(F.broadcast(words), F.pmod("id", F.lit(FILTER_WORDS)) == F.col("word"))
         found = near.filter(F.col("bits").bitwiseAND(mask) != 0).select("id", "text").join(named, "id")
 
         def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,12 +372,12 @@ class Join:
         named = crowds.join(roots.select(F.col("id").alias("key"), "root").hint("merge"), "key", "left")
         named = named.withColumn("root", F.coalesce("root", "key"))
         several = named.groupBy("crowd").agg((F.min("root") != F.max("root")).alias("open")).filter("open").select("crowd")
-        sized = named.join(several.hint("merge"), "crowd").join(self.classes.select("key", "size", "bits").hint("merge"), "key")
+        sized = named.join(several, "crowd").join(self.classes.select("key", "size", "bits").hint("merge"), "key")
         bin_of = F.floor(F.log("size") / float(np.log(step))).cast("int")
         rows = materialise(sized.withColumn("bin", bin_of), "crowded")
         parts = rows.groupBy("crowd", "bin").agg(F.ceil(F.count(F.lit(1)) / CROWD_BLOCK).cast("int").alias("parts"))
         parts = materialise(parts, "blocks")
-        rows = rows.join(parts.hint("merge"), ["crowd", "bin"])
+        rows = rows.join(parts, ["crowd", "bin"])
         rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).drop("parts")
         # Which blocks meet: a few sizes up, every block there.
         reached = F.explode(F.sequence(F.col("bin"), F.col("bin") + reach)).alias("j")
@@ -405,7 +422,7 @@ def similar_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
     docs = docs.select("doc_id", "text")
     rows = materialise(read_sets(docs, n), "set-keys")
     join = Join(docs, rows, n, percent)
-    buckets = min(1 << 16, blocks_for(docs, BUCKET_BYTES))
+    buckets = blocks_for(docs, BUCKET_BYTES)  # of the upper 24 bits of a signature: 128 TiB of text
     met = materialise(meet_signatures(send_signatures(docs, n, percent, buckets), percent), "met")
     pairs = met.filter("NOT crowded").groupBy("a", "b").agg(F.bool_or("head").alias("head"))
     crowded = met.filter("crowded").withColumn("sign", F.xxhash64("bucket", "a")).withColumnRenamed("b", "key")

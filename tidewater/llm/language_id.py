@@ -10,7 +10,9 @@ score is a calibrated probability, and the limit below which a text is rejected.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score 0
 and rejected; with no labelled row every text is ``und``; repeated rows and
-NULL ids pass through; an empty table gives no rows; other columns are unused.
+NULL ids pass through; an empty table gives no rows; other columns are unused;
+texts of any length are read whole; of equally likely languages the first by
+name is given; more than ``MAX_LANGUAGES`` labels fail.
 """
 from __future__ import annotations
 
@@ -33,11 +35,18 @@ PIECE = 60  # characters of the short piece of a sampled text
 REJECTED = 0.002  # share of the calibration texts that may be rejected
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+# More labels than this are no languages; the model and its sample grow with them.
+MAX_LANGUAGES = 1000
+_WORDLIKE = re.compile(r"[^\W\d_]")
 # ASCII other than letters becomes a space; bytes of longer characters stay.
 _LETTERS_ONLY = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter; fractions, powers and the like are none."""
+    return any(found.group().isalpha() for found in _WORDLIKE.finditer(text))
+
+
 def buckets(text: str) -> np.ndarray:
     """The bucket of every subword of a text."""
     data = np.frombuffer(b" %b " % b" ".join(text.lower().encode("utf-8", "replace").translate(_LETTERS_ONLY).split()), np.uint8)
@@ -62,7 +71,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, probability, whether the text is rejected."""
-        if not self.languages or text is None or not _LETTER.search(text):
+        if not self.languages or text is None or not has_letter(text):
             return UNKNOWN, 0.0, True
         found = buckets(text)
         z = (np.take(self.logits, found, axis=0).mean(axis=0, dtype=np.float64) + self.bias) / self.temperature
@@ -83,7 +92,10 @@ def _sample(docs: DataFrame, label: str) -> list[tuple[str, bool, np.ndarray, np
     texts = rows.select("lang", "order").distinct()
     share = texts.groupBy("lang").agg((F.lit(4.0 * SAMPLE) / F.count(F.lit(1))).alias("share"))
     spread = F.pmod(F.hash("order"), F.lit(1 << 30)) / float(1 << 30)
-    some = rows.join(materialise(share, "share"), "lang").filter(spread < F.col("share")).drop("share")
+    share = materialise(share, "share")
+    if (labels := share.count()) > MAX_LANGUAGES:
+        raise ValueError(f"{labels} labels are more than the {MAX_LANGUAGES} languages the model may have")
+    some = rows.join(share, "lang").filter(spread < F.col("share")).drop("share")
     nth = Window.partitionBy("lang").orderBy("order")
     once = some.dropDuplicates(["lang", "order"])
     drawn = once.withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= SAMPLE)
@@ -94,7 +106,7 @@ def _sample(docs: DataFrame, label: str) -> list[tuple[str, bool, np.ndarray, np
             for lang, text, order in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "order"))):
                 at = order % max(1, len(text) - PIECE)
                 for part in (text, text[at : at + PIECE]):
-                    if _LETTER.search(part):
+                    if has_letter(part):
                         found, n = np.unique(buckets(part), return_counts=True)
                         shares = (n / n.sum()).astype(np.float32)
                         out.append((lang, order % 5 == 0, found.astype(np.uint16).tobytes(), shares.tobytes()))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import Memo, blocks_for, by_bucket, dealt_to_blocks, fresh_name, gram_hashes, mix, ship, word_hashes
+from tidewater.llm.common import Memo, blocks_for, by_bucket, dealt_to_blocks, fresh_name, gram_hashes, mix, ship, sorted_distinct, word_hashes
 
 BLOCK_BYTES = 8 << 20  # text in a block
 BUCKET_BYTES = 16 << 20  # text whose windows a bucket compares
@@ -157,7 +157,7 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
         texts = _texts(table)
         values, _, counts = block_windows(texts, length)
         told = [np.frombuffer(w, np.uint64) for w in news.column("windows").to_pylist()]
-        recurring = np.unique(np.concatenate([values[counts > 1], *told]))
+        recurring = sorted_distinct(np.concatenate([values[counts > 1], *told]))
         out = []
         for words, covered in covered_words(texts, recurring, length):
             edges = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
