@@ -165,6 +165,40 @@ def test_context_tree_beats_single_words(spark):
     assert rows["s"] > rows["b"]
 
 
+def test_vector_search_prunes_structured_rows(spark, monkeypatch):
+    """6,000 rows in 60 clusters: recall of the queries that did not calibrate, and how many rows were compared."""
+    from tidewater.llm import vector_search
+
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(60, 24))
+    rows = centres[draw.integers(0, 60, 6000)] + 0.15 * draw.normal(size=(6000, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<float>").repartition(4)
+    monkeypatch.setattr(vector_search, "LEAF_ROWS", 100)
+    monkeypatch.setattr(vector_search, "CALIBRATION", 100)
+    seen, visits = {}, vector_search._visits
+
+    def watched(dealt, probes, tree, k):
+        seen.update(n=visits(dealt, probes, tree, k), tree=tree, probes=set(probes["vec_id"]))
+        return seen["n"]
+
+    monkeypatch.setattr(vector_search, "_visits", watched)
+    found = {}
+    for r in search(table, F.col("vec_id") % 20 == 0, 20).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    vectors = rows.astype(np.float32).astype(float)
+    fresh = [q for q in range(0, 6000, 20) if q not in seen["probes"]]
+    assert len(fresh) == 200
+    leaf, hits, compared = seen["tree"].assign(vectors), 0, 0
+    for q in fresh:
+        products = vectors @ vectors[q]
+        products[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-products, kind="stable")[:20].tolist()))
+        compared += int(np.isin(leaf, seen["tree"].ranked_leaves(vectors[q], seen["n"])).sum())
+    print(f"recall {hits / (20 * len(fresh)):.3f}, rows compared {compared / (len(fresh) * len(rows)):.3f}")
+    assert hits >= 0.9 * 20 * len(fresh)
+    assert compared < 0.5 * len(fresh) * len(rows)
+
+
 def test_vector_search(spark):
     rows = table(spark, SF, "embeddings")
     odd = spark.createDataFrame(

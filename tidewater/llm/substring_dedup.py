@@ -37,7 +37,7 @@ from tidewater.llm.common import Memo, blocks_for, by_bucket, dealt_to_blocks, f
 
 BLOCK_BYTES = 8 << 20  # text in a block
 BUCKET_BYTES = 16 << 20  # text whose windows a bucket compares
-AUTOMATON_WORDS = 1 << 20  # words of all patterns of one automaton
+AUTOMATON_WORDS = 1 << 19  # words of all patterns of one automaton
 
 _OTHER = np.uint64(0x5851F42D4C957F2D)
 
@@ -61,25 +61,48 @@ def block_windows(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarr
     return values, second[at], counts
 
 
+class Alphabet:
+    """Word numbers as fixed-length strings of few letters.
+
+    A node of an automaton searches its children one by one, so with a letter
+    per word the root would look at as many as there are patterns. Six bits a
+    letter, and other letters for each of a word's places, leave at most 64, and
+    no match can start inside a word.
+    """
+
+    BITS = 6
+
+    def __init__(self, numbers: int):
+        self.letters = max(1, -(-max(numbers - 1, 1).bit_length() // self.BITS))
+
+    def spell(self, ids: np.ndarray) -> str:
+        out = np.empty((len(ids), self.letters), np.uint8)
+        for k in range(self.letters):
+            low = (ids >> (self.BITS * (self.letters - 1 - k))) & ((1 << self.BITS) - 1)
+            out[:, k] = low + (1 + (k << self.BITS))
+        return out.tobytes().decode("latin-1")
+
+
 class Automata:
-    """Aho-Corasick automata over word numbers, each with a bounded number of pattern words."""
+    """Aho-Corasick automata over spelt words, each with a bounded number of pattern words."""
 
-    def __init__(self, tiles: set[tuple[int, ...]]):
+    def __init__(self, tiles: set[str], alphabet: Alphabet):
         import ahocorasick
 
-        self.shards, held = [], AUTOMATON_WORDS
+        self.shards, self.letters, held = [], alphabet.letters, AUTOMATON_WORDS
         for tile in tiles:
-            if held + len(tile) > AUTOMATON_WORDS:
-                self.shards.append(ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE))
+            words = len(tile) // self.letters
+            if held + words > AUTOMATON_WORDS:
+                self.shards.append(ahocorasick.Automaton(ahocorasick.STORE_INTS))
                 held = 0
-            self.shards[-1].add_word(tile, len(tile))
-            held += len(tile)
+            self.shards[-1].add_word(tile, words)
+            held += words
         for shard in self.shards:
             shard.make_automaton()
 
-    def ends(self, words: tuple[int, ...]) -> np.ndarray:
+    def ends(self, words: str) -> np.ndarray:
         """Where (index of the last word) patterns occur."""
-        return np.unique(np.array([end for shard in self.shards for end, _ in shard.iter(words)], np.int64))
+        return sorted_distinct(np.array([end for shard in self.shards for end, _ in shard.iter(words)], np.int64)) // self.letters
 
 
 def tiles_of(recurs: np.ndarray, length: int) -> Iterator[int]:
@@ -93,20 +116,26 @@ def tiles_of(recurs: np.ndarray, length: int) -> Iterator[int]:
 def covered_words(texts: list[bytes], recurring: np.ndarray, length: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
     """Words of each text, and which of them a recurring window covers. ``recurring`` is sorted."""
     numbers: dict[bytes, int] = {}
-    docs, tiles = [], set()
+    docs, marked = [], []
     for text in texts:
         words = text.split()
-        ids = tuple([numbers.setdefault(w, len(numbers)) for w in words])
+        ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
         docs.append((words, ids))
+        starts: list[int] = []
         if len(words) >= length and len(recurring):
-            own = windows(text, length)[0]
+            own = gram_hashes(word_hashes(text), length)
             at = np.minimum(np.searchsorted(recurring, own), len(recurring) - 1)
-            tiles.update(ids[i : i + length] for i in tiles_of(recurring[at] == own, length))
-    automata = Automata(tiles)
-    for words, ids in docs:
+            starts = list(tiles_of(recurring[at] == own, length))
+        marked.append(starts)
+    alphabet = Alphabet(len(numbers))
+    width = alphabet.letters
+    spelt = [alphabet.spell(ids) for _, ids in docs]
+    tiles = {text[i * width : (i + length) * width] for text, starts in zip(spelt, marked) for i in starts}
+    automata = Automata(tiles, alphabet)
+    for (words, _), text in zip(docs, spelt):
         steps = np.zeros(len(words) + 1, np.int64)
         if len(words) >= length and tiles:
-            ends = automata.ends(ids)
+            ends = automata.ends(text)
             np.add.at(steps, ends - length + 1, 1)
             np.add.at(steps, ends + 1, -1)
         yield words, np.cumsum(steps[:-1]) > 0
@@ -155,9 +184,10 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
 
     def remove(table: pa.Table, news: pa.Table) -> pa.Table:
         texts = _texts(table)
-        values, _, counts = block_windows(texts, length)
+        held = np.sort(np.concatenate([np.zeros(0, np.uint64), *(gram_hashes(word_hashes(t), length) for t in texts)]))
+        twice = held[1:][held[1:] == held[:-1]]
         told = [np.frombuffer(w, np.uint64) for w in news.column("windows").to_pylist()]
-        recurring = sorted_distinct(np.concatenate([values[counts > 1], *told]))
+        recurring = sorted_distinct(np.concatenate([twice, *told]))
         out = []
         for words, covered in covered_words(texts, recurring, length):
             edges = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
