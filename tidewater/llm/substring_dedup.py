@@ -37,7 +37,7 @@ from tidewater.llm.common import Memo, blocks_for, by_bucket, dealt_to_blocks, f
 
 BLOCK_BYTES = 8 << 20  # text in a block
 BUCKET_BYTES = 16 << 20  # text whose windows a bucket compares
-AUTOMATON_WORDS = 1 << 19  # words of all patterns of one automaton
+AUTOMATON_WORDS = 1 << 17  # words of all patterns of one automaton
 
 _OTHER = np.uint64(0x5851F42D4C957F2D)
 
@@ -83,26 +83,25 @@ class Alphabet:
         return out.tobytes().decode("latin-1")
 
 
-class Automata:
-    """Aho-Corasick automata over spelt words, each with a bounded number of pattern words."""
+def automata(tiles: set[str], alphabet: Alphabet) -> Iterator:
+    """Aho-Corasick automata over spelt words, one after another, with a bounded number of pattern words each.
 
-    def __init__(self, tiles: set[str], alphabet: Alphabet):
-        import ahocorasick
+    Only one is in memory at a time, if the caller lets go of it.
+    """
+    import ahocorasick
 
-        self.shards, self.letters, held = [], alphabet.letters, AUTOMATON_WORDS
-        for tile in tiles:
-            words = len(tile) // self.letters
-            if held + words > AUTOMATON_WORDS:
-                self.shards.append(ahocorasick.Automaton(ahocorasick.STORE_INTS))
-                held = 0
-            self.shards[-1].add_word(tile, words)
-            held += words
-        for shard in self.shards:
+    shard, held = ahocorasick.Automaton(ahocorasick.STORE_INTS), 0
+    for tile in tiles:
+        words = len(tile) // alphabet.letters
+        if held and held + words > AUTOMATON_WORDS:
             shard.make_automaton()
-
-    def ends(self, words: str) -> np.ndarray:
-        """Where (index of the last word) patterns occur."""
-        return sorted_distinct(np.array([end for shard in self.shards for end, _ in shard.iter(words)], np.int64)) // self.letters
+            yield shard
+            shard, held = ahocorasick.Automaton(ahocorasick.STORE_INTS), 0
+        shard.add_word(tile, words)
+        held += words
+    if held:
+        shard.make_automaton()
+        yield shard
 
 
 def tiles_of(recurs: np.ndarray, length: int) -> Iterator[int]:
@@ -131,14 +130,16 @@ def covered_words(texts: list[bytes], recurring: np.ndarray, length: int) -> Ite
     width = alphabet.letters
     spelt = [alphabet.spell(ids) for _, ids in docs]
     tiles = {text[i * width : (i + length) * width] for text, starts in zip(spelt, marked) for i in starts}
-    automata = Automata(tiles, alphabet)
-    for (words, _), text in zip(docs, spelt):
-        steps = np.zeros(len(words) + 1, np.int64)
-        if len(words) >= length and tiles:
-            ends = automata.ends(text)
-            np.add.at(steps, ends - length + 1, 1)
-            np.add.at(steps, ends + 1, -1)
-        yield words, np.cumsum(steps[:-1]) > 0
+    steps = [np.zeros(len(words) + 1, np.int32) for words, _ in docs]
+    for shard in automata(tiles, alphabet):
+        for text, step in zip(spelt, steps):
+            if len(step) > length:
+                ends = sorted_distinct(np.array([end for end, _ in shard.iter(text)], np.int64)) // width
+                np.add.at(step, ends - length + 1, 1)
+                np.add.at(step, ends + 1, -1)
+        del shard
+    for (words, _), step in zip(docs, steps):
+        yield words, np.cumsum(step[:-1]) > 0
 
 
 def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
