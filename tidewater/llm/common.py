@@ -1,6 +1,8 @@
 """Helpers the operators of this package share: text access, safe cuts, word hashes, packed exchange."""
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -90,6 +92,16 @@ def batches_of(rows: Iterable[pa.RecordBatch], column: str, size: int) -> Iterat
         yield pa.Table.from_batches(held)
 
 
+def give_back() -> None:
+    """Return to the system what a worker no longer uses; its C library and Arrow would keep it for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        pass
+
+
 class Memo:
     """Answers a worker remembers: at most ``2 * limit``, those not asked for lately go first.
 
@@ -107,6 +119,7 @@ class Memo:
         """Empty all memos: an operator that needs the memory itself calls this as its task starts."""
         for memo in cls.made:
             memo.now, memo.old = {}, {}
+        give_back()
 
     def learn(self, wanted: set, make: Callable[[list], Iterable]) -> dict:
         """A mapping that has every wanted key; ``make`` answers a list of keys in order."""

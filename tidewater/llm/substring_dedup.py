@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import Memo, blocks_for, by_bucket, dealt_to_blocks, fresh_name, gram_hashes, mix, ship, sorted_distinct, word_hashes
+from tidewater.llm.common import Memo, blocks_for, by_bucket, dealt_to_blocks, fresh_name, give_back, gram_hashes, mix, ship, sorted_distinct, word_hashes
 
 BLOCK_BYTES = 8 << 20  # text in a block
 BUCKET_BYTES = 16 << 20  # text whose windows a bucket compares
@@ -184,6 +184,7 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
         })
 
     def remove(table: pa.Table, news: pa.Table) -> pa.Table:
+        give_back()
         texts = _texts(table)
         held = np.sort(np.concatenate([np.zeros(0, np.uint64), *(gram_hashes(word_hashes(t), length) for t in texts)]))
         twice = held[1:][held[1:] == held[:-1]]
