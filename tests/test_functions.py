@@ -207,3 +207,19 @@ def test_arrays_of_long_conversations(spark, tmp_path):
     one = entry.queries()["agg_array"](spark, str(tmp_path)).first()
     assert one["n_concat"] == 2000 and one["roles"].count(",") == 999
     assert entry.queries()["nested_build"](spark, str(tmp_path)).first()["turns"].count("turn") == 1000
+
+
+def test_intervals_that_sum_beyond_64_bits(spark, tmp_path):
+    """A hundred lags of ten thousand years are more microseconds than a long holds."""
+    import __spark_entry__ as entry
+
+    rows = spark.range(100).selectExpr(
+        "7L AS l_orderkey", "'N' AS l_returnflag", "1.0D AS l_extendedprice", "0.0D AS l_tax",
+        "if(id = 0, TIMESTAMP'0001-01-03 12:00:00', TIMESTAMP'9999-01-01 00:00:00') AS l_shipdate",
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT 7L AS o_orderkey, TIMESTAMP'0001-01-01 00:00:00' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    found = entry.queries()["agg_sum_avg"](spark, str(tmp_path)).first()
+    days = 99 * 3_651_694 + 2  # and half a day
+    assert found["sum_lag_days"] == days
+    assert found["avg_lag_seconds"] == (days * 86_400 + 43_200) // 100

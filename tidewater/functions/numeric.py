@@ -141,3 +141,11 @@ def sum_fixed(units: Column, digits: int = 2, out: str = "decimal(28,2)") -> Col
     low = F.sum(units.bitwiseAND(F.lit((1 << low_bits) - 1))).cast("decimal(20,0)")
     total = high * F.lit(1 << low_bits).cast("decimal(7,0)") + low
     return (total * F.lit(f"{10**-digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")).cast(out)
+
+
+def sum_interval(interval: Column) -> Column:
+    """Exact sum of day-time intervals, in seconds as a decimal with six decimals.
+
+    Spark adds intervals as 64-bit microseconds: some millions of rows of a few weeks overflow that.
+    """
+    return F.sum(interval.cast("interval second").cast("decimal(19,6)"))

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.functions.numeric import fixed, sum_fixed
+from tidewater.functions.numeric import fixed, sum_fixed, sum_interval
 from tidewater.operators.aggregates import daily_changes, fold_changes, merge_rollup, partial_rollup, signed_distinct, top_sum
 from tidewater.operators.relational import exact_percentiles, group_implicit
 from tidewater.plans.registry import query
@@ -137,13 +137,14 @@ def agg_sum_avg(spark, sf_dir):
         F.sum(F.col("l_extendedprice").cast("decimal(28,9)")).cast("decimal(38,9)").alias("sum_numeric"),
         F.sum((top - F.col("l_orderkey").cast("decimal(20,0)")).cast("decimal(20,0)")).cast("decimal(30,0)").alias("sum_uint"),
         (F.sum(_money("l_tax")).cast("double") / F.count(F.lit(1))).alias("avg_double"),
-        F.sum(lag).alias("lag"),
-        F.avg(lag).alias("mean_lag"),
-    )
-    # The mean is an interval; its whole seconds are what is compared.
-    mean_seconds = F.floor(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.col("mean_lag")) / 1_000_000)
-    lags = {"sum_lag_days": F.extract(F.lit("DAY"), "lag").cast("bigint"), "avg_lag_seconds": mean_seconds}
-    return sums.withColumns(lags).drop("lag", "mean_lag")
+        sum_interval(lag).alias("lag"),
+        F.count(lag).alias("n_lags"),
+    )
+    # Whole days and whole seconds are what is compared.
+    days = F.col("lag") / F.lit(86_400)
+    mean_seconds = F.floor(F.col("lag") / F.col("n_lags")).cast("bigint")
+    lags = {"sum_lag_days": days.cast("bigint"), "avg_lag_seconds": mean_seconds}
+    return sums.withColumns(lags).drop("lag", "n_lags")
 
 
 @query(
