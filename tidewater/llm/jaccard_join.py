@@ -18,7 +18,8 @@ returned. The join is exact up to 64-bit hashes of n-grams and sets.
    with few others become candidate pairs. Signatures that more than ``FEW``
    sets share matter only for sets that have more of them than their reserve.
 4. Candidates pass an exact lower bound of their difference (parity bitmaps of
-   about a bit per n-gram) and then the n-grams of the texts decide.
+   about two bits per n-gram, then, with the texts at hand, of eight), which
+   leaves few pairs that do not link, and then the n-grams of the texts decide.
 5. Two rounds: each signature's first set is compared with its others, which
    gives most components. Then only pairs of different components remain: the
    candidate pairs among them, and the sets that crowded signatures join (a
@@ -48,6 +49,7 @@ BATCH_BYTES = 16 << 20  # text whose signatures travel together
 BUCKET_BYTES = 8 << 20  # text whose signatures a bucket compares
 BLOCK = 512  # texts compared with one text by one task
 CROWD_BLOCK = 4096  # sets on either side of a block of bitmap comparisons
+COARSE, FINE = 2, 8  # bits of a parity bitmap per n-gram, for all sets and for those whose text is at hand
 FILTER_WORDS = 1 << 17  # 64-bit words of the Bloom filter of wanted documents: one megabyte
 
 
@@ -63,15 +65,15 @@ def set_key(grams: np.ndarray) -> int:
         return int(mix(np.array([mix(grams).sum(dtype=np.uint64) + np.uint64(len(grams))]))[0].astype(np.int64))
 
 
-def parity(grams: np.ndarray) -> bytes:
-    """Per bit whether an odd number of n-grams fall on it; a power of two of bits, about one per n-gram."""
-    size = 1 << max(6, (len(grams) - 1).bit_length())
+def parity(grams: np.ndarray, per_gram: int = COARSE) -> bytes:
+    """Per bit whether an odd number of n-grams fall on it; a power of two of bits, about ``per_gram`` per n-gram."""
+    size = 1 << max(6, (per_gram * len(grams) - 1).bit_length())
     odd = np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def folded(bits: np.ndarray, size: int) -> np.ndarray:
-    """A parity bitmap as it would be with ``size`` bytes."""
+    """A parity bitmap as it would be with ``size`` 64-bit words."""
     return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
 
 
@@ -151,7 +153,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
-    """Signatures packed per bucket: 48 bits each (the bucket comes from the upper ones) and the number of a set in the row's table."""
+    """Signatures packed per bucket: 40 bits each (the bucket comes from those above) and the number of a set in the row's table."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Memo.forget()
@@ -164,7 +166,7 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
                 sign, place = np.concatenate(signs), np.concatenate(which)
                 columns = [np.array(c, k) for c, k in zip(zip(*table), TABLE.values())]
                 packed = np.zeros(len(sign), PACKED)
-                packed["high"], packed["low"], packed["set"] = sign >> np.uint64(32) & np.uint64(0xFFFF), sign & np.uint64(0xFFFFFFFF), place
+                packed["high"], packed["low"], packed["set"] = sign >> np.uint64(32) & np.uint64(0xFF), sign & np.uint64(0xFFFFFFFF), place
                 for bucket, part in by_bucket(packed, (sign >> np.uint64(40)).astype(np.int64) % buckets, buckets):
                     row = [bucket, part.tobytes(), *(c.tobytes() for c in columns)]
                     yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], schema=SENT)
@@ -192,8 +194,8 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
     )
 
 
-#: A signature in a bucket: 48 of its bits, and the place of its set in the row's table times two, plus one for the next band.
-PACKED = np.dtype([("high", "<u2"), ("low", "<u4"), ("set", "<u2")])
+#: A signature in a bucket: 40 of its bits, and the place of its set in the row's table times two, plus one for the next band.
+PACKED = np.dtype([("high", "u1"), ("low", "<u4"), ("set", "<u2")])
 #: The sets of a row: key, size, and the reserves in its own and the next band.
 TABLE = {"keys": np.int64, "sizes": np.int32, "own": np.int16, "next": np.int16}
 SENT = pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in ("packed", "keys", "sizes", "own", "next"))])
@@ -277,16 +279,16 @@ class Join:
             "classes",
         )
 
-    def plausible(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that the parity bitmaps do not rule out."""
+    def plausible(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs (a, b) that the parity bitmaps of ``sets`` (key, size, bits) do not rule out."""
         percent = self.percent
-        side = lambda x: self.classes.select(F.col("key").alias(x), F.col("size").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
+        side = lambda x: sets.select(F.col("key").alias(x), F.col("size").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 c = {x: batch.column(x).to_pylist() for x in ("na", "nb", "bitsa", "bitsb")}
                 stay = [
-                    could_link(na, np.frombuffer(a, np.uint8), nb, np.frombuffer(b, np.uint8), percent)
+                    could_link(na, np.frombuffer(a, np.uint64), nb, np.frombuffer(b, np.uint64), percent)
                     for na, nb, a, b in zip(c["na"], c["nb"], c["bitsa"], c["bitsb"])
                 ]
                 yield batch.select(["a", "b"]).filter(pa.array(stay, pa.bool_()))
@@ -295,7 +297,7 @@ class Join:
         return joined.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(check, "a long, b long")
 
     def texts_of(self, wanted: DataFrame) -> DataFrame:
-        """(key, text) of one document of each class in ``wanted`` (key).
+        """(key, size, bits, text) of one document of each class in ``wanted`` (key), with fine bitmaps.
 
         Documents are found by id and text together, as ids may be missing or
         repeated, and known by the key of their set. A Bloom filter of fixed size
@@ -316,16 +318,24 @@ class Join:
         def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keys, held = batch.column("key").to_pylist(), batch.column("text").to_pylist()
-                stay = [len(g := gram_set(t.encode("utf-8", "surrogatepass"), n)) > 0 and set_key(g) == k for k, t in zip(keys, held)]
-                yield batch.filter(pa.array(stay, pa.bool_()))
+                found = [gram_set(t.encode("utf-8", "surrogatepass"), n) for t in held]
+                stay = [len(g) > 0 and set_key(g) == k for k, g in zip(keys, found)]
+                fine = pa.array([parity(g, FINE) if s else None for g, s in zip(found, stay)], pa.binary())
+                columns = [batch.column("key"), pa.array([len(g) for g in found], pa.int64()), fine, batch.column("text")]
+                rows = pa.RecordBatch.from_arrays(columns, names=["key", "size", "bits", "text"])
+                yield rows.filter(pa.array(stay, pa.bool_()))
 
-        return materialise(found.select("key", "text").mapInArrow(own, "key long, text string"), "texts")
+        schema = "key long, size long, bits binary, text string"
+        return materialise(found.select("key", "text").mapInArrow(own, schema), "texts")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link, decided by the n-grams of their texts."""
         n, percent = self.n, self.percent
-        pairs = materialise(self.plausible(pairs), "plausible")
+        pairs = materialise(self.plausible(pairs, self.classes), "plausible")
         texts = self.texts_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+        # A text may stand there twice.
+        pairs = materialise(self.plausible(pairs, texts.select("key", "size", "bits")).distinct(), "near")
+        texts = texts.select("key", "text")
         parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
         right = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
         right = right.join(texts.withColumnRenamed("key", "b").hint("merge"), "b")
@@ -367,8 +377,7 @@ class Join:
         allow a link meet, and each pair of sets meets once.
         """
         percent = self.percent
-        step = 1.15
-        reach = int(np.ceil(np.log(100 / percent) / np.log(step)))
+        step = 100 / percent * 1.001  # sets that link lie in one bin or two neighbouring ones
         named = crowds.join(roots.select(F.col("id").alias("key"), "root").hint("merge"), "key", "left")
         named = named.withColumn("root", F.coalesce("root", "key"))
         several = named.groupBy("crowd").agg((F.min("root") != F.max("root")).alias("open")).filter("open").select("crowd")
@@ -379,8 +388,8 @@ class Join:
         parts = materialise(parts, "blocks")
         rows = rows.join(parts, ["crowd", "bin"])
         rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).drop("parts")
-        # Which blocks meet: a few sizes up, every block there.
-        reached = F.explode(F.sequence(F.col("bin"), F.col("bin") + reach)).alias("j")
+        # Which blocks meet: every block of the own bin and the next.
+        reached = F.explode(F.sequence(F.col("bin"), F.col("bin") + 1)).alias("j")
         each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
         grid = parts.select("crowd", F.col("bin").alias("i"), F.col("parts").alias("ni"), reached).join(
             parts.select("crowd", F.col("bin").alias("j"), F.col("parts").alias("nj")).hint("merge"), ["crowd", "j"]
@@ -399,15 +408,29 @@ class Join:
                 same = [one.column(c)[0].as_py() for c in "ip"] == [one.column(c)[0].as_py() for c in "jq"]
                 other = other.rename_columns([c.removeprefix("other_") for c in other.column_names])
                 (ka, ra, na), (kb, rb, nb) = ([t.column(c).to_numpy() for c in ("key", "root", "size")] for t in (one, other))
-                raw = [[np.frombuffer(x, np.uint8) for x in t.column("bits").to_pylist()] for t in (one, other)]
+                raw = [[np.frombuffer(x, np.uint64) for x in t.column("bits").to_pylist()] for t in (one, other)]
                 width = min(len(x) for r in raw for x in r)
                 a, b = (np.stack([folded(x, width) for x in r]) for r in raw)
+                order = np.argsort(nb, kind="stable")
+                kb, rb, nb, b = kb[order], rb[order], nb[order], b[order]
+                # Sizes that allow a link are one stretch: nb from percent hundredths of na to na by percent hundredths.
+                low = np.searchsorted(nb, -(-percent * na // 100), "left")
+                high = np.searchsorted(nb, 100 * na // percent, "right")
+                # Most pairs differ enough in the first words already.
+                b, some = np.ascontiguousarray(b.T), -(-5 * width // 8)
+                count = np.uint16 if width < 1000 else np.int64
+                most = (100 - percent) / (100 + percent)
+                allowed = nb * most + 0.001
                 for x in range(len(ka)):
-                    fits = (rb != ra[x]) & (100 * np.minimum(nb, na[x]) >= percent * np.maximum(nb, na[x]))
-                    near = np.flatnonzero(fits & (kb > ka[x]) if same else fits)
-                    apart = np.bitwise_count(b[near] ^ a[x]).sum(axis=1, dtype=np.int64)
-                    near = near[apart * (100 + percent) <= (nb[near] + na[x]) * (100 - percent)]
-                    found += [(int(min(ka[x], kb[y])), int(max(ka[x], kb[y]))) for y in near.tolist()]
+                    y = slice(low[x], high[x])
+                    apart = np.bitwise_count(b[:some, y] ^ a[x, :some, None]).sum(axis=0, dtype=count)
+                    at = low[x] + np.flatnonzero(apart <= allowed[y] + na[x] * most)
+                    at = at[(rb[at] != ra[x]) & ((kb[at] > ka[x]) | (not same))]
+                    found += [
+                        (int(min(ka[x], kb[y])), int(max(ka[x], kb[y])))
+                        for y in at.tolist()
+                        if could_link(int(na[x]), raw[0][x], int(nb[y]), raw[1][order[y]], percent)
+                    ]
             first, second = zip(*found) if found else ((), ())
             return pa.table({"a": pa.array(first, pa.int64()), "b": pa.array(second, pa.int64())})
 
@@ -428,9 +451,9 @@ def similar_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
     crowded = met.filter("crowded").withColumn("sign", F.xxhash64("bucket", "a")).withColumnRenamed("b", "key")
     # Only sets with more crowded signatures than they can do without need them.
     needing = crowded.groupBy("key", "side").agg(F.count(F.lit(1)).alias("n"), F.min("spare").alias("spare")).filter("n > spare")
-    members = materialise(crowded.join(needing.select("key", "side"), ["key", "side"]).select("sign", "key"), "members")
+    members = materialise(crowded.join(needing.select("key", "side").hint("merge"), ["key", "side"]).select("sign", "key"), "members")
     pivots = members.groupBy("sign").agg(F.min("key").alias("a"))
-    to_pivot = members.join(pivots, "sign").filter("key <> a").select("a", F.col("key").alias("b")).distinct()
+    to_pivot = members.join(pivots.hint("merge"), "sign").filter("key <> a").select("a", F.col("key").alias("b")).distinct()
     to_pivot = materialise(to_pivot, "to-pivot")
     links = materialise(join.linked(pairs.filter("head").select("a", "b").unionByName(to_pivot).distinct()), "links")
     roots = join.roots(links)
