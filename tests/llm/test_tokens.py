@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +12,7 @@ import pytest
 
 from tidewater.llm import packing
 from tidewater.llm.byte_bpe import Codec, decode, encode
+from tidewater.llm.common import chunk_starts, chunks
 from tidewater.llm.packing import best_fit, bin_completion, bins_of, pack, token_pieces
 from tidewater.llm.token_counts import count_tokens
 
@@ -47,6 +49,32 @@ def test_byte_bpe_odd_texts(encoding):
     assert [x.decode() for x in codec.decode(ids)] == odd
 
 
+def test_byte_bpe_looks_at_distinct_pieces(encoding, monkeypatch):
+    """Chunks start only where ``chunks`` cuts; a word is contracted once; decoding reads rows of many tokens."""
+    draw = random.Random(2)
+    texts = ["".join(draw.choice(" \n\t\x1c\x1f\x85\xa0\u1680\u2003\u2028\u3000é”aA1.'s") for _ in range(draw.randrange(40))) for _ in range(400)]
+    texts += ["", "word wörd слово  word", "", "字 word\u2029 word ", "\x0b\x0cword"]
+    raw = [t.encode() for t in texts]
+    bounds = np.cumsum([0, *map(len, raw)])
+    own = {b + x for t, b in zip(texts, bounds.tolist()) for x in np.cumsum([0, *[len(c.encode()) for c in chunks(t)]])[:-1].tolist()}
+    starts = chunk_starts(b"".join(raw), bounds)
+    assert own.issuperset(starts.tolist()) and len(starts) > len(own) / 3
+    codec, seen = Codec(RANKS, public_tokenizers.PATTERN), []
+    contract = codec.contract
+    monkeypatch.setattr(codec, "contract", lambda words: seen.extend(words) or contract(words))
+    texts += ["zyxwvut slovoqq " * 3000, "zyxwvut! slovoqq " * 10]
+    ids = codec.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == [encoding.encode_ordinary(t) for t in texts]
+    assert seen.count(b" zyxwvut") == seen.count(b" slovoqq") == 1
+    connection, rows = codec.con, []
+    codec.con = SimpleNamespace(
+        register=lambda name, table: rows.append(table.num_rows) or connection.register(name, table),
+        unregister=connection.unregister, sql=connection.sql,
+    )
+    assert [x.decode() for x in codec.decode(ids)] == texts
+    assert sum(rows) <= len(texts) + sum(map(len, ids)) / 4 / 1000
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
 def test_token_counts(docs, no_docs, name):
     path = public_tokenizers.path(name)

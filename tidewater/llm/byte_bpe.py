@@ -6,7 +6,11 @@ rank. The distinct words of a batch (matches of the pattern) become rows of
 (word, position, token). In every round of a recursive query neighbouring
 tokens join the merge table, and every word contracts its leftmost pair of
 least rank, until no pair is left. Ordered aggregations turn rows into the
-tokens of a word, and ids back into bytes.
+tokens of a word, and parts of a sequence, whose ids are looked up in the list
+of all tokens, back into bytes.
+
+Texts are cut into chunks before white space, and only the distinct chunks of a
+batch, and then the distinct words of the new ones, are looked at.
 
 A word of n bytes takes up to n rounds, so long words are cut first where no
 token of the vocabulary spans the cut, which changes nothing. What is still
@@ -20,21 +24,24 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidewater.llm.common import Memo, batches_of, byte_batches, chunks, small_batches, whole_text
+from tidewater.llm.common import Memo, batches_of, byte_batches, chunk_starts, small_batches, whole_text
 
 # Text bytes taken together; what a worker remembers; bytes of a word for the
-# recursive query; words in one query; tokens decoded by one query.
+# recursive query; words in one query; tokens decoded by one query;
+# tokens in a row of it; bytes of a word that is not cut.
 BATCH_BYTES = 4 << 20
 REMEMBERED_CHUNKS, REMEMBERED_WORDS = 250_000, 450_000
 ROUNDS = 256
 WORDS = 24_000
 DECODE_TOKENS = 1 << 20
+PART = 1024
+UNCUT = 64
 
 ENCODE = """
 WITH RECURSIVE steps(word, toks) AS (
@@ -50,9 +57,10 @@ WITH RECURSIVE steps(word, toks) AS (
 SELECT word, arg_min(toks, len(toks)) AS ids FROM steps GROUP BY word ORDER BY word
 """
 
+# One character per byte (Latin-1), as strings can be aggregated and blobs cannot.
 DECODE = """
-SELECT seq, string_agg(vocabulary.hex, '' ORDER BY pos) AS hex
-FROM tokens JOIN vocabulary ON vocabulary.tok = tokens.tok GROUP BY seq
+SELECT seq, string_agg(array_to_string(list_select(vocabulary, places), ''), '' ORDER BY part) AS latin
+FROM tokens, vocabularies GROUP BY seq
 """
 
 _codecs: dict[tuple[str, str], "Codec"] = {}
@@ -65,6 +73,23 @@ def codec(path: str, pattern: str) -> "Codec":
     return _codecs[path, pattern]
 
 
+def answers(memo: Memo, keys: pa.Array, make: Callable[[list[str]], list[bytes]]) -> pa.Array:
+    """What the memo knows of each key; each distinct key is looked up once."""
+    coded = keys.dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    known = memo.learn(set(distinct), make)
+    return pa.array([known[x] for x in distinct], pa.large_binary()).take(coded.indices)
+
+
+def joined(parts: pa.Array, first: np.ndarray) -> list[bytes]:
+    """The parts from each place in ``first`` to the next, put together."""
+    if not len(parts):
+        return [b""] * (len(first) - 1)
+    at = (np.frombuffer(parts.buffers()[1], np.int64)[parts.offset :][first]).tolist()
+    data = parts.buffers()[2].to_pybytes() if at[-1] else b""
+    return [data[a:b] for a, b in zip(at, at[1:])]
+
+
 class Codec:
     """Vocabulary, merge table and connection of one worker."""
 
@@ -86,7 +111,9 @@ class Codec:
         ]
         a, b, rank = (pa.array(np.array(x, np.int32)) for x in zip(*pairs))
         self._load("merges", a=a, b=b, rank=rank)
-        self._load("vocabulary", tok=pa.array(list(self.ranks.values()), pa.int32()), hex=[t.hex() for t in self.ranks])
+        self._load("vocabularies", vocabulary=[[t.decode("latin-1") for t in self.ranks]])
+        self.place = np.zeros(max(self.ranks.values()) + 1, np.int32)  # in that list, from 1
+        self.place[list(self.ranks.values())] = np.arange(1, len(self.ranks) + 1)
         self.grams = {t for t in self.ranks if len(t) in (2, 3)}
         self.grams |= {t[i : i + 4] for t in self.ranks for i in range(len(t) - 3)}
 
@@ -98,7 +125,7 @@ class Codec:
 
     def cut(self, word: bytes) -> list[bytes]:
         """Cut a long word at every place that no token of the vocabulary spans."""
-        if len(word) <= 64:
+        if len(word) <= UNCUT:
             return [word]
         pieces, start = [], 0
         for i in range(1, len(word)):
@@ -110,8 +137,8 @@ class Codec:
                 start = i
         return [*pieces, word[start:]]
 
-    def contract(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word (of at most ``ROUNDS`` bytes), by the recursive query."""
+    def contract(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of each word (of at most ``ROUNDS`` bytes), by the recursive query."""
         out = []
         for i in range(0, len(words), WORDS):
             part = words[i : i + WORDS]
@@ -124,11 +151,11 @@ class Codec:
             }))
             ids = self.con.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
             self.con.unregister("start")
-            flat, offsets = ids.flatten().to_numpy(), ids.offsets.to_numpy()
-            out += [flat[a:b] for a, b in zip(offsets[:-1] - offsets[0], offsets[1:] - offsets[0])]
+            packed, at = ids.flatten().to_numpy().astype("<u4").tobytes(), (4 * (ids.offsets.to_numpy() - ids.offsets[0].as_py())).tolist()
+            out += [packed[a:b] for a, b in zip(at, at[1:])]
         return out
 
-    def contract_long(self, word: bytes) -> np.ndarray:
+    def contract_long(self, word: bytes) -> bytes:
         """The same rule for one long word: a heap of (rank, position) over a linked list."""
         tokens: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
         after, before = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
@@ -147,29 +174,45 @@ class Codec:
                     pair = tokens[k] + tokens[after[k]]
                     if pair in self.ranks:
                         heapq.heappush(heap, (self.ranks[pair], k, pair))
-        return np.array([self.ranks[t] for t in tokens if t is not None], np.int32)
+        return np.array([self.ranks[t] for t in tokens if t is not None], "<u4").tobytes()
 
-    def word_ids(self, words: list[bytes]) -> list[bytes]:
+    def word_ids(self, words: list[str]) -> list[bytes]:
         """The packed ids of each match of the pattern. A match that is a token is that token."""
-        pieces = [[w] if w in self.ranks else self.cut(w) for w in words]
-        ids = {p: np.array([self.ranks[p]], np.int32) for ps in pieces for p in ps if p in self.ranks and len(ps) == 1}
-        rest = list({p for ps in pieces for p in ps}.difference(ids))
+        raw = [w.encode() for w in words]
+        whole = {w: rank.to_bytes(4, "little") for w in raw if (rank := self.ranks.get(w)) is not None}
+        pieces = {w: self.cut(w) if len(w) > UNCUT else [w] for w in raw if w not in whole}
+        rest = set().union(*pieces.values())
         short = [w for w in rest if len(w) <= ROUNDS]
-        ids.update(zip(short, self.contract(short)))
+        ids = dict(zip(short, self.contract(short)))
         ids.update((w, self.contract_long(w)) for w in rest if len(w) > ROUNDS)
-        packed = {w: x.astype("<u4").tobytes() for w, x in ids.items()}
-        return [b"".join(map(packed.__getitem__, ps)) for ps in pieces]
+        return [whole[w] if w in whole else b"".join(map(ids.__getitem__, pieces[w])) for w in raw]
+
+    def matches(self, texts: list[str]) -> list[list[str]]:
+        """The matches of the pattern in each text. The texts are split as one, if it leaves no character out."""
+        found = self.split("".join(texts))
+        ends, bounds = np.cumsum([0, *map(len, found)]), np.cumsum([0, *map(len, texts)])
+        if ends[-1] != bounds[-1]:
+            return [self.split(t) for t in texts]
+        at = np.searchsorted(ends, bounds).tolist()
+        return [found[a:b] for a, b in zip(at, at[1:])]
 
     def chunk_ids(self, texts: list[str]) -> list[bytes]:
-        split = [[w.encode() for w in self.split(chunk)] for chunk in texts]
-        known = self.of_word.learn(set().union(*split), self.word_ids)
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+        """The packed ids of each chunk."""
+        # From white space to something else: such chunks may follow each other, as they do in texts.
+        follow = [c[0] in " \t\n\v\f\r" and not c[-1].isspace() for c in texts]
+        split = iter(self.matches([c for c, x in zip(texts, follow) if x]))
+        split = [next(split) if x else self.split(c) for c, x in zip(texts, follow)]
+        words = pa.array([w for ws in split for w in ws], pa.large_string())
+        return joined(answers(self.of_word, words, self.word_ids), np.cumsum([0, *map(len, split)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as packed little-endian unsigned 32-bit integers."""
-        parts = [chunks(text) for text in texts]
-        known = self.of_chunk.learn(set().union(*parts), self.chunk_ids)
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+        raw = [text.encode() for text in texts]
+        bounds, data = np.cumsum([0, *map(len, raw)]), b"".join(raw)
+        starts = chunk_starts(data, bounds)
+        places = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        parts = pa.Array.from_buffers(pa.large_string(), len(starts), [None, places, pa.py_buffer(data)])
+        return joined(answers(self.of_chunk, parts, self.chunk_ids), np.searchsorted(starts, bounds))
 
     def decode(self, sequences: list[bytes]) -> list[bytes]:
         """The bytes of each packed sequence of ids."""
@@ -177,17 +220,21 @@ class Codec:
 
     def _decode(self, sequences: list[bytes]) -> list[bytes]:
         lengths = np.array([len(s) // 4 for s in sequences])
-        starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        parts = -(-lengths // PART)
+        seq = np.repeat(np.arange(len(sequences), dtype=np.int32), parts)
+        part = np.arange(len(seq)) - np.repeat(np.cumsum(parts) - parts, parts)
+        ends = np.cumsum(np.minimum(PART, lengths[seq] - PART * part))
+        places = pa.array(self.place[np.frombuffer(b"".join(sequences), "<u4")])
         self.con.register("tokens", pa.table({
-            "seq": pa.array(np.repeat(np.arange(len(sequences), dtype=np.int32), lengths)),
-            "pos": pa.array((np.arange(len(starts)) - starts).astype(np.int32)),
-            "tok": pa.array(np.frombuffer(b"".join(sequences), "<u4").astype(np.int32)),
+            "seq": pa.array(seq),
+            "part": pa.array(part),
+            "places": pa.LargeListArray.from_arrays(pa.array(np.append(0, ends), pa.int64()), places),
         }))
         found = self.con.sql(DECODE).to_arrow_table()
         self.con.unregister("tokens")
         out = [b""] * len(sequences)
-        for seq, text in zip(found.column("seq").to_pylist(), found.column("hex").to_pylist()):
-            out[seq] = bytes.fromhex(text)
+        for seq, text in zip(found.column("seq").to_pylist(), found.column("latin").to_pylist()):
+            out[seq] = text.encode("latin-1")
         return out
 
 

@@ -66,6 +66,23 @@ def chunks(text: str) -> list[str]:
     return CHUNK.findall(text)
 
 
+def chunk_starts(data: bytes, bounds: np.ndarray) -> np.ndarray:
+    """Where chunks of texts start that stand one after the other in ``data``, from each of ``bounds`` to the next.
+
+    Places of ``chunks``, but only at ASCII white space, and never after
+    characters whose bytes are like those of some white space.
+    """
+    codes = np.frombuffer(data, np.uint8)
+    white = (codes - np.uint8(9) < np.uint8(5)) | (codes == np.uint8(32))
+    starts = np.append(False, white[1:] & (codes[:-1] > 32))
+    high = np.flatnonzero(starts[1:] & (codes[:-1] > 127)) + 1  # after a character of several bytes, of which U+0085 to U+3000 may be white space
+    two, three = codes[high - 2], codes[np.maximum(high - 3, 0)]
+    unsure = (two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3) & np.isin(two, (0x80, 0x81, 0x9A)))
+    starts[high[unsure]] = False
+    starts[bounds[:-1][np.diff(bounds) > 0]] = True
+    return np.flatnonzero(starts[: len(codes)])
+
+
 def byte_batches(items: Sequence[str], size: int) -> Iterator[list[str]]:
     """Batches of about ``size`` characters in all, so that no batch is much heavier than another."""
     batch, held = [], 0
