@@ -164,6 +164,20 @@ def test_signatures_miss_no_link():
     assert len(gram_set(b"", 5)) == 0 and len(gram_set(b"a b", 5)) == 1
 
 
+def test_rows_of_signatures_hold_only_sets_that_have_some(spark):
+    """What is sent grows with the signatures, not with the number of buckets times that of sets."""
+    docs = spark.createDataFrame([(" ".join(f"w{i}x{j}" for j in range(10 + i % 7)),) for i in range(300)], "text string").coalesce(1)
+    tables = {}
+    for buckets in (1, 4, 4000):
+        rows = jaccard_join.send_signatures(docs, 5, 75, buckets).collect()
+        counts = [np.frombuffer(r["counts"], np.int32).reshape(-1, 2) for r in rows]
+        assert all(c.any(axis=1).all() and len(c) == len(r["keys"]) // 8 for c, r in zip(counts, rows))
+        assert all(c.sum() == len(r["signs"]) // jaccard_join.SIGN.itemsize for c, r in zip(counts, rows))
+        tables[buckets] = sum(len(r["keys"]) // 8 for r in rows), sum(c.sum() for c in counts)
+    assert tables[1][0] == 300 and tables[4][0] <= 1200
+    assert tables[1][1] == tables[4][1] == tables[4000][1] >= tables[4000][0]
+
+
 def test_bitmaps_rule_out_pairs_that_just_miss():
     """In a large group of near copies most pairs of 7 in 10 must not reach the texts."""
     random = np.random.default_rng(9)

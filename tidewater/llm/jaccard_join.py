@@ -46,9 +46,11 @@ from tidewater.session import materialise
 FEW = 16  # sets that share a signature and are paired directly
 RESERVE = 0.15  # partitions beyond k + 1, as a share
 BATCH_BYTES = 16 << 20  # text whose signatures travel together
-BUCKET_BYTES = 8 << 20  # text whose signatures a bucket compares
+BUCKET_BYTES = 32 << 20  # text whose signatures a bucket holds
+TURNS = 4  # shares of a bucket that are compared one after the other
 BLOCK = 512  # texts compared with one text by one task
-CROWD_BLOCK = 4096  # sets on either side of a block of bitmap comparisons
+CROWD_BLOCK, CROWD_BYTES = 1 << 15, 8 << 20  # sets and their bytes on either side of a block of bitmap comparisons
+TILE = 4096  # sets whose bitmaps one set is compared with at once
 COARSE, FINE = 2, 8  # bits of a parity bitmap per n-gram, for all sets and for those whose text is at hand
 FILTER_WORDS = 1 << 17  # 64-bit words of the Bloom filter of wanted documents: one megabyte
 
@@ -153,7 +155,11 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
-    """Signatures packed per bucket: 40 bits each (the bucket comes from those above) and the number of a set in the row's table."""
+    """Signatures packed per bucket: 32 bits each (the bucket comes from those above), in the order of the row's table.
+
+    The table holds only sets that have signatures in the bucket, so a row grows
+    with its signatures and not with the number of buckets.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Memo.forget()
@@ -165,10 +171,12 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
             def packed_rows() -> Iterator[pa.RecordBatch]:
                 sign, place = np.concatenate(signs), np.concatenate(which)
                 columns = [np.array(c, k) for c, k in zip(zip(*table), TABLE.values())]
-                packed = np.zeros(len(sign), PACKED)
-                packed["high"], packed["low"], packed["set"] = sign >> np.uint64(32) & np.uint64(0xFF), sign & np.uint64(0xFFFFFFFF), place
+                packed = np.zeros(len(sign), [("low", SIGN), ("place", np.int32)])
+                packed["low"], packed["place"] = sign & np.uint64(0xFFFFFFFF), place
                 for bucket, part in by_bucket(packed, (sign >> np.uint64(40)).astype(np.int64) % buckets, buckets):
-                    row = [bucket, part.tobytes(), *(c.tobytes() for c in columns)]
+                    counts = np.bincount(part["place"], minlength=2 * len(table)).astype(np.int32).reshape(-1, 2)
+                    used = counts.any(axis=1)
+                    row = [bucket, part["low"].tobytes(), counts[used].tobytes(), *(c[used].tobytes() for c in columns)]
                     yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], schema=SENT)
 
             for text in held.column("text").to_pylist():
@@ -181,7 +189,7 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
                 for side, (band, k, partitions) in bands.layouts(len(grams)):
                     found, spares[side] = signatures(grams, mixed, band, k, partitions)
                     signs.append(found)
-                    which.append(np.full(len(found), 2 * len(table) + side, np.uint16))
+                    which.append(np.full(len(found), 2 * len(table) + side, np.int32))
                 table.append((key, len(grams), *(min(x, 32767) for x in spares)))
                 if len(table) == 1 << 15:
                     yield from packed_rows() if signs else ()
@@ -190,15 +198,15 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
                 yield from packed_rows()
 
     return docs.select(whole_text().alias("text")).mapInArrow(
-        send, "bucket long, packed binary, keys binary, sizes binary, own binary, next binary"
+        send, "bucket long, signs binary, counts binary, keys binary, sizes binary, own binary, next binary"
     )
 
 
-#: A signature in a bucket: 40 of its bits, and the place of its set in the row's table times two, plus one for the next band.
-PACKED = np.dtype([("high", "u1"), ("low", "<u4"), ("set", "<u2")])
-#: The sets of a row: key, size, and the reserves in its own and the next band.
+#: A signature in a bucket: 32 of its bits. Others that agree in them cost a comparison, never a link.
+SIGN = np.dtype("<u4")
+#: The sets of a row: key, size, and the reserves in its own and the next band; ``counts`` has its signatures of either band.
 TABLE = {"keys": np.int64, "sizes": np.int32, "own": np.int16, "next": np.int16}
-SENT = pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in ("packed", "keys", "sizes", "own", "next"))])
+SENT = pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in ("signs", "counts", *TABLE))])
 
 
 def meet_signatures(sent: DataFrame, percent: int) -> DataFrame:
@@ -210,20 +218,28 @@ def meet_signatures(sent: DataFrame, percent: int) -> DataFrame:
     """
 
     def meet(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x.as_buffer(), PACKED) for x in table.column("packed")]
-        tables = {c: [np.frombuffer(x.as_buffer(), k) for x in table.column(c)] for c, k in TABLE.items()}
-        signs = np.concatenate([p["high"].astype(np.uint64) << np.uint64(32) | p["low"] for p in parts])
+        read = lambda c, k: [np.frombuffer(x.as_buffer(), k) for x in table.column(c)]
+        parts, counts = read("signs", SIGN), read("counts", np.int32)
+        tables = {c: np.concatenate(read(c, k)) for c, k in TABLE.items()}
+        return pa.concat_tables([meet_share(table.column("bucket")[0].as_py(), parts, counts, tables, turn) for turn in range(TURNS)])
+
+    def meet_share(bucket: int, parts: list, counts: list, tables: dict, turn: int) -> pa.Table:
+        """What the signatures join that leave ``turn`` when divided by ``TURNS``."""
+        signs, places, before = [], [], 0
+        for part, n in zip(parts, counts):
+            mine = part % SIGN.type(TURNS) == turn
+            signs.append(part[mine])
+            places.append(np.repeat(np.arange(before, before + len(n), dtype=np.int64), n)[mine])
+            before += len(n)
+        signs, places = np.concatenate(signs), np.concatenate(places)
         # Most signatures are of one set. Only the others are looked at further.
         order = np.argsort(signs)
         ordered = signs[order]
         same = ordered[1:] == ordered[:-1]
-        order = order[np.append(same, False) | np.append(False, same)]
-        signs = signs[order]
-        row = np.searchsorted(np.cumsum([len(p) for p in parts]), order, "right")
-        place = np.concatenate([p["set"] for p in parts])[order]
-        before = np.cumsum([0, *map(len, tables["keys"])])[row]
-        side, at = (place & 1).astype(np.int8), before + (place >> 1)
-        of = lambda c: np.concatenate(tables[c])[at]
+        order = order[np.append(same, False)[: len(order)] | np.append(False, same)[: len(order)]]
+        signs, places = signs[order], places[order]
+        side, at = (places & 1).astype(np.int8), places >> 1
+        of = lambda c: tables[c][at]
         keys, sizes, spares, sides = of("keys"), of("sizes"), np.where(side == 1, of("next"), of("own")), side
         order = np.lexsort((keys, signs))
         signs, keys = signs[order], keys[order]
@@ -252,7 +268,7 @@ def meet_signatures(sent: DataFrame, percent: int) -> DataFrame:
             "head": pa.array(np.append(head, np.zeros(m, bool))),
             "side": pa.array(np.append(np.zeros(n, np.int32), sides[crowd])),
             "spare": pa.array(np.append(np.zeros(n, np.int32), spares[crowd])),
-            "bucket": pa.array(np.full(n + m, table.column("bucket")[0].as_py(), np.int64)),
+            "bucket": pa.array(np.full(n + m, bucket, np.int64)),
         }).cast(MET)
 
     schema = "crowded boolean, a long, b long, head boolean, side int, spare int, bucket long"
@@ -384,7 +400,8 @@ class Join:
         sized = named.join(several, "crowd").join(self.classes.select("key", "size", "bits").hint("merge"), "key")
         bin_of = F.floor(F.log("size") / float(np.log(step))).cast("int")
         rows = materialise(sized.withColumn("bin", bin_of), "crowded")
-        parts = rows.groupBy("crowd", "bin").agg(F.ceil(F.count(F.lit(1)) / CROWD_BLOCK).cast("int").alias("parts"))
+        blocks = F.greatest(F.count(F.lit(1)) / CROWD_BLOCK, F.sum(F.octet_length("bits") + 64) / CROWD_BYTES)
+        parts = rows.groupBy("crowd", "bin").agg(F.ceil(blocks).cast("int").alias("parts"))
         parts = materialise(parts, "blocks")
         rows = rows.join(parts, ["crowd", "bin"])
         rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).drop("parts")
@@ -421,10 +438,12 @@ class Join:
                 count = np.uint16 if width < 1000 else np.int64
                 most = (100 - percent) / (100 + percent)
                 allowed = nb * most + 0.001
-                for x in range(len(ka)):
-                    y = slice(low[x], high[x])
+                for x, start in ((x, start) for start in range(0, len(kb), TILE) for x in range(len(ka))):
+                    y = slice(max(low[x], start), min(high[x], start + TILE))
+                    if y.start >= y.stop:
+                        continue
                     apart = np.bitwise_count(b[:some, y] ^ a[x, :some, None]).sum(axis=0, dtype=count)
-                    at = low[x] + np.flatnonzero(apart <= allowed[y] + na[x] * most)
+                    at = y.start + np.flatnonzero(apart <= allowed[y] + na[x] * most)
                     at = at[(rb[at] != ra[x]) & ((kb[at] > ka[x]) | (not same))]
                     found += [
                         (int(min(ka[x], kb[y])), int(max(ka[x], kb[y])))
