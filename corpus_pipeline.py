@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.exact_dedup import drop_copies
 from tidewater.llm.jaccard_join import keep_one
 from tidewater.llm.language_id import held_out, keep_known, train
-from tidewater.llm.packing import pack, token_pieces
+from tidewater.llm.packing import FEWER_REMEMBERED, pack, token_pieces
 from tidewater.llm.substring_dedup import keep_unique_text
 from tidewater.session import materialise, prepare, table
 
@@ -40,7 +40,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the tokens of the texts into sequences of 4096."""
-    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=FEWER_REMEMBERED)
     return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 

@@ -1,5 +1,7 @@
 """Exact, near and passage deduplication against brute force."""
 import hashlib
+import random
+import tracemalloc
 import uuid
 from collections import Counter
 
@@ -8,9 +10,9 @@ import pytest
 
 from tidewater.llm.exact_dedup import DigestIndex, deduplicate, drop_copies
 from tidewater.llm.jaccard_join import Bands, could_link, gram_set, keep_one, parity, signatures, similar_documents
-from tidewater.llm.common import mix, word_hashes
+from tidewater.llm.common import gram_hashes, mix, word_hashes
 from tidewater.llm import exact_dedup, jaccard_join, substring_dedup
-from tidewater.llm.substring_dedup import keep_unique_text, remove_repeats
+from tidewater.llm.substring_dedup import covered_words, keep_unique_text, remove_repeats
 
 ids = lambda rows: sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in rows)
 
@@ -243,3 +245,17 @@ def test_jaccard_without_ids(spark, words):
     got = similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), n=5, percent=75).collect()
     assert len(got) == len(rows)
     assert {r["component_id"] for r in got if r["doc_id"] != 8} == {7} and {r["component_id"] for r in got if r["doc_id"] == 8} == {8}
+
+
+def test_removal_holds_numbers_not_words():
+    draw = random.Random(5)
+    words = [f"word{i:07d}" for i in range(300)]
+    texts = [" ".join(draw.choices(words, k=2000)).encode() for _ in range(60)]
+    texts += [texts[0]]
+    recurring = np.sort(gram_hashes(word_hashes(texts[0]), 35))
+    tracemalloc.start()
+    covered = [(len(w), int(c.sum())) for w, c in covered_words(texts, recurring, 35)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert covered == [(2000, 2000)] + [(2000, 0)] * 59 + [(2000, 2000)]
+    assert peak < 30 * 2000 * len(texts)  # bytes per word; a word of its own takes 44 and a place in a list

@@ -12,7 +12,7 @@ import pytest
 
 from tidewater.llm import packing
 from tidewater.llm.byte_bpe import Codec, decode, encode
-from tidewater.llm.common import chunk_starts, chunks
+from tidewater.llm.common import Memo, chunk_starts, chunks
 from tidewater.llm.packing import best_fit, bin_completion, bins_of, pack, token_pieces
 from tidewater.llm.token_counts import count_tokens
 
@@ -141,6 +141,19 @@ def test_packing(docs, no_docs):
     assert zlib.crc32(b"") == 0
 
 
+def test_packing_remembers_within_bounds(texts):
+    path, bounds = public_tokenizers.path("word_bpe_49k.json"), (30, 20)
+    own, other = packing._encoder(path, bounds)[1:], Memo(5)
+    other.learn({"x"}, lambda keys: keys)
+    given = [t or "" for t in texts]
+    assert [packing.text_ids([t], path, bounds) for t in given] == [packing.text_ids([t], path) for t in given]
+    for memo, bound in zip(own, bounds):  # the runs of one text are learnt at once
+        longest = max(len(set(t.split())) for t in given)
+        assert 0 < len(memo.now) <= max(bound, 2 * longest)
+    Memo.forget(*own)
+    assert all(memo.now for memo in own) and not other.now
+
+
 def test_pack_without_a_length(spark):
     pieces = spark.createDataFrame([(1, None), (2, 0), (3, 5), (3, 5)], "id long, length long")
     rows = pack(pieces, 8).collect()

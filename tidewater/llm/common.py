@@ -132,10 +132,11 @@ class Memo:
         Memo.made.append(self)
 
     @classmethod
-    def forget(cls) -> None:
-        """Empty all memos: an operator that needs the memory itself calls this as its task starts."""
+    def forget(cls, *kept: "Memo") -> None:
+        """Empty all memos but ``kept``: an operator that needs the memory itself calls this as its task starts."""
         for memo in cls.made:
-            memo.now, memo.old = {}, {}
+            if memo not in kept:
+                memo.now, memo.old = {}, {}
         give_back()
 
     def learn(self, wanted: set, make: Callable[[list], Iterable]) -> dict:

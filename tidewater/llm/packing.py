@@ -41,19 +41,22 @@ from tidewater.session import materialise
 # Steps to enumerate and fillings kept per bin, and steps of each search before the incumbent stands.
 FILLING_STEPS, FILLINGS, SEARCH_STEPS = 4000, 6, 20_000
 ENCODE_CHARS, JOINED_CHARS = 1 << 18, 1 << 12
-REMEMBERED_RUNS, REMEMBERED_WORDS = 300_000, 900_000
+# Runs and words a worker remembers; after other steps, which leave executors less memory, the fewer ones.
+REMEMBERED, FEWER_REMEMBERED = (300_000, 900_000), (150_000, 200_000)
 
 # Runs without white space: no tokenizer here that drops white space joins two of them.
 _RUNS = re.compile(r"[\S\x1c-\x1f]+").findall
 
-_encoders: dict[str, tuple] = {}
+_encoders: dict[tuple, tuple] = {}
 
 
 # ---------------------------------------------------------------- tokens
 
 
-def _encoder(path: str) -> tuple:
-    if path not in _encoders:
+def _encoder(path: str, remembered: tuple[int, int] = REMEMBERED) -> tuple:
+    """What encodes runs, and its memos of runs and of words."""
+    key = path, remembered
+    if key not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -81,15 +84,15 @@ def _encoder(path: str) -> tuple:
                 found.update((w, pack_ids(e.ids)) for w, e in zip(batch, encoded))
             return map(found.__getitem__, words)
 
-        words = Memo(REMEMBERED_WORDS)
+        whole, words = map(Memo, remembered)
 
         def run_ids(runs: list[str]) -> Iterator[bytes]:
             split = [stem_and_tail(run) for run in runs]
             known = words.learn(set().union(*split), word_ids)
             return (known[stem] + known[tail] for stem, tail in split)
 
-        _encoders[path] = run_ids, Memo(REMEMBERED_RUNS)
-    return _encoders[path]
+        _encoders[key] = run_ids, whole, words
+    return _encoders[key]
 
 
 def pack_ids(ids: list[int]) -> bytes:
@@ -108,28 +111,32 @@ def stem_and_tail(run: str) -> tuple[str, str]:
     return run, ""
 
 
-def text_ids(texts: list[str], path: str) -> list[bytes]:
+def text_ids(texts: list[str], path: str, remembered: tuple[int, int] = REMEMBERED) -> list[bytes]:
     """Packed little-endian unsigned 32-bit ids of each text, for tokenizers that drop white space."""
-    encode, memo = _encoder(path)
+    encode, memo, _ = _encoder(path, remembered)
     parts = [_RUNS(text) for text in texts]
     known = memo.learn(set().union(*parts), encode)
     return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, remembered: tuple[int, int] = REMEMBERED
+) -> DataFrame:
     """The pieces of every text: doc_id, piece, start, length, ids (packed as in ``text_ids``).
 
     A text's ids are followed by ``end_id``; only what is longer than
-    ``capacity`` is cut, into full pieces and a rest.
+    ``capacity`` is cut, into full pieces and a rest. ``remembered`` bounds the
+    runs and words a worker remembers, which changes its time and memory only.
     """
     small_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Memo.forget(*_encoder(path, remembered)[1:])
         for batch in rows:
             which, piece, start, ids = [], [], [], []
-            for i, packed in enumerate(text_ids(batch.column("text").to_pylist(), path)):
+            for i, packed in enumerate(text_ids(batch.column("text").to_pylist(), path, remembered)):
                 packed += end
                 for k, at in enumerate(range(0, len(packed), 4 * capacity)):
                     which.append(i)

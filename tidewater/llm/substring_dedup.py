@@ -117,20 +117,22 @@ def covered_words(texts: list[bytes], recurring: np.ndarray, length: int) -> Ite
     numbers: dict[bytes, int] = {}
     docs, marked = [], []
     for text in texts:
-        words = text.split()
-        ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
-        docs.append((words, ids))
+        # only the numbers of the words are held, not the words of the whole block
+        ids = np.array([numbers.setdefault(w, len(numbers)) for w in text.split()], np.int32)
+        docs.append(ids)
         starts: list[int] = []
-        if len(words) >= length and len(recurring):
+        if len(ids) >= length and len(recurring):
             own = gram_hashes(word_hashes(text), length)
             at = np.minimum(np.searchsorted(recurring, own), len(recurring) - 1)
             starts = list(tiles_of(recurring[at] == own, length))
         marked.append(starts)
     alphabet = Alphabet(len(numbers))
+    del numbers
     width = alphabet.letters
-    spelt = [alphabet.spell(ids) for _, ids in docs]
+    spelt = [alphabet.spell(ids) for ids in docs]
     tiles = {text[i * width : (i + length) * width] for text, starts in zip(spelt, marked) for i in starts}
-    steps = [np.zeros(len(words) + 1, np.int32) for words, _ in docs]
+    steps = [np.zeros(len(ids) + 1, np.int32) for ids in docs]
+    del docs
     for shard in automata(tiles, alphabet):
         for text, step in zip(spelt, steps):
             if len(step) > length:
@@ -138,8 +140,9 @@ def covered_words(texts: list[bytes], recurring: np.ndarray, length: int) -> Ite
                 np.add.at(step, ends - length + 1, 1)
                 np.add.at(step, ends + 1, -1)
         del shard
-    for (words, _), step in zip(docs, steps):
-        yield words, np.cumsum(step[:-1]) > 0
+    del spelt, tiles
+    for text, step in zip(texts, steps):
+        yield text.split(), np.cumsum(step[:-1]) > 0
 
 
 def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
@@ -196,11 +199,14 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
             spans = [{"start": a, "stop": b} for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
             stay = [w for w, gone in zip(words, covered.tolist()) if not gone]
             out.append((len(words), len(words) - len(stay), spans, b" ".join(stay).decode("utf-8", "surrogatepass")))
+        del texts, held, twice, told, recurring
         columns = list(zip(*out)) or [[], [], [], []]
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.string())
         table = table.drop_columns([block])
         for name, column, kind in zip(added, columns, kinds):
             table = table.append_column(name, pa.array(column, kind))
+        del out, columns, column
+        give_back()  # after the last block of a task a worker keeps little for as long as it waits
         return table
 
     sent = dealt.groupBy(block).applyInArrow(send, "bucket int, holder int, repeated boolean, windows binary")
