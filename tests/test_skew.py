@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.ranges import count_below, overlap_counts, overlap_join
+from tidewater.operators.ranges import count_below, laid_on_buckets, overlap_counts, overlap_join
 from tidewater.operators.relational import band_join, exact_percentiles, rank_at_most
 from tidewater.operators.skew import numbered, running_sums, salted_join, split_hot
 from tidewater.operators.windows import moving_sum, navigate, ntile_of, ranks, sliding_totals
@@ -161,6 +161,21 @@ def test_overlap_join(spans, max_rows):
     assert sorted((r["lid"], r["rid"]) for r in got.collect()) == pairs
 
 
+def test_overlap_join_compares_little_besides_its_pairs(spark):
+    """Half hours and five minutes over a day, as dense as the events of many copies: two candidates a pair before."""
+    at = lambda step: F.timestamp_seconds(F.col("id") * step).cast("timestamp_ntz")
+    span = lambda step, minutes, p: spark.range(86_400 // step).select(
+        F.col("id").alias(f"{p}id"), at(step).alias(f"{p}s"), (at(step) + F.expr(f"INTERVAL {minutes} MINUTE")).alias(f"{p}e")
+    )
+    left, right = span(61, 30, "l"), span(53, 5, "r")
+    found = overlap_join(left, right, ("ls", "le"), ("rs", "re"), "30 MINUTE")
+    laid = laid_on_buckets(left, right, ("ls", "le"), ("rs", "re"), "30 MINUTE")
+    candidates = laid[0].join(laid[1], ["_left_holds", "_level", "_bucket"]).count()
+    pairs = left.crossJoin(right).filter("ls < re AND rs < le").count()
+    assert found.count() == found.distinct().count() == pairs
+    assert candidates < 1.4 * pairs
+
+
 @pytest.mark.parametrize("max_rows", [20, 100_000])
 def test_overlap_counts(spans, max_rows):
     left, right, pairs = spans

@@ -10,6 +10,9 @@ from tidewater.operators.relational import at_level, bucket_level, touched_bucke
 from tidewater.operators.inequality import count_matches
 from tidewater.operators.skew import MAX_GROUP_ROWS, null_safe_join, running, running_sums, salted_join
 
+# Buckets to the width a join is told.
+PARTS = 6
+
 
 def make_range(start: Column, end: Column) -> Column:
     """Range value; a NULL end is unbounded, and a start after the end is an error."""
@@ -97,45 +100,61 @@ def container_counts(
     return counted.drop("_lo", "_hi")
 
 
-def overlap_join(
-    left: DataFrame, right: DataFrame, left_range: tuple[str, str], right_range: tuple[str, str], width: str,
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Pairs of overlapping [start, end) time ranges; a NULL bound is unbounded.
-
-    Both sides are laid on buckets of ``width`` and joined by bucket. A range
-    much longer than that lies on coarser buckets, and shorter ranges meet it
-    there. A pair that shares several buckets is kept only in the first one both
-    touch, so no distinct step is needed. Crowded buckets are salted.
-    """
-    (ls, le), (rs, re) = left_range, right_range
-    step = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00' + INTERVAL {width})")
+def laid_on_buckets(
+    left: DataFrame, right: DataFrame, left_range: tuple[str, str], right_range: tuple[str, str], width: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of ``overlap_join`` with _left_holds, _level and _bucket, by which holders meet starts."""
+    step = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00' + INTERVAL {width})") / PARTS
     slot = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / step).cast("bigint")
     far = 1 << 50  # beyond every bucket of a time
 
-    def with_slots(df: DataFrame, start: str, end: str, side: str) -> DataFrame:
+    def with_slots(df: DataFrame, start: str, end: str) -> DataFrame:
         kept = df.filter(F.col(start).isNull() | F.col(end).isNull() | (F.col(start) < F.col(end)))
         last = slot(F.col(end) - F.expr("INTERVAL 1 MICROSECOND"))
         marked = kept.withColumns(
-            {f"_{side}first": F.coalesce(slot(F.col(start)), F.lit(-far)), f"_{side}last": F.coalesce(last, F.lit(far))}
+            {"_first": F.coalesce(slot(F.col(start)), F.lit(-far)), "_last": F.coalesce(last, F.lit(far))}
         )
-        return marked.withColumn(f"_{side}own", bucket_level(f"_{side}first", f"_{side}last"))
+        return marked.withColumn("_own", bucket_level("_first", "_last"))
+
+    a, b = with_slots(left, *left_range), with_slots(right, *right_range)
+    # At most as many rows as there are levels, for either side.
+    used = a.select(F.lit(True).alias("l"), "_own").unionByName(b.select(F.lit(False).alias("l"), "_own")).distinct().collect()
 
-    a, b = with_slots(left, ls, le, "l"), with_slots(right, rs, re, "r")
-    # As many rows as there are levels.
-    used = a.select(F.col("_lown").alias("v")).unionByName(b.select(F.col("_rown").alias("v"))).distinct()
-    levels = F.array(*[F.lit(r["v"]) for r in sorted(used.collect())]).cast("array<int>")
+    def spread(df: DataFrame, is_left: bool) -> DataFrame:
+        """Rows as holders on all they touch at their own level, then as starts at each level of the other side's holders."""
+        levels = [F.lit(r["_own"]).cast("int") for r in used if r["l"] != is_left]
+        touched = touched_buckets("_first", "_last", F.col("_own"))
+        starts = [at_level(F.col("_first"), level) for level in levels]
+        at = df.select("*", F.posexplode(F.concat(touched, F.array(*starts)) if starts else touched).alias("_at", "_bucket"))
+        beyond = F.col("_at") - (at_level(F.col("_last"), F.col("_own")) - at_level(F.col("_first"), F.col("_own")))
+        level = F.when(beyond <= 0, F.col("_own"))
+        for k, other in enumerate(levels):
+            level = level.when(beyond == k + 1, other)
+        return at.withColumns({"_left_holds": (beyond <= 0) == F.lit(is_left), "_level": level}).drop("_at", "_first", "_last", "_own")
 
-    def spread(df: DataFrame, side: str) -> DataFrame:
-        mine = F.filter(levels, lambda x: x >= F.col(f"_{side}own"))
-        at = df.withColumn("_level", F.explode(mine))
-        return at.withColumn("_bucket", F.explode(touched_buckets(f"_{side}first", f"_{side}last", F.col("_level"))))
+    return spread(a, True), spread(b, False)
 
-    pairs = salted_join(spread(a, "l"), spread(b, "r"), ["_level", "_bucket"], max_rows=max_rows)
-    first = F.greatest(at_level(F.col("_lfirst"), F.col("_level")), at_level(F.col("_rfirst"), F.col("_level")))
+
+def overlap_join(
+    left: DataFrame, right: DataFrame, left_range: tuple[str, str], right_range: tuple[str, str], width: str,
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Pairs of overlapping [start, end) time ranges; a NULL bound is unbounded.
+
+    Of two overlapping ranges one holds the start of the other (of equal starts,
+    the left range does), so every range is laid, as a holder, on the buckets it
+    touches, and its start, as a point, on one bucket; holders meet the other
+    side's points by bucket. Buckets are a sixth of ``width``: few candidates of a
+    range about that long are no pairs, and no pair is found twice. A range much
+    longer than that lies on coarser buckets, and points go to every level the
+    other side's holders use. Crowded buckets are salted.
+    """
+    (ls, le), (rs, re) = left_range, right_range
+    a, b = laid_on_buckets(left, right, left_range, right_range, width)
+    # The pairs, not the bytes, are the work: merged by bucket it is dealt to many tasks however small the tables are.
+    pairs = salted_join(a, b.hint("merge"), ["_left_holds", "_level", "_bucket"], max_rows=max_rows)
     return pairs.filter(
         F.coalesce(F.col(ls) < F.col(re), F.lit(True))
         & F.coalesce(F.col(rs) < F.col(le), F.lit(True))
-        & (F.col("_level") == F.greatest("_lown", "_rown"))
-        & (F.col("_bucket") == first)
-    ).drop("_level", "_bucket", *[f"_{s}{n}" for s in "lr" for n in ("first", "last", "own")])
+        & (F.col("_left_holds") == F.coalesce(F.col(ls) <= F.col(rs), F.col(ls).isNull()))
+    ).drop("_left_holds", "_level", "_bucket")
