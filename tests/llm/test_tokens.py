@@ -154,6 +154,25 @@ def test_packing_remembers_within_bounds(texts):
     assert all(memo.now for memo in own) and not other.now
 
 
+def test_packing_ids_of_odd_texts():
+    """Looking up lower-cased stems and marks gives the ids of the whole text."""
+    from tokenizers import Tokenizer
+
+    draw = random.Random(4)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    model = Tokenizer.from_file(path)
+    texts = ["", " ", "\x1c", "<|endoftext|>", "a<|ENDOFTEXT|>", "A<|endoftext|>b.", "It'S we'LL 'TIS'", "J\u030c T\u0308.", "\u0130. x\u0130*** \u212a!", "né. NÉ*** e\u0301,"]
+    texts += ["".join(draw.choice(" \n\t\x0b\x1c\x1f\x85\xa0\u2028\u3000aATéÉ\u0130J\u030c1'sS.*$_<|>") for _ in range(draw.randrange(60))) for _ in range(3000)]
+    want = [model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.text_ids(texts, path)] == want
+
+
+def test_packing_encodes_a_word_once_whatever_its_case_and_marks():
+    path, bounds = public_tokenizers.path("word_bpe_49k.json"), (40, 41)
+    packing.text_ids(["Orrin orrin ORRIN*** orrin?\nOrrin$$$", "Orrin é orrin### née%%% née."], path, bounds)
+    assert set(packing._encoder(path, bounds)[2].now) == {"orrin", "é", "née", "", "***", "?", "$$$", "###", "%%%", "."}
+
+
 def test_pack_without_a_length(spark):
     pieces = spark.createDataFrame([(1, None), (2, 0), (3, 5), (3, 5)], "id long, length long")
     rows = pack(pieces, 8).collect()

@@ -25,17 +25,18 @@ length that is NULL or below 1 gets no bin, one above the capacity is an error.
 from __future__ import annotations
 
 import os
-import re
+import string
 import struct
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Memo, byte_batches, fresh_name, small_batches, whole_text
+from tidewater.llm.common import Memo, batches_of, byte_batches, fresh_name, small_batches, whole_text
 from tidewater.session import materialise
 
 # Steps to enumerate and fillings kept per bin, and steps of each search before the incumbent stands.
@@ -44,8 +45,8 @@ ENCODE_CHARS, JOINED_CHARS = 1 << 18, 1 << 12
 # Runs and words a worker remembers; after other steps, which leave executors less memory, the fewer ones.
 REMEMBERED, FEWER_REMEMBERED = (300_000, 900_000), (150_000, 200_000)
 
-# Runs without white space: no tokenizer here that drops white space joins two of them.
-_RUNS = re.compile(r"[\S\x1c-\x1f]+").findall
+# Text whose distinct runs are looked up at once.
+LOOKUP_BYTES = 2 << 20
 
 _encoders: dict[tuple, tuple] = {}
 
@@ -87,7 +88,7 @@ def _encoder(path: str, remembered: tuple[int, int] = REMEMBERED) -> tuple:
         whole, words = map(Memo, remembered)
 
         def run_ids(runs: list[str]) -> Iterator[bytes]:
-            split = [stem_and_tail(run) for run in runs]
+            split = [stem_and_tail(run.lower() if run.isascii() and "<|" not in run else run) for run in runs]
             known = words.learn(set().union(*split), word_ids)
             return (known[stem] + known[tail] for stem, tail in split)
 
@@ -100,23 +101,48 @@ def pack_ids(ids: list[int]) -> bytes:
 
 
 def stem_and_tail(run: str) -> tuple[str, str]:
-    """Cut a run before the marks that end it, where they follow an ASCII letter.
+    """Cut a run before the ASCII marks that end it, where they follow an ASCII or accented Latin letter.
 
-    Letters and marks never share a token. ``<|`` may open a special token, so
-    such a run stays whole.
+    Letters and marks never share a token. U+0130 gets a mark when lower-cased,
+    and ``<|`` may open a special token, so such runs stay whole.
     """
-    stem = run.rstrip(".,;:!?")
-    if len(stem) < len(run) and stem and stem[-1].isascii() and stem[-1].isalpha() and "<|" not in run:
+    stem = run.rstrip(string.punctuation)
+    if len(stem) < len(run) and stem and stem[-1] < "\u0250" and stem[-1] != "\u0130" and stem[-1].isalpha() and "<|" not in run:
         return stem, run[len(stem) :]
     return run, ""
 
 
 def text_ids(texts: list[str], path: str, remembered: tuple[int, int] = REMEMBERED) -> list[bytes]:
-    """Packed little-endian unsigned 32-bit ids of each text, for tokenizers that drop white space."""
+    """Packed little-endian unsigned 32-bit ids of each text, for tokenizers that drop white space and lower-case."""
+    out: list[bytes] = []
+    for batch in byte_batches(texts, LOOKUP_BYTES):
+        ids, bounds = batch_ids(pa.array(batch, pa.string()), path, remembered)
+        packed, cuts = ids.tobytes(), (4 * bounds).tolist()
+        out += [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+    return out
+
+
+def batch_ids(texts: pa.Array, path: str, remembered: tuple[int, int] = REMEMBERED) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row, and where each text's start, with the end of the last.
+
+    Texts are cut at ASCII white space, which joins no two tokens, and the
+    distinct runs are looked up. A to Z are lower-cased first only where
+    nothing else can depend on them: in ASCII texts without ``<|``.
+    """
     encode, memo, _ = _encoder(path, remembered)
-    parts = [_RUNS(text) for text in texts]
-    known = memo.learn(set().union(*parts), encode)
-    return [b"".join(map(known.__getitem__, p)) for p in parts]
+    plain = pc.and_not(pc.string_is_ascii(texts), pc.match_substring(texts, "<|"))
+    runs = pc.ascii_split_whitespace(pc.if_else(plain, pc.ascii_lower(texts), texts))
+    distinct = runs.flatten().dictionary_encode()
+    keys = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+    known = memo.learn(set(keys), encode)
+    found = [known[k] for k in keys]
+    ids = np.frombuffer(b"".join(found), "<u4")
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    which = distinct.indices.to_numpy()
+    counts = sizes[which]
+    ends = np.append(0, np.cumsum(counts))
+    shift = (np.cumsum(sizes) - sizes)[which] - ends[:-1]
+    return ids[np.repeat(shift, counts) + np.arange(ends[-1])], ends[runs.offsets.to_numpy()]
 
 
 def token_pieces(
@@ -134,10 +160,11 @@ def token_pieces(
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Memo.forget(*_encoder(path, remembered)[1:])
-        for batch in rows:
+        for batch in batches_of(rows, "text", LOOKUP_BYTES):
             which, piece, start, ids = [], [], [], []
-            for i, packed in enumerate(text_ids(batch.column("text").to_pylist(), path, remembered)):
-                packed += end
+            flat, bounds = batch_ids(batch.column("text").combine_chunks(), path, remembered)
+            for i, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
+                packed = flat[a:b].tobytes() + end
                 for k, at in enumerate(range(0, len(packed), 4 * capacity)):
                     which.append(i)
                     piece.append(k)
@@ -145,7 +172,7 @@ def token_pieces(
                     ids.append(packed[at : at + 4 * capacity])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(which, pa.int64())),
+                    batch.column("doc_id").combine_chunks().take(pa.array(which, pa.int64())),
                     pa.array(piece, pa.int32()),
                     pa.array(start, pa.int64()),
                     pa.array([len(x) // 4 for x in ids], pa.int64()),
