@@ -259,3 +259,23 @@ def test_removal_holds_numbers_not_words():
     tracemalloc.stop()
     assert covered == [(2000, 2000)] + [(2000, 0)] * 59 + [(2000, 2000)]
     assert peak < 30 * 2000 * len(texts)  # bytes per word; a word of its own takes 44 and a place in a list
+
+
+def test_windows_of_a_block_are_held_once():
+    draw = random.Random(6)
+    texts = [" ".join(str(draw.randrange(300)) for _ in range(400)).encode() for _ in range(500)] + [b"a few", b"x " * 900]
+    plain = [substring_dedup.windows(t, 35) for t in texts]
+    first, second = (np.concatenate(p) for p in zip(*plain))
+    values, at, counts = np.unique(first, return_index=True, return_counts=True)
+    del plain
+    tracemalloc.start()
+    try:
+        got = substring_dedup.block_windows(texts, 35)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 64 * len(first)  # bytes a window: its hashes, an order and the distinct ones; 90 with lists and copies of the hashes
+    for mine, want in zip(got, (values, second[at], counts)):
+        assert np.array_equal(mine, want)
+    assert np.array_equal(substring_dedup.held_windows(texts, 35), np.sort(first))
+    assert [len(x) for x in substring_dedup.block_windows([], 35)] == [0, 0, 0] and len(substring_dedup.held_windows([], 35)) == 0

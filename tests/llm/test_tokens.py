@@ -173,6 +173,17 @@ def test_packing_encodes_a_word_once_whatever_its_case_and_marks():
     assert set(packing._encoder(path, bounds)[2].now) == {"orrin", "é", "née", "", "***", "?", "$$$", "###", "%%%", "."}
 
 
+def test_other_steps_let_go_of_the_tokenizer():
+    path, bounds = public_tokenizers.path("word_bpe_49k.json"), (50, 51)
+    own = packing._encoder(path, bounds)[1:]
+    want = packing.text_ids(["some words"], path, bounds)
+    Memo.forget(*own)
+    assert list(packing._encoders) == [(path, bounds)] and own[0] in Memo.made
+    Memo.forget()
+    assert not packing._encoders and not any(memo in own for memo in Memo.made)
+    assert packing.text_ids(["some words"], path, bounds) == want
+
+
 def test_pack_without_a_length(spark):
     pieces = spark.createDataFrame([(1, None), (2, 0), (3, 5), (3, 5)], "id long, length long")
     rows = pack(pieces, 8).collect()

@@ -119,6 +119,16 @@ def give_back() -> None:
         pass
 
 
+def tidy(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` of a task's batches, after which the worker keeps little for as long as it waits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return run
+
+
 class Memo:
     """Answers a worker remembers: at most ``2 * limit``, those not asked for lately go first.
 
@@ -126,6 +136,7 @@ class Memo:
     """
 
     made: list["Memo"] = []  # all memos of this worker
+    holders: list[dict] = []  # what else operators keep and can make again, with the memos it uses
 
     def __init__(self, limit: int):
         self.limit, self.now, self.old = limit, {}, {}
@@ -137,6 +148,10 @@ class Memo:
         for memo in cls.made:
             if memo not in kept:
                 memo.now, memo.old = {}, {}
+        for holder in cls.holders:
+            for key in [k for k, held in holder.items() if not any(memo in kept for memo in held)]:
+                cls.made[:] = [memo for memo in cls.made if memo not in holder[key]]
+                del holder[key]
         give_back()
 
     def learn(self, wanted: set, make: Callable[[list], Iterable]) -> dict:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Memo, batches_of, blocks_for, by_bucket, fresh_name, gram_hashes, mix, small_batches, sorted_distinct, whole_text, word_hashes
+from tidewater.llm.common import Memo, batches_of, blocks_for, by_bucket, fresh_name, give_back, gram_hashes, mix, small_batches, sorted_distinct, tidy, whole_text, word_hashes
 from tidewater.operators.clusters import components
 from tidewater.session import materialise
 
@@ -150,7 +150,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", whole_text().alias("text"), F.xxhash64(whole_text()).alias("hash")).mapInArrow(
-        sets, f"doc_id {kind}, n_shingles long, key long, bits binary, hash long"
+        tidy(sets), f"doc_id {kind}, n_shingles long, key long, bits binary, hash long"
     )
 
 
@@ -198,7 +198,7 @@ def send_signatures(docs: DataFrame, n: int, percent: int, buckets: int) -> Data
                 yield from packed_rows()
 
     return docs.select(whole_text().alias("text")).mapInArrow(
-        send, "bucket long, signs binary, counts binary, keys binary, sizes binary, own binary, next binary"
+        tidy(send), "bucket long, signs binary, counts binary, keys binary, sizes binary, own binary, next binary"
     )
 
 
@@ -218,6 +218,11 @@ def meet_signatures(sent: DataFrame, percent: int) -> DataFrame:
     """
 
     def meet(table: pa.Table) -> pa.Table:
+        met = meet_shares(table)
+        give_back()
+        return met
+
+    def meet_shares(table: pa.Table) -> pa.Table:
         read = lambda c, k: [np.frombuffer(x.as_buffer(), k) for x in table.column(c)]
         parts, counts = read("signs", SIGN), read("counts", np.int32)
         tables = {c: np.concatenate(read(c, k)) for c, k in TABLE.items()}
@@ -310,7 +315,7 @@ class Join:
                 yield batch.select(["a", "b"]).filter(pa.array(stay, pa.bool_()))
 
         joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
-        return joined.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(check, "a long, b long")
+        return joined.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(tidy(check), "a long, b long")
 
     def texts_of(self, wanted: DataFrame) -> DataFrame:
         """(key, size, bits, text) of one document of each class in ``wanted`` (key), with fine bitmaps.
@@ -342,7 +347,7 @@ class Join:
                 yield rows.filter(pa.array(stay, pa.bool_()))
 
         schema = "key long, size long, bits binary, text string"
-        return materialise(found.select("key", "text").mapInArrow(own, schema), "texts")
+        return materialise(found.select("key", "text").mapInArrow(tidy(own), schema), "texts")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link, decided by the n-grams of their texts."""

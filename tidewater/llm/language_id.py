@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Memo, crc_fold, fresh_name, small_batches
+from tidewater.llm.common import Memo, crc_fold, fresh_name, small_batches, tidy
 from tidewater.session import materialise
 
 SAMPLE = 500  # labelled rows per language to learn from
@@ -192,7 +192,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     own = docs.select(*kept)
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return own.mapInArrow(predict, schema)
+    return own.mapInArrow(tidy(predict), schema)
 
 
 def held_out(docs: DataFrame) -> Column:

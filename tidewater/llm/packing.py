@@ -36,19 +36,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Memo, batches_of, byte_batches, fresh_name, small_batches, whole_text
+from tidewater.llm.common import Memo, batches_of, byte_batches, fresh_name, small_batches, tidy, whole_text
 from tidewater.session import materialise
 
 # Steps to enumerate and fillings kept per bin, and steps of each search before the incumbent stands.
 FILLING_STEPS, FILLINGS, SEARCH_STEPS = 4000, 6, 20_000
 ENCODE_CHARS, JOINED_CHARS = 1 << 18, 1 << 12
 # Runs and words a worker remembers; after other steps, which leave executors less memory, the fewer ones.
-REMEMBERED, FEWER_REMEMBERED = (300_000, 900_000), (150_000, 200_000)
+REMEMBERED, FEWER_REMEMBERED = (300_000, 900_000), (60_000, 120_000)
 
-# Text whose distinct runs are looked up at once.
-LOOKUP_BYTES = 2 << 20
+# Text whose distinct runs are looked up at once, in bytes a run that is remembered.
+LOOKUP_BYTES = 7
 
 _encoders: dict[tuple, tuple] = {}
+Memo.holders.append(_encoders)  # a tokenizer is larger than most of what other steps need
 
 
 # ---------------------------------------------------------------- tokens
@@ -115,7 +116,7 @@ def stem_and_tail(run: str) -> tuple[str, str]:
 def text_ids(texts: list[str], path: str, remembered: tuple[int, int] = REMEMBERED) -> list[bytes]:
     """Packed little-endian unsigned 32-bit ids of each text, for tokenizers that drop white space and lower-case."""
     out: list[bytes] = []
-    for batch in byte_batches(texts, LOOKUP_BYTES):
+    for batch in byte_batches(texts, LOOKUP_BYTES * remembered[0]):
         ids, bounds = batch_ids(pa.array(batch, pa.string()), path, remembered)
         packed, cuts = ids.tobytes(), (4 * bounds).tolist()
         out += [packed[a:b] for a, b in zip(cuts, cuts[1:])]
@@ -160,7 +161,7 @@ def token_pieces(
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Memo.forget(*_encoder(path, remembered)[1:])
-        for batch in batches_of(rows, "text", LOOKUP_BYTES):
+        for batch in batches_of(rows, "text", LOOKUP_BYTES * remembered[0]):
             which, piece, start, ids = [], [], [], []
             flat, bounds = batch_ids(batch.column("text").combine_chunks(), path, remembered)
             for i, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
@@ -182,7 +183,7 @@ def token_pieces(
             )
 
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(
-        cut, f"doc_id {kind}, piece int, start long, length long, ids binary"
+        tidy(cut), f"doc_id {kind}, piece int, start long, length long, ids binary"
     )
 
 

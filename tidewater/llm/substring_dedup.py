@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from tidewater.llm.common import Memo, blocks_for, by_bucket, dealt_to_blocks, fresh_name, give_back, gram_hashes, mix, ship, sorted_distinct, word_hashes
 
-BLOCK_BYTES = 8 << 20  # text in a block
+BLOCK_BYTES = 4 << 20  # text in a block
 BUCKET_BYTES = 16 << 20  # text whose windows a bucket compares
 AUTOMATON_WORDS = 1 << 17  # words of all patterns of one automaton
 
@@ -49,16 +49,36 @@ def windows(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _texts(table: pa.Table) -> list[bytes]:
-    return [(t or "").encode("utf-8", "surrogatepass") for t in table.column("text").to_pylist()]
+    return [t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()]
 
 
 def block_windows(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct window hashes of a block, the second hash of each, how often each occurs."""
     found = [windows(t, length) for t in texts]
-    first = np.concatenate([np.zeros(0, np.uint64), *(f for f, _ in found)])
-    second = np.concatenate([np.zeros(0, np.uint64), *(s for _, s in found)])
-    values, at, counts = np.unique(first, return_index=True, return_counts=True)
-    return values, second[at], counts
+    both = np.empty((2, sum(len(f) for f, _ in found)), np.uint64)
+    at = both.shape[1]
+    while found:  # from the last on, each let go of once it is copied
+        first, second = found.pop()
+        at -= len(first)
+        both[0, at : at + len(first)], both[1, at : at + len(first)] = first, second
+    order = np.argsort(both[0], kind="stable")
+    starts = both[0, order]
+    starts = np.flatnonzero(np.append(True, starts[1:] != starts[:-1])[: len(starts)])
+    counts = np.diff(np.append(starts, len(order)))
+    order = order[starts]
+    return both[0, order], both[1, order], counts
+
+
+def held_windows(texts: list[bytes], length: int) -> np.ndarray:
+    """The window hashes of all places of a block, ascending."""
+    found = [gram_hashes(word_hashes(t), length) for t in texts]
+    held, at = np.empty(sum(map(len, found)), np.uint64), 0
+    found.reverse()
+    while found:
+        held[at : at + len(found[-1])] = found[-1]
+        at += len(found.pop())
+    held.sort()
+    return held
 
 
 class Alphabet:
@@ -158,8 +178,15 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
     blocks, buckets = blocks_for(docs, BLOCK_BYTES), blocks_for(docs, BUCKET_BYTES)
     dealt = dealt_to_blocks(docs, block, blocks)
 
+    # Workers wait between blocks, some of them for whole stages, so they give back memory after each as well.
+
     def send(table: pa.Table) -> pa.Table:
         Memo.forget()
+        sent = dealt_windows(table)
+        give_back()
+        return sent
+
+    def dealt_windows(table: pa.Table) -> pa.Table:
         values, second, counts = block_windows(_texts(table), length)
         number = table.column(block)[0].as_py()
         rows = []
@@ -172,6 +199,12 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["bucket", "holder", "repeated", "windows"])
 
     def tell(table: pa.Table) -> pa.Table:
+        Memo.forget()
+        told = shared_windows(table)
+        give_back()
+        return told
+
+    def shared_windows(table: pa.Table) -> pa.Table:
         parts = [np.frombuffer(w, np.uint64) for w in table.column("windows").to_pylist()]
         values, counts = np.unique(np.concatenate(parts), return_counts=True)
         recurring, rows = values[counts > 1], {}
@@ -187,26 +220,27 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
         })
 
     def remove(table: pa.Table, news: pa.Table) -> pa.Table:
-        give_back()
+        Memo.forget()
         texts = _texts(table)
-        held = np.sort(np.concatenate([np.zeros(0, np.uint64), *(gram_hashes(word_hashes(t), length) for t in texts)]))
+        held = held_windows(texts, length)
         twice = held[1:][held[1:] == held[:-1]]
         told = [np.frombuffer(w, np.uint64) for w in news.column("windows").to_pylist()]
         recurring = sorted_distinct(np.concatenate([twice, *told]))
+        del held, twice, told
         out = []
         for words, covered in covered_words(texts, recurring, length):
             edges = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
             spans = [{"start": a, "stop": b} for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
             stay = [w for w, gone in zip(words, covered.tolist()) if not gone]
-            out.append((len(words), len(words) - len(stay), spans, b" ".join(stay).decode("utf-8", "surrogatepass")))
-        del texts, held, twice, told, recurring
+            out.append((len(words), len(words) - len(stay), spans, b" ".join(stay)))
+        del texts, recurring
         columns = list(zip(*out)) or [[], [], [], []]
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.string())
         table = table.drop_columns([block])
         for name, column, kind in zip(added, columns, kinds):
             table = table.append_column(name, pa.array(column, kind))
         del out, columns, column
-        give_back()  # after the last block of a task a worker keeps little for as long as it waits
+        give_back()
         return table
 
     sent = dealt.groupBy(block).applyInArrow(send, "bucket int, holder int, repeated boolean, windows binary")
