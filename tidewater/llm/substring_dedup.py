@@ -205,9 +205,11 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
         return told
 
     def shared_windows(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(w, np.uint64) for w in table.column("windows").to_pylist()]
-        values, counts = np.unique(np.concatenate(parts), return_counts=True)
-        recurring, rows = values[counts > 1], {}
+        parts = [np.frombuffer(w.as_buffer(), np.uint64) for w in table.column("windows")]  # not copied
+        held = np.concatenate(parts)
+        held.sort()
+        recurring, rows = sorted_distinct(held[1:][held[1:] == held[:-1]]), {}
+        del held
         for part, holder, repeated in zip(parts, table.column("holder").to_pylist(), table.column("repeated").to_pylist()):
             # a window that recurs within the block is known there already
             if not repeated and len(recurring):
